@@ -129,9 +129,11 @@ def sat_append_changed(table: VersionedTable, rows: DataFrame, hk: str, order, c
     """Append only versions that differ from their predecessor.
 
     The predecessor of a batch row is the previous batch row of the same key
-    or, for the first one, the latest stored row of that key. Only stored
-    rows of keys present in the batch are read (semi join), and their latest
-    is an aggregate, so the whole satellite is never windowed.
+    or, for the first one, the latest stored row of that key. Batch rows at
+    or before that stored row are ignored, so re-sending a batch stores
+    nothing. Only stored rows of keys present in the batch are read (semi
+    join), and their latest is an aggregate, so the whole satellite is never
+    windowed.
     """
     order = _cols(order)
     if not table.exists():
@@ -139,7 +141,13 @@ def sat_append_changed(table: VersionedTable, rows: DataFrame, hk: str, order, c
         return table.write(fresh, mode="errorifexists", operation="WRITE")
     stored = table.read()
     prior = latest_per_key(stored.join(rows.select(hk).distinct(), hk, "left_semi"), [hk], order)
-    both = prior.withColumn("_prior", F.lit(True)).unionByName(rows.withColumn("_prior", F.lit(False)))
+    # rows at or before a key's stored latest are already covered (a re-sent
+    # batch adds nothing); only rows after it can be new versions
+    seen = prior.select(hk, F.struct(*[F.col(c) for c in order]).alias("_seen"))
+    newer = rows.join(seen, hk, "left").where(
+        F.col("_seen").isNull() | (F.struct(*[F.col(c) for c in order]) > F.col("_seen"))
+    ).drop("_seen")
+    both = prior.withColumn("_prior", F.lit(True)).unionByName(newer.withColumn("_prior", F.lit(False)))
     fresh = changed_rows(both, [hk], order, compare, chunk).where(~F.col("_prior")).drop("_prior")
     return table.write(fresh, mode="append", operation="WRITE")
 
