@@ -79,6 +79,9 @@ def with_neighbors(
             **{f"_in_{n}": F.lead(c).over(w) for n, c in nxt.items()},
         }
     )
+    # one row per (key, chunk). Catalyst computes it straight from the input
+    # with a partial aggregate, so only (keys x chunks) rows are shuffled; a
+    # summary built from the window's output would shuffle every row twice.
     ordk = _order_struct(order)
     aggs = []
     if prev:

@@ -14,9 +14,18 @@ from pyspark.sql import types as T
 ROBUST = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "mode": "FAILFAST"}
 
 
-def read_csv_robust(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Header + explicit schema, quoted fields may hold commas, ``""`` and newlines."""
-    return spark.read.options(**ROBUST).schema(schema).csv(path)
+def read_csv_robust(spark: SparkSession, path: str, schema: T.StructType | str,
+                    null_token: str | None = None) -> DataFrame:
+    """Header + explicit schema, quoted fields may hold commas, ``""`` and newlines.
+
+    Without ``null_token`` an empty field is null (as spreadsheet exports
+    write both null and empty text as nothing); with it, only that token is
+    null and ``""`` stays an empty string.
+    """
+    reader = spark.read.options(**ROBUST).schema(schema)
+    if null_token is not None:
+        reader = reader.option("nullValue", null_token)
+    return reader.csv(path)
 
 
 def read_csv_infer(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> DataFrame:
@@ -29,10 +38,14 @@ def read_csv_infer(spark: SparkSession, path: str, sampling_ratio: float = 1.0)
     )
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Header, doubled quotes, blanks kept, empty string distinct from null."""
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_token: str | None = None) -> None:
+    """Header, doubled quotes, blanks kept; ``null_token`` (e.g. ``\\N``) keeps
+    null and empty text apart for readers that use the same token."""
+    w = df.write
+    if null_token is not None:
+        w = w.option("nullValue", null_token)
     (
-        df.write.mode(mode)
+        w.mode(mode)
         .option("header", "true")
         .option("quote", '"')
         .option("escape", '"')
