@@ -86,10 +86,24 @@ class VersionedTable:
     def commits(self) -> DataFrame:
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits_path)
 
+    def _commit_files(self) -> frozenset:
+        fs, jpath = _jvm_fs(self.spark, self._commits_path)
+        if not fs.exists(jpath):
+            return frozenset()
+        return frozenset(
+            st.getPath().getName() for st in fs.listStatus(jpath) if st.getPath().getName().endswith(".parquet")
+        )
+
     def _commit_rows(self) -> list:
-        if not self.exists():
+        """Committed versions, oldest first; re-read only when a commit file appeared."""
+        files = self._commit_files()
+        if not files:
             return []
-        return sorted(self.commits().collect(), key=lambda r: r.version)
+        cached = getattr(self, "_cache", None)
+        if cached is None or cached[0] != files:
+            rows = sorted(self.commits().collect(), key=lambda r: r.version)
+            self._cache = (files, rows)
+        return self._cache[1]
 
     def latest_version(self) -> int:
         rows = self._commit_rows()

@@ -22,12 +22,10 @@ def test_late_row_is_dropped_and_counted(spark, tmp_root):
     report = streams.stream_dedupe(spark, src, schema, out, ck, "event_id", "ts", delay="1 day")
     got = sorted(r.event_id for r in spark.read.schema(schema).parquet(out).collect())
     assert got == [1, 3]
-    dropped = sum(
-        op.get("numRowsDroppedByWatermark", 0)
-        for p in report["progress"]
-        for op in (p.stateOperators if hasattr(p, "stateOperators") else p.get("stateOperators", []))
-        for op in [op if isinstance(op, dict) else op.__dict__]
-    )
+    dropped = 0
+    for p in report["progress"]:
+        for op in p.stateOperators:
+            dropped += op.numRowsDroppedByWatermark
     assert dropped >= 1
 
 
