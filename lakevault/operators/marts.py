@@ -57,9 +57,13 @@ def activity_mart(agents: DataFrame, orders: DataFrame, *, agent_key: str, order
 
 
 def share_by(df: DataFrame, group: str, name: str = "n", pct_name: str = "pct") -> DataFrame:
-    """Count per group and its share of the total (window over the grouped rows)."""
+    """Count per group and its share of the total.
+
+    The total is a scalar subquery over the grouped counts, so no step moves
+    all groups into one partition however many groups there are.
+    """
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias(name))
-    total = F.sum(name).over(Window.partitionBy())
+    total = counts.select(F.sum(name)).scalar()
     return counts.withColumn(pct_name, F.round(F.lit(100.0) * F.col(name) / total, 4))
 
 

@@ -22,7 +22,7 @@ import datetime as _dt
 import json
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -161,8 +161,14 @@ class VersionedTable:
     def _append_commit(self, **fields) -> None:
         row = dict(fields)
         row["timestamp"] = _dt.datetime.now(_dt.timezone.utc)
+        cached = getattr(self, "_cache", None)
+        before = self._commit_files()
         commit = self.spark.createDataFrame([row], COMMIT_SCHEMA)
         commit.coalesce(1).write.mode("append").parquet(self._commits_path)
+        # our own commit is known: extend the cached list instead of re-reading it
+        if cached is not None and cached[0] == before:
+            written = Row(**{f.name: row.get(f.name) for f in COMMIT_SCHEMA.fields})
+            self._cache = (self._commit_files(), sorted(cached[1] + [written], key=lambda r: r.version))
 
     @staticmethod
     def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
