@@ -29,9 +29,16 @@ def row_level_filter(df: DataFrame, grants: DataFrame, scope: str, user: str = "
 
 
 def forget_subjects(table: VersionedTable, requests: DataFrame, key: str) -> int:
-    """Remove every row of the requested subjects from every stored version."""
+    """Remove every row of the requested subjects from every stored version.
+
+    Only the versions that hold a requested subject are rewritten (found by a
+    semi join); the others keep their files.
+    """
     gone = requests.select(key).distinct()
-    return table.rewrite(lambda df: df.join(gone, key, "left_anti"), operation="DELETE")
+    hit = table.versions_where(lambda df: df.join(gone, key, "left_semi"))
+    if not hit:
+        return table.latest_version()
+    return table.rewrite(lambda df: df.join(gone, key, "left_anti"), operation="DELETE", versions=set(hit))
 
 
 def consenting(events: DataFrame, key: str, kind: str, order, grant: str, revoke: str) -> DataFrame:

@@ -125,31 +125,37 @@ def sat_append_all(table: VersionedTable, rows: DataFrame) -> int:
 
 
 def sat_append_changed(table: VersionedTable, rows: DataFrame, hk: str, order, compare,
-                       chunk: Column | None = None) -> int:
+                       chunk: Column | None = None, current: VersionedTable | None = None) -> int:
     """Append only versions that differ from their predecessor.
 
     The predecessor of a batch row is the previous batch row of the same key
     or, for the first one, the latest stored row of that key. Batch rows at
     or before that stored row are ignored, so re-sending a batch stores
-    nothing. Only stored rows of keys present in the batch are read (semi
-    join), and their latest is an aggregate, so the whole satellite is never
-    windowed.
+    nothing. The stored latest rows come from ``current`` (one row per key,
+    kept up to date here) when given, else from the satellite itself; either
+    way only keys present in the batch are read (semi join) and "latest" is
+    an aggregate, so the satellite's history is never windowed.
     """
     order = _cols(order)
     if not table.exists():
-        fresh = changed_rows(rows, [hk], order, compare, chunk)
-        return table.write(fresh, mode="errorifexists", operation="WRITE")
-    stored = table.read()
-    prior = latest_per_key(stored.join(rows.select(hk).distinct(), hk, "left_semi"), [hk], order)
-    # rows at or before a key's stored latest are already covered (a re-sent
-    # batch adds nothing); only rows after it can be new versions
-    seen = prior.select(hk, F.struct(*[F.col(c) for c in order]).alias("_seen"))
-    newer = rows.join(seen, hk, "left").where(
-        F.col("_seen").isNull() | (F.struct(*[F.col(c) for c in order]) > F.col("_seen"))
-    ).drop("_seen")
-    both = prior.withColumn("_prior", F.lit(True)).unionByName(newer.withColumn("_prior", F.lit(False)))
-    fresh = changed_rows(both, [hk], order, compare, chunk).where(~F.col("_prior")).drop("_prior")
-    return table.write(fresh, mode="append", operation="WRITE")
+        version = table.write(changed_rows(rows, [hk], order, compare, chunk), mode="errorifexists")
+    else:
+        source = current.read() if current is not None and current.exists() else table.read()
+        prior = latest_per_key(source.join(rows.select(hk).distinct(), hk, "left_semi"), [hk], order)
+        # rows at or before a key's stored latest are already covered (a re-sent
+        # batch adds nothing); only rows after it can be new versions
+        seen = prior.select(hk, F.struct(*[F.col(c) for c in order]).alias("_seen"))
+        newer = rows.join(seen, hk, "left").where(
+            F.col("_seen").isNull() | (F.struct(*[F.col(c) for c in order]) > F.col("_seen"))
+        ).drop("_seen")
+        both = prior.withColumn("_prior", F.lit(True)).unionByName(newer.withColumn("_prior", F.lit(False)))
+        fresh = changed_rows(both, [hk], order, compare, chunk).where(~F.col("_prior")).drop("_prior")
+        version = table.write(fresh, mode="append")
+    if current is not None:
+        added = table.read_added(version)
+        base = current.read().unionByName(added) if current.exists() else added
+        current.write(latest_per_key(base, [hk], order), mode="overwrite")
+    return version
 
 
 def sat_as_of(sat: DataFrame, hk: str, ts_col: str, as_of, order) -> DataFrame:

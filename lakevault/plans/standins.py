@@ -266,10 +266,11 @@ def sat_append_all(spark, sf_dir):
 
 def sat_append_changed(spark, sf_dir):
     ev = _events(spark, sf_dir)
-    t = VersionedTable(spark, scratch_path(spark, "sat_changed"))
+    root = scratch_path(spark, "sat_changed")
+    t, current = VersionedTable(spark, f"{root}/sat"), VersionedTable(spark, f"{root}/current")
     for batch in (_before_t(ev), _from_t(ev)):
         vault.sat_append_changed(t, md.event_sat_rows(batch), "hk", md.SAT_ORDER, ["nome"],
-                                 chunk=day_chunk("load_date"))
+                                 chunk=day_chunk("load_date"), current=current)
     return t.read().select("hk", "load_date", "nome")
 
 

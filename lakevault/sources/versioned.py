@@ -230,6 +230,13 @@ class VersionedTable:
             )
         return df
 
+    def read_added(self, version: int) -> DataFrame:
+        """Only the rows that the write of ``version`` added."""
+        rows = self._commit_rows()
+        loc = self._locations(rows).get(version)
+        schema = self._schema_at(rows, version)
+        return self.spark.read.schema(schema).parquet(loc) if loc else self.spark.createDataFrame([], schema)
+
     def history(self) -> DataFrame:
         """version, timestamp, operation, operationParameters (map with ``mode``), newest first."""
         if self.fmt == "delta":
@@ -247,42 +254,57 @@ class VersionedTable:
         )
 
     # ------------------------------------------------------------------ rewrite
-    def rewrite(self, fn, operation: str = "DELETE") -> int:
-        """Apply ``fn`` to every retained data version in one distributed job.
-
-        Used for erasure: old versions must stop holding the subject, so the
-        data of each version is rewritten into a new folder, the commit maps
-        each version to its new folder, and the old folders are deleted.
-        """
-        if self.fmt == "delta":
-            raise NotImplementedError("use DeltaTable.delete + VACUUM for Delta tables")
-        rows = self._commit_rows()
+    def _retained_groups(self, rows: list, versions=None):
+        """(schema, versions, DataFrame with ``_version``) per schema of the
+        retained data versions (each overwrite may have replaced the schema)."""
         where = self._locations(rows)
-        old = {v: loc for v, loc in where.items() if loc}
-        if not old:
-            return rows[-1].version
-        # each overwrite-segment may carry its own schema: rewrite per schema group
+        old = {v: loc for v, loc in where.items() if loc and (versions is None or v in versions)}
         groups: dict = {}
         for r in rows:
             if r.mode is None or r.version not in old:
                 continue
-            seg_schema = self._schema_at(rows, r.version)
-            groups.setdefault(seg_schema.json(), []).append(r.version)
-        gen = f"{self.path}/data-{uuid.uuid4().hex[:10]}"
-        new_where: dict = {}
-        for gi, (schema_json, versions) in enumerate(groups.items()):
+            groups.setdefault(self._schema_at(rows, r.version).json(), []).append(r.version)
+        for schema_json, vs in groups.items():
             schema = T.StructType.fromJson(json.loads(schema_json))
-            src = self.spark.read.schema(schema).parquet(*[old[v] for v in versions])
-            src = src.withColumn(
+            df = self.spark.read.schema(schema).parquet(*[old[v] for v in vs]).withColumn(
                 "_version",
                 F.regexp_extract(F.col("_metadata.file_path"), r"_version=(\d+)", 1).cast("bigint"),
             )
+            yield schema, vs, old, df
+
+    def versions_where(self, fn) -> list[int]:
+        """Retained data versions holding at least one row of ``fn(df)``
+        (a filter or semi join); only version numbers reach the driver."""
+        found: set = set()
+        for _schema, _vs, _old, df in self._retained_groups(self._commit_rows()):
+            found.update(r._version for r in fn(df).select("_version").distinct().collect())
+        return sorted(found)
+
+    def rewrite(self, fn, operation: str = "DELETE", versions=None) -> int:
+        """Apply ``fn`` to retained data versions (all, or ``versions``) in one
+        distributed job per schema.
+
+        Used for erasure: old versions must stop holding the subject, so the
+        data of each affected version is rewritten into a new folder, the
+        commit maps each version to its new folder, and the old folders are
+        deleted. Untouched versions keep their files.
+        """
+        if self.fmt == "delta":
+            raise NotImplementedError("use DeltaTable.delete + VACUUM for Delta tables")
+        rows = self._commit_rows()
+        gen = f"{self.path}/data-{uuid.uuid4().hex[:10]}"
+        new_where: dict = {}
+        replaced: list = []
+        for gi, (schema, vs, old, src) in enumerate(self._retained_groups(rows, versions)):
             kept = fn(src).select(*[f.name for f in schema.fields], "_version")
             base = f"{gen}/g{gi}"
             kept.write.mode("overwrite").partitionBy("_version").parquet(base)
-            for v in versions:
+            for v in vs:
                 loc = f"{base}/_version={v}"
                 new_where[v] = loc if path_exists(self.spark, loc) else ""
+                replaced.append(old[v])
+        if not new_where:
+            return rows[-1].version
         version = rows[-1].version + 1
         self._append_commit(
             version=version,
@@ -292,10 +314,15 @@ class VersionedTable:
             schema_json=None,
             locations=new_where,
         )
-        for loc in old.values():
+        for loc in replaced:
             delete_path(self.spark, loc)
         return version
 
+    def compact(self) -> int:
+        """Rewrite the current snapshot as one new version (many small appends
+        become evenly sized files); older versions stay readable."""
+        return self.write(self.read(), mode="overwrite", operation="OPTIMIZE", rebalance=True)
+
     # ------------------------------------------------------------------ delta
     def _delta_write(self, df: DataFrame, mode: str, overwrite_schema: bool) -> int:
         w = df.write.format("delta").mode(mode)

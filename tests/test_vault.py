@@ -42,13 +42,18 @@ def test_reload_is_idempotent_for_hub_and_changed_sat(spark, tmp_root):
     hub_t = VersionedTable(spark, f"{tmp_root}/hub")
     all_t = VersionedTable(spark, f"{tmp_root}/all")
     chg_t = VersionedTable(spark, f"{tmp_root}/chg")
+    cur_t = VersionedTable(spark, f"{tmp_root}/cur")
+    chg2_t = VersionedTable(spark, f"{tmp_root}/chg2")
     for _ in range(2):
         vault.hub_load(hub_t, ev, "user_id", "2024-02-01", "SRC")
         vault.sat_append_all(all_t, rows)
         vault.sat_append_changed(chg_t, rows, "hk", ["load_date", "event_id"], ["nome"], chunk=day_chunk("load_date"))
+        vault.sat_append_changed(chg2_t, rows, "hk", ["load_date", "event_id"], ["nome"], current=cur_t)
     assert hub_t.read().count() == 2
     assert all_t.read().count() == 8
     assert sorted(r.event_id for r in chg_t.read().collect()) == [1, 3, 4]
+    assert sorted(r.event_id for r in chg2_t.read().collect()) == [1, 3, 4]
+    assert sorted(r.event_id for r in cur_t.read().collect()) == [3, 4]
 
 
 def test_hub_without_satellite_is_not_in_gold(spark):

@@ -80,3 +80,30 @@ def test_rewrite_erases_from_every_version(spark, tmp_root):
     # a version emptied by erasure stays readable
     t.rewrite(lambda df: df.where(F.col("event_id") != 2))
     assert _rows(t.read(version=0), "event_id") == []
+
+
+def test_forget_rewrites_only_versions_holding_the_subject(spark, tmp_root):
+    from lakevault.operators.privacy import forget_subjects
+
+    t = VersionedTable(spark, tmp_root)
+    t.write(spark.createDataFrame([(1, 3), (2, 4)], "event_id long, user_id long"), mode="overwrite")
+    t.write(spark.createDataFrame([(3, 5)], "event_id long, user_id long"), mode="append")
+    before = t._locations(t._commit_rows())
+    forget_subjects(t, spark.createDataFrame([(3,)], "user_id long"), "user_id")
+    after = t._locations(t._commit_rows())
+    assert after[1] == before[1] and after[0] != before[0]
+    assert _rows(t.read(), "event_id") == [(2,), (3,)]
+    # nothing to forget: no new version
+    v = t.latest_version()
+    forget_subjects(t, spark.createDataFrame([(99,)], "user_id long"), "user_id")
+    assert t.latest_version() == v
+
+
+def test_compact_keeps_content_and_history(spark, tmp_root):
+    t = VersionedTable(spark, tmp_root)
+    for i in range(4):
+        t.write(spark.createDataFrame([(i,)], "id long"), mode="append" if i else "overwrite")
+    v = t.compact()
+    assert _rows(t.read(), "id") == [(0,), (1,), (2,), (3,)]
+    assert _rows(t.read(version=v - 1), "id") == [(0,), (1,), (2,), (3,)]
+    assert t.history().first().operation == "OPTIMIZE"
