@@ -12,9 +12,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakevault.operators.bronze import stamp_ingest
 from lakevault.operators.gold import current_dimension, top_k
 from lakevault.operators.history import changed_rows, day_chunk, latest_per_key
 from lakevault.operators.vault import hub_load, sat_append_all, sat_rows
+from lakevault.sources.csv import read_csv_robust
 from lakevault.sources.versioned import VersionedTable
 
 SAT_ORDER = ["load_date", "event_id"]
@@ -26,6 +28,18 @@ class Silver:
     sat: VersionedTable
 
 
+def ingest_bronze(spark: SparkSession, source_glob: str, schema, table: VersionedTable, load_ts: str,
+                  stamp_column: str = "data_carga_bronze") -> int:
+    """Raw CSV extract(s) -> bronze: robust dialect, one load stamp, overwrite.
+
+    The path is a glob (extracts carry a time stamp in their name). The row
+    count is observed during the write and stored in the commit, so the load
+    is read once.
+    """
+    raw = read_csv_robust(spark, source_glob, schema)
+    return table.write(stamp_ingest(raw, load_ts, stamp_column), mode="overwrite")
+
+
 def event_valor_raw(df: DataFrame) -> Column:
     """The stand-in for a free-text money column: text for one event type."""
     return F.when(F.col("event_type") == "error", F.col("props")).otherwise(F.col("value").cast("string"))

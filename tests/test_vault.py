@@ -143,3 +143,17 @@ def test_event_satellite_payload(spark):
     )
     got = sorted((r.event_id, r.valor_raw) for r in md.event_sat_rows(ev).collect())
     assert got == [(1, '{"k": 1}'), (2, "2.25")]
+
+
+def test_csv_to_bronze_to_gold_flow(spark, tmp_root):
+    from lakevault.sources.csv import write_csv
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    write_csv(ev, f"{tmp_root}/raw/raw_events_1700000000")
+    bronze_t = VersionedTable(spark, f"{tmp_root}/bronze")
+    md.ingest_bronze(spark, f"{tmp_root}/raw/raw_events_*", ev.schema, bronze_t, "2024-02-01 00:00:00")
+    assert bronze_t.commits().first().num_rows == ev.count()
+    stored = bronze_t.read().drop("data_carga_bronze")
+    silver = md.load_silver(spark, stored, f"{tmp_root}/silver", "2024-02-01 00:00:00")
+    gold_rows = md.gold_dimension(silver).count()
+    assert gold_rows == ev.select("user_id").distinct().count()
