@@ -13,6 +13,13 @@ from pyspark.sql import types as T
 
 ROBUST = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "mode": "FAILFAST"}
 
+# Text writers keep full microsecond timestamps (their default formats stop at
+# milliseconds, which silently truncates); readers parse these ISO forms as is.
+TEXT_TIMESTAMPS = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def read_csv_robust(spark: SparkSession, path: str, schema: T.StructType | str,
                     null_token: str | None = None) -> DataFrame:
@@ -41,7 +48,7 @@ def read_csv_infer(spark: SparkSession, path: str, sampling_ratio: float = 1.0)
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_token: str | None = None) -> None:
     """Header, doubled quotes, blanks kept; ``null_token`` (e.g. ``\\N``) keeps
     null and empty text apart for readers that use the same token."""
-    w = df.write
+    w = df.write.options(**TEXT_TIMESTAMPS)
     if null_token is not None:
         w = w.option("nullValue", null_token)
     (

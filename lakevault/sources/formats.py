@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from lakevault.sources.csv import ROBUST
+from lakevault.sources.csv import ROBUST, TEXT_TIMESTAMPS
 
 
 def read_source(spark: SparkSession, fmt: str, path: str | None = None,
@@ -29,6 +29,8 @@ def read_source(spark: SparkSession, fmt: str, path: str | None = None,
 
 def write_source(df: DataFrame, fmt: str, path: str, mode: str = "overwrite") -> None:
     w = df.write.mode(mode)
+    if fmt in ("csv", "json"):
+        w = w.options(**TEXT_TIMESTAMPS)
     if fmt == "csv":
         w = w.option("header", "true").option("escape", '"')
     w.format(fmt).save(path)

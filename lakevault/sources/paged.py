@@ -87,7 +87,8 @@ class _Page(InputPartition):
 
 class PagedHttpDataSource(DataSource):
     """``spark.read.format("paged_http")`` with options ``url`` (template with
-    ``{offset}`` and ``{limit}``), ``limit`` (page size) and ``max_rows``.
+    ``{offset}`` and ``{limit}``), ``limit`` (page size), ``max_rows`` and an
+    optional ``fallback_url`` tried when the first route answers "not found".
     Yields (offset, body); parse it with ``unwrap_pages``."""
 
     @classmethod
@@ -107,16 +108,34 @@ class _PagedReader(DataSourceReader):
         self.limit = int(options.get("limit", 100))
         self.max_rows = int(options["max_rows"])
         self.timeout = float(options.get("timeout", 45))
+        self.fallback = options.get("fallback_url")
 
     def partitions(self):
         return [_Page(o) for o in range(0, self.max_rows, self.limit)]
 
-    def read(self, partition):
+    def _fetch(self, template: str, offset: int) -> str:
         import urllib.request  # noqa: PLC0415 - runs on the executor
 
-        url = self.url.format(offset=partition.offset, limit=self.limit)
+        url = template.format(offset=offset, limit=self.limit)
         with urllib.request.urlopen(url, timeout=self.timeout) as resp:  # noqa: S310
-            body = resp.read().decode("utf-8-sig")
+            return resp.read().decode("utf-8-sig")
+
+    @staticmethod
+    def _not_found(err: Exception) -> bool:
+        import urllib.error  # noqa: PLC0415
+
+        if isinstance(err, urllib.error.HTTPError):
+            return err.code == 404
+        reason = getattr(err, "reason", err)
+        return isinstance(reason, FileNotFoundError) or isinstance(err, FileNotFoundError)
+
+    def read(self, partition):
+        try:
+            body = self._fetch(self.url, partition.offset)
+        except Exception as err:  # only "not found" switches route; anything else fails the task
+            if not (self.fallback and self._not_found(err)):
+                raise
+            body = self._fetch(self.fallback, partition.offset)
         json.loads(body)  # a malformed page fails the task, it is not "empty"
         yield (partition.offset, body)
 

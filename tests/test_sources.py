@@ -139,3 +139,45 @@ def test_registry_resolves_source_markers(spark):
     reg = SourceRegistry(spark)
     reg.add("silver.hub", spark.createDataFrame([(1,)], "k int"))
     assert reg.sql("SELECT count(*) AS n FROM {{ source('silver', 'hub') }}").first().n == 1
+
+
+def test_paged_http_falls_back_when_route_is_missing(spark):
+    d = _local_dir("pages-fb-")
+    with open(os.path.join(d, "page-0.json"), "w") as f:
+        json.dump({"_embedded": {"projetos": [{"id": 7, "nome": "x"}]}}, f)
+    paged.register(spark)
+    raw = (
+        spark.read.format("paged_http")
+        .option("url", "file://" + d + "/missing/page-{offset}.json")
+        .option("fallback_url", "file://" + d + "/page-{offset}.json")
+        .option("limit", "100")
+        .option("max_rows", "100")
+        .load()
+    )
+    assert [r.id for r in paged.unwrap_pages(raw, ITEM).collect()] == [7]
+
+
+def test_paged_http_without_fallback_fails_instead_of_truncating(spark):
+    import pytest
+
+    d = _local_dir("pages-missing-")
+    paged.register(spark)
+    raw = (
+        spark.read.format("paged_http")
+        .option("url", "file://" + d + "/page-{offset}.json")
+        .option("limit", "100")
+        .option("max_rows", "100")
+        .load()
+    )
+    with pytest.raises(Exception):
+        raw.collect()
+
+
+def test_text_sinks_keep_microseconds(spark, tmp_root):
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 0, 9, 58, 778549))], "id int, ts timestamp_ntz")
+    for fmt in ("json", "csv"):
+        write_source(df, fmt, f"{tmp_root}/{fmt}")
+        back = read_source(spark, fmt, f"{tmp_root}/{fmt}", schema=df.schema).first()
+        assert back.ts == dt.datetime(2024, 1, 1, 0, 9, 58, 778549), fmt
+    write_csv(df, f"{tmp_root}/sink")
+    assert read_csv_robust(spark, f"{tmp_root}/sink", df.schema).first().ts.microsecond == 778549

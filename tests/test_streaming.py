@@ -53,3 +53,14 @@ def test_stream_ingest_copies_every_file_once(spark, tmp_root):
     back = spark.read.schema(ev.schema).parquet(f"{tmp_root}/out")
     assert back.count() == ev.count()
     assert back.agg(F.countDistinct("event_id")).first()[0] == ev.count()
+
+
+def test_json_files_stream_into_the_table(spark, tmp_root):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    src = f"{tmp_root}/json"
+    from lakevault.sources.formats import write_source
+
+    write_source(ev.repartition(2), "json", src)
+    streams.stream_ingest(spark, src, ev.schema, f"{tmp_root}/out", f"{tmp_root}/ck", fmt="json")
+    back = spark.read.schema(ev.schema).parquet(f"{tmp_root}/out")
+    assert back.exceptAll(ev).count() == 0 and ev.exceptAll(back).count() == 0
