@@ -59,7 +59,11 @@ def load_silver(spark: SparkSession, events: DataFrame, root: str, load_ts: str)
     return silver
 
 
-def sat_latest(sat: DataFrame) -> DataFrame:
+def sat_latest(sat: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Latest version per hash key, carrying only ``columns`` (an aggregate's
+    struct is not pruned by Catalyst, so unused columns are dropped first)."""
+    if columns is not None:
+        sat = sat.select("hk", *SAT_ORDER, *[c for c in columns if c not in ("hk", *SAT_ORDER)])
     return latest_per_key(sat, ["hk"], SAT_ORDER)
 
 
@@ -73,8 +77,8 @@ def gold_dimension(silver: Silver, coalesce_value: float | None = None) -> DataF
     if coalesce_value is not None:
         valor = F.coalesce(valor, F.lit(coalesce_value))
     return current_dimension(
-        silver.hub.read(),
-        silver.sat.read(),
+        silver.hub.read().select("hk", "user_id"),
+        silver.sat.read().select("hk", *SAT_ORDER, "nome", "valor_raw"),
         "hk",
         SAT_ORDER,
         {

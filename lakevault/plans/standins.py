@@ -306,7 +306,7 @@ def cdc_apply(spark, sf_dir):
 
 
 def sat_as_of(spark, sf_dir):
-    sat = _stored_sat(spark, sf_dir).read()
+    sat = _stored_sat(spark, sf_dir).read().select("hk", *md.SAT_ORDER, "nome")
     return vault.sat_as_of(sat, "hk", "load_date", SPLIT_T, md.SAT_ORDER).select("hk", "nome", "load_date")
 
 
@@ -333,7 +333,7 @@ def _silver(spark, sf_dir) -> md.Silver:
 
 
 def sat_latest(spark, sf_dir):
-    return md.sat_latest(_stored_sat(spark, sf_dir).read()).select(
+    return md.sat_latest(_stored_sat(spark, sf_dir).read(), ["user_id", "nome", "valor_raw"]).select(
         "hk", "user_id", "nome", "valor_raw", "load_date"
     )
 
