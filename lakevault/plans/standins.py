@@ -25,7 +25,7 @@ from lakevault.functions import (
     tolerant_double,
 )
 from lakevault.operators import bronze, catalog, gold, marts, privacy, quality, vault
-from lakevault.operators.history import day_chunk, latest_per_key
+from lakevault.operators.history import day_chunk
 from lakevault.plans import medallion as md
 from lakevault.session import scratch_path
 from lakevault.sources.csv import read_csv_infer, read_csv_robust, write_csv

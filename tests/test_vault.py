@@ -2,7 +2,7 @@ import datetime as dt
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import Window
+
 from pyspark.sql import functions as F
 
 from lakevault.operators import gold, vault
