@@ -56,16 +56,25 @@ def hub_rows(
     return hub.withColumns(extra), rejects
 
 
-def insert_new_keys(table: VersionedTable, rows: DataFrame, hk: str = "hk") -> int:
+def insert_new_keys(table: VersionedTable, rows: DataFrame, hk: str = "hk", prefilter: bool = False) -> int:
     """Insert-only merge: append the rows whose ``hk`` the table does not hold yet.
 
     First load creates the table. Re-running a batch appends nothing. Rows
     are also de-duplicated on ``hk`` inside the batch.
+
+    ``prefilter`` is for small batches against a large table: the stored keys
+    are first reduced to those in the batch by a semi join that Catalyst or
+    adaptive execution can run as a broadcast of the batch keys (a size-checked
+    decision), so the stored key column is scanned but never shuffled; the
+    anti join then only sees that remainder. For batches as large as the
+    table, leave it off: the plain anti join shuffles each side once.
     """
     rows = rows.dropDuplicates([hk])
     if not table.exists():
         return table.write(rows, mode="errorifexists", operation="WRITE")
     known = table.read().select(hk)
+    if prefilter:
+        known = known.join(rows.select(hk), hk, "left_semi")
     fresh = rows.join(known, hk, "left_anti")
     return table.write(fresh, mode="append", operation="MERGE")
 

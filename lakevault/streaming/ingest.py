@@ -71,12 +71,19 @@ def stream_hub_merge(spark: SparkSession, src: str, schema: T.StructType, table:
     """The batch hub load, applied to each micro-batch through ``foreachBatch``.
 
     The insert-only merge is idempotent, so a micro-batch replayed after a
-    failure adds nothing twice.
+    failure adds nothing twice. Micro-batches are small next to the hub, so
+    the merge pre-filters the stored keys to the batch's keys.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         hub, _rejects = hub_rows(batch, business_key, hk, load_ts, record_source)
-        insert_new_keys(table, hub, hk)
+        # the micro-batch's distinct keys are used twice (semi-join filter and
+        # anti join), so they are cached for the duration of this batch only
+        hub = hub.persist()
+        try:
+            insert_new_keys(table, hub, hk, prefilter=True)
+        finally:
+            hub.unpersist()
 
     q = (
         _file_stream(spark, src, schema, fmt, max_files)

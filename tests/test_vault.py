@@ -157,3 +157,20 @@ def test_csv_to_bronze_to_gold_flow(spark, tmp_root):
     silver = md.load_silver(spark, stored, f"{tmp_root}/silver", "2024-02-01 00:00:00")
     gold_rows = md.gold_dimension(silver).count()
     assert gold_rows == ev.select("user_id").distinct().count()
+
+
+def test_prefiltered_merge_equals_plain_merge(spark, tmp_root):
+    from lakevault.plans.inspect import plan_text
+
+    old = spark.createDataFrame([(i,) for i in range(20)], "user_id long")
+    new = spark.createDataFrame([(i,) for i in range(15, 30)], "user_id long")
+    results = []
+    for pre in (False, True):
+        t = VersionedTable(spark, f"{tmp_root}/{pre}")
+        vault.insert_new_keys(t, vault.hub_rows(old, "user_id")[0], prefilter=pre)
+        vault.insert_new_keys(t, vault.hub_rows(new, "user_id")[0], prefilter=pre)
+        results.append(sorted(r.user_id for r in t.read().collect()))
+    assert results[0] == results[1] == list(range(30))
+    stored = VersionedTable(spark, f"{tmp_root}/True").read().select("hk")
+    reduced = stored.join(vault.hub_rows(new, "user_id")[0].select("hk"), "hk", "left_semi")
+    assert "LeftSemi" in plan_text(reduced)
