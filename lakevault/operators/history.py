@@ -53,6 +53,8 @@ def with_neighbors(
 ) -> DataFrame:
     """Add the previous (``prev``) / next (``nxt``) row's columns within each non-null key.
 
+    ``chunk`` must be non-null (``day_chunk`` / ``time_chunk`` guarantee it).
+
     ``prev`` / ``nxt`` map an output name to a column name. Without ``chunk``
     this is a plain window per key. With ``chunk`` (non-decreasing along
     ``order`` inside a key) the window runs per (key, chunk) and chunk borders
@@ -125,6 +127,18 @@ def changed_rows(
     return d.where(~F.col("_prev_hd").eqNullSafe(F.col("_hd"))).drop("_hd", "_prev_hd")
 
 
+def time_chunk(ts_col: str, unit: str = "day") -> Column:
+    """Chunk column for ``with_neighbors``: the timestamp truncated to ``unit``
+    (``day``, ``hour``, ``minute``...). A finer unit splits a key that is hot
+    within one day; the border summary grows to keys x units, still bounded by
+    the clock, not by the data. A null time goes to the earliest chunk, which
+    is where the window's NULLS FIRST order puts it, so no row is lost.
+    """
+    earliest = F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")
+    return F.coalesce(F.date_trunc(unit, F.col(ts_col)).cast("timestamp_ntz"), earliest)
+
+
 def day_chunk(ts_col: str) -> Column:
-    """Chunk column for ``with_neighbors``: the calendar day of a timestamp."""
-    return F.to_date(F.col(ts_col))
+    """Chunk column for ``with_neighbors``: the calendar day of a timestamp
+    (null -> the earliest date, see ``time_chunk``)."""
+    return F.coalesce(F.to_date(F.col(ts_col)), F.lit("0001-01-01").cast("date"))

@@ -507,8 +507,10 @@ def forget_subjects(spark, sf_dir):
 def consent_filter(spark, sf_dir):
     ev = _events(spark, sf_dir)
     sat = _stored_sat(spark, sf_dir).read()
-    ok = privacy.consenting(sat, "hk", "nome", md.SAT_ORDER, "signup", "error")
-    return privacy.consent_filter(ev.withColumn("hk", hash_key("user_id")), ok, "hk").select("event_id")
+    # the satellite carries the business key, so events join on it directly
+    # (no hash computed per event row)
+    ok = privacy.consenting(sat, "user_id", "nome", md.SAT_ORDER, "signup", "error")
+    return privacy.consent_filter(ev, ok, "user_id").select("event_id")
 
 
 def format_currency(spark, sf_dir):

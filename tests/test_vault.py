@@ -174,3 +174,12 @@ def test_prefiltered_merge_equals_plain_merge(spark, tmp_root):
     stored = VersionedTable(spark, f"{tmp_root}/True").read().select("hk")
     reduced = stored.join(vault.hub_rows(new, "user_id")[0].select("hk"), "hk", "left_semi")
     assert "LeftSemi" in plan_text(reduced)
+
+
+def test_null_load_date_is_kept_by_chunked_change_detection(spark):
+    from lakevault.operators.history import time_chunk
+
+    df = _sat(spark, [("a", None, 1, "x"), ("a", T0, 2, "x"), ("a", T0 + dt.timedelta(hours=2), 3, "y")])
+    for chunk in (day_chunk("load_date"), time_chunk("load_date", "hour")):
+        got = sorted(r.event_id for r in changed_rows(df, ["hk"], ["load_date", "event_id"], ["nome"], chunk=chunk).collect())
+        assert got == [1, 3]
