@@ -29,7 +29,8 @@ def days_between(start: Column, end: Column) -> Column:
 
 
 def per_parent_extreme(child: DataFrame, key: str, col: str, fn: str, alias: str) -> DataFrame:
-    """Child rows reduced to one value per parent key (min / max / sum)."""
+    """Child rows reduced to one value per parent key (min or max), partially
+    aggregated before the shuffle, so a parent with many children is cheap."""
     agg = {"min": F.min, "max": F.max}[fn]
     return child.groupBy(key).agg(agg(col).alias(alias))
 

@@ -36,7 +36,7 @@ ORACLE_SQL = {
     ),
     "ingest_metadata": "SELECT event_id, 'EVENTS_PARQUET' AS record_source, 'parquet' AS source_format FROM events",
     "normalize_dates": (
-        "SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS o_date "
+        "SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS o_date "
         "FROM orders"
     ),
     "contract_split": (
@@ -70,7 +70,8 @@ SELECT c_custkey, id FROM d WHERE d1=CAST(id[10] AS INTEGER) AND d2=CAST(id[11]
         "SELECT md5(CAST(user_id AS VARCHAR)) AS hk, ts AS load_date, event_type AS nome, value AS valor FROM events"
     ),
     "hub_merge_insert_only": (
-        "SELECT DISTINCT md5(CAST(user_id AS VARCHAR)) AS hk, user_id, CASE WHEN user_id%2=0 "
+        "SELECT DISTINCT md5(CAST(user_id AS VARCHAR)) AS hk, user_id, CASE WHEN user_id IN "
+        "(SELECT user_id FROM events WHERE ts < TIMESTAMP '2024-01-02') "
         "THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-02-02' END AS load_date FROM events"
     ),
     "sat_append_all": (
@@ -171,7 +172,10 @@ FROM orders JOIN a ON l_orderkey=o_orderkey GROUP BY 1""",
         "SELECT 'analista' AS usuario, c_custkey FROM customer JOIN nation ON c_nationkey=n_nationkey "
         "WHERE n_regionkey=1 UNION ALL SELECT 'auditor', c_custkey FROM customer"
     ),
-    "forget_subjects": "SELECT event_id, user_id FROM events WHERE user_id % 10 <> 3",
+    "forget_subjects": (
+        "SELECT event_id, user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events GROUP BY user_id "
+        "HAVING arg_min(event_type, (ts, event_id)) = 'error')"
+    ),
     "consent_filter": SAT + (
         "SELECT e.event_id FROM events e SEMI JOIN (SELECT user_id, arg_max(nome, (load_date, event_id)) AS s "
         "FROM sat WHERE nome IN ('signup','error') GROUP BY 1 HAVING s='signup') c ON e.user_id=c.user_id"

@@ -41,6 +41,7 @@ SPLIT_T = "2024-01-16 00:00:00"  # batch 1 = ts < T, batch 2 = the rest (or all
 LOAD_TS = "2024-02-01 00:00:00"  # load stamp literal
 LOAD_TS_2 = "2024-02-02 00:00:00"  # second batch stamp
 ACTIVE_SINCE = "2001-01-01 00:00:00"
+FIRST_DAY_END = "2024-01-02 00:00:00"  # end of the initial hub load
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -168,7 +169,8 @@ def ingest_metadata(spark, sf_dir):
 
 def normalize_dates(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    text = F.when(F.col("o_orderkey") % 10 == 0, F.lit("xx/xx/xxxx")).otherwise(
+    # day-first date text; pending orders carry malformed text, which becomes null
+    text = F.when(F.col("o_orderstatus") == "P", F.lit("xx/xx/xxxx")).otherwise(
         F.date_format("o_orderdate", "dd/MM/yyyy")
     )
     return orders.select("o_orderkey", parse_date_text(text).alias("o_date"))
@@ -251,7 +253,9 @@ def sat_full_load(spark, sf_dir):
 def hub_merge_insert_only(spark, sf_dir):
     ev = _events(spark, sf_dir)
     t = VersionedTable(spark, scratch_path(spark, "hub_merge"))
-    vault.hub_load(t, ev.where(F.col("user_id") % 2 == 0), "user_id", LOAD_TS, "EVENTS")
+    # initial load = the first day's events, then every event: keys already
+    # in the hub keep their first stamp, the others are inserted
+    vault.hub_load(t, ev.where(F.col("ts") < vault.ts_literal(FIRST_DAY_END)), "user_id", LOAD_TS, "EVENTS")
     vault.hub_load(t, ev, "user_id", LOAD_TS_2, "EVENTS")
     return t.read().select("hk", "user_id", "load_date")
 
@@ -499,7 +503,10 @@ def row_level_filter(spark, sf_dir):
 
 def forget_subjects(spark, sf_dir):
     t = _two_version_table(spark, sf_dir)
-    requests = _events(spark, sf_dir).where(F.col("user_id") % 10 == 3).select("user_id")
+    # erasure requests: users whose first recorded event is an error
+    ev = _events(spark, sf_dir)
+    first = ev.groupBy("user_id").agg(F.min_by("event_type", F.struct("ts", "event_id")).alias("first_type"))
+    requests = first.where(F.col("first_type") == "error").select("user_id")
     privacy.forget_subjects(t, requests, "user_id")
     return t.read().select("event_id", "user_id")
 

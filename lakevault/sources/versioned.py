@@ -172,8 +172,9 @@ class VersionedTable:
 
     @staticmethod
     def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-        incoming = {f.name: f.dataType for f in df.schema.fields}
-        expected = {f.name: f.dataType for f in schema.fields}
+        # names and types must match; nullability (also nested) may differ
+        incoming = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        expected = {f.name: f.dataType.simpleString() for f in schema.fields}
         if incoming != expected:
             raise SchemaMismatchError(
                 f"schema differs from the table's: {df.schema.simpleString()} vs "
