@@ -52,8 +52,9 @@ def newer_than_stored(table: VersionedTable, batch: DataFrame, ts_col: str) -> D
     (all of them when the table is empty). The maximum is a scalar subquery."""
     if not table.exists():
         return batch
-    high = table.read().select(F.max(ts_col)).scalar()
-    return batch.where(F.col(ts_col) > high) if high is not None else batch
+    high = table.read().select(F.max(ts_col)).scalar()  # lazy scalar subquery
+    # an empty stored table has no maximum: then every row is new
+    return batch.where(F.coalesce(F.col(ts_col) > high, high.isNull()))
 
 
 def with_ingest_metadata(df: DataFrame, record_source: str, source_format: str,

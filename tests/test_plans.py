@@ -57,3 +57,15 @@ def test_registered_queries_run_no_python_udf(spark):
     for name in ("gold_dim_strict", "contract_tax_id", "mask_pii", "cast_tolerant", "nested_text_parse",
                  "mart_calls", "consent_filter", "catalog_flatten", "dim_calendar"):
         assert python_udf_free(S.QUERIES[name](spark, SF)), name
+
+
+def test_sql_model_limits_the_window_before_the_shuffle(spark):
+    from lakevault.sources.registry import SourceRegistry
+
+    sat = md.event_sat_rows(S.table(spark, SF, "events"))
+    hub = S.vault.hub_rows(S.table(spark, SF, "events"), "user_id")[0]
+    reg = SourceRegistry(spark)
+    reg.add("silver.sat", sat)
+    reg.add("silver.hub", hub)
+    text = plan_text(reg.sql(S.GOLD_MODEL))
+    assert "WindowGroupLimit" in text

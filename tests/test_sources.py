@@ -181,3 +181,13 @@ def test_text_sinks_keep_microseconds(spark, tmp_root):
         assert back.ts == dt.datetime(2024, 1, 1, 0, 9, 58, 778549), fmt
     write_csv(df, f"{tmp_root}/sink")
     assert read_csv_robust(spark, f"{tmp_root}/sink", df.schema).first().ts.microsecond == 778549
+
+
+def test_high_watermark_against_empty_and_filled_table(spark, tmp_root):
+    schema = "id long, ts timestamp_ntz"
+    batch = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 3))], schema)
+    t = VersionedTable(spark, tmp_root)
+    t.write(spark.createDataFrame([], schema), mode="overwrite")
+    assert bronze.newer_than_stored(t, batch, "ts").count() == 2
+    t.write(spark.createDataFrame([(0, dt.datetime(2024, 1, 2))], schema), mode="append")
+    assert [r.id for r in bronze.newer_than_stored(t, batch, "ts").collect()] == [2]
