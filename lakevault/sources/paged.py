@@ -80,15 +80,16 @@ def write_page_files(df: DataFrame, path: str, key: str, page_size: int = 100,
     out.write.mode("overwrite").json(path)
 
 
-class _Page(InputPartition):
-    def __init__(self, offset: int):
-        self.offset = offset
+class _Pages(InputPartition):
+    def __init__(self, offsets: list[int]):
+        self.offsets = offsets
 
 
 class PagedHttpDataSource(DataSource):
     """``spark.read.format("paged_http")`` with options ``url`` (template with
-    ``{offset}`` and ``{limit}``), ``limit`` (page size), ``max_rows`` and an
-    optional ``fallback_url`` tried when the first route answers "not found".
+    ``{offset}`` and ``{limit}``), ``limit`` (page size), ``max_rows``, an
+    optional ``fallback_url`` tried when the first route answers "not found",
+    and ``pages_per_partition`` (default 1) to group pages into fewer tasks.
     Yields (offset, body); parse it with ``unwrap_pages``."""
 
     @classmethod
@@ -109,9 +110,11 @@ class _PagedReader(DataSourceReader):
         self.max_rows = int(options["max_rows"])
         self.timeout = float(options.get("timeout", 45))
         self.fallback = options.get("fallback_url")
+        self.group = max(1, int(options.get("pages_per_partition", 1)))
 
     def partitions(self):
-        return [_Page(o) for o in range(0, self.max_rows, self.limit)]
+        offsets = list(range(0, self.max_rows, self.limit))
+        return [_Pages(offsets[i:i + self.group]) for i in range(0, len(offsets), self.group)]
 
     def _fetch(self, template: str, offset: int) -> str:
         import urllib.request  # noqa: PLC0415 - runs on the executor
@@ -130,14 +133,15 @@ class _PagedReader(DataSourceReader):
         return isinstance(reason, FileNotFoundError) or isinstance(err, FileNotFoundError)
 
     def read(self, partition):
-        try:
-            body = self._fetch(self.url, partition.offset)
-        except Exception as err:  # only "not found" switches route; anything else fails the task
-            if not (self.fallback and self._not_found(err)):
-                raise
-            body = self._fetch(self.fallback, partition.offset)
-        json.loads(body)  # a malformed page fails the task, it is not "empty"
-        yield (partition.offset, body)
+        for offset in partition.offsets:
+            try:
+                body = self._fetch(self.url, offset)
+            except Exception as err:  # only "not found" switches route; anything else fails the task
+                if not (self.fallback and self._not_found(err)):
+                    raise
+                body = self._fetch(self.fallback, offset)
+            json.loads(body)  # a malformed page fails the task, it is not "empty"
+            yield (offset, body)
 
 
 def register(spark: SparkSession) -> None:

@@ -92,6 +92,16 @@ def test_paged_http_source_reads_one_partition_per_page(spark):
     )
     assert raw.rdd.getNumPartitions() == 3
     assert sorted(r.id for r in paged.unwrap_pages(raw, ITEM).collect()) == [0, 1, 100, 101]
+    grouped = (
+        spark.read.format("paged_http")
+        .option("url", "file://" + d + "/page-{offset}.json")
+        .option("limit", "100")
+        .option("max_rows", "300")
+        .option("pages_per_partition", "2")
+        .load()
+    )
+    assert grouped.rdd.getNumPartitions() == 2
+    assert sorted(r.id for r in paged.unwrap_pages(grouped, ITEM).collect()) == [0, 1, 100, 101]
 
 
 def test_page_files_roundtrip(spark, tmp_root):
