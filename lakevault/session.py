@@ -50,12 +50,16 @@ def shared_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             root = None
     if not root:
-        root = tempfile.mkdtemp(prefix="lakevault-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:
-            pass
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+                "(HDFS / object store) that every executor can reach"
+            )
+        # local mode only (tests). spark.checkpoint.dir is a core setting that
+        # cannot change at run time; the context's checkpoint folder can.
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakevault-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 

@@ -30,8 +30,8 @@ def spark():
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     # tests set their own shared folder only when the environment names none
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lakevault-tests-"))
+    if not session.conf.get("spark.checkpoint.dir", None) and not session.sparkContext.getCheckpointDir():
+        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakevault-tests-"))
     yield session
     session.stop()
 
