@@ -41,10 +41,15 @@ def cpf_is_valid(c) -> Column:
     return F.when(well_formed, ok).otherwise(F.lit(False))
 
 
+# Stored masked personal ids look like "***066828**": "***", digits 4..9, "**".
+MASK_HEAD = "***"
+MASK_TAIL = "**"
+
+
 def mask_tax_id(c) -> Column:
     """11-digit personal ids become ``***`` + digits 4..9 + ``**``; other ids are kept."""
     text = _as_col(c).cast("string")
-    masked = F.concat(F.lit("***"), F.substring(text, 4, 6), F.lit("**"))
+    masked = F.concat(F.lit(MASK_HEAD), F.substring(text, 4, 6), F.lit(MASK_TAIL))
     return F.when(F.length(text) == 11, masked).otherwise(text)
 
 

@@ -24,8 +24,12 @@ except ImportError:  # pragma: no cover
 
 PAGE_SCHEMA = "offset bigint, body string"
 
+# Keys of the extract API's HAL envelope {"_embedded": {"projetos": [...]}}.
+ENVELOPE = "_embedded"
+ITEMS = "projetos"
 
-def envelope_schema(item_schema: T.StructType, embedded: str = "_embedded", items: str = "projetos") -> T.StructType:
+
+def envelope_schema(item_schema: T.StructType, embedded: str = ENVELOPE, items: str = ITEMS) -> T.StructType:
     inner = T.StructType([T.StructField(items, T.ArrayType(item_schema))])
     return T.StructType([T.StructField(embedded, inner)])
 
@@ -34,8 +38,8 @@ def _items_col(body: Column, item_schema, embedded: str, items: str) -> Column:
     return F.from_json(body, envelope_schema(item_schema, embedded, items))[embedded][items]
 
 
-def unwrap_pages(pages: DataFrame, item_schema: T.StructType, embedded: str = "_embedded",
-                 items: str = "projetos", max_rows: int | None = None) -> DataFrame:
+def unwrap_pages(pages: DataFrame, item_schema: T.StructType, embedded: str = ENVELOPE,
+                 items: str = ITEMS, max_rows: int | None = None) -> DataFrame:
     """(offset, body) page rows -> item rows.
 
     A missing envelope or list counts as an empty page. Pages at or after the
@@ -54,7 +58,7 @@ def _stop_at_first_empty(parsed: DataFrame) -> DataFrame:
 
 
 def read_page_files(spark: SparkSession, path: str, item_schema: T.StructType,
-                    embedded: str = "_embedded", items: str = "projetos",
+                    embedded: str = ENVELOPE, items: str = ITEMS,
                     max_rows: int | None = None) -> DataFrame:
     """Landed page responses (JSON lines with ``offset`` and the envelope) -> items."""
     schema = T.StructType([T.StructField("offset", T.LongType())] + envelope_schema(item_schema, embedded, items).fields)
@@ -65,7 +69,7 @@ def read_page_files(spark: SparkSession, path: str, item_schema: T.StructType,
 
 
 def write_page_files(df: DataFrame, path: str, key: str, page_size: int = 100,
-                     embedded: str = "_embedded", items: str = "projetos") -> None:
+                     embedded: str = ENVELOPE, items: str = ITEMS) -> None:
     """Land a table as page responses (keyset pages: offset = key - key mod size).
 
     Each page is collected within its own group, so a group never exceeds
