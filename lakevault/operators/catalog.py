@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 def catalog_by_category(df: DataFrame, category: str, name: str) -> DataFrame:
     """One row per category holding ``map<category, sorted array<name>>``.
 
-    Each category's list is collected in its own group (bounded by the size
-    of that category), never into one global row.
+    For reference catalogues (a source list, nations by region), whose size is
+    fixed by the catalogue, not by the data: each category's list is collected
+    in its own group, never into one global row. Do not use it to fold a data
+    table into lists; keep such data as rows.
     """
     lists = df.groupBy(category).agg(F.array_sort(F.collect_list(name)).alias("_names"))
     return lists.select(F.create_map(F.col(category), F.col("_names")).alias("catalogo"))

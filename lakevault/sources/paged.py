@@ -72,8 +72,8 @@ def write_page_files(df: DataFrame, path: str, key: str, page_size: int = 100,
                      embedded: str = ENVELOPE, items: str = ITEMS) -> None:
     """Land a table as page responses (keyset pages: offset = key - key mod size).
 
-    Each page is collected within its own group, so a group never exceeds
-    ``page_size`` rows when ``key`` is unique.
+    ``key`` must be unique (the API's item id): each page is then collected in
+    its own group of at most ``page_size`` rows.
     """
     cols = [c for c in df.columns]
     off = (F.col(key) - F.pmod(F.col(key), F.lit(page_size))).cast("bigint")
