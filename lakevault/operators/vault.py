@@ -56,11 +56,14 @@ def hub_rows(
     return hub.withColumns(extra), rejects
 
 
-def insert_new_keys(table: VersionedTable, rows: DataFrame, hk: str = "hk", prefilter: bool = False) -> int:
+def insert_new_keys(table: VersionedTable, rows: DataFrame, hk: str = "hk", prefilter: bool = False,
+                    assume_unique: bool = False) -> int:
     """Insert-only merge: append the rows whose ``hk`` the table does not hold yet.
 
     First load creates the table. Re-running a batch appends nothing. Rows
-    are also de-duplicated on ``hk`` inside the batch.
+    are also de-duplicated on ``hk`` inside the batch, unless ``assume_unique``
+    says they already are (rows of ``hub_rows`` / ``link_rows`` are distinct on
+    their business keys, and the hash key is a function of those).
 
     ``prefilter`` is for small batches against a large table: the stored keys
     are first reduced to those in the batch by a semi join that Catalyst or
@@ -69,7 +72,8 @@ def insert_new_keys(table: VersionedTable, rows: DataFrame, hk: str = "hk", pref
     anti join then only sees that remainder. For batches as large as the
     table, leave it off: the plain anti join shuffles each side once.
     """
-    rows = rows.dropDuplicates([hk])
+    if not assume_unique:
+        rows = rows.dropDuplicates([hk])
     if not table.exists():
         return table.write(rows, mode="errorifexists", operation="WRITE")
     known = table.read().select(hk)
@@ -83,7 +87,7 @@ def hub_load(table: VersionedTable, batch: DataFrame, business_key: str, load_ts
              hk: str = "hk", algo: str = "md5") -> DataFrame:
     """Build hub rows for a batch and merge them insert-only; returns the rejects."""
     hub, rejects = hub_rows(batch, business_key, hk, load_ts, record_source, algo)
-    insert_new_keys(table, hub, hk)
+    insert_new_keys(table, hub, hk, assume_unique=True)
     return rejects
 
 

@@ -283,7 +283,8 @@ def link_load(spark, sf_dir):
     t = VersionedTable(spark, scratch_path(spark, "link"))
     first = li.where(F.col("l_shipdate") < vault.ts_literal("1998-01-01 00:00:00"))
     for batch in (first, li):
-        vault.insert_new_keys(t, vault.link_rows(batch, ["l_orderkey", "l_suppkey"], "hk_link"), "hk_link")
+        links = vault.link_rows(batch, ["l_orderkey", "l_suppkey"], "hk_link")
+        vault.insert_new_keys(t, links, "hk_link", assume_unique=True)
     return t.read().select("hk_link", "l_orderkey", "l_suppkey")
 
 

@@ -81,7 +81,7 @@ def stream_hub_merge(spark: SparkSession, src: str, schema: T.StructType, table:
         # anti join), so they are cached for the duration of this batch only
         hub = hub.persist()
         try:
-            insert_new_keys(table, hub, hk, prefilter=True)
+            insert_new_keys(table, hub, hk, prefilter=True, assume_unique=True)
         finally:
             hub.unpersist()
 
