@@ -19,7 +19,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakevault.functions.keys import hashdiff
 
 
 def _cols(names) -> list[str]:
@@ -119,12 +118,15 @@ def changed_rows(
 ) -> DataFrame:
     """Rows whose ``compare`` attributes differ from the previous row of the same key.
 
-    The first row of a key always counts as a change. The comparison uses a
-    null-safe hashdiff of the attribute tuple.
+    The first row of a key always counts as a change. Attributes are compared
+    as one struct with null-safe equality (``("a", null)`` and ``(null, "a")``
+    differ, null equals null), so no per-row hash is computed.
     """
-    d = df.withColumn("_hd", hashdiff(*compare))
-    d = with_neighbors(d, keys, order, prev={"_prev_hd": "_hd"}, chunk=chunk)
-    return d.where(~F.col("_prev_hd").eqNullSafe(F.col("_hd"))).drop("_hd", "_prev_hd")
+    d = df.withColumns({"_cmp": F.struct(*[F.col(c) for c in compare]), "_one": F.lit(1)})
+    d = with_neighbors(d, keys, order, prev={"_prev_cmp": "_cmp", "_has_prev": "_one"}, chunk=chunk)
+    first = F.col("_has_prev").isNull()
+    changed = first | ~F.col("_prev_cmp").eqNullSafe(F.col("_cmp"))
+    return d.where(changed).drop("_cmp", "_one", "_prev_cmp", "_has_prev")
 
 
 def time_chunk(ts_col: str, unit: str = "day") -> Column:
