@@ -84,7 +84,9 @@ class VersionedTable:
         return path_exists(self.spark, self._commits_path)
 
     def commits(self) -> DataFrame:
-        return self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits_path)
+        """One row per commit (a commit can briefly be stored twice while
+        ``compact_commits`` runs, hence the de-duplication by version)."""
+        return self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits_path).dropDuplicates(["version"])
 
     def _commit_files(self) -> frozenset:
         fs, jpath = _jvm_fs(self.spark, self._commits_path)
@@ -101,10 +103,27 @@ class VersionedTable:
             return []
         cached = getattr(self, "_cache", None)
         if cached is None or cached[0] != files:
-            rows = sorted(self.commits().collect(), key=lambda r: r.version)
-            self._cache = (files, rows)
+            # a commit may briefly exist twice (during compact_commits): one per version
+            by_version = {r.version: r for r in self.commits().collect()}
+            self._cache = (files, [by_version[v] for v in sorted(by_version)])
         return self._cache[1]
 
+    def compact_commits(self) -> int:
+        """Fold the one-file-per-commit list into one file, then delete the old
+        files; returns how many were folded. Readers de-duplicate by version,
+        so a reader between the two steps still sees each commit once."""
+        if self.fmt == "delta":
+            return 0
+        old = sorted(self._commit_files())
+        if len(old) < 2:
+            return 0
+        rows = self.commits()
+        rows.coalesce(1).write.mode("append").parquet(self._commits_path)
+        for name in old:
+            delete_path(self.spark, f"{self._commits_path}/{name}")
+        self._cache = None
+        return len(old)
+
     def latest_version(self) -> int:
         rows = self._commit_rows()
         return rows[-1].version if rows else -1

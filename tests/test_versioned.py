@@ -107,3 +107,17 @@ def test_compact_keeps_content_and_history(spark, tmp_root):
     assert _rows(t.read(), "id") == [(0,), (1,), (2,), (3,)]
     assert _rows(t.read(version=v - 1), "id") == [(0,), (1,), (2,), (3,)]
     assert t.history().first().operation == "OPTIMIZE"
+
+
+def test_compact_commits_keeps_history(spark, tmp_root):
+    t = VersionedTable(spark, tmp_root)
+    for i in range(5):
+        t.write(spark.createDataFrame([(i,)], "id long"), mode="append" if i else "overwrite")
+    before = [(r.version, r.operation) for r in t.history().collect()]
+    assert t.compact_commits() == 5
+    assert len(t._commit_files()) == 1
+    fresh = VersionedTable(spark, tmp_root)
+    assert [(r.version, r.operation) for r in fresh.history().collect()] == before
+    assert _rows(fresh.read(version=2), "id") == [(0,), (1,), (2,)]
+    fresh.write(spark.createDataFrame([(9,)], "id long"), mode="append")
+    assert fresh.latest_version() == 5
