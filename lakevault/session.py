@@ -2,7 +2,8 @@
 
 Everything written by an operator (versioned tables, stream checkpoints,
 landing areas) lives under the folder the cluster names in
-``spark.checkpoint.dir``. That folder is shared by all executors, so a
+``spark.checkpoint.dir``; iterative loads cut their lineage by writing and
+re-reading such a table, never with a local checkpoint. That folder is shared by all executors, so a
 retried task or a lost executor never depends on a machine-local path.
 A private folder is created only when the setting is absent (tests).
 """
@@ -66,13 +67,3 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder under the shared root."""
     return f"{shared_root(spark)}/lakevault/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def cut_lineage(df):
-    """Reliable checkpoint (written to the shared folder), never a local one."""
-    try:
-        if not df.sparkSession.sparkContext.getCheckpointDir():
-            df.sparkSession.sparkContext.setCheckpointDir(shared_root(df.sparkSession))
-    except Exception:
-        pass
-    return df.checkpoint(eager=True)
