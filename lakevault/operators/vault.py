@@ -188,3 +188,29 @@ def cdc_apply(state: DataFrame | None, changes: DataFrame, keys, order, is_delet
         return upserts
     untouched = state.join(last.select(*keys), keys, "left_anti")
     return untouched.unionByName(upserts.select(*state.columns))
+
+
+def cdc_append_changes(table: VersionedTable, changes: DataFrame, keys, order, is_delete: Column) -> int:
+    """Merge-on-read CDC, write side: append only the batch's latest change
+    per key with a ``_deleted`` flag. The write is as large as the batch, not
+    as the state (``cdc_apply`` + overwrite rewrites the whole state)."""
+    keys = _cols(keys)
+    last = latest_per_key(changes, keys, _cols(order))
+    return table.write(last.withColumn("_deleted", is_delete), mode="append", operation="WRITE")
+
+
+def cdc_read_state(table: VersionedTable, keys, order) -> DataFrame:
+    """Merge-on-read CDC, read side: latest stored change per key, deletes
+    dropped. One aggregate over the changes since the last compaction."""
+    keys = _cols(keys)
+    last = latest_per_key(table.read(), keys, _cols(order))
+    return last.where(~F.col("_deleted")).drop("_deleted")
+
+
+def cdc_compact(table: VersionedTable, keys, order) -> int:
+    """Fold the appended changes into one snapshot (a new overwrite version), so
+    reads stay one aggregate over about one row per key."""
+    keys = _cols(keys)
+    state = latest_per_key(table.read(), keys, _cols(order)).where(~F.col("_deleted"))
+    return table.write(state, mode="overwrite", operation="OPTIMIZE", rebalance=True)
+

@@ -183,3 +183,22 @@ def test_null_load_date_is_kept_by_chunked_change_detection(spark):
     for chunk in (day_chunk("load_date"), time_chunk("load_date", "hour")):
         got = sorted(r.event_id for r in changed_rows(df, ["hk"], ["load_date", "event_id"], ["nome"], chunk=chunk).collect())
         assert got == [1, 3]
+
+
+def test_merge_on_read_cdc_equals_copy_on_write(spark, tmp_root):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    rows = md.event_sat_rows(ev)
+    split = F.col("load_date") < F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    is_delete = F.col("nome") == "error"
+    cow = vault.cdc_apply(None, rows.where(split), ["hk"], md.SAT_ORDER, is_delete)
+    cow = vault.cdc_apply(cow, rows.where(~split), ["hk"], md.SAT_ORDER, is_delete)
+    t = VersionedTable(spark, tmp_root)
+    vault.cdc_append_changes(t, rows.where(split), ["hk"], md.SAT_ORDER, is_delete)
+    vault.cdc_append_changes(t, rows.where(~split), ["hk"], md.SAT_ORDER, is_delete)
+    mor = vault.cdc_read_state(t, ["hk"], md.SAT_ORDER)
+    cols = ["hk", "event_id", "nome"]
+    assert sorted(tuple(r) for r in mor.select(cols).collect()) == sorted(tuple(r) for r in cow.select(cols).collect())
+    vault.cdc_compact(t, ["hk"], md.SAT_ORDER)
+    after = vault.cdc_read_state(t, ["hk"], md.SAT_ORDER)
+    assert after.select(cols).exceptAll(mor.select(cols)).count() == 0
+    assert t.read().count() == mor.count()
