@@ -1,9 +1,13 @@
 """Data Vault loads: hubs, satellites, links, insert-only merges, CDC, point-in-time.
 
-Every function takes DataFrames and column names and returns a DataFrame;
-the ``*_load`` functions additionally write through a ``VersionedTable``.
-One load stamp (``load_ts``) is passed to a whole batch, so hub and
-satellite rows of one run carry the same load date.
+Row builders (``hub_rows``, ``sat_rows``, ``link_rows``, ``hub_multi_source``,
+``cdc_apply``, ``sat_as_of``, ``cdc_read_state``) take DataFrames and column
+names and return DataFrames. Loaders (``hub_load``, ``insert_new_keys``,
+``sat_append_all``, ``sat_append_changed``, ``cdc_append_changes``,
+``cdc_compact``) write a ``VersionedTable`` and return the new version
+(``hub_load`` returns the rejected rows). One load stamp (``load_ts``) is
+passed to a whole batch, so hub and satellite rows of one run carry the same
+load date.
 """
 
 from __future__ import annotations
