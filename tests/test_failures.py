@@ -49,3 +49,36 @@ def test_versioned_write_survives_failed_attempts():
     rows, distinct, observed = map(int, lines[0].split()[1:])
     assert rows == distinct == observed == 20000
     assert "simulated lost executor" in out.stderr  # the failures did happen and were retried
+
+
+def test_streaming_hub_merge_resumes_after_a_failed_micro_batch(spark, tmp_root):
+    from lakevault.operators.vault import hub_rows, insert_new_keys
+    from lakevault.sources.versioned import VersionedTable
+
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    src, ck = f"{tmp_root}/in", f"{tmp_root}/ck"
+    ev.repartition(3).write.parquet(src)
+    table = VersionedTable(spark, f"{tmp_root}/hub")
+    crash = {"armed": True}
+
+    def apply(batch, batch_id):
+        hub, _ = hub_rows(batch, "user_id", "hk", "2024-02-01", "EVENTS")
+        insert_new_keys(table, hub, "hk", prefilter=True, assume_unique=True)
+        if batch_id == 1 and crash["armed"]:  # dies after writing, before the batch commits
+            crash["armed"] = False
+            raise RuntimeError("simulated driver/executor loss")
+
+    def run():
+        q = (spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", "1").parquet(src)
+             .writeStream.foreachBatch(apply).option("checkpointLocation", ck)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+
+    try:
+        run()
+    except Exception:
+        pass
+    assert not crash["armed"]
+    run()  # restarts from the checkpoint and replays batch 1
+    got = table.read()
+    assert got.count() == got.select("hk").distinct().count() == ev.select("user_id").distinct().count()
