@@ -136,13 +136,16 @@ class VersionedTable:
         operation: str = "WRITE",
         overwrite_schema: bool = False,
         rebalance: bool = False,
+        merge_schema: bool = False,
     ) -> int:
         """Write ``df`` as a new version; returns the version number.
 
         ``mode``: ``append``, ``overwrite`` or ``errorifexists`` (create).
         Appends and plain overwrites must keep the table's schema; a schema
         change needs ``overwrite_schema=True`` (the replaced versions keep
-        theirs for time travel).
+        theirs for time travel). ``merge_schema=True`` lets an append add new
+        columns (older versions read them as null); existing columns must keep
+        their types.
         """
         mode = mode.lower()
         if mode not in _MODE_NAMES:
@@ -155,7 +158,10 @@ class VersionedTable:
             raise TableExistsError(self.path)
         if rows and not (mode == "overwrite" and overwrite_schema):
             current = self._schema_at(rows, rows[-1].version)
-            df = self._conform(df, current)
+            if merge_schema and mode == "append":
+                df = self._merge(df, current)  # widen; a changed type still fails
+            else:
+                df = self._conform(df, current)
         version = rows[-1].version + 1 if rows else 0
         location = f"{self.path}/data/_version={version}"
 
@@ -189,6 +195,18 @@ class VersionedTable:
             written = Row(**{f.name: row.get(f.name) for f in COMMIT_SCHEMA.fields})
             self._cache = (self._commit_files(), sorted(cached[1] + [written], key=lambda r: r.version))
 
+    @staticmethod
+    def _merge(df: DataFrame, schema: T.StructType) -> DataFrame:
+        """Table columns first (missing ones as typed nulls), then the new ones."""
+        have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        for f in schema.fields:
+            if f.name in have and have[f.name] != f.dataType.simpleString():
+                raise SchemaMismatchError(f"column {f.name} changes type: {f.dataType.simpleString()} -> {have[f.name]}")
+        cols = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+        known = {f.name for f in schema.fields}
+        cols += [F.col(f.name) for f in df.schema.fields if f.name not in known]
+        return df.select(*cols)
+
     @staticmethod
     def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         # names and types must match; nullability (also nested) may differ
@@ -215,7 +233,9 @@ class VersionedTable:
         return data[start:]
 
     def _schema_at(self, rows: list, version: int) -> T.StructType:
-        return T.StructType.fromJson(json.loads(self._visible(rows, version)[0].schema_json))
+        """Schema of ``version``: that of its newest visible write (appends
+        keep it, or widen it with ``merge_schema``)."""
+        return T.StructType.fromJson(json.loads(self._visible(rows, version)[-1].schema_json))
 
     @staticmethod
     def _locations(rows: list) -> dict:
@@ -235,9 +255,11 @@ class VersionedTable:
         rows = self._commit_rows()
         if not rows:
             raise FileNotFoundError(self.path)
+        if version is not None and not 0 <= version <= rows[-1].version:
+            raise ValueError(f"version {version} does not exist (latest is {rows[-1].version})")
         version = rows[-1].version if version is None else version
         visible = self._visible(rows, version)
-        schema = T.StructType.fromJson(json.loads(visible[0].schema_json))
+        schema = T.StructType.fromJson(json.loads(visible[-1].schema_json))
         where = self._locations(rows)
         paths = [where[r.version] for r in visible if where.get(r.version)]
         if not paths:

@@ -121,3 +121,25 @@ def test_compact_commits_keeps_history(spark, tmp_root):
     assert _rows(fresh.read(version=2), "id") == [(0,), (1,), (2,)]
     fresh.write(spark.createDataFrame([(9,)], "id long"), mode="append")
     assert fresh.latest_version() == 5
+
+
+def test_reading_a_missing_version_fails(spark, tmp_root):
+    t = VersionedTable(spark, tmp_root)
+    t.write(spark.createDataFrame([(1,)], "id long"), mode="overwrite")
+    with pytest.raises(ValueError):
+        t.read(version=3)
+
+
+def test_append_with_merge_schema_adds_columns(spark, tmp_root):
+    t = VersionedTable(spark, tmp_root)
+    t.write(spark.createDataFrame([(1, "a")], "id long, nome string"), mode="overwrite")
+    wider = spark.createDataFrame([(2, "b", 9.5)], "id long, nome string, valor double")
+    with pytest.raises(SchemaMismatchError):
+        t.write(wider, mode="append")
+    t.write(wider, mode="append", merge_schema=True)
+    assert _rows(t.read(), "id", "valor") == [(1, None), (2, 9.5)]
+    assert t.read(version=0).columns == ["id", "nome"]
+    t.write(spark.createDataFrame([(3, "c")], "id long, nome string"), mode="append", merge_schema=True)
+    assert _rows(t.read(), "id", "valor") == [(1, None), (2, 9.5), (3, None)]
+    with pytest.raises(SchemaMismatchError):
+        t.write(spark.createDataFrame([(4, 1)], "id long, nome int"), mode="append", merge_schema=True)
