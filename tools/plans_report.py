@@ -20,6 +20,35 @@ from lakevault.plans.standins import QUERIES  # noqa: E402
 from lakevault.session import build_session  # noqa: E402
 
 
+NOTES = {
+    "bronze_ingest_stamp": "Scan -> project (literal stamp) -> write: no shuffle; the count is an Observation of the write.",
+    "hub_full_load": "Distinct business keys by partial + final HashAggregate (hot keys pre-combined), hash once per key.",
+    "sat_full_load": "Scan -> project -> write, no shuffle; only the needed columns are read.",
+    "gold_schema_replace": "Reads the new version only (schema of v1); the plan is the scan of that folder.",
+    "gold_top10": "Latest per key = partial/final SortAggregate on hk (one row per key per map task), join with the hub, TakeOrderedAndProject(10).",
+    "gold_dim_strict": "Same latest-per-key aggregate; at scale the hub join is a sort-merge join on hk that reuses the aggregate's partitioning.",
+    "gold_dim_coalesced": "Reads the materialised SQL model (its own plan used WindowGroupLimit: top-1 per key before the shuffle).",
+    "sat_latest": "Satellite projected to the needed columns before the max_by aggregate (an aggregate struct is not pruned).",
+    "sat_append_changed": "Reads the written satellite; its loads windowed per (hk, day) and stitched day borders via a keys x days summary.",
+    "dim_scd2": "Two chunked neighbour passes (changes, then valid_to): row windows partitioned by (hk, _chunk), summaries aggregated map-side.",
+    "hub_merge_insert_only": "Reads the hub versions; each merge was an anti join on hk of distinct batch keys.",
+    "link_load": "Reads the link versions; each load was distinct (orderkey, suppkey) -> hash -> anti join on hk_link.",
+    "cdc_apply": "Reads the state version; each apply was latest-per-key aggregate + anti join + union.",
+    "consent_filter": "Latest grant/revoke per user (aggregate) -> left semi join of events on user_id; AQE splits a skewed user.",
+    "dedupe_by_key_latest": "max_by over (shipdate, partkey, suppkey, price) per (orderkey, linenumber): partial aggregate before the shuffle.",
+    "ingest_checksum": "Reads the stored rows; each re-ingest was sha2 checksum + anti join, so re-sent rows add nothing.",
+    "csv_robust_scan": "multiLine CSV scan with an explicit schema (no inference pass).",
+    "paged_json_unwrap": "JSON page scan, stop-at-first-empty as a scalar subquery, inline of the item array.",
+    "mart_calls": "lineitem reduced to min(shipdate) per order before the join (partial aggregate), then one grouped aggregate.",
+    "mart_budget": "lineitem summed per order before the join; money summed as DECIMAL(18,2).",
+    "mart_sla": "max(shipdate) per order before the join, then one grouped aggregate.",
+    "mart_incremental_refresh": "Reads the mart; the refresh rewrote only the touched day partitions (dynamic partition overwrite).",
+    "forget_subjects": "Reads the rewritten versions; only versions holding a requested subject were rewritten.",
+    "load_anomaly": "Daily counts (aggregate) then a 7-row trailing window per table over days: bounded by the calendar.",
+    "stream_dedupe": "Reads the stream sink; the stream kept de-duplication state bounded by the watermark.",
+}
+
+
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = build_session("local[8]")
@@ -39,7 +68,7 @@ def main() -> None:
         text = plan_text(df, "simple")
         text = re.sub(r"file:[^,\]\s]*/lakevault/[^,\]\s]*", "<scratch>", text)
         text = re.sub(r"#\d+L?", "", text)
-        out += [f"## {name}", "", "```", text.strip(), "```", ""]
+        out += [f"## {name}", "", NOTES.get(name, ""), "", "```", text.strip(), "```", ""]
     with open(os.path.join(ROOT, "PLANS.md"), "w") as f:
         f.write("\n".join(out))
 
