@@ -21,7 +21,7 @@ from lakevault.session import build_session  # noqa: E402
 
 
 NOTES = {
-    "bronze_ingest_stamp": "Scan -> project (literal stamp) -> write: no shuffle; the count is an Observation of the write.",
+    "bronze_ingest_stamp": "Reads the written bronze; its load was scan -> project (one literal stamp) -> Parquet overwrite, no shuffle.",
     "hub_full_load": "Distinct business keys by partial + final HashAggregate (hot keys pre-combined), hash once per key.",
     "sat_full_load": "Scan -> project -> write, no shuffle; only the needed columns are read.",
     "gold_schema_replace": "Reads the new version only (schema of v1); the plan is the scan of that folder.",
