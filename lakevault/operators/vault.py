@@ -61,7 +61,7 @@ def hub_rows(
 
 
 def insert_new_keys(table: VersionedTable, rows: DataFrame, hk: str = "hk", prefilter: bool = False,
-                    assume_unique: bool = False) -> int:
+                    assume_unique: bool = False, load_id: str | None = None) -> int:
     """Insert-only merge: append the rows whose ``hk`` the table does not hold yet.
 
     First load creates the table. Re-running a batch appends nothing. Rows
@@ -79,19 +79,19 @@ def insert_new_keys(table: VersionedTable, rows: DataFrame, hk: str = "hk", pref
     if not assume_unique:
         rows = rows.dropDuplicates([hk])
     if not table.exists():
-        return table.write(rows, mode="errorifexists", operation="WRITE")
+        return table.write(rows, mode="errorifexists", operation="WRITE", load_id=load_id)
     known = table.read().select(hk)
     if prefilter:
         known = known.join(rows.select(hk), hk, "left_semi")
     fresh = rows.join(known, hk, "left_anti")
-    return table.write(fresh, mode="append", operation="MERGE")
+    return table.write(fresh, mode="append", operation="MERGE", load_id=load_id)
 
 
 def hub_load(table: VersionedTable, batch: DataFrame, business_key: str, load_ts, record_source: str,
-             hk: str = "hk", algo: str = "md5") -> DataFrame:
+             hk: str = "hk", algo: str = "md5", load_id: str | None = None) -> DataFrame:
     """Build hub rows for a batch and merge them insert-only; returns the rejects."""
     hub, rejects = hub_rows(batch, business_key, hk, load_ts, record_source, algo)
-    insert_new_keys(table, hub, hk, assume_unique=True)
+    insert_new_keys(table, hub, hk, assume_unique=True, load_id=load_id)
     return rejects
 
 
@@ -136,9 +136,10 @@ def sat_rows(df: DataFrame, business_key: str, attributes, load_date_col: str |
     return df.where(F.col(business_key).isNotNull()).select(*cols)
 
 
-def sat_append_all(table: VersionedTable, rows: DataFrame) -> int:
-    """Append every row of the batch (re-loading a batch doubles it)."""
-    return table.write(rows, mode="append", operation="WRITE")
+def sat_append_all(table: VersionedTable, rows: DataFrame, load_id: str | None = None) -> int:
+    """Append every row of the batch (re-loading a batch doubles it, unless the
+    retry carries the same ``load_id``)."""
+    return table.write(rows, mode="append", operation="WRITE", load_id=load_id)
 
 
 def sat_append_changed(table: VersionedTable, rows: DataFrame, hk: str, order, compare,

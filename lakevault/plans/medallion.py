@@ -51,11 +51,16 @@ def event_sat_rows(events: DataFrame) -> DataFrame:
                     record_source="EVENTS")
 
 
-def load_silver(spark: SparkSession, events: DataFrame, root: str, load_ts: str) -> Silver:
-    """Hub (insert-only merge) then satellite (append), same load stamp."""
+def load_silver(spark: SparkSession, events: DataFrame, root: str, load_ts: str,
+                load_id: str | None = None) -> Silver:
+    """Hub (insert-only merge) then satellite (append), same load stamp.
+
+    With a ``load_id`` the pair is retry-safe: re-running a load that failed
+    after the hub commit (or after both) writes nothing already committed.
+    """
     silver = Silver(VersionedTable(spark, f"{root}/hub"), VersionedTable(spark, f"{root}/sat"))
-    hub_load(silver.hub, events, "user_id", load_ts, "EVENTS")
-    sat_append_all(silver.sat, event_sat_rows(events))
+    hub_load(silver.hub, events, "user_id", load_ts, "EVENTS", load_id=load_id)
+    sat_append_all(silver.sat, event_sat_rows(events), load_id=load_id)
     return silver
 
 

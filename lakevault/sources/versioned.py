@@ -35,6 +35,7 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("num_rows", T.LongType(), True),
         T.StructField("schema_json", T.StringType(), True),
         T.StructField("locations", T.MapType(T.LongType(), T.StringType()), True),
+        T.StructField("load_id", T.StringType(), True),
     ]
 )
 
@@ -137,6 +138,7 @@ class VersionedTable:
         overwrite_schema: bool = False,
         rebalance: bool = False,
         merge_schema: bool = False,
+        load_id: str | None = None,
     ) -> int:
         """Write ``df`` as a new version; returns the version number.
 
@@ -145,7 +147,8 @@ class VersionedTable:
         change needs ``overwrite_schema=True`` (the replaced versions keep
         theirs for time travel). ``merge_schema=True`` lets an append add new
         columns (older versions read them as null); existing columns must keep
-        their types.
+        their types. ``load_id`` makes a retried load idempotent: when a commit
+        with the same id exists, nothing is written and its version is returned.
         """
         mode = mode.lower()
         if mode not in _MODE_NAMES:
@@ -154,6 +157,10 @@ class VersionedTable:
             return self._delta_write(df, mode, overwrite_schema)
 
         rows = self._commit_rows()
+        if load_id is not None:
+            done = [r.version for r in rows if getattr(r, "load_id", None) == load_id]
+            if done:
+                return done[-1]
         if rows and mode == "errorifexists":
             raise TableExistsError(self.path)
         if rows and not (mode == "overwrite" and overwrite_schema):
@@ -179,6 +186,7 @@ class VersionedTable:
             num_rows=n,
             schema_json=df.schema.json(),
             locations={version: location},
+            load_id=load_id,
         )
         self.last_num_rows = n
         return version

@@ -202,3 +202,16 @@ def test_merge_on_read_cdc_equals_copy_on_write(spark, tmp_root):
     after = vault.cdc_read_state(t, ["hk"], md.SAT_ORDER)
     assert after.select(cols).exceptAll(mor.select(cols)).count() == 0
     assert t.read().count() == mor.count()
+
+
+def test_silver_load_retry_with_same_load_id_is_idempotent(spark, tmp_root):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    n = ev.count()
+    for _ in range(2):  # the retry of load "L1" writes nothing new
+        silver = md.load_silver(spark, ev, tmp_root, "2024-02-01 00:00:00", load_id="L1")
+    assert silver.sat.read().count() == n
+    assert silver.hub.latest_version() == 0 and silver.sat.latest_version() == 0
+    silver = md.load_silver(spark, ev, tmp_root, "2024-02-02 00:00:00", load_id="L2")
+    assert silver.sat.read().count() == 2 * n  # a new load appends (append-all satellite)
+    assert silver.hub.read().count() == ev.select("user_id").distinct().count()
+    assert [r.load_id for r in silver.sat.commits().orderBy("version").collect()] == ["L1", "L2"]
