@@ -143,7 +143,8 @@ def sat_append_all(table: VersionedTable, rows: DataFrame, load_id: str | None =
 
 
 def sat_append_changed(table: VersionedTable, rows: DataFrame, hk: str, order, compare,
-                       chunk: Column | None = None, current: VersionedTable | None = None) -> int:
+                       chunk: Column | None = None, current: VersionedTable | None = None,
+                       load_id: str | None = None) -> int:
     """Append only versions that differ from their predecessor.
 
     The predecessor of a batch row is the previous batch row of the same key
@@ -152,11 +153,14 @@ def sat_append_changed(table: VersionedTable, rows: DataFrame, hk: str, order, c
     nothing. The stored latest rows come from ``current`` (one row per key,
     kept up to date here) when given, else from the satellite itself; either
     way only keys present in the batch are read (semi join) and "latest" is
-    an aggregate, so the satellite's history is never windowed.
+    an aggregate, so the satellite's history is never windowed. With a
+    ``load_id`` a retry after a failure between the satellite and the current
+    table commits finishes the current table without appending twice.
     """
     order = _cols(order)
     if not table.exists():
-        version = table.write(changed_rows(rows, [hk], order, compare, chunk), mode="errorifexists")
+        version = table.write(changed_rows(rows, [hk], order, compare, chunk), mode="errorifexists",
+                              load_id=load_id)
     else:
         source = current.read() if current is not None and current.exists() else table.read()
         prior = latest_per_key(source.join(rows.select(hk).distinct(), hk, "left_semi"), [hk], order)
@@ -168,11 +172,11 @@ def sat_append_changed(table: VersionedTable, rows: DataFrame, hk: str, order, c
         ).drop("_seen")
         both = prior.withColumn("_prior", F.lit(True)).unionByName(newer.withColumn("_prior", F.lit(False)))
         fresh = changed_rows(both, [hk], order, compare, chunk).where(~F.col("_prior")).drop("_prior")
-        version = table.write(fresh, mode="append")
+        version = table.write(fresh, mode="append", load_id=load_id)
     if current is not None:
         added = table.read_added(version)
         base = current.read().unionByName(added) if current.exists() else added
-        current.write(latest_per_key(base, [hk], order), mode="overwrite")
+        current.write(latest_per_key(base, [hk], order), mode="overwrite", load_id=load_id)
     return version
 
 
@@ -195,13 +199,14 @@ def cdc_apply(state: DataFrame | None, changes: DataFrame, keys, order, is_delet
     return untouched.unionByName(upserts.select(*state.columns))
 
 
-def cdc_append_changes(table: VersionedTable, changes: DataFrame, keys, order, is_delete: Column) -> int:
+def cdc_append_changes(table: VersionedTable, changes: DataFrame, keys, order, is_delete: Column,
+                       load_id: str | None = None) -> int:
     """Merge-on-read CDC, write side: append only the batch's latest change
     per key with a ``_deleted`` flag. The write is as large as the batch, not
     as the state (``cdc_apply`` + overwrite rewrites the whole state)."""
     keys = _cols(keys)
     last = latest_per_key(changes, keys, _cols(order))
-    return table.write(last.withColumn("_deleted", is_delete), mode="append", operation="WRITE")
+    return table.write(last.withColumn("_deleted", is_delete), mode="append", operation="WRITE", load_id=load_id)
 
 
 def cdc_read_state(table: VersionedTable, keys, order) -> DataFrame:

@@ -215,3 +215,15 @@ def test_silver_load_retry_with_same_load_id_is_idempotent(spark, tmp_root):
     assert silver.sat.read().count() == 2 * n  # a new load appends (append-all satellite)
     assert silver.hub.read().count() == ev.select("user_id").distinct().count()
     assert [r.load_id for r in silver.sat.commits().orderBy("version").collect()] == ["L1", "L2"]
+
+
+def test_changed_load_retry_finishes_the_current_table(spark, tmp_root):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    rows = md.event_sat_rows(ev)
+    sat, cur = VersionedTable(spark, f"{tmp_root}/sat"), VersionedTable(spark, f"{tmp_root}/cur")
+    # first attempt "crashed" after the satellite commit, before the current table
+    vault.sat_append_changed(sat, rows, "hk", md.SAT_ORDER, ["nome"], load_id="A")
+    stored = sat.read().count()
+    vault.sat_append_changed(sat, rows, "hk", md.SAT_ORDER, ["nome"], current=cur, load_id="A")
+    assert sat.read().count() == stored and sat.latest_version() == 0
+    assert cur.read().count() == ev.select("user_id").distinct().count()
