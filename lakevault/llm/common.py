@@ -59,10 +59,11 @@ def require(df: DataFrame, *cols: str) -> None:
         raise ValueError(f"missing column(s) {missing}; the input has {df.columns}")
 
 
-def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(column: pa.Array, limit: int = SLICE_BYTES, max_rows: int = 1 << 30) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, text bytes, offsets) of consecutive rows of a string column.
 
-    A null counts as an empty text. A slice holds at most ``limit`` bytes, or one row.
+    A null counts as an empty text. A slice holds at most ``limit`` bytes
+    and ``max_rows`` rows, or one row.
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -78,7 +79,7 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
     lo = 0
     while lo < n:
         hi = int(np.searchsorted(offsets, offsets[lo] + limit, side="right")) - 1
-        hi = min(n, max(lo + 1, hi))
+        hi = min(n, lo + max_rows, max(lo + 1, hi))
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
 

@@ -7,21 +7,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakevault.llm import decontaminate, pack, quality_rules, shard
+from lakevault.llm import decontaminate, html_text, language, pack, quality_model, quality_rules, shard
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.op1_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.op3_packing(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.op5_html(table(spark, sf_dir, "pages"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.op6_shards(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.op7_language(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op9_quality(table(spark, sf_dir, "documents"))
 
@@ -30,7 +42,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.op10_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op6_sharding, op9_quality_rules, op10_decontamination)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_classifier,
+        op3_packing,
+        op5_html_extraction,
+        op6_sharding,
+        op7_language_id,
+        op9_quality_rules,
+        op10_decontamination,
+    )
+}
 
 #: None for what SQL cannot express (a tokenizer, a model, Spark's hash)
 ORACLE_SQL = {
