@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakevault.llm import decontaminate, html_text, language, pack, quality_model, quality_rules, shard
+from lakevault.llm import decontaminate, html_text, language, pack, quality_model, quality_rules, shard, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.op7_language(table(spark, sf_dir, "documents"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.op8_substrings(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.op9_quality(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES = {
         op5_html_extraction,
         op6_sharding,
         op7_language_id,
+        op8_substring_dedup,
         op9_quality_rules,
         op10_decontamination,
     )
@@ -57,6 +62,7 @@ QUERIES = {
 
 #: None for what SQL cannot express (a tokenizer, a model, Spark's hash)
 ORACLE_SQL = {
+    "op8_substring_dedup": substrings.ORACLE_OP8,
     "op9_quality_rules": quality_rules.ORACLE_OP9,
     "op10_decontamination": decontaminate.ORACLE_OP10,
 }
