@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakevault.llm import decontaminate, html_text, language, pack, quality_model, quality_rules, shard, substrings
+from lakevault.llm import decontaminate, html_text, language, near_dedup, pack, quality_model, quality_rules, shard, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.op3_packing(table(spark, sf_dir, "documents"))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.op4_near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.op5_html(table(spark, sf_dir, "pages"))
 
@@ -51,6 +55,7 @@ QUERIES = {
     for f in (
         op1_quality_classifier,
         op3_packing,
+        op4_near_dedup,
         op5_html_extraction,
         op6_sharding,
         op7_language_id,
@@ -62,6 +67,7 @@ QUERIES = {
 
 #: None for what SQL cannot express (a tokenizer, a model, Spark's hash)
 ORACLE_SQL = {
+    "op4_near_dedup": near_dedup.ORACLE_OP4,
     "op8_substring_dedup": substrings.ORACLE_OP8,
     "op9_quality_rules": quality_rules.ORACLE_OP9,
     "op10_decontamination": decontaminate.ORACLE_OP10,
