@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakevault.llm import decontaminate, html_text, language, near_dedup, pack, quality_model, quality_rules, shard, substrings
+from lakevault.llm import decontaminate, html_text, language, lm_score, near_dedup, pack, quality_model, quality_rules, shard, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.op1_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.op2_scores(table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.op3_packing(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier,
+        op2_lm_score,
         op3_packing,
         op4_near_dedup,
         op5_html_extraction,

@@ -43,3 +43,12 @@ class ByteBpe:
                 self.slow = Tokenizer.from_file(f"{self.path}.json")
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
         return np.array(self.fast.encode_ordinary(text), np.uint32)
+
+    def text_order(self) -> np.ndarray:
+        """Each id's place in the order of the vocabulary's texts, word beginnings apart from the rest."""
+        texts = [self.fast.decode_single_token_bytes(i) for i in range(self.fast.n_vocab)]
+        order = sorted(range(len(texts)), key=lambda i: (texts[i][:1] == b" ", texts[i]))
+        place = np.empty(len(order) + 1, np.int64)
+        place[order] = np.arange(len(order))
+        place[-1] = -1  # the special token
+        return place
