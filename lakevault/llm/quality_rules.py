@@ -13,8 +13,9 @@ so Spark broadcasts it when its measured size allows and else splits a hot
 domain's documents (skew join).
 
 Defined cases: a null or empty text has no words (it fails the minimum); a null
-domain is a domain of its own; an empty table gives no rows; result columns
-replace input columns of the same name, other columns pass through.
+domain is a domain of its own; repeated rows are judged each; an empty table gives
+no rows; an input column with the name of the result column is replaced, all
+others pass through.
 """
 
 from __future__ import annotations
@@ -79,9 +80,9 @@ def measures(text: Column) -> dict[str, Column]:
     return {k: v.cast("long") for k, v in out.items()}
 
 
-def base_rules(min_words: int, max_repeat_percent: int) -> Column:
+def base_rules(n_words: Column, n_repeat_words: Column, min_words: int = 50, max_repeat_percent: int = 50) -> Column:
     """True if a measured document fails."""
-    return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
+    return (n_words < min_words) | (100 * n_repeat_words > max_repeat_percent * n_words)
 
 
 def host_verdicts(
@@ -118,34 +119,43 @@ def apply_quality_rules(
     *,
     text_col: str = "text",
     domain_col: str = "source",
+    result_col: str = "rules",
     min_words: int = 50,
     max_repeat_percent: int = 50,
     max_host_rate: float = 0.6,
 ) -> DataFrame:
-    """``docs`` plus the measures, base_failed, shrunk_rate, host_ok and kept.
+    """``docs`` plus the struct ``result_col``: the measures, base_failed, shrunk_rate and kept.
 
     The measures are computed twice, for the domain sums and for the result, so
     that no text is shuffled or written.
     """
     require(docs, text_col, domain_col)
-    rows = docs.drop(*[c for c in (*MEASURES, "base_failed", "shrunk_rate", "host_ok", "kept") if c not in (text_col, domain_col)])
-    columns = measures(F.col(text_col))
-    measured = rows.withColumns(columns).withColumn("base_failed", base_rules(min_words, max_repeat_percent))
-    return _judged(measured, measured, domain_col, max_host_rate)
-
-
-def _judged(measured: DataFrame, rows: DataFrame, domain_col: str, max_host_rate: float) -> DataFrame:
-    hosts = host_verdicts(measured.select(domain_col, "base_failed"), domain_col, "base_failed", max_rate=max_host_rate)
-    hosts = hosts.select(F.col(domain_col).alias("_domain"), "shrunk_rate", "host_ok")
-    joined = rows.join(hosts, rows[domain_col].eqNullSafe(hosts["_domain"]), "left").drop("_domain")
-    return joined.withColumn("kept", ~F.col("base_failed") & F.coalesce("host_ok", F.lit(True)))
+    docs = docs.select(*[c for c in docs.columns if c != result_col])
+    mark = "_rule_"
+    while any(c.startswith(mark) for c in docs.columns):
+        mark = "_" + mark
+    measured = docs.withColumns({mark + k: c for k, c in measures(F.col(text_col)).items()})
+    failed = base_rules(F.col(mark + "n_words"), F.col(mark + "n_repeat_words"), min_words, max_repeat_percent)
+    measured = measured.withColumn(mark + "base_failed", failed)
+    judged = _judged(measured, domain_col, mark, max_host_rate)
+    fields = [*MEASURES, "base_failed", "shrunk_rate", "kept"]
+    return judged.select(*docs.columns, F.struct(*[F.col(mark + k).alias(k) for k in fields]).alias(result_col))
+
+
+def _judged(measured: DataFrame, domain_col: str, mark: str, max_host_rate: float) -> DataFrame:
+    """``measured`` plus the host's verdict and the document's."""
+    failed = mark + "base_failed"
+    hosts = host_verdicts(measured.select(domain_col, failed), domain_col, failed, max_rate=max_host_rate)
+    hosts = hosts.select(F.col(domain_col).alias(mark + "domain"), F.col("shrunk_rate").alias(mark + "shrunk_rate"), F.col("host_ok").alias(mark + "ok"))
+    joined = measured.join(hosts, measured[domain_col].eqNullSafe(hosts[mark + "domain"]), "left")
+    return joined.withColumn(mark + "kept", ~F.col(failed) & F.coalesce(F.col(mark + "ok"), F.lit(True)))
 
 
 def op9_quality(docs: DataFrame) -> DataFrame:
     """The registered query. Its rows are narrow, so the measures are written once and read twice."""
     base = docs.select("doc_id", "source", *[c.alias(k) for k, c in measures(F.col("text")).items()])
-    measured = stored(base.withColumn("base_failed", base_rules(50, 50)), "op9")
-    return _judged(measured, measured, "source", 0.6).select("doc_id", *MEASURES, "base_failed", "kept", "source")
+    base = base.withColumn("base_failed", base_rules(F.col("n_words"), F.col("n_repeat_words")))
+    return _judged(stored(base, "op9"), "source", "", 0.6).select("doc_id", *MEASURES, "base_failed", "kept", "source")
 
 
 ORACLE_OP9 = r"""

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from lakevault.llm import decontaminate, html_text, language, lm_score, near_dedup, pack, quality_model, quality_rules, shard, substrings
 
 
@@ -54,6 +55,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.op10_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -67,11 +72,13 @@ QUERIES = {
         op8_substring_dedup,
         op9_quality_rules,
         op10_decontamination,
+        pipeline,
     )
 }
 
 #: None for what SQL cannot express (a tokenizer, a model, Spark's hash)
 ORACLE_SQL = {
+    "pipeline": corpus_pipeline.ORACLE_SQL,
     "op4_near_dedup": near_dedup.ORACLE_OP4,
     "op8_substring_dedup": substrings.ORACLE_OP8,
     "op9_quality_rules": quality_rules.ORACLE_OP9,
