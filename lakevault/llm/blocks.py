@@ -40,7 +40,7 @@ def squeeze(*arrays: np.ndarray) -> bytes:
     body = []
     for a in arrays:
         kind = np.dtype(a.dtype).str.encode().ljust(8)
-        planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T  # like bytes lie together
+        planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T  # like bytes lie together
         head += kind + np.array([len(a)], np.int64).tobytes()
         body.append(np.ascontiguousarray(planes).tobytes())
     return zstandard.ZstdCompressor(level=1).compress(head + b"".join(body))

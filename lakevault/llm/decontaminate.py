@@ -150,7 +150,7 @@ def find_contamination(
         mine = patterns.where(F.pmod(F.xxhash64("pattern"), F.lit(parts)) == part)
         emit = state.columns if keep_text or part < parts - 1 else [*others, result_col]
         state = _scan(state, [(r[0], r[1]) for r in mine.collect()], text_col, emit)
-    return state
+    return state.select(*[c for c in docs.columns if c in state.columns], result_col)
 
 
 def _scan(state: DataFrame, patterns: list[tuple[bytes, list[str]]], text_col: str, emit: list[str]) -> DataFrame:

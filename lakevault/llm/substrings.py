@@ -206,7 +206,7 @@ class Candidates:
 
     def _runs(self):
         parts, first = np.unique(self.address, return_index=True)
-        for part, a, b in zip(parts, first, np.append(first[1:], len(self.address)), strict=True):
+        for part, a, b in zip(parts, first, np.append(first, len(self.address))[1:], strict=True):
             yield int(part), self.firsts[a:b], slice(int(a), int(b))
 
     def messages(self) -> Messages:
