@@ -1,7 +1,7 @@
 """Column expressions: hash keys, tolerant casts, identity-number rules, labels."""
 
-from lakevault.functions.keys import hash_key, hashdiff, link_key
-from lakevault.functions.casts import tolerant_double, parse_date_text, parse_nested_text
+from lakevault.functions.keys import hash_key, hashdiff, link_key, tuple_text
+from lakevault.functions.casts import nested_text_failed, parse_date_text, parse_nested_text, tolerant_double
 from lakevault.functions.identity import (
     cpf_is_valid,
     mask_tax_id,
@@ -13,9 +13,11 @@ __all__ = [
     "hash_key",
     "hashdiff",
     "link_key",
+    "tuple_text",
     "tolerant_double",
     "parse_date_text",
     "parse_nested_text",
+    "nested_text_failed",
     "cpf_is_valid",
     "mask_tax_id",
     "pseudonym",

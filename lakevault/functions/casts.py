@@ -20,6 +20,21 @@ def parse_date_text(c, pattern: str = "dd/MM/yyyy") -> Column:
     return F.to_date(F.try_to_timestamp(_as_col(c), F.lit(pattern)))
 
 
+# a quoted string, or a bare word of the literal
+_TOKEN = r"""('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|\b{word}\b"""
+
+
 def parse_nested_text(c, ddl: str) -> Column:
-    """Nested literal text (``[{'k': 1}]``, single quotes allowed) -> typed value."""
-    return F.from_json(_as_col(c), ddl, {"allowSingleQuotes": "true"})
+    """Nested literal text (``[{'k': 1}]``, single quotes, ``None``, ``True``, ``False``) -> typed value; else null."""
+    text = _as_col(c)
+    for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):  # outside quoted strings only
+        text = F.regexp_replace(text, _TOKEN.format(word=word), "$1" + json_word + "\u0000")
+        # a quoted string was matched whole: take the word back that was put behind it
+        text = F.regexp_replace(text, r"(['\"])" + json_word + "\u0000", "$1")
+        text = F.regexp_replace(text, "\u0000", "")
+    return F.from_json(text, ddl, {"allowSingleQuotes": "true"})
+
+
+def nested_text_failed(c, ddl: str) -> Column:
+    """True where a text is there but does not parse."""
+    return _as_col(c).isNotNull() & parse_nested_text(c, ddl).isNull()

@@ -47,10 +47,11 @@ MASK_TAIL = "**"
 
 
 def mask_tax_id(c) -> Column:
-    """11-digit personal ids become ``***`` + digits 4..9 + ``**``; other ids are kept."""
+    """Personal ids, of 11 digits however punctuated, become ``***`` + digits 4..9 + ``**``; other ids are kept."""
     text = _as_col(c).cast("string")
-    masked = F.concat(F.lit(MASK_HEAD), F.substring(text, 4, 6), F.lit(MASK_TAIL))
-    return F.when(F.length(text) == 11, masked).otherwise(text)
+    digits = F.regexp_replace(text, "[^0-9]", "")
+    masked = F.concat(F.lit(MASK_HEAD), F.substring(digits, 4, 6), F.lit(MASK_TAIL))
+    return F.when(F.length(digits) == 11, masked).otherwise(text)
 
 
 def pseudonym(c, salt: str) -> Column:

@@ -23,12 +23,30 @@ def hash_key(business_key, algo: str = "md5") -> Column:
     raise ValueError(f"unknown hash algorithm {algo!r}")
 
 
-def link_key(*business_keys, sep: str = "||", algo: str = "md5") -> Column:
-    """Hash of several business keys joined by ``sep`` (nulls are skipped, as concat_ws does)."""
-    joined = F.concat_ws(sep, *[_as_col(k).cast("string") for k in business_keys])
+def tuple_text(*values) -> Column:
+    """One text for a tuple of values, different for different tuples.
+
+    Every value is written as ``<length>:<text>``, a null as ``-``, joined by ``|``:
+    separators inside values, and nulls in other places, cannot be confused.
+    """
+    texts = [_as_col(v).cast("string") for v in values]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.concat_ws("|", *parts)
+
+
+def link_key(*business_keys, algo: str = "md5") -> Column:
+    """Hash of several business keys (``tuple_text``); null if any key is null."""
+    joined = F.when(_all_known(business_keys), tuple_text(*business_keys))
     return F.md5(joined) if algo == "md5" else F.sha2(joined, 256)
 
 
+def _all_known(keys) -> Column:
+    known = F.lit(True)
+    for k in keys:
+        known = known & _as_col(k).isNotNull()
+    return known
+
+
 def hashdiff(*attrs) -> Column:
     """Digest of the attribute tuple; ("a", null) and (null, "a") stay different.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakevault.functions.keys import tuple_text
 from lakevault.operators.history import latest_per_key
 from lakevault.operators.vault import ts_literal
 from lakevault.sources.versioned import VersionedTable
@@ -19,42 +20,72 @@ def stamp_ingest(df: DataFrame, load_ts, column: str = "data_carga") -> DataFram
     return df.withColumn(column, ts_literal(load_ts))
 
 
-def contract_split(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) under ``rules`` (reason -> condition that marks a
-    violation). Rejected rows carry ``reasons``, the violated rule names joined
-    by ','. Both outputs come from one projection of the input.
+def contract_split(df: DataFrame, rules: dict[str, Column], types: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected) under a contract.
+
+    ``rules`` maps a reason to the condition that marks a violation; a condition that
+    is null (its input is missing) is one too. ``types`` maps columns to the types
+    they must cast to: a text that does not is rejected as ``type:<column>``, and
+    valid rows carry the typed value; a column that is missing fails the call.
+    Rejected rows are as they came, with ``reasons``, the names joined by ','.
     """
-    reasons = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules.items()]))
-    tagged = df.withColumn("_reasons", reasons)
-    valid = tagged.where(F.size("_reasons") == 0).drop("_reasons")
-    rejected = tagged.where(F.size("_reasons") > 0).withColumn(
-        "reasons", F.concat_ws(",", "_reasons")
-    ).drop("_reasons")
+    types = types or {}
+    missing = [c for c in types if c not in df.columns]
+    if missing:
+        raise ValueError(f"the contract's column(s) {missing} are missing")
+    marks = [F.when(F.coalesce(cond, F.lit(True)), F.lit(name)) for name, cond in rules.items()]
+    marks += [F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), F.lit(f"type:{c}")) for c, t in types.items()]
+    tagged = df.withColumn("_reasons", F.array_compact(F.array(*marks)))
+    valid = tagged.where(F.size("_reasons") == 0).drop("_reasons").withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
+    rejected = tagged.where(F.size("_reasons") > 0).withColumn("reasons", F.concat_ws(",", "_reasons")).drop("_reasons")
     return valid, rejected
 
 
 def with_checksum(df: DataFrame, columns, name: str = "checksum") -> DataFrame:
-    """SHA-256 of the columns joined by '|' (nulls skipped)."""
-    return df.withColumn(name, F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in _cols(columns)]), 256))
+    """SHA-256 of the columns' tuple (``tuple_text``: nulls and separators tell tuples apart)."""
+    return df.withColumn(name, F.sha2(tuple_text(*_cols(columns)), 256))
+
 
+def ingest_by_checksum(table: VersionedTable, batch: DataFrame, columns, name: str = "checksum",
+                       load_id: str | None = None) -> str:
+    """Append only rows whose checksum is not stored yet (re-ingest is a no-op).
 
-def ingest_by_checksum(table: VersionedTable, batch: DataFrame, columns, name: str = "checksum") -> int:
-    """Append only rows whose checksum is not stored yet (re-ingest is a no-op)."""
-    rows = with_checksum(batch, columns, name).dropDuplicates([name])
+    Of rows with the same checksum the least one is kept (a partial aggregate, so
+    repeated rows are combined before the shuffle).
+    """
+    rows = with_checksum(batch, columns, name)
+    others = [c for c in rows.columns if c != name]
+    least = F.min(F.struct(*[F.col(c) for c in others])).alias("_row")
+    rows = rows.groupBy(name).agg(least).select(*[F.col(f"_row.{c}").alias(c) for c in others], name)
     if not table.exists():
-        return table.write(rows, mode="errorifexists")
+        return table.write(rows, mode="errorifexists", load_id=load_id)
     fresh = rows.join(table.read().select(name), name, "left_anti")
-    return table.write(fresh, mode="append")
+    return table.write(fresh, mode="append", load_id=load_id)
 
 
-def newer_than_stored(table: VersionedTable, batch: DataFrame, ts_col: str) -> DataFrame:
-    """Rows of ``batch`` strictly newer than the stored maximum of ``ts_col``
-    (all of them when the table is empty). The maximum is a scalar subquery."""
+def newer_than_stored(table: VersionedTable, batch: DataFrame, ts_col: str) -> tuple[DataFrame, DataFrame]:
+    """(new, held back): rows strictly newer than the stored maximum of ``ts_col``, and all others.
+
+    Rows equal to the maximum, late ones and those without a time are held back, not
+    lost: they need the checksum or key rule. The maximum is a scalar subquery.
+    """
     if not table.exists():
-        return batch
-    high = table.read().select(F.max(ts_col)).scalar()  # lazy scalar subquery
-    # an empty stored table has no maximum: then every row is new
-    return batch.where(F.coalesce(F.col(ts_col) > high, high.isNull()))
+        return batch.where(F.col(ts_col).isNotNull()), batch.where(F.col(ts_col).isNull())
+    high = table.read().select(F.max(ts_col)).scalar()  # lazy; null for an empty table: then every dated row is new
+    new = F.coalesce(F.col(ts_col) > high, high.isNull() & F.col(ts_col).isNotNull(), F.lit(False))
+    return batch.where(new), batch.where(~new)
+
+
+def ingest_newer(table: VersionedTable, batch: DataFrame, ts_col: str, load_id: str | None = None) -> DataFrame:
+    """Append the rows newer than the stored maximum; returns the rows held back.
+
+    Running it again with the same batch appends nothing.
+    """
+    new, _ = newer_than_stored(table, batch, ts_col)
+    before = table.read().agg(F.max(ts_col)).first()[0] if table.exists() else None
+    table.write(new, mode="append" if table.exists() else "errorifexists", load_id=load_id)
+    ts = F.col(ts_col)
+    return batch.where(ts.isNull() if before is None else ts.isNull() | (ts <= F.lit(before)))
 
 
 def with_ingest_metadata(df: DataFrame, record_source: str, source_format: str,

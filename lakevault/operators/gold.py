@@ -23,10 +23,10 @@ def current_dimension(
     without satellite rows, or the reverse, is not in the dimension).
 
     ``columns`` maps output names to expressions over the joined row; hub
-    columns are reachable as ``h.<name>``, satellite columns as ``s.<name>``.
+    columns are reachable as ``key.<name>``, satellite columns as ``state.<name>``.
     """
     latest = latest_per_key(sat, [hk], _cols(order))
-    joined = hub.alias("h").join(latest.alias("s"), F.col(f"h.{hk}") == F.col(f"s.{hk}"), "inner")
+    joined = hub.alias("key").join(latest.alias("state"), F.col(f"key.{hk}") == F.col(f"state.{hk}"), "inner")
     return joined.select(*[expr.alias(name) for name, expr in columns.items()])
 
 

@@ -5,11 +5,10 @@ one hot key (even a third of all rows) never lands whole in one task:
 
 * ``latest_per_key`` is an aggregate (``max_by`` over an order struct), so
   each map task pre-combines its rows to one per key before the shuffle.
-* ``with_neighbors`` windows rows per (key, chunk), where the chunk is a
-  column that never decreases along the order (for example the day of the
-  load date). The first/last row of each chunk is then stitched to the
-  neighbouring chunk through a summary of one row per (key, chunk), whose
-  size is bounded by the calendar, not by the data.
+* ``with_neighbors`` windows rows per (key, chunk), a chunk being a measured
+  range of equally many rows, or a calendar unit. The first/last row of each
+  chunk is then stitched to the neighbouring chunk through a summary of one
+  row per (key, chunk).
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakevault.session import scratch_path
 
 
 def _cols(names) -> list[str]:
@@ -42,6 +42,19 @@ def latest_per_key(df: DataFrame, keys, order, ascending: bool = False) -> DataF
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_best.{c}").alias(c) for c in payload])
 
 
+def in_ranges(df: DataFrame, keys, order) -> DataFrame:
+    """``df``, written, with ``_chunk``: the number of its range of (keys, order).
+
+    The ranges come from a sample of the data (range partitioning), so they hold about
+    equally many rows however hot a key, a day or an instant is, and a chunk never
+    decreases along the order of a key. Writing fixes the ranges for all later reads.
+    """
+    path = scratch_path(df.sparkSession, "ranges")
+    cut = df.repartitionByRange(*_cols(keys), *_cols(order)).withColumn("_chunk", F.spark_partition_id())
+    cut.write.parquet(path)
+    return df.sparkSession.read.schema(cut.schema).parquet(path)
+
+
 def with_neighbors(
     df: DataFrame,
     keys,
@@ -50,26 +63,21 @@ def with_neighbors(
     nxt: dict | None = None,
     chunk: Column | None = None,
 ) -> DataFrame:
-    """Add the previous (``prev``) / next (``nxt``) row's columns within each non-null key.
-
-    ``chunk`` must be non-null (``day_chunk`` / ``time_chunk`` guarantee it).
-
-    ``prev`` / ``nxt`` map an output name to a column name. Without ``chunk``
-    this is a plain window per key. With ``chunk`` (non-decreasing along
-    ``order`` inside a key) the window runs per (key, chunk) and chunk borders
-    are filled from the neighbouring chunk.
+    """Add the previous (``prev``) / next (``nxt``) row's columns within each key.
+
+    ``prev`` / ``nxt`` map an output name to a column name. Windows run per (key,
+    chunk), and rows at chunk borders are filled from the neighbouring chunk, so no
+    task holds a whole key. ``chunk`` must be non-null and non-decreasing along
+    ``order`` inside a key; by default chunks are measured ranges of equally many
+    rows (``in_ranges``), which also splits a key that is hot within one day.
+    Calendar chunks (``day_chunk``, ``time_chunk``) save the write where no (key, day)
+    can be hot. A null key is a key like any other.
     """
     keys, order = _cols(keys), _cols(order)
     prev, nxt = dict(prev or {}), dict(nxt or {})
+    columns = df.columns
     if chunk is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        out = df
-        for name, c in prev.items():
-            out = out.withColumn(name, F.lag(c).over(w))
-        for name, c in nxt.items():
-            out = out.withColumn(name, F.lead(c).over(w))
-        return out
-
+        df, chunk = in_ranges(df, keys, order), F.col("_chunk")
     d = df.withColumn("_chunk", chunk)
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     d = d.withColumns(
@@ -97,16 +105,19 @@ def with_neighbors(
     if nxt:
         border["_after"] = F.lead("_first").over(ws)
     summary = summary.select(*keys, "_chunk", *[e.alias(n) for n, e in border.items()])
-    # equi-join on the window's own keys: the big side keeps its partitioning,
-    # only the small summary is shuffled. Keys must be non-null (vault hash keys
-    # are; null business keys are rejected before they get here).
-    j = d.join(summary, [*keys, "_chunk"], "inner")
+    # equi-join on the window's own keys: the big side keeps its partitioning, only
+    # the small summary is shuffled
+    summary = summary.withColumnsRenamed({c: f"_of_{c}" for c in [*keys, "_chunk"]})
+    same = F.lit(True)
+    for c in [*keys, "_chunk"]:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    j = d.join(summary, same, "inner")
     filled = {}
     for n in prev:
         filled[n] = F.when(F.col("_is_first"), F.col(f"_before.{n}")).otherwise(F.col(f"_in_{n}"))
     for n in nxt:
         filled[n] = F.when(F.col("_is_last"), F.col(f"_after.{n}")).otherwise(F.col(f"_in_{n}"))
-    return j.withColumns(filled).select(*df.columns, *filled.keys())
+    return j.withColumns(filled).select(*columns, *filled.keys())
 
 
 def changed_rows(

@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakevault.sources.versioned import delete_folder
+
+DAY = ["year", "month", "day"]  # partition columns of a landing zone
 MONEY = "decimal(18,2)"
 
 
@@ -111,28 +114,26 @@ def sla_mart(orders: DataFrame, lines: DataFrame, *, call: str, order_key: str,
     )
 
 
-def daily_counts(df: DataFrame, ts_col: str, by: list[str]) -> DataFrame:
-    return df.groupBy(F.to_date(ts_col).alias("dia"), *by).agg(F.count(F.lit(1)).alias("n"))
-
-
-def refresh_daily_mart(mart_path: str, source: DataFrame, batch: DataFrame, ts_col: str, by: list[str],
-                       first: bool = False) -> None:
-    """Incremental refresh: recompute only the days the batch touches.
+def refresh_daily_mart(mart_path: str, landing: DataFrame, touched: DataFrame, by: list[str]) -> None:
+    """Incremental refresh: recompute only the ``touched`` days (rows with year, month, day).
 
-    The mart is stored partitioned by ``dia``; the touched days come from the
-    batch (late rows reopen old days), the source is filtered to those days
-    by a semi join, and only those partitions are replaced (dynamic partition
-    overwrite).
+    ``landing`` is the source as ``land_partitioned`` stores it, so the join on its
+    partition columns prunes the scan to those days. The mart is partitioned by
+    ``dia``; only the touched partitions are replaced (dynamic partition overwrite),
+    and a touched day without any row left loses its partition.
     """
-    if first:
-        daily_counts(source, ts_col, by).write.mode("overwrite").partitionBy("dia").parquet(mart_path)
-        return
-    touched = batch.select(F.to_date(ts_col).alias("_d")).distinct()
-    redo = source.join(touched, F.to_date(source[ts_col]) == touched["_d"], "left_semi")
+    spark = landing.sparkSession
+    days = touched.select(*DAY).distinct()
+    redo = landing.join(days, DAY, "left_semi")
+    dia = F.make_date(*DAY).alias("dia")
+    daily = redo.groupBy(dia, *by).agg(F.count(F.lit(1)).alias("n"))
     (
-        daily_counts(redo, ts_col, by)
+        daily.hint("rebalance", "dia")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dia")
         .parquet(mart_path)
     )
+    emptied = days.join(landing.select(*DAY), DAY, "left_anti").select(dia)
+    for r in emptied.toLocalIterator():  # days, not rows
+        delete_folder(spark, f"{mart_path}/dia={r.dia.isoformat()}")

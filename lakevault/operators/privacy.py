@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakevault.operators.history import latest_per_key
@@ -23,22 +23,14 @@ def build_grants(explicit: DataFrame, scopes: DataFrame, scope: str, see_all: li
     return grants.distinct()
 
 
-def row_level_filter(df: DataFrame, grants: DataFrame, scope: str, user: str = "usuario") -> DataFrame:
-    """Each (user, row) the user may see: rows whose ``scope`` is granted."""
-    return df.join(grants, scope, "inner")
+def row_level_filter(df: DataFrame, grants: DataFrame, scope: str, user: str, name: str) -> DataFrame:
+    """The rows that user ``name`` may see: those whose ``scope`` is granted (a semi join)."""
+    return df.join(grants.where(F.col(user) == name).select(scope), scope, "left_semi")
 
 
-def forget_subjects(table: VersionedTable, requests: DataFrame, key: str) -> int:
-    """Remove every row of the requested subjects from every stored version.
-
-    Only the versions that hold a requested subject are rewritten (found by a
-    semi join); the others keep their files.
-    """
-    gone = requests.select(key).distinct()
-    hit = table.versions_where(lambda df: df.join(gone, key, "left_semi"))
-    if not hit:
-        return table.latest_version()
-    return table.rewrite(lambda df: df.join(gone, key, "left_anti"), operation="DELETE", versions=set(hit))
+def forget_subjects(table: VersionedTable, requests: DataFrame, key: str) -> None:
+    """Remove every row of the requested subjects from every stored load; call again after a failure."""
+    table.erase(requests, key)
 
 
 def consenting(events: DataFrame, key: str, kind: str, order, grant: str, revoke: str) -> DataFrame:
@@ -50,7 +42,3 @@ def consenting(events: DataFrame, key: str, kind: str, order, grant: str, revoke
 def consent_filter(df: DataFrame, consent: DataFrame, key: str) -> DataFrame:
     """Rows of subjects with consent (semi join)."""
     return df.join(consent, key, "left_semi")
-
-
-def mask_columns(df: DataFrame, masks: dict[str, Column]) -> DataFrame:
-    return df.withColumns(masks)

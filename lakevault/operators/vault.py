@@ -3,9 +3,10 @@
 Row builders (``hub_rows``, ``sat_rows``, ``link_rows``, ``hub_multi_source``,
 ``cdc_apply``, ``sat_as_of``, ``cdc_read_state``) take DataFrames and column
 names and return DataFrames. Loaders (``hub_load``, ``insert_new_keys``,
-``sat_append_all``, ``sat_append_changed``, ``cdc_append_changes``,
-``cdc_compact``) write a ``VersionedTable`` and return the new version
-(``hub_load`` returns the rejected rows). One load stamp (``load_ts``) is
+``sat_append_all``, ``sat_append_changed``, ``sat_rebuild``,
+``cdc_append_changes``, ``cdc_compact``) write a ``VersionedTable`` and return the
+load's name (``hub_load`` returns the rejected rows, ``sat_append_changed`` the
+late ones). One load stamp (``load_ts``) is
 passed to a whole batch, so hub and satellite rows of one run carry the same
 load date.
 """
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from lakevault.functions.keys import hash_key, link_key
 from lakevault.operators.history import changed_rows, latest_per_key
+from lakevault.session import scratch_path
 from lakevault.sources.versioned import VersionedTable
 
 
@@ -27,10 +29,12 @@ def _cols(names) -> list[str]:
 
 
 def ts_literal(value) -> Column:
-    """A TIMESTAMP_NTZ literal from ``datetime`` or ``'YYYY-MM-DD[ HH:MM:SS]'`` text."""
+    """A TIMESTAMP_NTZ literal (UTC) from ``datetime`` or ``'YYYY-MM-DD[ HH:MM:SS]'`` text."""
     if isinstance(value, Column):
         return value
     if isinstance(value, _dt.datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(_dt.timezone.utc)
         value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
     return F.to_timestamp_ntz(F.lit(str(value)))
 
@@ -60,38 +64,37 @@ def hub_rows(
     return hub.withColumns(extra), rejects
 
 
-def insert_new_keys(table: VersionedTable, rows: DataFrame, hk: str = "hk", prefilter: bool = False,
-                    assume_unique: bool = False, load_id: str | None = None) -> int:
-    """Insert-only merge: append the rows whose ``hk`` the table does not hold yet.
+def insert_new_keys(table: VersionedTable, rows: DataFrame, keys, prefilter: bool = False,
+                    load_id: str | None = None) -> str | None:
+    """Insert-only merge: append the rows whose business ``keys`` the table does not hold yet.
 
-    First load creates the table. Re-running a batch appends nothing. Rows
-    are also de-duplicated on ``hk`` inside the batch, unless ``assume_unique``
-    says they already are (rows of ``hub_rows`` / ``link_rows`` are distinct on
-    their business keys, and the hash key is a function of those).
+    ``rows`` must be distinct on ``keys`` (``hub_rows`` and ``link_rows`` are). The
+    anti join runs on the same keys as their ``distinct``, whose partitioning it
+    reuses: the batch is shuffled once. The first load creates the table; a batch
+    without new keys writes nothing and returns None.
 
-    ``prefilter`` is for small batches against a large table: the stored keys
-    are first reduced to those in the batch by a semi join that Catalyst or
-    adaptive execution can run as a broadcast of the batch keys (a size-checked
-    decision), so the stored key column is scanned but never shuffled; the
-    anti join then only sees that remainder. For batches as large as the
-    table, leave it off: the plain anti join shuffles each side once.
+    ``prefilter`` is for small batches against a large table: the stored keys are
+    first cut to those of the batch by a semi join, which Catalyst or AQE may run as
+    a broadcast of the batch's keys (a size-checked decision); then the stored
+    keys are scanned but not shuffled.
     """
-    if not assume_unique:
-        rows = rows.dropDuplicates([hk])
+    keys = _cols(keys)
     if not table.exists():
-        return table.write(rows, mode="errorifexists", operation="WRITE", load_id=load_id)
-    known = table.read().select(hk)
+        return table.write(rows, mode="errorifexists", load_id=load_id)
+    known = table.read().select(*keys)
     if prefilter:
-        known = known.join(rows.select(hk), hk, "left_semi")
-    fresh = rows.join(known, hk, "left_anti")
-    return table.write(fresh, mode="append", operation="MERGE", load_id=load_id)
+        known = known.join(rows.select(*keys), keys, "left_semi")
+    fresh = rows.join(known, keys, "left_anti")
+    if prefilter and fresh.isEmpty():
+        return None
+    return table.write(fresh, mode="append", load_id=load_id)
 
 
 def hub_load(table: VersionedTable, batch: DataFrame, business_key: str, load_ts, record_source: str,
              hk: str = "hk", algo: str = "md5", load_id: str | None = None) -> DataFrame:
     """Build hub rows for a batch and merge them insert-only; returns the rejects."""
     hub, rejects = hub_rows(batch, business_key, hk, load_ts, record_source, algo)
-    insert_new_keys(table, hub, hk, assume_unique=True, load_id=load_id)
+    insert_new_keys(table, hub, business_key, load_id=load_id)
     return rejects
 
 
@@ -109,11 +112,14 @@ def hub_multi_source(sources: list[tuple[DataFrame, str, str]], key_name: str =
 
 
 # --------------------------------------------------------------------------- links
-def link_rows(df: DataFrame, business_keys, hk: str = "hk_link", sep: str = "||") -> DataFrame:
-    """Distinct key combinations with their combined hash key."""
+def link_rows(df: DataFrame, business_keys, hk: str = "hk_link") -> tuple[DataFrame, DataFrame]:
+    """(links, rejects): distinct key combinations with their hash; rows with a null key are rejected."""
     keys = _cols(business_keys)
-    pairs = df.select(*keys).distinct()
-    return pairs.select(link_key(*keys, sep=sep).alias(hk), *keys)
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    pairs = df.where(~missing).select(*keys).distinct()
+    return pairs.select(link_key(*keys).alias(hk), *keys), df.where(missing)
 
 
 # --------------------------------------------------------------------------- satellites
@@ -128,7 +134,7 @@ def sat_rows(df: DataFrame, business_key: str, attributes, load_date_col: str |
     if load_date_col is not None:
         load_date = F.col(load_date_col)
     else:
-        load_date = ts_literal(load_ts if load_ts is not None else _dt.datetime.now())
+        load_date = ts_literal(load_ts if load_ts is not None else _dt.datetime.now(_dt.timezone.utc))
     cols = [hash_key(business_key, algo).alias(hk), load_date.alias("load_date")]
     cols += [F.col(a) for a in _cols(attributes)]
     if record_source is not None:
@@ -136,48 +142,64 @@ def sat_rows(df: DataFrame, business_key: str, attributes, load_date_col: str |
     return df.where(F.col(business_key).isNotNull()).select(*cols)
 
 
-def sat_append_all(table: VersionedTable, rows: DataFrame, load_id: str | None = None) -> int:
+def sat_append_all(table: VersionedTable, rows: DataFrame, load_id: str | None = None) -> str:
     """Append every row of the batch (re-loading a batch doubles it, unless the
     retry carries the same ``load_id``)."""
-    return table.write(rows, mode="append", operation="WRITE", load_id=load_id)
+    return table.write(rows, mode="append", load_id=load_id)
 
 
 def sat_append_changed(table: VersionedTable, rows: DataFrame, hk: str, order, compare,
-                       chunk: Column | None = None, current: VersionedTable | None = None,
-                       load_id: str | None = None) -> int:
-    """Append only versions that differ from their predecessor.
-
-    The predecessor of a batch row is the previous batch row of the same key
-    or, for the first one, the latest stored row of that key. Batch rows at
-    or before that stored row are ignored, so re-sending a batch stores
-    nothing. The stored latest rows come from ``current`` (one row per key,
-    kept up to date here) when given, else from the satellite itself; either
-    way only keys present in the batch are read (semi join) and "latest" is
-    an aggregate, so the satellite's history is never windowed. With a
-    ``load_id`` a retry after a failure between the satellite and the current
-    table commits finishes the current table without appending twice.
+                       chunk: Column | None = None, seen: VersionedTable | None = None,
+                       load_id: str | None = None) -> DataFrame:
+    """Append the versions that differ from their predecessor; returns the late rows.
+
+    A batch row's predecessor is the previous row of its key in the batch or, for
+    the first, the key's latest stored row; both come from one relation (stored
+    latest rows of the batch's keys and the batch), and "latest" is an aggregate.
+
+    A row is late if its key has been seen up to that order or beyond. ``seen`` keeps
+    how far (a row per key and load), as unchanged rows are not stored; without it the
+    latest stored row stands for it, which is right if batches come in order. A late
+    row cannot be judged without the rows that were not stored: if it equals the
+    version in force it is dropped (a batch sent again), else it is returned, for
+    ``sat_rebuild`` from the full history. With a ``load_id`` a retry writes nothing twice.
     """
-    order = _cols(order)
+    order, compare = _cols(order), _cols(compare)
+    at = F.struct(*[F.col(c) for c in order])
+    reached = rows.groupBy(hk).agg(F.max(at).alias("_at")).select(hk, *[F.col(f"_at.{c}").alias(c) for c in order])
     if not table.exists():
-        version = table.write(changed_rows(rows, [hk], order, compare, chunk), mode="errorifexists",
-                              load_id=load_id)
-    else:
-        source = current.read() if current is not None and current.exists() else table.read()
-        prior = latest_per_key(source.join(rows.select(hk).distinct(), hk, "left_semi"), [hk], order)
-        # rows at or before a key's stored latest are already covered (a re-sent
-        # batch adds nothing); only rows after it can be new versions
-        seen = prior.select(hk, F.struct(*[F.col(c) for c in order]).alias("_seen"))
-        newer = rows.join(seen, hk, "left").where(
-            F.col("_seen").isNull() | (F.struct(*[F.col(c) for c in order]) > F.col("_seen"))
-        ).drop("_seen")
-        both = prior.withColumn("_prior", F.lit(True)).unionByName(newer.withColumn("_prior", F.lit(False)))
-        fresh = changed_rows(both, [hk], order, compare, chunk).where(~F.col("_prior")).drop("_prior")
-        version = table.write(fresh, mode="append", load_id=load_id)
-    if current is not None:
-        added = table.read_added(version)
-        base = current.read().unionByName(added) if current.exists() else added
-        current.write(latest_per_key(base, [hk], order), mode="overwrite", load_id=load_id)
-    return version
+        table.write(changed_rows(rows, [hk], order, compare, chunk), mode="errorifexists", load_id=load_id)
+        if seen is not None:
+            seen.write(reached, load_id=load_id)
+        return rows.limit(0)
+    keys = rows.select(hk).distinct()
+    stored = table.read().join(keys, hk, "left_semi")
+    latest = latest_per_key(stored, [hk], order).withColumn("_prior", F.lit(True))
+    high = seen.read().join(keys, hk, "left_semi") if seen is not None and seen.exists() else latest
+    high = high.groupBy(F.col(hk).alias("_hk")).agg(F.max(at).alias("_high"))
+    judged = rows.withColumn("_prior", F.lit(False)).join(high, F.col(hk) == F.col("_hk"), "left").drop("_hk")
+    newer = judged.where(F.col("_high").isNull() | (at > F.col("_high"))).drop("_high")
+    older = judged.where(at <= F.col("_high")).drop("_high")
+    fresh = changed_rows(latest.unionByName(newer), [hk], order, compare, chunk).where(~F.col("_prior")).drop("_prior")
+    # late rows that differ from the version in force, the last stored one up to them
+    past = changed_rows(stored.withColumn("_prior", F.lit(True)).unionByName(older), [hk], order, compare, chunk)
+    late = past.where(~F.col("_prior")).select(*rows.columns).join(stored.select(hk, *order), [hk, *order], "left_anti")
+    late = late.select(*rows.columns)
+    path = scratch_path(rows.sparkSession, "late")
+    late.write.parquet(path)  # judged against the table as it is now, before the batch is added
+    table.write(fresh, mode="append", load_id=load_id)
+    if seen is not None:
+        seen.write(reached, load_id=load_id)
+    return rows.sparkSession.read.schema(late.schema).parquet(path)
+
+
+def sat_rebuild(table: VersionedTable, history: DataFrame, keys: DataFrame, hk: str, order, compare,
+                chunk: Column | None = None) -> str:
+    """Store the changed versions of ``keys`` anew from their full ``history``; other keys keep theirs."""
+    keys = keys.select(hk).distinct()
+    redone = changed_rows(history.join(keys, hk, "left_semi"), [hk], _cols(order), _cols(compare), chunk)
+    kept = table.read().join(keys, hk, "left_anti")
+    return table.write(kept.unionByName(redone.select(*kept.columns)), mode="overwrite", rebalance=True)
 
 
 def sat_as_of(sat: DataFrame, hk: str, ts_col: str, as_of, order) -> DataFrame:
@@ -187,40 +209,38 @@ def sat_as_of(sat: DataFrame, hk: str, ts_col: str, as_of, order) -> DataFrame:
 
 # --------------------------------------------------------------------------- CDC
 def cdc_apply(state: DataFrame | None, changes: DataFrame, keys, order, is_delete: Column) -> DataFrame:
-    """New state after a batch of changes: the latest change per key wins;
-    a delete removes the key, anything else upserts it.
+    """The state after a batch of changes: the latest change per key, stored or new, by ``order``.
+
+    The state keeps the order columns and a ``_deleted`` row for a deleted key, so
+    batches may come in any order, and again: an older change never replaces a newer
+    one, and a deleted key does not come back. ``cdc_live`` leaves deleted keys out.
     """
-    keys = _cols(keys)
-    last = latest_per_key(changes, keys, _cols(order))
-    upserts = last.where(~is_delete)
-    if state is None:
-        return upserts
-    untouched = state.join(last.select(*keys), keys, "left_anti")
-    return untouched.unionByName(upserts.select(*state.columns))
+    tagged = changes.withColumn("_deleted", F.coalesce(is_delete, F.lit(False)))
+    if state is not None:
+        tagged = state.unionByName(tagged.select(*state.columns))
+    return latest_per_key(tagged, _cols(keys), _cols(order))
+
+
+def cdc_live(state: DataFrame) -> DataFrame:
+    """The rows of a CDC state that are not deleted."""
+    return state.where(~F.col("_deleted")).drop("_deleted")
 
 
 def cdc_append_changes(table: VersionedTable, changes: DataFrame, keys, order, is_delete: Column,
-                       load_id: str | None = None) -> int:
-    """Merge-on-read CDC, write side: append only the batch's latest change
-    per key with a ``_deleted`` flag. The write is as large as the batch, not
-    as the state (``cdc_apply`` + overwrite rewrites the whole state)."""
-    keys = _cols(keys)
-    last = latest_per_key(changes, keys, _cols(order))
-    return table.write(last.withColumn("_deleted", is_delete), mode="append", operation="WRITE", load_id=load_id)
+                       load_id: str | None = None) -> str:
+    """Merge-on-read CDC, write side: append only the batch's latest change per key.
 
+    The write is as large as the batch, not as the state (``cdc_apply`` with an
+    overwrite writes the whole state)."""
+    return table.write(cdc_apply(None, changes, keys, order, is_delete), mode="append", load_id=load_id)
 
-def cdc_read_state(table: VersionedTable, keys, order) -> DataFrame:
-    """Merge-on-read CDC, read side: latest stored change per key, deletes
-    dropped. One aggregate over the changes since the last compaction."""
-    keys = _cols(keys)
-    last = latest_per_key(table.read(), keys, _cols(order))
-    return last.where(~F.col("_deleted")).drop("_deleted")
 
+def cdc_read_state(table: VersionedTable, keys, order) -> DataFrame:
+    """Merge-on-read CDC, read side: latest stored change per key, deleted keys left out."""
+    return cdc_live(latest_per_key(table.read(), _cols(keys), _cols(order)))
 
-def cdc_compact(table: VersionedTable, keys, order) -> int:
-    """Fold the appended changes into one snapshot (a new overwrite version), so
-    reads stay one aggregate over about one row per key."""
-    keys = _cols(keys)
-    state = latest_per_key(table.read(), keys, _cols(order)).where(~F.col("_deleted"))
-    return table.write(state, mode="overwrite", operation="OPTIMIZE", rebalance=True)
 
+def cdc_compact(table: VersionedTable, keys, order) -> str:
+    """Fold the appended changes into one snapshot, a row per key (deleted ones too, so that
+    an older change arriving later stays without effect)."""
+    return table.write(latest_per_key(table.read(), _cols(keys), _cols(order)), mode="overwrite", rebalance=True)

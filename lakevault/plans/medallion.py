@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lakevault.operators.bronze import stamp_ingest
 from lakevault.operators.gold import current_dimension, top_k
-from lakevault.operators.history import changed_rows, day_chunk, latest_per_key
+from lakevault.operators.history import changed_rows, latest_per_key
 from lakevault.operators.vault import hub_load, sat_append_all, sat_rows
 from lakevault.sources.csv import read_csv_robust
 from lakevault.sources.versioned import VersionedTable
@@ -29,12 +29,12 @@ class Silver:
 
 
 def ingest_bronze(spark: SparkSession, source_glob: str, schema, table: VersionedTable, load_ts: str,
-                  stamp_column: str = "data_carga_bronze") -> int:
+                  stamp_column: str = "data_carga_bronze") -> str:
     """Raw CSV extract(s) -> bronze: robust dialect, one load stamp, overwrite.
 
     The path is a glob (extracts carry a time stamp in their name). The row
-    count is observed during the write and stored in the commit, so the load
-    is read once.
+    count is observed during the write (``table.last_num_rows``), so the load is
+    read once.
     """
     raw = read_csv_robust(spark, source_glob, schema)
     return table.write(stamp_ingest(raw, load_ts, stamp_column), mode="overwrite")
@@ -73,12 +73,12 @@ def sat_latest(sat: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def sat_changes(sat: DataFrame) -> DataFrame:
-    """Versions whose ``nome`` differs from the previous one (chunked per day)."""
-    return changed_rows(sat, ["hk"], SAT_ORDER, ["nome"], chunk=day_chunk("load_date"))
+    """Versions whose ``nome`` differs from the previous one."""
+    return changed_rows(sat, ["hk"], SAT_ORDER, ["nome"])
 
 
 def gold_dimension(silver: Silver, coalesce_value: float | None = None) -> DataFrame:
-    valor = F.col("s.valor_raw").try_cast("double")
+    valor = F.col("state.valor_raw").try_cast("double")
     if coalesce_value is not None:
         valor = F.coalesce(valor, F.lit(coalesce_value))
     return current_dimension(
@@ -87,10 +87,10 @@ def gold_dimension(silver: Silver, coalesce_value: float | None = None) -> DataF
         "hk",
         SAT_ORDER,
         {
-            "codigo": F.col("h.user_id"),
-            "nome_projeto": F.col("s.nome"),
+            "codigo": F.col("key.user_id"),
+            "nome_projeto": F.col("state.nome"),
             "valor_projeto": valor,
-            "data_ultima_carga": F.col("s.load_date"),
+            "data_ultima_carga": F.col("state.load_date"),
         },
     )
 

@@ -29,10 +29,15 @@ ORACLE_SQL = {
     "source_registry_sql": "SELECT r_name, count(*) AS n FROM nation JOIN region ON n_regionkey=r_regionkey GROUP BY 1",
     "load_counts": "SELECT 'orders' AS tbl, count(*) AS n FROM orders UNION ALL SELECT 'customer', count(*) FROM customer",
     "ingest_checksum": (
-        "SELECT event_id, sha256(concat_ws('|', CAST(event_id AS VARCHAR), event_type, props)) AS checksum FROM events"
+        "SELECT event_id, sha256(concat_ws('|', "
+        "coalesce(length(CAST(event_id AS VARCHAR)) || ':' || CAST(event_id AS VARCHAR), '-'), "
+        "CASE WHEN event_type <> 'view' THEN length(event_type) || ':' || event_type ELSE '-' END, "
+        "length(event_type || '|' || props) || ':' || event_type || '|' || props)) AS checksum FROM events"
     ),
     "ingest_high_watermark": (
-        "SELECT event_id, ts FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-16')"
+        "WITH h AS (SELECT max(ts) AS m FROM events WHERE ts < TIMESTAMP '2024-01-16') "
+        "SELECT event_id, ts, 'stored' AS side FROM events, h WHERE ts < TIMESTAMP '2024-01-16' OR ts > m "
+        "UNION ALL SELECT event_id, ts, 'held back' FROM events, h WHERE ts <= m"
     ),
     "ingest_metadata": "SELECT event_id, 'EVENTS_PARQUET' AS record_source, 'parquet' AS source_format FROM events",
     "normalize_dates": (
@@ -41,8 +46,13 @@ ORACLE_SQL = {
     ),
     "contract_split": (
         "SELECT c_custkey, concat_ws(',', CASE WHEN c_acctbal<0 THEN 'negative_balance' END, "
-        "CASE WHEN c_mktsegment='MACHINERY' THEN 'bad_segment' END) AS reasons FROM customer "
-        "WHERE c_acctbal<0 OR c_mktsegment='MACHINERY'"
+        "CASE WHEN c_mktsegment='MACHINERY' THEN 'bad_segment' END, "
+        "CASE WHEN c_mktsegment='BUILDING' THEN 'type:balance' END) AS reasons FROM customer "
+        "WHERE c_acctbal<0 OR c_mktsegment IN ('MACHINERY', 'BUILDING')"
+    ),
+    "contract_valid": (
+        "SELECT c_custkey, c_acctbal AS balance FROM customer "
+        "WHERE c_acctbal>=0 AND c_mktsegment NOT IN ('MACHINERY', 'BUILDING')"
     ),
     "contract_tax_id": f"""
 WITH b AS (SELECT c_custkey, {TAX_ID} AS id FROM customer),
@@ -74,30 +84,35 @@ SELECT c_custkey, id FROM d WHERE d1=CAST(id[10] AS INTEGER) AND d2=CAST(id[11]
         "(SELECT user_id FROM events WHERE ts < TIMESTAMP '2024-01-02') "
         "THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-02-02' END AS load_date FROM events"
     ),
-    "sat_append_all": (
-        "SELECT user_id, load_no, count(*) AS n FROM events, (VALUES (1),(2)) l(load_no) "
-        "WHERE ts < TIMESTAMP '2024-01-16' GROUP BY 1,2"
-    ),
+    "sat_append_all": "SELECT user_id, load_no, count(*) AS n FROM events, (VALUES (1),(2)) l(load_no) GROUP BY 1,2",
     "sat_append_changed": SAT + "SELECT hk, load_date, nome FROM changed",
+    "sat_append_changed_late": SAT + "SELECT hk, load_date, nome FROM changed",
     "link_load": (
-        "SELECT DISTINCT md5(concat_ws('||', CAST(l_orderkey AS VARCHAR), CAST(l_suppkey AS VARCHAR))) AS hk_link, "
-        "l_orderkey, l_suppkey FROM lineitem"
+        "WITH l AS (SELECT DISTINCT l_orderkey, l_returnflag || '|' || l_linestatus || '|' || CAST(l_suppkey AS VARCHAR) AS flags "
+        "FROM lineitem WHERE l_returnflag <> 'N') "
+        "SELECT md5(length(CAST(l_orderkey AS VARCHAR)) || ':' || CAST(l_orderkey AS VARCHAR) || '|' || length(flags) || ':' || flags) "
+        "AS hk_link, l_orderkey, flags FROM l"
     ),
     "hub_multi_source": (
         "SELECT md5(CAST(k AS VARCHAR)) AS hk, k, min(src) AS record_source FROM (SELECT c_nationkey AS k, "
         "'CUSTOMER' AS src FROM customer UNION ALL SELECT s_nationkey, 'SUPPLIER' FROM supplier) GROUP BY 1,2"
     ),
     "cdc_apply": SAT + "SELECT user_id, nome, load_date FROM latest WHERE nome<>'error'",
+    "cdc_apply_out_of_order": SAT + "SELECT user_id, nome, load_date FROM latest WHERE nome<>'error'",
     "sat_as_of": SAT + (
         "SELECT hk, nome, load_date FROM (SELECT *, row_number() OVER (PARTITION BY hk ORDER BY load_date DESC, "
         "event_id DESC) r2 FROM sat WHERE load_date <= TIMESTAMP '2024-01-16') WHERE r2=1"
     ),
     "version_as_of": "SELECT event_id, user_id FROM events WHERE ts < TIMESTAMP '2024-01-16'",
     "table_history": (
-        "SELECT CAST(version AS BIGINT) AS version, operation, mode FROM "
-        "(VALUES (1,'WRITE','Append'),(0,'WRITE','Overwrite')) h(version, operation, mode)"
+        "SELECT CAST(ts >= TIMESTAMP '2024-01-16' AS BIGINT) AS version, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts "
+        "FROM events GROUP BY 1"
     ),
     "sat_latest": SAT + "SELECT hk, user_id, nome, valor_raw, load_date FROM latest",
+    "raw_to_gold": SAT + (
+        "SELECT user_id AS codigo, nome AS nome_projeto, TRY_CAST(valor_raw AS DOUBLE) AS valor_projeto, "
+        "load_date AS data_ultima_carga FROM latest"
+    ),
     "gold_dim_strict": SAT + (
         "SELECT user_id AS codigo, nome AS nome_projeto, TRY_CAST(valor_raw AS DOUBLE) AS valor_projeto, "
         "load_date AS data_ultima_carga FROM latest"

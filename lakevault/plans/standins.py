@@ -25,7 +25,6 @@ from lakevault.functions import (
     tolerant_double,
 )
 from lakevault.operators import bronze, catalog, gold, marts, privacy, quality, vault
-from lakevault.operators.history import day_chunk
 from lakevault.plans import medallion as md
 from lakevault.session import scratch_path
 from lakevault.sources.csv import read_csv_infer, read_csv_robust, write_csv
@@ -135,30 +134,36 @@ def source_registry_sql(spark, sf_dir):
 
 def load_counts(spark, sf_dir):
     root = scratch_path(spark, "counts")
-    parts = []
+    counted = []
     for name in ("orders", "customer"):
         t = VersionedTable(spark, f"{root}/{name}")
         t.write(table(spark, sf_dir, name), mode="overwrite")
-        parts.append(t.commits().select(F.lit(name).alias("tbl"), F.col("num_rows").alias("n")))
-    return parts[0].unionByName(parts[1])
+        counted.append((name, t.last_num_rows))  # observed while writing
+    return spark.createDataFrame(counted, "tbl string, n bigint")
 
 
 # ----------------------------------------------------------------- bronze rules
 def ingest_checksum(spark, sf_dir):
-    ev = _events(spark, sf_dir)
+    # the second column is null for one kind of event, the third holds separators
+    ev = _events(spark, sf_dir).withColumns(
+        {
+            "kind": F.when(F.col("event_type") != "view", F.col("event_type")),
+            "detail": F.concat_ws("|", "event_type", "props"),
+        }
+    )
     t = VersionedTable(spark, scratch_path(spark, "checksum"))
-    cols = ["event_id", "event_type", "props"]
-    bronze.ingest_by_checksum(t, _before_t(ev), cols)
-    bronze.ingest_by_checksum(t, ev, cols)
-    bronze.ingest_by_checksum(t, ev, cols)
+    cols = ["event_id", "kind", "detail"]
+    for batch in (_before_t(ev), ev, ev):  # the last one re-ingests what is stored
+        bronze.ingest_by_checksum(t, batch, cols)
     return t.read().select("event_id", "checksum")
 
 
 def ingest_high_watermark(spark, sf_dir):
     ev = _events(spark, sf_dir).select("event_id", "ts")
     t = VersionedTable(spark, scratch_path(spark, "hwm"))
-    t.write(_before_t(ev), mode="overwrite")
-    return bronze.newer_than_stored(t, ev, "ts").select("event_id", "ts")
+    held = [bronze.ingest_newer(t, batch, "ts") for batch in (_before_t(ev), ev, ev)]
+    stored = t.read().select("event_id", "ts", F.lit("stored").alias("side"))
+    return stored.unionByName(held[1].select("event_id", "ts", F.lit("held back").alias("side")))
 
 
 def ingest_metadata(spark, sf_dir):
@@ -176,16 +181,20 @@ def normalize_dates(spark, sf_dir):
     return orders.select("o_orderkey", parse_date_text(text).alias("o_date"))
 
 
+def _contract(spark, sf_dir):
+    """Customers under a domain and a type contract; the balance comes as text, malformed for one segment."""
+    balance = F.when(F.col("c_mktsegment") == "BUILDING", F.concat(F.col("c_acctbal").cast("string"), F.lit(" USD")))
+    cust = table(spark, sf_dir, "customer").withColumn("balance", F.coalesce(balance, F.col("c_acctbal").cast("string")))
+    rules = {"negative_balance": F.col("c_acctbal") < 0, "bad_segment": F.col("c_mktsegment") == "MACHINERY"}
+    return bronze.contract_split(cust, rules, {"balance": "double"})
+
+
 def contract_split(spark, sf_dir):
-    cust = table(spark, sf_dir, "customer")
-    _valid, rejected = bronze.contract_split(
-        cust,
-        {
-            "negative_balance": F.col("c_acctbal") < 0,
-            "bad_segment": F.col("c_mktsegment") == "MACHINERY",
-        },
-    )
-    return rejected.select("c_custkey", "reasons")
+    return _contract(spark, sf_dir)[1].select("c_custkey", "reasons")
+
+
+def contract_valid(spark, sf_dir):
+    return _contract(spark, sf_dir)[0].select("c_custkey", "balance")
 
 
 def _tax_ids(spark, sf_dir):
@@ -261,31 +270,45 @@ def hub_merge_insert_only(spark, sf_dir):
 
 
 def sat_append_all(spark, sf_dir):
-    batch = md.event_sat_rows(_before_t(_events(spark, sf_dir)))
+    batch = md.event_sat_rows(_events(spark, sf_dir))
     t = VersionedTable(spark, scratch_path(spark, "sat_all"))
     vault.sat_append_all(t, batch.withColumn("load_no", F.lit(1)))
     vault.sat_append_all(t, batch.withColumn("load_no", F.lit(2)))
     return t.read().groupBy("user_id", "load_no").agg(F.count(F.lit(1)).alias("n"))
 
 
-def sat_append_changed(spark, sf_dir):
-    ev = _events(spark, sf_dir)
+def _sat_changed(spark, sf_dir, batches):
     root = scratch_path(spark, "sat_changed")
-    t, current = VersionedTable(spark, f"{root}/sat"), VersionedTable(spark, f"{root}/current")
-    for batch in (_before_t(ev), _from_t(ev)):
-        vault.sat_append_changed(t, md.event_sat_rows(batch), "hk", md.SAT_ORDER, ["nome"],
-                                 chunk=day_chunk("load_date"), current=current)
+    t, seen = VersionedTable(spark, f"{root}/sat"), VersionedTable(spark, f"{root}/seen")
+    order, history = md.SAT_ORDER, md.event_sat_rows(_events(spark, sf_dir))
+    for batch in batches:
+        rows = md.event_sat_rows(batch)
+        late = vault.sat_append_changed(t, rows, "hk", order, ["nome"], seen=seen)
+        if not late.isEmpty():  # keys with late rows are stored anew from their whole history
+            vault.sat_rebuild(t, history, late, "hk", order, ["nome"])
     return t.read().select("hk", "load_date", "nome")
 
 
+def sat_append_changed(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    return _sat_changed(spark, sf_dir, (_before_t(ev), _from_t(ev)))
+
+
+def sat_append_changed_late(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    return _sat_changed(spark, sf_dir, (_from_t(ev), _before_t(ev)))
+
+
 def link_load(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem")
+    # the second key holds the separator and is null for one flag: those rows are rejected
+    flags = F.when(F.col("l_returnflag") != "N", F.concat_ws("|", "l_returnflag", "l_linestatus", "l_suppkey"))
+    li = table(spark, sf_dir, "lineitem").withColumn("flags", flags)
     t = VersionedTable(spark, scratch_path(spark, "link"))
     first = li.where(F.col("l_shipdate") < vault.ts_literal("1998-01-01 00:00:00"))
     for batch in (first, li):
-        links = vault.link_rows(batch, ["l_orderkey", "l_suppkey"], "hk_link")
-        vault.insert_new_keys(t, links, "hk_link", assume_unique=True)
-    return t.read().select("hk_link", "l_orderkey", "l_suppkey")
+        links, _rejects = vault.link_rows(batch, ["l_orderkey", "flags"], "hk_link")
+        vault.insert_new_keys(t, links, ["l_orderkey", "flags"])
+    return t.read().select("hk_link", "l_orderkey", "flags")
 
 
 def hub_multi_source(spark, sf_dir):
@@ -298,16 +321,23 @@ def hub_multi_source(spark, sf_dir):
     )
 
 
-def cdc_apply(spark, sf_dir):
-    ev = _events(spark, sf_dir)
+def _cdc(spark, sf_dir, batches):
     t = VersionedTable(spark, scratch_path(spark, "cdc"))
     state = None
-    for batch in (_before_t(ev), _from_t(ev)):
-        changes = md.event_sat_rows(batch)
-        new_state = vault.cdc_apply(state, changes, ["hk"], md.SAT_ORDER, F.col("nome") == "error")
-        t.write(new_state, mode="overwrite")
+    for batch in batches:
+        t.write(vault.cdc_apply(state, md.event_sat_rows(batch), ["hk"], md.SAT_ORDER, F.col("nome") == "error"), mode="overwrite")
         state = t.read()
-    return state.select("user_id", "nome", "load_date")
+    return vault.cdc_live(state).select("user_id", "nome", "load_date")
+
+
+def cdc_apply(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    return _cdc(spark, sf_dir, (_before_t(ev), _from_t(ev)))
+
+
+def cdc_apply_out_of_order(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    return _cdc(spark, sf_dir, (_from_t(ev), _before_t(ev), ev))
 
 
 def sat_as_of(spark, sf_dir):
@@ -324,12 +354,14 @@ def _two_version_table(spark, sf_dir) -> VersionedTable:
 
 
 def version_as_of(spark, sf_dir):
-    return _two_version_table(spark, sf_dir).read(version=0).select("event_id", "user_id")
+    return _two_version_table(spark, sf_dir).read(as_of=0).select("event_id", "user_id")
 
 
 def table_history(spark, sf_dir):
-    h = _two_version_table(spark, sf_dir).history()
-    return h.select("version", "operation", F.col("operationParameters")["mode"].alias("mode"))
+    """What every load brought: rows and span of the events in it."""
+    rows = _two_version_table(spark, sf_dir).read(with_load=True)
+    number = F.substring("load", 2, 10).cast("bigint").alias("version")
+    return rows.groupBy(number).agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
 
 
 # ----------------------------------------------------------------- gold
@@ -347,19 +379,15 @@ def gold_dim_strict(spark, sf_dir):
     return md.gold_dimension(_silver(spark, sf_dir))
 
 
+# the newest satellite row of each key, by one aggregate, beside its business key
 GOLD_MODEL = """
-WITH latest_sat AS (
-    SELECT hk, nome, try_cast(valor_raw AS DOUBLE) AS valor_projeto, load_date,
-           row_number() OVER (PARTITION BY hk ORDER BY load_date DESC, event_id DESC) AS rn
-    FROM {{ source('silver', 'sat') }}
-)
-SELECT h.user_id AS codigo,
-       s.nome AS nome_projeto,
-       COALESCE(s.valor_projeto, 0.0D) AS valor_projeto,
-       s.load_date AS data_ultima_carga
-FROM {{ source('silver', 'hub') }} h
-JOIN latest_sat s ON h.hk = s.hk
-WHERE s.rn = 1
+SELECT keys.user_id                                            AS codigo,
+       newest.state.nome                                       AS nome_projeto,
+       coalesce(try_cast(newest.state.valor_raw AS double), 0) AS valor_projeto,
+       newest.state.load_date                                  AS data_ultima_carga
+FROM (SELECT hk, max_by(struct(nome, valor_raw, load_date), struct(load_date, event_id)) AS state
+      FROM {{ source('silver', 'sat') }} GROUP BY hk) AS newest
+JOIN {{ source('silver', 'hub') }} AS keys USING (hk)
 """
 
 
@@ -379,11 +407,11 @@ def gold_schema_replace(spark, sf_dir):
     v0 = gold.current_dimension(
         silver.hub.read(), silver.sat.read(), "hk", md.SAT_ORDER,
         {
-            "codigo": F.col("h.user_id"),
-            "nome_projeto": F.col("s.nome"),
-            "valor_aprovado": F.col("s.valor_raw"),
-            "valor_projeto": F.col("s.valor_raw"),
-            "data_ultima_carga": F.col("s.load_date"),
+            "codigo": F.col("key.user_id"),
+            "nome_projeto": F.col("state.nome"),
+            "valor_aprovado": F.col("state.valor_raw"),
+            "valor_projeto": F.col("state.valor_raw"),
+            "data_ultima_carga": F.col("state.load_date"),
         },
     )
     t.write(v0, mode="overwrite")
@@ -391,6 +419,17 @@ def gold_schema_replace(spark, sf_dir):
     return t.read().select("codigo", "valor_projeto")
 
 
+def raw_to_gold(spark, sf_dir):
+    """Raw CSV extract -> bronze -> vault -> gold."""
+    ev = _events(spark, sf_dir)
+    root = scratch_path(spark, "raw_to_gold")
+    write_csv(ev.repartition(4), f"{root}/raw/events_{int(time.time())}")
+    stored = VersionedTable(spark, f"{root}/bronze")
+    md.ingest_bronze(spark, f"{root}/raw/events_*", ev.schema, stored, LOAD_TS)
+    silver = md.load_silver(spark, stored.read().drop("data_carga_bronze"), f"{root}/silver", LOAD_TS)
+    return md.gold_dimension(silver)
+
+
 def gold_top10(spark, sf_dir):
     return md.gold_top(md.gold_dimension(_silver(spark, sf_dir)), 10)
 
@@ -401,7 +440,7 @@ def gold_top15(spark, sf_dir):
 
 def dim_scd2(spark, sf_dir):
     changes = md.sat_changes(_stored_sat(spark, sf_dir).read())
-    d = gold.scd2(changes, "hk", md.SAT_ORDER, "load_date", chunk=day_chunk("load_date"))
+    d = gold.scd2(changes, "hk", md.SAT_ORDER, "load_date")
     return d.select("hk", "nome", "valid_from", "valid_to", "is_current")
 
 
@@ -471,11 +510,14 @@ def mart_sla(spark, sf_dir):
 
 
 def mart_incremental_refresh(spark, sf_dir):
-    ev = _events(spark, sf_dir)
-    path = scratch_path(spark, "mart_daily")
-    marts.refresh_daily_mart(path, _before_t(ev), None, "ts", ["event_type"], first=True)
-    marts.refresh_daily_mart(path, ev, _from_t(ev), "ts", ["event_type"])
-    return spark.read.schema("event_type string, n bigint, dia date").parquet(path).select(
+    ev = _events(spark, sf_dir).select("event_id", "ts", "event_type")
+    root = scratch_path(spark, "mart_daily")
+    for batch in (_before_t(ev), _from_t(ev)):
+        land_partitioned(batch, f"{root}/landing", "ts")
+        landing = spark.read.parquet(f"{root}/landing")
+        days = batch.select(F.year("ts").alias("year"), F.month("ts").alias("month"), F.dayofmonth("ts").alias("day"))
+        marts.refresh_daily_mart(f"{root}/mart", landing, days, ["event_type"])
+    return spark.read.schema("event_type string, n bigint, dia date").parquet(f"{root}/mart").select(
         "dia", "event_type", "n"
     )
 
@@ -499,7 +541,11 @@ def row_level_filter(spark, sf_dir):
     grants = privacy.build_grants(
         explicit, region.select(F.col("r_regionkey").alias("n_regionkey")), "n_regionkey", ["auditor"]
     )
-    return privacy.row_level_filter(rows, grants, "n_regionkey").select("usuario", "c_custkey")
+    seen = [
+        privacy.row_level_filter(rows, grants, "n_regionkey", "usuario", name).select(F.lit(name).alias("usuario"), "c_custkey")
+        for name in ("analista", "auditor")
+    ]
+    return seen[0].unionByName(seen[1])
 
 
 def forget_subjects(spark, sf_dir):
@@ -574,11 +620,11 @@ def stream_dedupe(spark, sf_dir):
     root = scratch_path(spark, "stream_dedupe")
     args = (spark, f"{root}/in", ev.schema, f"{root}/out", f"{root}/ckpt", "event_id", "ts")
     _land_files(ev, f"{root}/in", 3)
-    _land_files(ev, f"{root}/in", 3)  # every row offered twice in the same run
-    streams.stream_dedupe(*args)
+    _land_files(ev, f"{root}/in", 3)  # every row offered twice in the same run, in any order
+    streams.stream_dedupe(*args, max_files=4)
     _land_files(ev, f"{root}/in", 3)  # and once more, late, in a second run
-    streams.stream_dedupe(*args)
-    return spark.read.schema(ev.schema).parquet(f"{root}/out").select("event_id", "user_id")
+    streams.stream_dedupe(*args, max_files=4)
+    return streams.read_deduped(spark, ev.schema, f"{root}/out").select("event_id", "user_id")
 
 
 def stream_hub_merge(spark, sf_dir):
@@ -608,6 +654,7 @@ QUERIES = {
         ("ingest_metadata", ingest_metadata),
         ("normalize_dates", normalize_dates),
         ("contract_split", contract_split),
+        ("contract_valid", contract_valid),
         ("contract_tax_id", contract_tax_id),
         ("nested_text_parse", nested_text_parse),
         ("cast_tolerant", cast_tolerant),
@@ -620,13 +667,16 @@ QUERIES = {
         ("hub_merge_insert_only", hub_merge_insert_only),
         ("sat_append_all", sat_append_all),
         ("sat_append_changed", sat_append_changed),
+        ("sat_append_changed_late", sat_append_changed_late),
         ("link_load", link_load),
         ("hub_multi_source", hub_multi_source),
         ("cdc_apply", cdc_apply),
+        ("cdc_apply_out_of_order", cdc_apply_out_of_order),
         ("sat_as_of", sat_as_of),
         ("version_as_of", version_as_of),
         ("table_history", table_history),
         ("sat_latest", sat_latest),
+        ("raw_to_gold", raw_to_gold),
         ("gold_dim_strict", gold_dim_strict),
         ("gold_dim_coalesced", gold_dim_coalesced),
         ("gold_schema_replace", gold_schema_replace),

@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 
 ROBUST = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "mode": "FAILFAST"}
 
+#: what this library's own CSV files hold for null, so that an empty text stays one
+NULL_TOKEN = "\\N"
+
 # Text writers keep full microsecond timestamps (their default formats stop at
 # milliseconds, which silently truncates); readers parse these ISO forms as is.
 TEXT_TIMESTAMPS = {
@@ -22,12 +25,12 @@ TEXT_TIMESTAMPS = {
 
 
 def read_csv_robust(spark: SparkSession, path: str, schema: T.StructType | str,
-                    null_token: str | None = None) -> DataFrame:
+                    null_token: str | None = NULL_TOKEN) -> DataFrame:
     """Header + explicit schema, quoted fields may hold commas, ``""`` and newlines.
 
-    Without ``null_token`` an empty field is null (as spreadsheet exports
-    write both null and empty text as nothing); with it, only that token is
-    null and ``""`` stays an empty string.
+    Only ``null_token`` is null and ``""`` is an empty text. For spreadsheet exports,
+    which write null and empty text alike, pass ``null_token=None``: an empty field is
+    null then.
     """
     reader = spark.read.options(**ROBUST).schema(schema)
     if null_token is not None:
@@ -45,7 +48,7 @@ def read_csv_infer(spark: SparkSession, path: str, sampling_ratio: float = 1.0)
     )
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_token: str | None = None) -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_token: str | None = NULL_TOKEN) -> None:
     """Header, doubled quotes, blanks kept; ``null_token`` (e.g. ``\\N``) keeps
     null and empty text apart for readers that use the same token."""
     w = df.write.options(**TEXT_TIMESTAMPS)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from lakevault.sources.csv import ROBUST, TEXT_TIMESTAMPS
+from lakevault.sources.csv import NULL_TOKEN, ROBUST, TEXT_TIMESTAMPS, write_csv
 
 
 def read_source(spark: SparkSession, fmt: str, path: str | None = None,
@@ -18,7 +18,9 @@ def read_source(spark: SparkSession, fmt: str, path: str | None = None,
     if schema is not None and fmt != "jdbc":
         reader = reader.schema(schema)
     if fmt == "csv":
-        reader = reader.options(**ROBUST)
+        reader = reader.options(**ROBUST).option("nullValue", NULL_TOKEN)
+    if fmt == "json":
+        reader = reader.option("mode", "FAILFAST")
     reader = reader.options(**options)
     if fmt == "jdbc":
         return reader.format("jdbc").load()
@@ -28,9 +30,10 @@ def read_source(spark: SparkSession, fmt: str, path: str | None = None,
 
 
 def write_source(df: DataFrame, fmt: str, path: str, mode: str = "overwrite") -> None:
+    if fmt == "csv":
+        write_csv(df, path, mode, null_token=NULL_TOKEN)
+        return
     w = df.write.mode(mode)
-    if fmt in ("csv", "json"):
+    if fmt == "json":
         w = w.options(**TEXT_TIMESTAMPS)
-    if fmt == "csv":
-        w = w.option("header", "true").option("escape", '"')
     w.format(fmt).save(path)

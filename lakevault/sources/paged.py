@@ -13,10 +13,12 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakevault.session import scratch_path
+
 try:  # the Python data source API (PySpark 4)
     from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 except ImportError:  # pragma: no cover
@@ -34,38 +36,45 @@ def envelope_schema(item_schema: T.StructType, embedded: str = ENVELOPE, items:
     return T.StructType([T.StructField(embedded, inner)])
 
 
-def _items_col(body: Column, item_schema, embedded: str, items: str) -> Column:
-    return F.from_json(body, envelope_schema(item_schema, embedded, items))[embedded][items]
-
-
 def unwrap_pages(pages: DataFrame, item_schema: T.StructType, embedded: str = ENVELOPE,
                  items: str = ITEMS, max_rows: int | None = None) -> DataFrame:
     """(offset, body) page rows -> item rows.
 
-    A missing envelope or list counts as an empty page. Pages at or after the
-    first empty one are dropped, as are pages at offset >= ``max_rows``.
+    The extract ends at its first empty page (an envelope or list that is missing or
+    empty); pages at and after it are dropped. A body that is not JSON, whose items
+    do not fit the schema, or that reports an error (a top-level ``error`` or
+    ``errors``) fails the job: nothing is taken for an empty page. ``max_rows``
+    optionally leaves out pages from that offset on.
     """
-    parsed = pages.select("offset", _items_col(F.col("body"), item_schema, embedded, items).alias("_items"))
+    failed = F.get_json_object("body", "$.error").isNotNull() | F.get_json_object("body", "$.errors").isNotNull()
+    told = F.raise_error(F.concat(F.lit("page at offset "), F.col("offset").cast("string"), F.lit(" reports an error: "), F.col("body")))
+    body = F.when(failed, told.cast("string")).otherwise(F.col("body"))
+    found = F.from_json(body, envelope_schema(item_schema, embedded, items), {"mode": "FAILFAST"})[embedded][items]
+    parsed = pages.select("offset", found.alias("_items"))
     if max_rows is not None:
         parsed = parsed.where(F.col("offset") < max_rows)
     return _stop_at_first_empty(parsed).select(F.inline("_items"))
 
 
 def _stop_at_first_empty(parsed: DataFrame) -> DataFrame:
-    size = F.coalesce(F.size("_items"), F.lit(0))
-    first_empty = parsed.where(size <= 0).select(F.min("offset")).scalar()
+    """Pages before the first empty one: parsed once, written, and the cut is a scalar over their sizes."""
+    parsed = parsed.withColumn("_size", F.coalesce(F.size("_items"), F.lit(0)))
+    path = scratch_path(parsed.sparkSession, "pages")
+    parsed.write.parquet(path)
+    parsed = parsed.sparkSession.read.schema(parsed.schema).parquet(path)
+    first_empty = parsed.where(F.col("_size") <= 0).select(F.min("offset")).scalar()
     return parsed.where(F.coalesce(F.col("offset") < first_empty, F.lit(True)))
 
 
 def read_page_files(spark: SparkSession, path: str, item_schema: T.StructType,
                     embedded: str = ENVELOPE, items: str = ITEMS,
                     max_rows: int | None = None) -> DataFrame:
-    """Landed page responses (JSON lines with ``offset`` and the envelope) -> items."""
-    schema = T.StructType([T.StructField("offset", T.LongType())] + envelope_schema(item_schema, embedded, items).fields)
-    pages = spark.read.schema(schema).json(path).select("offset", F.col(embedded)[items].alias("_items"))
-    if max_rows is not None:
-        pages = pages.where(F.col("offset") < max_rows)
-    return _stop_at_first_empty(pages).select(F.inline("_items"))
+    """Landed page responses (JSON lines with ``offset`` and the envelope) -> items, by the rules of ``unwrap_pages``."""
+    lines = spark.read.text(path)
+    pages = lines.select(
+        F.from_json("value", "offset bigint", {"mode": "FAILFAST"})["offset"].alias("offset"), F.col("value").alias("body")
+    )
+    return unwrap_pages(pages, item_schema, embedded, items, max_rows)
 
 
 def write_page_files(df: DataFrame, path: str, key: str, page_size: int = 100,
@@ -91,8 +100,8 @@ class _Pages(InputPartition):
 
 class PagedHttpDataSource(DataSource):
     """``spark.read.format("paged_http")`` with options ``url`` (template with
-    ``{offset}`` and ``{limit}``), ``limit`` (page size), ``max_rows``, an
-    optional ``fallback_url`` tried when the first route answers "not found",
+    ``{offset}`` and ``{limit}``), ``limit`` (page size), ``start`` and
+    ``max_rows`` (the range of offsets of this read), an optional ``fallback_url`` tried when the first route answers "not found",
     and ``pages_per_partition`` (default 1) to group pages into fewer tasks.
     Yields (offset, body); parse it with ``unwrap_pages``."""
 
@@ -111,13 +120,13 @@ class _PagedReader(DataSourceReader):
     def __init__(self, options):
         self.url = options["url"]
         self.limit = int(options.get("limit", 100))
-        self.max_rows = int(options["max_rows"])
+        self.start, self.max_rows = int(options.get("start", 0)), int(options["max_rows"])
         self.timeout = float(options.get("timeout", 45))
         self.fallback = options.get("fallback_url")
         self.group = max(1, int(options.get("pages_per_partition", 1)))
 
     def partitions(self):
-        offsets = list(range(0, self.max_rows, self.limit))
+        offsets = list(range(self.start, self.max_rows, self.limit))
         return [_Pages(offsets[i:i + self.group]) for i in range(0, len(offsets), self.group)]
 
     def _fetch(self, template: str, offset: int) -> str:
@@ -150,3 +159,21 @@ class _PagedReader(DataSourceReader):
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(PagedHttpDataSource)
+
+
+def extract_all(spark: SparkSession, url: str, item_schema: T.StructType, limit: int = 100, window: int = 1000,
+                embedded: str = ENVELOPE, items: str = ITEMS, **options) -> DataFrame:
+    """The whole extract, without knowing its length: windows of ``window`` pages, each
+    read in parallel, until one holds the first empty page."""
+    register(spark)
+    path, start = scratch_path(spark, "extract"), 0
+    while True:
+        reader = spark.read.format("paged_http").option("url", url).option("limit", limit)
+        reader = reader.option("start", start).option("max_rows", start + window * limit).options(**options)
+        reader.load().write.mode("append").parquet(path)
+        pages = spark.read.schema(PAGE_SCHEMA).parquet(path)
+        size = F.size(F.from_json("body", envelope_schema(item_schema, embedded, items))[embedded][items])
+        last = pages.where((F.col("offset") >= start) & (F.coalesce(size, F.lit(0)) <= 0))
+        if not last.isEmpty():
+            return unwrap_pages(pages, item_schema, embedded, items)
+        start += window * limit

@@ -1,45 +1,28 @@
-"""Versioned tables: overwrite / append / create, time travel, history, erasure.
-
-With the Delta Lake package on the classpath (``fmt="delta"``) every call
-goes to Delta's own API. Without it, a table is a load convention over
-plain Parquet, which is what this environment has:
-
-* ``<path>/data/_version=<v>/``   files of the write that made version ``v``
-* ``<path>/_commits/``            one tiny Parquet row per commit: version,
-  timestamp, operation, mode, row count, schema and data locations.
-
-A writer writes its data folder first and its commit row last; readers
-only see committed versions, so a failed or retried job leaves nothing
-visible (the retry rewrites only its own folder). Version ``v`` shows the
-data versions from the last overwrite at or before ``v`` up to ``v``. One
-writer per table is assumed. The commit list is metadata (one row per
-commit) and is the only thing brought to the driver.
+"""Tables that keep their loads apart: plain Parquet folders, named by load.
+
+Layout: ``<path>/base=<b>/load=<l>/`` holds the rows of load ``l`` of snapshot
+``b``. An append adds a load to the newest
+base, an overwrite begins a new base, so earlier snapshots stay readable until
+they are dropped. Everything else is Spark: ``load`` is a partition column, a
+state as of an earlier load is a filter on it, each base has its own schema, and
+a load is complete when its folder has the writer's ``_SUCCESS`` mark. Writing a
+load again, after a failure, replaces its own folder only.
+
+There is no log beside the data, and nothing about rows or loads is collected;
+a writer lists the folders of one table (a name per snapshot and load) as Spark
+itself does to read them. One writer per table is assumed. Users of a lake
+format call that format's own API instead.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-import json
-import uuid
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-COMMIT_SCHEMA = T.StructType(
-    [
-        T.StructField("version", T.LongType(), False),
-        T.StructField("timestamp", T.TimestampType(), False),
-        T.StructField("operation", T.StringType(), False),
-        T.StructField("mode", T.StringType(), True),
-        T.StructField("num_rows", T.LongType(), True),
-        T.StructField("schema_json", T.StringType(), True),
-        T.StructField("locations", T.MapType(T.LongType(), T.StringType()), True),
-        T.StructField("load_id", T.StringType(), True),
-    ]
-)
-
-_MODE_NAMES = {"overwrite": "Overwrite", "append": "Append", "errorifexists": "ErrorIfExists"}
+MODES = ("append", "overwrite", "errorifexists")
+ERASING = "_erasing"
 
 
 class TableExistsError(RuntimeError):
@@ -50,335 +33,184 @@ class SchemaMismatchError(RuntimeError):
     pass
 
 
-def _jvm_fs(spark: SparkSession, path: str):
-    jvm = spark._jvm  # Hadoop FileSystem: metadata calls only (exists / delete)
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+class _Folder:
+    """Hadoop file system calls on one folder (names, existence, deletion)."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._spark, self.path = spark, path
+        self._jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self._fs = self._jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return bool(self._fs.exists(self._jpath))
+
+    def names(self, prefix: str) -> list[str]:
+        if not self.exists():
+            return []
+        found = (s.getPath().getName() for s in self._fs.listStatus(self._jpath))
+        return sorted(n[len(prefix) :] for n in found if n.startswith(prefix))
+
+    def mark_complete(self) -> None:
+        self._fs.create(_Folder(self._spark, f"{self.path}/_SUCCESS")._jpath, True).close()
+
+    def delete(self) -> None:
+        if self.exists() and not self._fs.delete(self._jpath, True):
+            raise OSError(f"could not delete {self.path}")
+
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    return _Folder(spark, path).exists()
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, jpath = _jvm_fs(spark, path)
-    return bool(fs.exists(jpath))
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system Spark writes to, if it is there."""
+    _Folder(spark, path).delete()
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    fs, jpath = _jvm_fs(spark, path)
-    fs.delete(jpath, True)
+
+def _load_name(load: int | str) -> str:
+    """``v0000000003`` for the table's own numbers, ``id-...`` for a caller's load id (never read as a number)."""
+    return f"v{load:010d}" if isinstance(load, int) else "id-" + quote(load, safe="").replace("%", "~")
 
 
 class VersionedTable:
-    """A table with numbered versions; see the module docstring for the layout."""
+    """A table written load by load; see the module docstring for the layout."""
 
-    def __init__(self, spark: SparkSession, path: str, fmt: str = "parquet"):
+    def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.fmt = fmt
 
-    # ------------------------------------------------------------------ metadata
-    @property
-    def _commits_path(self) -> str:
-        return f"{self.path}/_commits"
+    def _folder(self, *parts: str) -> _Folder:
+        return _Folder(self.spark, "/".join([self.path, *parts]))
+
+    def _complete(self, base: str) -> list[str]:
+        """Names of the complete loads of a snapshot."""
+        names = self._folder(f"base={base}").names("load=")
+        return [n for n in names if self._folder(f"base={base}", f"load={n}", "_SUCCESS").exists()]
+
+    def _bases(self) -> list[str]:
+        """Snapshots with a complete load, oldest first."""
+        return [b for b in self._folder().names("base=") if self._complete(b)]
 
     def exists(self) -> bool:
-        if self.fmt == "delta":
-            return path_exists(self.spark, f"{self.path}/_delta_log")
-        return path_exists(self.spark, self._commits_path)
-
-    def commits(self) -> DataFrame:
-        """One row per commit (a commit can briefly be stored twice while
-        ``compact_commits`` runs, hence the de-duplication by version)."""
-        return self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits_path).dropDuplicates(["version"])
-
-    def _commit_files(self) -> frozenset:
-        fs, jpath = _jvm_fs(self.spark, self._commits_path)
-        if not fs.exists(jpath):
-            return frozenset()
-        return frozenset(
-            st.getPath().getName() for st in fs.listStatus(jpath) if st.getPath().getName().endswith(".parquet")
-        )
-
-    def _commit_rows(self) -> list:
-        """Committed versions, oldest first; re-read only when a commit file appeared."""
-        files = self._commit_files()
-        if not files:
-            return []
-        cached = getattr(self, "_cache", None)
-        if cached is None or cached[0] != files:
-            # a commit may briefly exist twice (during compact_commits): one per version
-            by_version = {r.version: r for r in self.commits().collect()}
-            self._cache = (files, [by_version[v] for v in sorted(by_version)])
-        return self._cache[1]
-
-    def compact_commits(self) -> int:
-        """Fold the one-file-per-commit list into one file, then delete the old
-        files; returns how many were folded. Readers de-duplicate by version,
-        so a reader between the two steps still sees each commit once."""
-        if self.fmt == "delta":
-            return 0
-        old = sorted(self._commit_files())
-        if len(old) < 2:
-            return 0
-        rows = self.commits()
-        rows.coalesce(1).write.mode("append").parquet(self._commits_path)
-        for name in old:
-            delete_path(self.spark, f"{self._commits_path}/{name}")
-        self._cache = None
-        return len(old)
-
-    def latest_version(self) -> int:
-        rows = self._commit_rows()
-        return rows[-1].version if rows else -1
+        return bool(self._bases())
+
+    def loads(self) -> list[str]:
+        """Names of the complete loads of the newest snapshot."""
+        bases = self._bases()
+        return self._complete(bases[-1]) if bases else []
 
     # ------------------------------------------------------------------ writes
     def write(
-        self,
-        df: DataFrame,
-        mode: str = "append",
-        operation: str = "WRITE",
-        overwrite_schema: bool = False,
+        self, df: DataFrame, mode: str = "append", load_id: str | None = None, overwrite_schema: bool = False,
         rebalance: bool = False,
-        merge_schema: bool = False,
-        load_id: str | None = None,
-    ) -> int:
-        """Write ``df`` as a new version; returns the version number.
-
-        ``mode``: ``append``, ``overwrite`` or ``errorifexists`` (create).
-        Appends and plain overwrites must keep the table's schema; a schema
-        change needs ``overwrite_schema=True`` (the replaced versions keep
-        theirs for time travel). ``merge_schema=True`` lets an append add new
-        columns (older versions read them as null); existing columns must keep
-        their types. ``load_id`` makes a retried load idempotent: when a commit
-        with the same id exists, nothing is written and its version is returned.
+    ) -> str:
+        """Write ``df`` as a load; returns its name.
+
+        ``mode``: ``append``, ``overwrite`` or ``errorifexists`` (create). A load whose
+        ``load_id`` is complete in the newest snapshot is not written again. Appends,
+        and overwrites without ``overwrite_schema``, must keep the table's names and
+        types. ``last_num_rows`` is counted during the write.
         """
         mode = mode.lower()
-        if mode not in _MODE_NAMES:
+        if mode not in MODES:
             raise ValueError(f"unsupported mode {mode!r}")
-        if self.fmt == "delta":
-            return self._delta_write(df, mode, overwrite_schema)
-
-        rows = self._commit_rows()
-        if load_id is not None:
-            done = [r.version for r in rows if getattr(r, "load_id", None) == load_id]
-            if done:
-                return done[-1]
-        if rows and mode == "errorifexists":
+        bases, loads = self._bases(), self.loads()
+        number = max([int(n[1:]) for n in [*bases, *loads] if n[0] == "v"], default=-1) + 1
+        name = _load_name(number if load_id is None else load_id)
+        if load_id is not None and name in loads:
+            self.last_num_rows = 0
+            return name
+        if bases and mode == "errorifexists":
             raise TableExistsError(self.path)
-        if rows and not (mode == "overwrite" and overwrite_schema):
-            current = self._schema_at(rows, rows[-1].version)
-            if merge_schema and mode == "append":
-                df = self._merge(df, current)  # widen; a changed type still fails
-            else:
-                df = self._conform(df, current)
-        version = rows[-1].version + 1 if rows else 0
-        location = f"{self.path}/data/_version={version}"
-
-        obs = Observation(f"lv_rows_{uuid.uuid4().hex[:8]}")
-        out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+        if bases and not (mode == "overwrite" and overwrite_schema):
+            df = self._conform(df)
+        base = bases[-1] if bases and mode == "append" else _load_name(number)
+        seen = Observation()
+        out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         if rebalance:
             out = out.hint("rebalance")
-        out.write.mode("overwrite").parquet(location)
-        n = int(obs.get.get("rows", 0))
-
-        self._append_commit(
-            version=version,
-            operation=operation,
-            mode=_MODE_NAMES[mode],
-            num_rows=n,
-            schema_json=df.schema.json(),
-            locations={version: location},
-            load_id=load_id,
-        )
-        self.last_num_rows = n
-        return version
-
-    def _append_commit(self, **fields) -> None:
-        row = dict(fields)
-        row["timestamp"] = _dt.datetime.now(_dt.timezone.utc)
-        cached = getattr(self, "_cache", None)
-        before = self._commit_files()
-        commit = self.spark.createDataFrame([row], COMMIT_SCHEMA)
-        commit.coalesce(1).write.mode("append").parquet(self._commits_path)
-        # our own commit is known: extend the cached list instead of re-reading it
-        if cached is not None and cached[0] == before:
-            written = Row(**{f.name: row.get(f.name) for f in COMMIT_SCHEMA.fields})
-            self._cache = (self._commit_files(), sorted(cached[1] + [written], key=lambda r: r.version))
-
-    @staticmethod
-    def _merge(df: DataFrame, schema: T.StructType) -> DataFrame:
-        """Table columns first (missing ones as typed nulls), then the new ones."""
+        out.write.mode("overwrite").parquet(f"{self.path}/base={base}/load={name}")
+        self.last_num_rows = int(seen.get.get("rows", 0))
+        return name
+
+    def _conform(self, df: DataFrame) -> DataFrame:
         have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-        for f in schema.fields:
-            if f.name in have and have[f.name] != f.dataType.simpleString():
-                raise SchemaMismatchError(f"column {f.name} changes type: {f.dataType.simpleString()} -> {have[f.name]}")
-        cols = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
-        known = {f.name for f in schema.fields}
-        cols += [F.col(f.name) for f in df.schema.fields if f.name not in known]
-        return df.select(*cols)
-
-    @staticmethod
-    def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-        # names and types must match; nullability (also nested) may differ
-        incoming = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-        expected = {f.name: f.dataType.simpleString() for f in schema.fields}
-        if incoming != expected:
-            raise SchemaMismatchError(
-                f"schema differs from the table's: {df.schema.simpleString()} vs "
-                f"{schema.simpleString()}; use overwrite_schema=True to replace it"
-            )
-        return df.select(*[f.name for f in schema.fields])
+        want = {f.name: f.dataType.simpleString() for f in self.read().schema.fields}
+        if have != want:
+            raise SchemaMismatchError(f"the table holds {want}, not {have}; overwrite_schema=True replaces it")
+        return df.select(*want)
 
     # ------------------------------------------------------------------ reads
-    @staticmethod
-    def _visible(rows: list, version: int) -> list:
-        """Data commits visible at ``version``: from the last overwrite up to it."""
-        data = [r for r in rows if r.version <= version and r.mode is not None]
-        if not data:
-            raise ValueError(f"no committed version <= {version}")
-        start = 0
-        for i, r in enumerate(data):
-            if r.mode in ("Overwrite", "ErrorIfExists"):
-                start = i
-        return data[start:]
-
-    def _schema_at(self, rows: list, version: int) -> T.StructType:
-        """Schema of ``version``: that of its newest visible write (appends
-        keep it, or widen it with ``merge_schema``)."""
-        return T.StructType.fromJson(json.loads(self._visible(rows, version)[-1].schema_json))
-
-    @staticmethod
-    def _locations(rows: list) -> dict:
-        """Current folder of every data version; later rewrites replace earlier ones."""
-        where: dict = {}
-        for r in rows:
-            for v, loc in (r.locations or {}).items():
-                where[v] = loc
-        return where
-
-    def read(self, version: int | None = None, with_version: bool = False) -> DataFrame:
-        if self.fmt == "delta":
-            reader = self.spark.read.format("delta")
-            if version is not None:
-                reader = reader.option("versionAsOf", version)
-            return reader.load(self.path)
-        rows = self._commit_rows()
-        if not rows:
+    def read(self, as_of: int | None = None, with_load: bool = False) -> DataFrame:
+        """The newest snapshot, or the one as of the ``as_of``-th load of the table's own numbering."""
+        bases = self._bases()
+        if as_of is not None:
+            bases = [b for b in bases if b <= _load_name(as_of)]
+        if not bases:
             raise FileNotFoundError(self.path)
-        if version is not None and not 0 <= version <= rows[-1].version:
-            raise ValueError(f"version {version} does not exist (latest is {rows[-1].version})")
-        version = rows[-1].version if version is None else version
-        visible = self._visible(rows, version)
-        schema = T.StructType.fromJson(json.loads(visible[-1].schema_json))
-        where = self._locations(rows)
-        paths = [where[r.version] for r in visible if where.get(r.version)]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        df = self.spark.read.schema(schema).parquet(*paths)
-        if with_version:
-            df = df.withColumn(
-                "_version",
-                F.regexp_extract(F.col("_metadata.file_path"), r"_version=(\d+)", 1).cast("bigint"),
-            )
-        return df
-
-    def read_added(self, version: int) -> DataFrame:
-        """Only the rows that the write of ``version`` added."""
-        rows = self._commit_rows()
-        loc = self._locations(rows).get(version)
-        schema = self._schema_at(rows, version)
-        return self.spark.read.schema(schema).parquet(loc) if loc else self.spark.createDataFrame([], schema)
-
-    def history(self) -> DataFrame:
-        """version, timestamp, operation, operationParameters (map with ``mode``), newest first."""
-        if self.fmt == "delta":
-            from delta.tables import DeltaTable  # noqa: PLC0415 - optional package
-
-            h = DeltaTable.forPath(self.spark, self.path).history()
-            return h.select("version", "timestamp", "operation", "operationParameters")
-        params = F.when(
-            F.col("mode").isNotNull(), F.create_map(F.lit("mode"), F.col("mode"))
-        ).otherwise(F.create_map().cast("map<string,string>"))
-        return (
-            self.commits()
-            .select("version", "timestamp", "operation", params.alias("operationParameters"))
-            .orderBy(F.col("version").desc())
-        )
-
-    # ------------------------------------------------------------------ rewrite
-    def _retained_groups(self, rows: list, versions=None):
-        """(schema, versions, DataFrame with ``_version``) per schema of the
-        retained data versions (each overwrite may have replaced the schema)."""
-        where = self._locations(rows)
-        old = {v: loc for v, loc in where.items() if loc and (versions is None or v in versions)}
-        groups: dict = {}
-        for r in rows:
-            if r.mode is None or r.version not in old:
-                continue
-            groups.setdefault(self._schema_at(rows, r.version).json(), []).append(r.version)
-        for schema_json, vs in groups.items():
-            schema = T.StructType.fromJson(json.loads(schema_json))
-            df = self.spark.read.schema(schema).parquet(*[old[v] for v in vs]).withColumn(
-                "_version",
-                F.regexp_extract(F.col("_metadata.file_path"), r"_version=(\d+)", 1).cast("bigint"),
-            )
-            yield schema, vs, old, df
-
-    def versions_where(self, fn) -> list[int]:
-        """Retained data versions holding at least one row of ``fn(df)``
-        (a filter or semi join); only version numbers reach the driver."""
-        found: set = set()
-        for _schema, _vs, _old, df in self._retained_groups(self._commit_rows()):
-            found.update(r._version for r in fn(df).select("_version").distinct().collect())
-        return sorted(found)
-
-    def rewrite(self, fn, operation: str = "DELETE", versions=None) -> int:
-        """Apply ``fn`` to retained data versions (all, or ``versions``) in one
-        distributed job per schema.
-
-        Used for erasure: old versions must stop holding the subject, so the
-        data of each affected version is rewritten into a new folder, the
-        commit maps each version to its new folder, and the old folders are
-        deleted. Untouched versions keep their files.
+        df = self.spark.read.parquet(f"{self.path}/base={bases[-1]}")
+        if as_of is not None:
+            df = df.where(F.col("load") <= _load_name(as_of))
+        return df if with_load else df.drop("load")
+
+    def read_load(self, name: str) -> DataFrame:
+        """Only the rows of one load of the newest snapshot."""
+        return self.read(with_load=True).where(F.col("load") == name).drop("load")
+
+    # ------------------------------------------------------------------ erasure
+    def erase(self, subjects: DataFrame, key: str) -> None:
+        """Remove every row whose ``key`` is in ``subjects`` from every load of every snapshot.
+
+        Loads that hold such a row are found by a scan of the key column. Their other
+        rows are staged in one pass, then the loads are replaced by them (dynamic
+        partition overwrite). After a failure anywhere, calling again finishes: a
+        complete staging folder is applied first, an incomplete one is written anew.
+        Folders of writes that never completed are deleted. When the call returns,
+        no file of the table holds a row of a subject.
         """
-        if self.fmt == "delta":
-            raise NotImplementedError("use DeltaTable.delete + VACUUM for Delta tables")
-        rows = self._commit_rows()
-        gen = f"{self.path}/data-{uuid.uuid4().hex[:10]}"
-        new_where: dict = {}
-        replaced: list = []
-        for gi, (schema, vs, old, src) in enumerate(self._retained_groups(rows, versions)):
-            kept = fn(src).select(*[f.name for f in schema.fields], "_version")
-            base = f"{gen}/g{gi}"
-            kept.write.mode("overwrite").partitionBy("_version").parquet(base)
-            for v in vs:
-                loc = f"{base}/_version={v}"
-                new_where[v] = loc if path_exists(self.spark, loc) else ""
-                replaced.append(old[v])
-        if not new_where:
-            return rows[-1].version
-        version = rows[-1].version + 1
-        self._append_commit(
-            version=version,
-            operation=operation,
-            mode=None,
-            num_rows=None,
-            schema_json=None,
-            locations=new_where,
-        )
-        for loc in replaced:
-            delete_path(self.spark, loc)
-        return version
-
-    def compact(self) -> int:
-        """Rewrite the current snapshot as one new version (many small appends
-        become evenly sized files); older versions stay readable."""
-        return self.write(self.read(), mode="overwrite", operation="OPTIMIZE", rebalance=True)
-
-    # ------------------------------------------------------------------ delta
-    def _delta_write(self, df: DataFrame, mode: str, overwrite_schema: bool) -> int:
-        w = df.write.format("delta").mode(mode)
-        if overwrite_schema:
-            w = w.option("overwriteSchema", "true")
-        w.save(self.path)
-        from delta.tables import DeltaTable  # noqa: PLC0415 - optional package
-
-        return DeltaTable.forPath(self.spark, self.path).history(1).first().version
+        gone = subjects.select(key).distinct()
+        for base in self._folder().names("base="):
+            here, stage = f"{self.path}/base={base}", f"{self.path}/{ERASING}/{base}"
+            if self._folder(ERASING, base, "loads", "_SUCCESS").exists():
+                self._replace(here, stage)
+            complete = self._complete(base)
+            for name in self._folder(f"base={base}").names("load="):
+                if name not in complete:
+                    self._folder(f"base={base}", f"load={name}").delete()
+            if not complete:
+                self._folder(f"base={base}").delete()
+                continue
+            rows = self.spark.read.parquet(here)
+            hit = rows.join(gone, key, "left_semi").select("load").distinct()
+            hit.write.mode("overwrite").parquet(f"{stage}/hit")
+            hit = self.spark.read.schema("load string").parquet(f"{stage}/hit")
+            kept = rows.join(hit, "load", "left_semi").join(gone, key, "left_anti").select(*rows.columns)
+            kept.hint("rebalance", "load").write.mode("overwrite").partitionBy("load").parquet(f"{stage}/rows")
+            hit.write.mode("overwrite").parquet(f"{stage}/loads")  # last: the staging is complete
+            self._replace(here, stage)
+
+    def _replace(self, here: str, stage: str) -> None:
+        """Put the staged rows in place of the loads they come from."""
+        schema = self.spark.read.parquet(here).schema
+        rows = self.spark.read.schema(schema).parquet(f"{stage}/rows")
+        hit = self.spark.read.schema("load string").parquet(f"{stage}/loads")
+        rows.hint("rebalance", "load").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "load"
+        ).parquet(here)
+        emptied = {r.load for r in hit.join(rows.select("load").distinct(), "load", "left_anti").toLocalIterator()}
+        for r in hit.toLocalIterator():  # names of loads
+            folder = _Folder(self.spark, f"{here}/load={r.load}")
+            if r.load in emptied:  # it stays readable, as an empty load
+                rows.limit(0).drop("load").write.mode("overwrite").parquet(folder.path)
+            else:
+                folder.mark_complete()
+        _Folder(self.spark, stage).delete()
+
+    def compact(self) -> str:
+        """Rewrite the newest snapshot as one load of evenly sized files."""
+        return self.write(self.read(), mode="overwrite", rebalance=True)
+
+    def drop_old_snapshots(self) -> None:
+        """Delete all snapshots but the newest."""
+        for base in self._bases()[:-1]:
+            self._folder(f"base={base}").delete()

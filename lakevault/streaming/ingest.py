@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakevault.operators.vault import hub_rows, insert_new_keys
-from lakevault.sources.versioned import VersionedTable
+from lakevault.sources.versioned import VersionedTable, folder_exists
 
 
 def _file_stream(spark: SparkSession, src: str, schema: T.StructType, fmt: str = "parquet",
@@ -40,13 +40,59 @@ def stream_ingest(spark: SparkSession, src: str, schema: T.StructType, sink: str
 
 
 def stream_dedupe(spark: SparkSession, src: str, schema: T.StructType, sink: str, checkpoint: str,
-                  key: str, event_time: str, delay: str = "1 day", fmt: str = "parquet",
-                  max_files: int | None = None) -> dict:
-    """Drop repeated ``key`` values within the watermark and rows later than it.
+                  key: str, event_time: str, fmt: str = "parquet", max_files: int | None = None) -> None:
+    """Store each ``key`` once, whatever the micro-batches and the order of arrival.
+
+    The sink is partitioned by day of the event time (a repeated event repeats its
+    time), so a micro-batch is compared with the stored keys of its own days only: a
+    join on the partition column, pruned at run time. Late rows are stored like
+    others. A micro-batch writes its own folder per day (``batch``), so a replay
+    after a failure replaces it. There is no streaming state and nothing is dropped.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumn("_day", F.coalesce(F.to_date(event_time), F.lit("0001-01-01").cast("date")))
+        others = [c for c in rows.columns if c not in (key, "_day")]
+        one = F.min(F.struct(*[F.col(c) for c in others])).alias("_one")
+        rows = rows.groupBy("_day", key).agg(one).select("_day", key, *[F.col(f"_one.{c}").alias(c) for c in others])
+        if folder_exists(spark, sink):
+            stored = read_deduped(spark, schema, sink, keep_parts=True).where(F.col("batch") != batch_id)
+            rows = rows.join(stored.select("_day", key), ["_day", key], "left_anti")
+        (
+            rows.withColumn("batch", F.lit(batch_id))
+            .hint("rebalance", "_day")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("_day", "batch")
+            .parquet(sink)
+        )
+
+    q = (
+        _file_stream(spark, src, schema, fmt, max_files)
+        .writeStream.foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+
+
+def read_deduped(spark: SparkSession, schema: T.StructType, sink: str, keep_parts: bool = False) -> DataFrame:
+    """The rows ``stream_dedupe`` has stored."""
+    parts = [T.StructField("_day", T.DateType()), T.StructField("batch", T.LongType())]
+    df = spark.read.schema(T.StructType([*schema.fields, *parts])).parquet(sink)
+    return df if keep_parts else df.select(*schema.names)
+
+
+def stream_dedupe_within(spark: SparkSession, src: str, schema: T.StructType, sink: str, checkpoint: str,
+                         key: str, event_time: str, delay: str = "1 day", fmt: str = "parquet",
+                         max_files: int | None = None) -> dict:
+    """Drop repeated ``key`` values within the watermark, with state bounded by ``delay``.
 
-    Watermarks need a session-zone TIMESTAMP, so a TIMESTAMP_NTZ event time is
-    cast for the stream and restored on output. State is bounded by
-    ``delay``. Returns progress reports of the run (for the late-row count).
+    Rows later than the watermark are dropped by Spark and only counted (in the
+    returned progress reports), so use it where the landing order is known to stay
+    within ``delay``; ``stream_dedupe`` has no such condition. Watermarks need a
+    session-zone TIMESTAMP: a TIMESTAMP_NTZ event time is cast for the stream.
     """
     src_df = _file_stream(spark, src, schema, fmt, max_files)
     ntz = isinstance(schema[event_time].dataType, T.TimestampNTZType)
@@ -70,20 +116,15 @@ def stream_hub_merge(spark: SparkSession, src: str, schema: T.StructType, table:
                      hk: str = "hk", fmt: str = "parquet", max_files: int | None = None) -> None:
     """The batch hub load, applied to each micro-batch through ``foreachBatch``.
 
-    The insert-only merge is idempotent, so a micro-batch replayed after a
-    failure adds nothing twice. Micro-batches are small next to the hub, so
-    the merge pre-filters the stored keys to the batch's keys.
+    The insert-only merge is idempotent and a micro-batch is a load of its own name,
+    so one replayed after a failure adds nothing twice; one without new keys writes
+    nothing. Micro-batches are small next to the hub, so the merge pre-filters the
+    stored keys to the batch's keys.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         hub, _rejects = hub_rows(batch, business_key, hk, load_ts, record_source)
-        # the micro-batch's distinct keys are used twice (semi-join filter and
-        # anti join), so they are cached for the duration of this batch only
-        hub = hub.persist()
-        try:
-            insert_new_keys(table, hub, hk, prefilter=True, assume_unique=True)
-        finally:
-            hub.unpersist()
+        insert_new_keys(table, hub, business_key, prefilter=True, load_id=f"{checkpoint}/{batch_id}")
 
     q = (
         _file_stream(spark, src, schema, fmt, max_files)

@@ -38,11 +38,31 @@ def test_hash_keys_match_known_digests(spark):
     assert rows[1].m is None and rows[1].s is None
 
 
-def test_link_key_joins_with_separator(spark):
+def test_link_key_tells_tuples_apart(spark):
     import hashlib
 
-    df = spark.createDataFrame([(1, 2)], "a long, b long")
-    assert df.select(link_key("a", "b").alias("h")).first().h == hashlib.md5(b"1||2").hexdigest()
+    df = spark.createDataFrame([("1", "2"), ("1|1:2", ""), ("1", "|2"), (None, "2"), ("p|q", "r"), ("p", "q|r")], "a string, b string")
+    keys = [r.h for r in df.select(link_key("a", "b").alias("h")).collect()]
+    assert keys[0] == hashlib.md5(b"1:1|1:2").hexdigest()
+    assert keys[3] is None and len(set(keys)) == 6
+
+
+def test_mask_covers_punctuated_ids(spark):
+    df = spark.createDataFrame([("123.456.789-09",), ("12345678909",), ("12.345.678/0001-95",), (None,)], "id string")
+    assert [r.m for r in df.select(mask_tax_id("id").alias("m")).collect()] == [
+        "***456789**", "***456789**", "12.345.678/0001-95", None
+    ]
+
+
+def test_nested_text_knows_the_literals_words(spark):
+    from lakevault.functions import nested_text_failed
+
+    rows = ["[{'k': None, 't': 'x'}]", "[{'k': True, 't': 'None and True'}]", "[{'k': False, 't': \"it's None\"}]", "[{'k'", None]
+    df = spark.createDataFrame([(r,) for r in rows], "s string")
+    ddl = "array<struct<k:boolean,t:string>>"
+    got = df.select(parse_nested_text("s", ddl).alias("v"), nested_text_failed("s", ddl).alias("f")).collect()
+    assert [None if r.v is None else tuple(r.v[0]) for r in got] == [(None, "x"), (True, "None and True"), (False, "it's None"), None, None]
+    assert [r.f for r in got] == [False, False, False, True, False]
 
 
 def test_hashdiff_keeps_null_positions_apart(spark):

@@ -51,7 +51,27 @@ def test_versioned_read_prunes_to_visible_versions(spark, tmp_root):
     t.write(df, mode="overwrite")
     t.write(df, mode="overwrite")
     text = plan_text(t.read())
-    assert "_version=1" in text and "_version=0" not in text
+    assert "base=v0000000001" in text and "base=v0000000000" not in text
+    t.write(df, mode="append")
+    assert "PartitionFilters: [isnotnull(load" in plan_text(t.read(as_of=1))
+
+
+def test_insert_only_merge_shuffles_the_batch_once(spark, tmp_root):
+    from lakevault.operators import vault
+    from lakevault.sources.versioned import VersionedTable
+
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = VersionedTable(spark, tmp_root)
+        events = S.table(spark, SF, "events")
+        vault.hub_load(t, events, "user_id", "2024-02-01", "E")
+        hub, _ = vault.hub_rows(events, "user_id")
+        fresh = hub.join(t.read().select("user_id"), "user_id", "left_anti")
+        text = plan_text(fresh, "simple")
+        assert text.count("Exchange hashpartitioning") == 2  # the batch's distinct keys, and the stored keys
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
 
 
 def test_registered_queries_run_no_python_udf(spark):
@@ -60,7 +80,7 @@ def test_registered_queries_run_no_python_udf(spark):
         assert python_udf_free(S.QUERIES[name](spark, SF)), name
 
 
-def test_sql_model_limits_the_window_before_the_shuffle(spark):
+def test_sql_model_combines_before_the_shuffle(spark):
     from lakevault.sources.registry import SourceRegistry
 
     sat = md.event_sat_rows(S.table(spark, SF, "events"))
@@ -69,4 +89,4 @@ def test_sql_model_limits_the_window_before_the_shuffle(spark):
     reg.add("silver.sat", sat)
     reg.add("silver.hub", hub)
     text = plan_text(reg.sql(S.GOLD_MODEL))
-    assert "WindowGroupLimit" in text
+    assert "partial_max_by" in text

@@ -31,7 +31,7 @@ def test_chunked_window_spreads_a_hot_key(spark):
     try:
         df = _skewed(spark)
         spec = dict(prev={"p": "nome"})
-        plain = with_neighbors(df, ["hk"], ["load_date", "event_id"], **spec)
+        plain = with_neighbors(df, ["hk"], ["load_date", "event_id"], chunk=F.lit(0), **spec)
         chunked = with_neighbors(df, ["hk"], ["load_date", "event_id"], chunk=day_chunk("load_date"), **spec)
         assert _max_share(plain) >= 0.4
         assert _max_share(chunked) < 0.3
@@ -43,6 +43,24 @@ def test_chunked_window_spreads_a_hot_key(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_ranges_spread_a_key_that_is_hot_in_one_day(spark):
+    saved = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        # 40 % of the rows: one key, one instant
+        df = _skewed(spark).withColumn("load_date", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+        spec = dict(prev={"p": "nome"})
+        ranged = with_neighbors(df, ["hk"], ["load_date", "event_id"], **spec)
+        by_day = with_neighbors(df, ["hk"], ["load_date", "event_id"], chunk=day_chunk("load_date"), **spec)
+        assert _max_share(by_day) >= 0.4
+        assert _max_share(ranged) < 0.25
+        assert by_day.select("event_id", "p").exceptAll(ranged.select("event_id", "p")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", saved)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_latest_pre_combines_before_the_shuffle(spark):
     df = _skewed(spark)
     text = plan_text(latest_per_key(df, ["hk"], ["load_date", "event_id"]), "simple")

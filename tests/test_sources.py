@@ -1,6 +1,8 @@
 import datetime as dt
 import json
 import os
+
+import pytest
 import tempfile
 
 from pyspark.sql import functions as F
@@ -36,9 +38,15 @@ def test_csv_roundtrip_keeps_blanks_and_empty_strings(spark, tmp_root):
     write_csv(df, tmp_root, null_token="\\N")
     back = sorted(tuple(r) for r in read_csv_robust(spark, tmp_root, df.schema, null_token="\\N").collect())
     assert back == [(1, "  pad  "), (2, ""), (3, None), (4, 'x "y"\nz')]
-    # default dialect: empty text and null both come back as null
-    write_csv(df, tmp_root + "-plain")
-    plain = sorted(tuple(r) for r in read_csv_robust(spark, tmp_root + "-plain", df.schema).collect())
+    # by default too, also through the format switch; a spreadsheet's dialect has null for both
+    for k, (write, read) in enumerate([
+        (lambda p: write_csv(df, p), lambda p: read_csv_robust(spark, p, df.schema)),
+        (lambda p: write_source(df, "csv", p), lambda p: read_source(spark, "csv", p, schema=df.schema)),
+    ]):
+        write(f"{tmp_root}-{k}")
+        assert sorted(tuple(r) for r in read(f"{tmp_root}-{k}").collect()) == back
+    write_csv(df, tmp_root + "-plain", null_token=None)
+    plain = sorted(tuple(r) for r in read_csv_robust(spark, tmp_root + "-plain", df.schema, null_token=None).collect())
     assert plain[1] == (2, None) and plain[0] == (1, "  pad  ")
 
 
@@ -111,6 +119,44 @@ def test_page_files_roundtrip(spark, tmp_root):
     assert paged.read_page_files(spark, tmp_root, ITEM, max_rows=200).count() == 200
 
 
+@pytest.mark.parametrize("body", ['{"_embedded": {"projetos": [{"id": 1', '{"error": "try later"}',
+                                  '{"_embedded": {"projetos": [{"id": "x", "nome": 3}]}}'])
+def test_bad_pages_fail_instead_of_vanishing(spark, tmp_root, body):
+    good = json.dumps({"offset": 0, "_embedded": {"projetos": [{"id": 1, "nome": "a"}]}})
+    bad = body if body.startswith('{"_embedded": {"projetos": [{"id": 1') else body[:-1] + ', "offset": 100}'
+    spark.createDataFrame([(good,), (bad,)], "value string").coalesce(1).write.text(tmp_root)
+    with pytest.raises(Exception):
+        paged.read_page_files(spark, tmp_root, ITEM).collect()
+
+
+def test_extract_finds_its_end(spark):
+    d = _local_dir("pages-all-")
+    for off in range(0, 900, 100):
+        items = [{"id": off + j, "nome": "x"} for j in range(100 if off < 500 else 0)]
+        with open(os.path.join(d, f"page-{off}.json"), "w") as f:
+            json.dump({"_embedded": {"projetos": items}}, f)
+    out = paged.extract_all(spark, "file://" + d + "/page-{offset}.json", ITEM, window=3)
+    assert sorted(r.id for r in out.collect()) == list(range(500))
+
+
+def test_contract_rejects_bad_types_and_unknown_conditions(spark):
+    df = spark.createDataFrame([(1, "2.5"), (2, "x"), (3, None), (None, "1")], "k int, v string")
+    valid, rejected = bronze.contract_split(df, {"small_key": F.col("k") < 2}, {"v": "double"})
+    assert sorted((r.k, r.v) for r in valid.collect()) == [(3, None)]
+    assert sorted((r.k or 0, r.reasons) for r in rejected.collect()) == [(0, "small_key"), (1, "small_key"), (2, "type:v")]
+    with pytest.raises(ValueError):
+        bronze.contract_split(df, {}, {"missing": "int"})
+
+
+def test_checksum_ingest_keeps_every_distinct_tuple(spark, tmp_root):
+    rows = [(1, None, "x"), (1, "x", None), (2, "p|q", "r"), (2, "p", "q|r"), (2, "p", "q|r"), (3, "", None), (3, None, "")]
+    df = spark.createDataFrame(rows, "a int, b string, c string")
+    t = VersionedTable(spark, tmp_root)
+    for _ in range(2):
+        bronze.ingest_by_checksum(t, df, ["a", "b", "c"])
+    assert sorted(map(repr, ((r.a, r.b, r.c) for r in t.read().collect()))) == sorted(map(repr, set(rows)))
+
+
 def test_landing_prunes_partitions(spark, tmp_root):
     df = spark.createDataFrame(
         [(1, dt.datetime(2024, 1, 5, 3)), (2, dt.datetime(2024, 1, 6, 4))], "event_id long, ts timestamp_ntz"
@@ -198,6 +244,13 @@ def test_high_watermark_against_empty_and_filled_table(spark, tmp_root):
     batch = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 3))], schema)
     t = VersionedTable(spark, tmp_root)
     t.write(spark.createDataFrame([], schema), mode="overwrite")
-    assert bronze.newer_than_stored(t, batch, "ts").count() == 2
+    new, held = bronze.newer_than_stored(t, batch, "ts")
+    assert new.count() == 2 and held.count() == 0
     t.write(spark.createDataFrame([(0, dt.datetime(2024, 1, 2))], schema), mode="append")
-    assert [r.id for r in bronze.newer_than_stored(t, batch, "ts").collect()] == [2]
+    new, held = bronze.newer_than_stored(t, batch, "ts")
+    assert [r.id for r in new.collect()] == [2] and [r.id for r in held.collect()] == [1]
+    undated = batch.unionByName(spark.createDataFrame([(9, None)], schema))
+    for _ in range(2):
+        held = bronze.ingest_newer(t, undated, "ts")
+    assert sorted(r.id for r in t.read().collect()) == [0, 2]
+    assert sorted(r.id for r in held.collect()) == [1, 2, 9]

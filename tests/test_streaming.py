@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakevault.operators.vault import hub_rows
@@ -17,9 +18,9 @@ def test_late_row_is_dropped_and_counted(spark, tmp_root):
     src, out, ck = f"{tmp_root}/in", f"{tmp_root}/out", f"{tmp_root}/ck"
     schema = spark.createDataFrame([], SCHEMA).schema
     _land(spark, src, [(1, dt.datetime(2024, 1, 10), 1), (1, dt.datetime(2024, 1, 10), 1)])
-    streams.stream_dedupe(spark, src, schema, out, ck, "event_id", "ts", delay="1 day")
+    streams.stream_dedupe_within(spark, src, schema, out, ck, "event_id", "ts", delay="1 day")
     _land(spark, src, [(2, dt.datetime(2024, 1, 1), 2), (3, dt.datetime(2024, 1, 11), 3), (1, dt.datetime(2024, 1, 10), 1)])
-    report = streams.stream_dedupe(spark, src, schema, out, ck, "event_id", "ts", delay="1 day")
+    report = streams.stream_dedupe_within(spark, src, schema, out, ck, "event_id", "ts", delay="1 day")
     got = sorted(r.event_id for r in spark.read.schema(schema).parquet(out).collect())
     assert got == [1, 3]
     dropped = 0
@@ -40,8 +41,24 @@ def test_streamed_hub_equals_batch_hub(spark, tmp_root):
     streamed = t.read()
     assert streamed.count() == batch.count()
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
-    # one commit per micro-batch that had new keys: three files -> up to three versions
-    assert 1 <= t.latest_version() <= 2
+    # one load per micro-batch that had new keys, none for the others
+    loads = len(t.loads())
+    assert 1 <= loads <= 3
+    batch.select("user_id").limit(0).count()
+    ev.limit(5).write.mode("append").parquet(src)
+    streams.stream_hub_merge(spark, src, ev.schema, t, f"{tmp_root}/ck", "user_id", "2024-02-01", "EVENTS", max_files=1)
+    assert len(t.loads()) == loads
+
+
+@pytest.mark.parametrize("max_files", [None, 1, 2])
+def test_stream_dedupe_keeps_each_key_whatever_the_batches(spark, tmp_root, max_files):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    src = f"{tmp_root}/in"
+    for _ in range(2):
+        ev.repartition(3).write.mode("append").parquet(src)
+    streams.stream_dedupe(spark, src, ev.schema, f"{tmp_root}/out", f"{tmp_root}/ck", "event_id", "ts", max_files=max_files)
+    got = streams.read_deduped(spark, ev.schema, f"{tmp_root}/out")
+    assert got.exceptAll(ev).count() == 0 and ev.exceptAll(got).count() == 0
 
 
 def test_stream_ingest_copies_every_file_once(spark, tmp_root):

@@ -1,45 +1,48 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
+from lakevault.operators.privacy import forget_subjects
+from lakevault.sources import versioned
 from lakevault.sources.versioned import SchemaMismatchError, TableExistsError, VersionedTable
 
 
-def _rows(df, *cols):
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())
+def _ids(df, c="id"):
+    return sorted(r[c] for r in df.collect())
+
+
+def _frame(spark, *ids):
+    return spark.createDataFrame([(i,) for i in ids], "id long")
 
 
-def test_overwrite_append_time_travel_and_history(spark, tmp_root):
+def test_overwrite_append_and_earlier_states(spark, tmp_root):
     t = VersionedTable(spark, tmp_root)
-    a = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
-    b = spark.createDataFrame([(3, "c")], "id long, v string")
-    assert t.write(a, mode="overwrite") == 0
-    assert t.write(b, mode="append") == 1
-    assert _rows(t.read(), "id") == [(1,), (2,), (3,)]
-    assert _rows(t.read(version=0), "id") == [(1,), (2,)]
-    assert t.write(b, mode="overwrite") == 2
-    assert _rows(t.read(), "id") == [(3,)]
-    assert _rows(t.read(version=1), "id") == [(1,), (2,), (3,)]
-    h = t.history().select("version", "operation", F.col("operationParameters")["mode"].alias("mode")).collect()
-    assert [(r.version, r.operation, r.mode) for r in h] == [
-        (2, "WRITE", "Overwrite"), (1, "WRITE", "Append"), (0, "WRITE", "Overwrite")
-    ]
-    assert [r.num_rows for r in t.commits().orderBy("version").collect()] == [2, 1, 1]
-
-
-def test_with_version_column(spark, tmp_root):
+    assert t.write(_frame(spark, 1, 2), mode="overwrite") == "v0000000000" and t.last_num_rows == 2
+    assert t.write(_frame(spark, 3), mode="append") == "v0000000001"
+    assert _ids(t.read()) == [1, 2, 3] and _ids(t.read(as_of=0)) == [1, 2]
+    t.write(_frame(spark, 4), mode="overwrite")
+    assert _ids(t.read()) == [4] and _ids(t.read(as_of=1)) == [1, 2, 3]
+    assert _ids(t.read_load("v0000000002")) == [4]
+    t.drop_old_snapshots()
+    assert _ids(t.read()) == [4]
+    with pytest.raises(FileNotFoundError):
+        t.read(as_of=1)
+
+
+def test_a_named_load_is_written_once(spark, tmp_root):
     t = VersionedTable(spark, tmp_root)
-    df = spark.createDataFrame([(1,)], "id long")
-    t.write(df, mode="overwrite")
-    t.write(df, mode="append")
-    assert _rows(t.read(with_version=True), "id", "_version") == [(1, 0), (1, 1)]
+    for _ in range(2):
+        t.write(_frame(spark, 1), load_id="day/2024-01-01")
+        t.write(_frame(spark, 2), load_id="2024")
+    assert _ids(t.read()) == [1, 2] and len(t.loads()) == 2
 
 
 def test_create_fails_when_table_exists(spark, tmp_root):
     t = VersionedTable(spark, tmp_root)
-    df = spark.createDataFrame([(1,)], "id long")
-    t.write(df, mode="errorifexists")
+    t.write(_frame(spark, 1), mode="errorifexists")
     with pytest.raises(TableExistsError):
-        t.write(df, mode="errorifexists")
+        t.write(_frame(spark, 1), mode="errorifexists")
 
 
 def test_schema_change_needs_overwrite_schema(spark, tmp_root):
@@ -47,99 +50,87 @@ def test_schema_change_needs_overwrite_schema(spark, tmp_root):
     v0 = spark.createDataFrame([(1, "10.5", "x")], "codigo long, valor_projeto string, extra string")
     v1 = spark.createDataFrame([(1, 10.5)], "codigo long, valor_projeto double")
     t.write(v0, mode="overwrite")
-    with pytest.raises(SchemaMismatchError):
-        t.write(v1, mode="append")
-    with pytest.raises(SchemaMismatchError):
-        t.write(v1, mode="overwrite")
+    for mode in ("append", "overwrite"):
+        with pytest.raises(SchemaMismatchError):
+            t.write(v1, mode=mode)
     t.write(v1, mode="overwrite", overwrite_schema=True)
     assert dict(t.read().dtypes)["valor_projeto"] == "double"
-    old = t.read(version=0)
+    old = t.read(as_of=0)
     assert dict(old.dtypes)["valor_projeto"] == "string" and "extra" in old.columns
 
 
-def test_uncommitted_data_is_invisible(spark, tmp_root):
+def test_an_unfinished_snapshot_is_invisible_and_its_retry_replaces_it(spark, tmp_root):
     t = VersionedTable(spark, tmp_root)
-    t.write(spark.createDataFrame([(1,)], "id long"), mode="overwrite")
-    # a crashed writer left files for version 1 but never committed
-    spark.createDataFrame([(99,)], "id long").write.parquet(f"{tmp_root}/data/_version=1")
-    assert _rows(t.read(), "id") == [(1,)]
-    # the retry of version 1 rewrites only its own folder
-    t.write(spark.createDataFrame([(2,)], "id long"), mode="append")
-    assert _rows(t.read(), "id") == [(1,), (2,)]
+    t.write(_frame(spark, 1), mode="overwrite")
+    crashed = f"{tmp_root}/base=v0000000001/load=v0000000001"
+    _frame(spark, 99).write.parquet(crashed)
+    versioned._Folder(spark, f"{crashed}/_SUCCESS").delete()
+    assert _ids(t.read()) == [1]
+    t.write(_frame(spark, 2), mode="overwrite")
+    assert _ids(t.read()) == [2]
 
 
-def test_rewrite_erases_from_every_version(spark, tmp_root):
-    t = VersionedTable(spark, tmp_root)
-    t.write(spark.createDataFrame([(1, 3), (2, 4)], "event_id long, user_id long"), mode="overwrite")
-    t.write(spark.createDataFrame([(3, 3), (4, 5)], "event_id long, user_id long"), mode="append")
-    gone = spark.createDataFrame([(3,)], "user_id long")
-    t.rewrite(lambda df: df.join(gone, "user_id", "left_anti"))
-    assert _rows(t.read(), "event_id") == [(2,), (4,)]
-    assert _rows(t.read(version=0), "event_id") == [(2,)]
-    assert t.history().first().operation == "DELETE"
-    # a version emptied by erasure stays readable
-    t.rewrite(lambda df: df.where(F.col("event_id") != 2))
-    assert _rows(t.read(version=0), "event_id") == []
-
-
-def test_forget_rewrites_only_versions_holding_the_subject(spark, tmp_root):
-    from lakevault.operators.privacy import forget_subjects
-
-    t = VersionedTable(spark, tmp_root)
-    t.write(spark.createDataFrame([(1, 3), (2, 4)], "event_id long, user_id long"), mode="overwrite")
-    t.write(spark.createDataFrame([(3, 5)], "event_id long, user_id long"), mode="append")
-    before = t._locations(t._commit_rows())
-    forget_subjects(t, spark.createDataFrame([(3,)], "user_id long"), "user_id")
-    after = t._locations(t._commit_rows())
-    assert after[1] == before[1] and after[0] != before[0]
-    assert _rows(t.read(), "event_id") == [(2,), (3,)]
-    # nothing to forget: no new version
-    v = t.latest_version()
-    forget_subjects(t, spark.createDataFrame([(99,)], "user_id long"), "user_id")
-    assert t.latest_version() == v
-
-
-def test_compact_keeps_content_and_history(spark, tmp_root):
+def test_compact_keeps_content(spark, tmp_root):
     t = VersionedTable(spark, tmp_root)
     for i in range(4):
-        t.write(spark.createDataFrame([(i,)], "id long"), mode="append" if i else "overwrite")
-    v = t.compact()
-    assert _rows(t.read(), "id") == [(0,), (1,), (2,), (3,)]
-    assert _rows(t.read(version=v - 1), "id") == [(0,), (1,), (2,), (3,)]
-    assert t.history().first().operation == "OPTIMIZE"
-
-
-def test_compact_commits_keeps_history(spark, tmp_root):
-    t = VersionedTable(spark, tmp_root)
-    for i in range(5):
-        t.write(spark.createDataFrame([(i,)], "id long"), mode="append" if i else "overwrite")
-    before = [(r.version, r.operation) for r in t.history().collect()]
-    assert t.compact_commits() == 5
-    assert len(t._commit_files()) == 1
-    fresh = VersionedTable(spark, tmp_root)
-    assert [(r.version, r.operation) for r in fresh.history().collect()] == before
-    assert _rows(fresh.read(version=2), "id") == [(0,), (1,), (2,)]
-    fresh.write(spark.createDataFrame([(9,)], "id long"), mode="append")
-    assert fresh.latest_version() == 5
-
-
-def test_reading_a_missing_version_fails(spark, tmp_root):
-    t = VersionedTable(spark, tmp_root)
-    t.write(spark.createDataFrame([(1,)], "id long"), mode="overwrite")
-    with pytest.raises(ValueError):
-        t.read(version=3)
-
-
-def test_append_with_merge_schema_adds_columns(spark, tmp_root):
-    t = VersionedTable(spark, tmp_root)
-    t.write(spark.createDataFrame([(1, "a")], "id long, nome string"), mode="overwrite")
-    wider = spark.createDataFrame([(2, "b", 9.5)], "id long, nome string, valor double")
-    with pytest.raises(SchemaMismatchError):
-        t.write(wider, mode="append")
-    t.write(wider, mode="append", merge_schema=True)
-    assert _rows(t.read(), "id", "valor") == [(1, None), (2, 9.5)]
-    assert t.read(version=0).columns == ["id", "nome"]
-    t.write(spark.createDataFrame([(3, "c")], "id long, nome string"), mode="append", merge_schema=True)
-    assert _rows(t.read(), "id", "valor") == [(1, None), (2, 9.5), (3, None)]
-    with pytest.raises(SchemaMismatchError):
-        t.write(spark.createDataFrame([(4, 1)], "id long, nome int"), mode="append", merge_schema=True)
+        t.write(_frame(spark, i))
+    t.compact()
+    assert _ids(t.read()) == [0, 1, 2, 3] and len(t.loads()) == 1
+
+
+# ------------------------------------------------------------------ erasure
+def _two_loads(spark, root):
+    t = VersionedTable(spark, root)
+    t.write(spark.createDataFrame([(1, 3), (2, 4)], "id long, user_id long"), mode="overwrite")
+    t.write(spark.createDataFrame([(3, 3)], "id long, user_id long"))
+    t.write(spark.createDataFrame([(4, 5), (5, 3)], "id long, user_id long"), mode="overwrite")
+    return t
+
+
+def _stored_users(spark, root):
+    """All user ids in any Parquet file below the table's folder."""
+    local = root.removeprefix("file:")
+    files = [os.path.join(d, f) for d, _, names in os.walk(local) for f in names if f.endswith(".parquet")]
+    found = set()
+    for f in files:
+        df = spark.read.parquet("file:" + f)
+        found |= {r.user_id for r in df.select("user_id").collect()} if "user_id" in df.columns else set()
+    return found
+
+
+def test_erasure_reaches_every_snapshot(spark, tmp_root):
+    t = _two_loads(spark, tmp_root)
+    crashed = f"{tmp_root}/base=v0000000002/load=v0000000009"  # a write that never completed
+    spark.createDataFrame([(9, 3)], "id long, user_id long").write.parquet(crashed)
+    versioned._Folder(spark, f"{crashed}/_SUCCESS").delete()
+    gone = spark.createDataFrame([(3,)], "user_id long")
+    forget_subjects(t, gone, "user_id")
+    assert _ids(t.read()) == [4] and _ids(t.read(as_of=1)) == [2]
+    assert _stored_users(spark, tmp_root) == {4, 5}
+    t.write(spark.createDataFrame([(6, 6)], "id long, user_id long"))
+    assert _ids(t.read()) == [4, 6]
+    forget_subjects(t, spark.createDataFrame([(77,)], "user_id long"), "user_id")
+    assert _ids(t.read()) == [4, 6]
+
+
+@pytest.mark.parametrize("crash_at", [0, 1, 2, 3, 4, 5])
+def test_erasure_finishes_after_a_failure(spark, tmp_root, monkeypatch, crash_at):
+    t = _two_loads(spark, tmp_root)
+    gone = spark.createDataFrame([(3,)], "user_id long")
+    calls = {"n": -1}
+    for name in ("delete", "mark_complete"):
+        real = getattr(versioned._Folder, name)
+
+        def flaky(self, real=real):
+            calls["n"] += 1
+            if calls["n"] == crash_at:
+                raise OSError("simulated failure")
+            return real(self)
+
+        monkeypatch.setattr(versioned._Folder, name, flaky)
+    try:
+        forget_subjects(t, gone, "user_id")
+    except OSError:
+        forget_subjects(t, gone, "user_id")
+    assert _ids(t.read()) == [4] and _ids(t.read(as_of=1)) == [2]
+    assert _stored_users(spark, tmp_root) == {4, 5}
