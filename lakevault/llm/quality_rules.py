@@ -86,14 +86,15 @@ def base_rules(n_words: Column, n_repeat_words: Column, min_words: int = 50, max
 
 
 def host_verdicts(
-    measured: DataFrame, domain_col: str, failed_col: str, *, max_rate: float = 0.6, max_prior_weight: float = 1e6
+    measured: DataFrame, domain_col: str, failed_col: str, *, max_rate: float = 0.9, max_prior_weight: float = 1e6
 ) -> DataFrame:
     """(domain, n_docs, n_failed, shrunk_rate, host_ok): one row per domain.
 
     The prior is beta(a, b) with the mean m of all documents and the weight
     a + b = m (1 - m) / v - 1, v being the variance of the domains' rates beyond
     what chance gives domains of their sizes. Domains that differ by no more than
-    chance get the weight ``max_prior_weight``: all shrink to the mean.
+    chance get the weight ``max_prior_weight``: all shrink to the mean. The prior never
+    weighs less than two documents.
     """
     hosts = measured.groupBy(domain_col).agg(
         F.count(F.lit(1)).alias("n_docs"), F.sum(F.col(failed_col).cast("long")).alias("n_failed")
@@ -108,7 +109,7 @@ def host_verdicts(
     between = F.col("k2n") - m * F.col("failed")  # sum of n (rate - m)^2
     chance = m * (1 - m) * (F.col("hosts") - 1)
     v = (between - chance) / (F.col("docs") - F.col("n2") / F.col("docs"))
-    weight = F.when((F.col("hosts") > 1) & (v > 0), F.least(F.lit(max_prior_weight), F.greatest(F.lit(0.0), m * (1 - m) / v - 1)))
+    weight = F.when((F.col("hosts") > 1) & (v > 0), F.least(F.lit(max_prior_weight), F.greatest(F.lit(2.0), m * (1 - m) / v - 1)))
     mean, prior = total.select(m, F.coalesce(weight, F.lit(max_prior_weight))).first()  # two numbers
     rate = (k + F.lit(prior) * F.lit(mean)) / (n + F.lit(prior))
     return hosts.select(domain_col, "n_docs", "n_failed", rate.alias("shrunk_rate"), (rate <= max_rate).alias("host_ok"))
@@ -122,7 +123,7 @@ def apply_quality_rules(
     result_col: str = "rules",
     min_words: int = 50,
     max_repeat_percent: int = 50,
-    max_host_rate: float = 0.6,
+    max_host_rate: float = 0.9,
 ) -> DataFrame:
     """``docs`` plus the struct ``result_col``: the measures, base_failed, shrunk_rate and kept.
 
@@ -155,7 +156,7 @@ def op9_quality(docs: DataFrame) -> DataFrame:
     """The registered query. Its rows are narrow, so the measures are written once and read twice."""
     base = docs.select("doc_id", "source", *[c.alias(k) for k, c in measures(F.col("text")).items()])
     base = base.withColumn("base_failed", base_rules(F.col("n_words"), F.col("n_repeat_words")))
-    return _judged(stored(base, "op9"), "source", "", 0.6).select("doc_id", *MEASURES, "base_failed", "kept", "source")
+    return _judged(stored(base, "op9"), "source", "", 0.9).select("doc_id", *MEASURES, "base_failed", "kept", "source")
 
 
 ORACLE_OP9 = r"""
@@ -177,9 +178,9 @@ b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 h AS (SELECT source, count(*)::DOUBLE AS n, sum(CASE WHEN base_failed THEN 1 ELSE 0 END)::DOUBLE AS k FROM b GROUP BY source),
 t AS (SELECT sum(n) AS docs, sum(k) AS failed, sum(k * k / n) AS k2n, count(*) AS hosts, sum(n * n) AS n2, sum(k) / sum(n) AS m FROM h),
 v AS (SELECT *, (k2n - m * failed - m * (1 - m) * (hosts - 1)) / nullif(docs - n2 / docs, 0) AS v FROM t),
-p AS (SELECT m, CASE WHEN hosts > 1 AND v > 0 THEN least(1e6, greatest(0, m * (1 - m) / v - 1)) ELSE 1e6 END AS w FROM v),
+p AS (SELECT m, CASE WHEN hosts > 1 AND v > 0 THEN least(1e6, greatest(2, m * (1 - m) / v - 1)) ELSE 1e6 END AS w FROM v),
 s AS (SELECT source, (k + w * m) / (n + w) AS shrunk_rate FROM h, p)
 SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND shrunk_rate <= 0.6 AS kept, b.source
+       NOT base_failed AND shrunk_rate <= 0.9 AS kept, b.source
 FROM b JOIN s ON b.source IS NOT DISTINCT FROM s.source
 """
