@@ -9,13 +9,18 @@ of 0.85 two documents share no bucket with a chance of 2e-9.
 
 Equal sets are one class (a digest of the set, grouped with partial aggregates),
 so copies, however many, never meet in a bucket. In a bucket of classes the
-candidates form stars: in the first round every member is compared with the
-smallest one. Confirmed links give components; a bucket whose members are all in
-one component is done. In any other bucket further hubs, 4 times as many in
-each round, are compared with the members outside their component, until every
-pair across components has been compared; so no link of a bucket is lost, and
-the pairs of a round are its hubs times members, not all pairs. Links are
-confirmed on the full shingle sets of both texts.
+candidates form a star: every member is compared with the one that has the most
+company in all its buckets (in a group of near copies, the text they come from).
+Links are confirmed on the full shingle sets of both texts and give components.
+
+A bucket whose members are in one component is done. In the others no link may be
+lost: every pair across components is a candidate again, unless a bound rules it
+out. A shingle that occurs in no other component's active text cannot be shared
+across components, so with at most m other shingles on the poorer side, n1 and
+n2 in all, the similarity is at most m / (n1 + n2 - m). A text whose private
+shingles alone rule out a link with anything drops out first. (Near copies that
+are not alike enough differ by their own edits, which are private, so few of
+their many pairs are left.) A pair is made in the first of its common buckets.
 
 Texts of candidates are taken once from compressed blocks, by block key. Pairs
 are joined with them by id, a join that Spark splits when a hub is hot.
@@ -37,7 +42,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakevault.llm.blocks import MESSAGE, TEXT, Messages, squeeze, expand, with_answers, write_blocks
+from lakevault.llm.blocks import MESSAGE, TEXT, Messages, exchange, expand, squeeze, with_answers, write_blocks
 from lakevault.llm.common import LOWER, U64, WORD_BASE, mix, require, slices, stored, window_hashes, word_hashes, word_spans
 from lakevault.llm.components import components
 
@@ -173,17 +178,11 @@ def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose sets have a similarity of ``percent`` / 100 at least."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unzip = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                plain = [unzip(x.as_py()).decode() for k in (2, 3) for x in part.column(k)]
                 n = part.num_rows
-                sets: list[np.ndarray] = [np.empty(0, U64)] * (2 * n)
-                for _, _, owner, h in shingle_sets(pa.array(plain, pa.string())):
-                    mine, first = np.unique(owner, return_index=True)
-                    for k, own in zip(mine, np.split(h, first[1:]), strict=True):
-                        sets[k] = own
+                sets = _plain_sets(pa.chunked_array([part.column(2), part.column(3)]))
                 linked = []
                 for k in range(n):
                     a, b = sets[k], sets[n + k]
@@ -197,6 +196,61 @@ def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(check, "u long, v long")
 
 
+def _plain_sets(packed: pa.ChunkedArray) -> list[np.ndarray]:
+    """The sorted shingle set of every compressed text."""
+    unzip = zstandard.ZstdDecompressor().decompress
+    plain = pa.array([unzip(x.as_py()).decode() for x in packed], pa.string())
+    sets: list[np.ndarray] = [np.empty(0, U64)] * len(plain)
+    for _, _, owner, h in shingle_sets(plain):
+        mine, first = np.unique(owner, return_index=True)
+        for k, own in zip(mine, np.split(h, first[1:]), strict=True):
+            sets[k] = own
+    return sets
+
+
+def _common(texts: DataFrame) -> DataFrame:
+    """(row, common): how many of a row's shingles also occur in a row of another component ``c``."""
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(1, size // (1 << 20))
+
+    def parts(sets: list[np.ndarray]):
+        every = np.concatenate(sets) if sets else np.empty(0, U64)
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        address = (every >> U64(32)).astype(np.int64) * ranges >> 32
+        order = np.argsort(address, kind="stable")
+        number, first = np.unique(address[order], return_index=True)
+        return every, owner, [(int(k), own) for k, own in zip(number, np.split(order, first[1:]), strict=False)]
+
+    def ask(_block: int, rows: pa.Table) -> Messages:
+        every, owner, by_range = parts(_plain_sets(rows.column("text")))
+        component = np.asarray(rows.column("c").combine_chunks())
+        return [(k, squeeze(every[own], component[owner[own]])) for k, own in by_range]
+
+    def tell(_range: int, messages: list[tuple[int, bytes]]) -> list[tuple[int, bytes]]:
+        found = [expand(data) for _, data in messages]
+        h, c = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+        order = np.lexsort((c, h))
+        first = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
+        last = np.append(first[1:], len(h)) - 1
+        wide = np.empty(len(h), dtype=bool)
+        wide[order] = np.repeat(c[order][first] != c[order][last], last - first + 1)
+        ends = np.cumsum([len(f[0]) for f in found])
+        return [(b, np.packbits(x).tobytes()) for (b, _), x in zip(messages, np.split(wide, ends[:-1]), strict=True)]
+
+    def count(_block: int, rows: pa.Table, answers: dict[int, bytes]) -> pa.Table:
+        sets = _plain_sets(rows.column("text"))
+        _, owner, by_range = parts(sets)
+        common = np.zeros(len(sets), np.int64)
+        for k, own in by_range:
+            wide = np.unpackbits(np.frombuffer(answers[k], np.uint8), count=len(own)).astype(bool)
+            common += np.bincount(owner[own][wide], minlength=len(sets))
+        return pa.table({"row": rows.column("row"), "common": pa.array(common)})
+
+    written = write_blocks(texts, "text", "common", ask, block_bytes=2 << 20)
+    answers = exchange(written.where(F.col("kind") == MESSAGE), tell)
+    return with_answers(written.where(F.col("kind") == TEXT), answers, count, "row long, common long")
+
+
 def link_near_duplicates(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = 85
 ) -> tuple[DataFrame, DataFrame]:
@@ -213,40 +267,38 @@ def link_near_duplicates(
     some = rows.where("n > 0")
     classes = stored(some.groupBy(*digest).agg(F.min("row").alias("class")), "classes")
     heads = some.join(classes.select(F.col("class").alias("row")), "row", "left_semi")
-    members = heads.select("row", "n", F.explode("keys").alias("bucket"))
-    members = stored(members, "members")
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("row").alias("hub")).where("size > 1")
+    members = stored(heads.select("row", "n", F.explode("keys").alias("bucket")), "members")
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = stored(members.join(sizes, "bucket"), "buckets")
-
     texts = stored(_texts_of(blocks, shared.select("row").distinct(), text_col), "texts")
+
+    # stars: each bucket's member with the most company is compared with the others
+    company = shared.groupBy("row").agg(F.sum("size").alias("company"))
+    first = F.max_by(F.struct(F.col("row").alias("hub"), F.col("n").alias("hub_n")), F.struct("company", -F.col("row")))
+    hubs = shared.join(company, "row").groupBy("bucket").agg(first.alias("h")).select("bucket", "h.*")
     similar = F.expr(f"100L * least(n, hub_n) >= {percent}L * greatest(n, hub_n)")  # sizes alone can rule a pair out
-    hubs = shared.where("row = hub").select("bucket", F.col("n").alias("hub_n"))
-    pairs = shared.where("row <> hub").join(hubs, "bucket").where(similar)
-    pairs = pairs.select(F.col("hub").alias("u"), F.col("row").alias("v")).distinct()
+    pairs = shared.join(hubs, "bucket").where((F.col("row") != F.col("hub")) & similar)
+    pairs = pairs.select(F.least("row", "hub").alias("u"), F.greatest("row", "hub").alias("v")).distinct()
     links = stored(_confirm(pairs, texts, percent), "links")
     component = components(links)
 
-    low, high = 0, 1
-    active = shared
-    while True:
-        # buckets that still hold several components, and whose members have not all been hubs
-        labelled = active.select("row", "n", "bucket", "size").join(component, F.col("row") == F.col("node"), "left")
-        labelled = labelled.select("row", "n", "bucket", "size", F.coalesce("component", "row").alias("c"))
-        mixed = labelled.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("bucket")
-        active = stored(labelled.join(mixed, "bucket", "left_semi").where(F.col("size") > low), "active")
-        if active.isEmpty():
-            break
-        chance = F.pmod(F.xxhash64("bucket", "row"), F.lit(1 << 30)) / F.lit(float(1 << 30)) * F.col("size")
-        hubs = active.where((chance >= low) & (chance < high)).select(
-            "bucket", F.col("row").alias("hub"), F.col("n").alias("hub_n"), F.col("c").alias("hub_c")
-        )
-        pairs = active.join(hubs, "bucket").where((F.col("c") != F.col("hub_c")) & similar)
-        pairs = pairs.select(F.least("row", "hub").alias("u"), F.greatest("row", "hub").alias("v")).distinct()
-        new = stored(_confirm(pairs, texts, percent), "links")
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            component = components(links)
-        low, high = high, high * 4
+    # buckets that still hold several components: all pairs across them that a link is possible for
+    labelled = shared.join(component, F.col("row") == F.col("node"), "left")
+    labelled = labelled.select("row", "n", "bucket", F.coalesce("component", "row").alias("c"))
+    mixed = labelled.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("bucket")
+    active = stored(labelled.join(mixed, "bucket", "left_semi"), "active")
+    common = _common(texts.join(active.select("row", "c").distinct(), "row").select("row", "c", "text"))
+    alive = stored(common.join(active.select("row", "n").distinct(), "row").where(f"100 * common >= {percent} * n"), "alive")
+    alive = active.select("row", "c", "bucket").join(alive, "row").join(rows.select("row", "keys"), "row")
+    side = lambda k: alive.select("bucket", *[F.col(c).alias(c + k) for c in ("row", "c", "n", "common", "keys")])
+    possible = F.expr(
+        f"100 * least(common1, common2) >= {percent} * (n1 + n2 - least(common1, common2))"
+        " and bucket = array_min(array_intersect(keys1, keys2))"  # once for each pair
+    )
+    pairs = side("1").join(side("2"), "bucket").where((F.col("row1") < F.col("row2")) & (F.col("c1") != F.col("c2")) & possible)
+    more = stored(_confirm(pairs.select(F.col("row1").alias("u"), F.col("row2").alias("v")), texts, percent), "links")
+    if not more.isEmpty():
+        component = components(links.unionByName(more))
 
     # component of each row, through its class; then its smallest id
     of_class = classes.join(component, F.col("class") == F.col("node"), "left").select(
