@@ -246,6 +246,8 @@ def test_near_dedup_of_awkward_rows(spark, odd):
         ("<article>a<script>var t='</p>'</script><style>p{}</style><!-- no <p>no</p> -->b</article>", "ab"),
         ("<article><div class='cookie-notice'>n<div>n</div></div><p title='a > b'>y</p><form><p>q</form></article>", "y"),
         ("<article><p>cut <b>off", "cut off"), ("<article><p>cut <a href='x", "cut"), ("<p>1 < 2 &am", "1 < 2 &am"),
+        ("<div class='page has-sidebar'><div id='site-header'>h</div><article class='post no-comments'><div class='entry-header'>T</div>u</article></div>", "T\nu"),
+        ("<article><p>u</p><article class='comment'>c</article></article><div class='reader-comments'><p>d</p></div>", "u"),
         ("<ARTICLE><P>u</P></ARTICLE>", "u"), ("<div hidden>n</div><div style='display:none'>n</div>y", "y"),
     ],
 )
