@@ -12,10 +12,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakevault.session import scratch_path
+from lakevault.sources.versioned import delete_folder
 
 SLICE_BYTES = 2 << 20
 U64 = np.uint64
@@ -37,6 +38,7 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write ``df`` to a new folder of the shared scratch root and read it back.
 
     Cuts the lineage: a lost executor later costs a re-read, not a re-run.
+    ``discard`` deletes the folder once nothing reads it any more.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
@@ -44,7 +46,17 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of frames that ``stored`` returned; no other frame may still read them."""
+    for frame in frames:
+        path = getattr(frame, "_scratch", None)
+        if path:
+            delete_folder(frame.sparkSession, path)
 
 
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
@@ -147,8 +159,3 @@ def window_hashes(words: np.ndarray, rows: np.ndarray, size: int, base: int = WO
     total = np.concatenate([np.zeros(1, U64), np.cumsum(words * up[:-1], dtype=U64)])
     at = np.flatnonzero(rows[size - 1 :] == rows[:n])
     return at, mix((total[at + size] - total[at]) * down[at])
-
-
-def scalar(spark: SparkSession, df: DataFrame):
-    """The single value of a one-row, one-column frame."""
-    return df.first()[0]

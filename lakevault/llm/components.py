@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import stored
+from lakevault.llm.common import discard, stored
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -31,7 +31,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v")))
-        edges = stored(small.where(F.col("u") != F.col("v")).distinct(), "edges")
+        old, edges = edges, stored(small.where(F.col("u") != F.col("v")).distinct(), "edges")
+        discard(old)
         after = _state(edges)
         if after == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakevault.llm.blocks import MESSAGE, TEXT, Messages, exchange, expand, squeeze, with_answers, write_blocks
-from lakevault.llm.common import LOWER, U64, WORD_BASE, mix, require, slices, stored, window_hashes, word_hashes, word_spans
+from lakevault.llm.common import LOWER, U64, WORD_BASE, discard, mix, require, slices, stored, window_hashes, word_hashes, word_spans
 from lakevault.llm.components import components
 
 SHINGLE = 5
@@ -288,8 +288,8 @@ def link_near_duplicates(
     mixed = labelled.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("bucket")
     active = stored(labelled.join(mixed, "bucket", "left_semi"), "active")
     common = _common(texts.join(active.select("row", "c").distinct(), "row").select("row", "c", "text"))
-    alive = stored(common.join(active.select("row", "n").distinct(), "row").where(f"100 * common >= {percent} * n"), "alive")
-    alive = active.select("row", "c", "bucket").join(alive, "row").join(rows.select("row", "keys"), "row")
+    alive_rows = stored(common.join(active.select("row", "n").distinct(), "row").where(f"100 * common >= {percent} * n"), "alive")
+    alive = active.select("row", "c", "bucket").join(alive_rows, "row").join(rows.select("row", "keys"), "row")
     side = lambda k: alive.select("bucket", *[F.col(c).alias(c + k) for c in ("row", "c", "n", "common", "keys")])
     possible = F.expr(
         f"100 * least(common1, common2) >= {percent} * (n1 + n2 - least(common1, common2))"
@@ -306,6 +306,7 @@ def link_near_duplicates(
     )
     placed = rows.select("row", "id", *digest).join(of_class, digest, "left")
     placed = stored(placed.select("row", "id", "n", F.coalesce("c", "row").alias("c")), "placed")
+    discard(rows, classes, members, shared, texts, links, active, alive_rows, more)
     least = placed.groupBy("c").agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row")).alias("m"))
     out = placed.join(least, "c").select(
         "row", "id", "n", F.col("m.id").alias("component_id"), (F.col("row") == F.col("m.row")).alias("kept")
