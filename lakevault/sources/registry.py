@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 class SourceRegistry:
-    """Maps names to DataFrame factories; ``sql`` registers them as temporary
-    views (``schema.table`` becomes ``schema__table``) and runs a statement
-    where ``{{ source('schema', 'table') }}`` markers name them."""
+    """Maps names to DataFrame factories; ``sql`` registers those that a statement's
+    ``{{ source('schema', 'table') }}`` markers name as temporary views, whose
+    names are this registry's own, and runs it."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self._factories: dict[str, Callable[[], DataFrame]] = {}
+        self._prefix = f"source_{uuid.uuid4().hex[:8]}"
 
     def add(self, name: str, factory: Callable[[], DataFrame] | DataFrame) -> None:
         self._factories[name] = factory if callable(factory) else (lambda df=factory: df)
@@ -22,9 +24,8 @@ class SourceRegistry:
     def names(self) -> list[str]:
         return sorted(self._factories)
 
-    @staticmethod
-    def view_name(name: str) -> str:
-        return name.replace(".", "__")
+    def view_name(self, name: str) -> str:
+        return f"{self._prefix}__{name.replace('.', '__')}"
 
     def get(self, name: str) -> DataFrame:
         return self._factories[name]()
@@ -32,19 +33,22 @@ class SourceRegistry:
     def sql(self, statement: str, **params) -> DataFrame:
         import re  # noqa: PLC0415
 
+        used: set[str] = set()
+
         def resolve(m):
             name = f"{m.group(1)}.{m.group(2)}" if m.group(2) else m.group(1)
             if name not in self._factories:
                 raise KeyError(f"unknown source {name!r}")
+            used.add(name)
             return self.view_name(name)
 
         text = re.sub(
             r"\{\{\s*source\(\s*'([^']+)'\s*(?:,\s*'([^']+)'\s*)?\)\s*\}\}", resolve, statement
         )
-        for name in self._factories:
+        for name in sorted(used):
             self.get(name).createOrReplaceTempView(self.view_name(name))
         return self.spark.sql(text, args=params or None)
 
-    def materialize(self, statement: str, table, overwrite_schema: bool = True, **params) -> int:
+    def materialize(self, statement: str, table, overwrite_schema: bool = True, **params) -> str:
         """Run a model and store it as a new version of ``table`` (overwrite)."""
         return table.write(self.sql(statement, **params), mode="overwrite", overwrite_schema=overwrite_schema)

@@ -69,3 +69,34 @@ def test_activity_mart_splits_active_and_inactive(spark):
         agents, orders, agent_key="c_custkey", order_agent="o_custkey", order_date="odate",
         since=F.lit("2001-01-01 00:00:00").cast("timestamp_ntz")).collect()}
     assert out == {"ativo": 1, "inativo": 2}
+
+
+def test_refresh_replaces_touched_days_and_drops_emptied_ones(spark, tmp_root):
+    import datetime as dt
+
+    from lakevault.operators.marts import refresh_daily_mart
+    from lakevault.plans.inspect import plan_text
+    from lakevault.sources.landing import land_partitioned
+    from lakevault.sources.versioned import delete_folder
+
+    schema = "id long, ts timestamp_ntz, kind string"
+    days = [dt.datetime(2024, 1, d, 5) for d in (1, 2, 3)]
+    rows = [(k, days[k % 3], "ab"[k % 2]) for k in range(12)]
+    land_partitioned(spark.createDataFrame(rows, schema), f"{tmp_root}/landing", "ts")
+
+    def refresh(touched):
+        landing = spark.read.parquet(f"{tmp_root}/landing")
+        refresh_daily_mart(f"{tmp_root}/mart", landing, touched, ["kind"])
+        mart = spark.read.schema("kind string, n long, dia date").parquet(f"{tmp_root}/mart")
+        return {(r.dia.day, r.kind): r.n for r in mart.collect()}, landing
+
+    every = spark.createDataFrame([(2024, 1, d) for d in (1, 2, 3)], "year int, month int, day int")
+    got, landing = refresh(every)
+    assert got == {(d, k): 2 for d in (1, 2, 3) for k in "ab"}
+    # a late row reopens day 1, and day 2 loses all its rows
+    land_partitioned(spark.createDataFrame([(99, days[0], "a")], schema), f"{tmp_root}/landing", "ts")
+    delete_folder(spark, f"{tmp_root}/landing/year=2024/month=1/day=2")
+    got, landing = refresh(every.where("day < 3"))
+    assert got == {(1, "a"): 3, (1, "b"): 2, (3, "a"): 2, (3, "b"): 2}
+    pruned = landing.join(every.where("day = 1"), ["year", "month", "day"], "left_semi")
+    assert "day" in plan_text(pruned).split("PartitionFilters:")[1].split("]")[0]

@@ -1,74 +1,95 @@
-"""Write PLANS.md: the final physical plan of every headline query.
+"""Write PLANS.md: the plans of everything a headline query runs, its writes too.
 
 Usage: python tools/plans_report.py [sf_dir]
-Each query runs once (its loads write their tables), then its ``explain()``
-is recorded with scratch paths shortened.
+Every key runs once with broadcasts off (the shape at scale). Spark's event log,
+in the scratch folder, holds the final adaptive plan of each execution; those with
+an exchange, or else the last one, are recorded with their nodes in short.
 """
 
 from __future__ import annotations
 
+import glob
+import json
 import os
 import re
 import sys
+import tempfile
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 from bench import HEADLINE  # noqa: E402
-from lakevault.plans.inspect import plan_text  # noqa: E402
 from lakevault.plans.standins import QUERIES  # noqa: E402
 from lakevault.session import build_session  # noqa: E402
 
+SKIPPED = re.compile(r"WholeStageCodegen|InputAdapter|ColumnarToRow|AdaptiveSparkPlan|ShuffleQueryStage|AQEShuffleRead|TableCacheQueryStage")
+MARK = "plans-report:"
 
-NOTES = {
-    "bronze_ingest_stamp": "Reads the written bronze; its load was scan -> project (one literal stamp) -> Parquet overwrite, no shuffle.",
-    "hub_full_load": "Distinct business keys by partial + final HashAggregate (hot keys pre-combined), hash once per key.",
-    "sat_full_load": "Scan -> project -> write, no shuffle; only the needed columns are read.",
-    "gold_schema_replace": "Reads the new version only (schema of v1); the plan is the scan of that folder.",
-    "gold_top10": "Latest per key = partial/final SortAggregate on hk (one row per key per map task), join with the hub, TakeOrderedAndProject(10).",
-    "gold_dim_strict": "Same latest-per-key aggregate; at scale the hub join is a sort-merge join on hk that reuses the aggregate's partitioning.",
-    "gold_dim_coalesced": "Reads the materialised SQL model (its own plan used WindowGroupLimit: top-1 per key before the shuffle).",
-    "sat_latest": "Satellite projected to the needed columns before the max_by aggregate (an aggregate struct is not pruned).",
-    "sat_append_changed": "Reads the written satellite; its loads windowed per (hk, day) and stitched day borders via a keys x days summary.",
-    "dim_scd2": "Two chunked neighbour passes (changes, then valid_to): row windows partitioned by (hk, _chunk), summaries aggregated map-side.",
-    "hub_merge_insert_only": "Reads the hub versions; each merge was an anti join on hk of distinct batch keys.",
-    "link_load": "Reads the link versions; each load was distinct (orderkey, suppkey) -> hash -> anti join on hk_link.",
-    "cdc_apply": "Reads the state version; each apply was latest-per-key aggregate + anti join + union.",
-    "consent_filter": "Latest grant/revoke per user (aggregate) -> left semi join of events on user_id; AQE splits a skewed user.",
-    "dedupe_by_key_latest": "max_by over (shipdate, partkey, suppkey, price) per (orderkey, linenumber): partial aggregate before the shuffle.",
-    "ingest_checksum": "Reads the stored rows; each re-ingest was sha2 checksum + anti join, so re-sent rows add nothing.",
-    "csv_robust_scan": "multiLine CSV scan with an explicit schema (no inference pass).",
-    "paged_json_unwrap": "JSON page scan, stop-at-first-empty as a scalar subquery, inline of the item array.",
-    "mart_calls": "lineitem reduced to min(shipdate) per order before the join (partial aggregate), then one grouped aggregate.",
-    "mart_budget": "lineitem summed per order before the join; money summed as DECIMAL(18,2).",
-    "mart_sla": "max(shipdate) per order before the join, then one grouped aggregate.",
-    "mart_incremental_refresh": "Reads the mart; the refresh rewrote only the touched day partitions (dynamic partition overwrite).",
-    "forget_subjects": "Reads the rewritten versions; only versions holding a requested subject were rewritten.",
-    "load_anomaly": "Daily counts (aggregate) then a 7-row trailing window per table over days: bounded by the calendar.",
-    "stream_dedupe": "Reads the stream sink; the stream kept de-duplication state bounded by the watermark.",
-}
+
+def tree(node: dict, depth: int = 0) -> list[str]:
+    lines = []
+    if not SKIPPED.match(node["nodeName"]):
+        text = re.sub(r"#\d+L?|, \[plan_id=\d+\]|\(\d+\) ", "", node["simpleString"])
+        text = re.sub(r"file:[^,\]\s)]*/lakevault/[^,\]\s)]*", "<scratch>", text)
+        text = re.sub(r"Location: \w+\(\d+ paths\)\[[^\]]*\](, )?|Format: \w+, |Batched: \w+, ", "", text)
+        lines.append("  " * depth + (text if len(text) <= 180 else text[:177] + "..."))
+        depth += 1
+    for child in node["children"]:
+        lines += tree(child, depth)
+    return lines
+
+
+def executions(log_dir: str) -> dict[str, list[dict]]:
+    """Final plan of each execution, by the query whose job description was set."""
+    found: dict[int, tuple[str, dict]] = {}
+    for path in glob.glob(f"{log_dir}/*"):
+        with open(path, errors="replace") as lines:
+            for line in lines:
+                if '"sparkPlanInfo"' not in line:
+                    continue
+                event = json.loads(line)
+                key = event["executionId"]
+                said = event.get("description", "")
+                name = said.removeprefix(MARK) if said.startswith(MARK) else found.get(key, ("", None))[0]
+                found[key] = (name, event["sparkPlanInfo"])
+    by_name: dict[str, list[dict]] = {}
+    for key in sorted(found):
+        by_name.setdefault(found[key][0], []).append(found[key][1])
+    return by_name
 
 
 def main() -> None:
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session("local[8]")
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    logs = tempfile.mkdtemp(prefix="plans-")
+    spark = build_session(
+        "local[8]",
+        **{"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{logs}", "spark.eventLog.rolling.enabled": "false",
+           "spark.eventLog.compress": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.maxMetadataStringLength": "300"},
+    )
+    for name in HEADLINE:
+        spark.sparkContext.setJobDescription(MARK + name)
+        QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
+    spark.stop()
     out = [
-        "# Physical plans of the headline queries",
+        "# Plans of the headline queries",
         "",
-        f"Generated by `tools/plans_report.py` at `{os.path.basename(sf)}` on local[8]. These are the plans",
-        "Catalyst hands to adaptive execution (`isFinalPlan=false`): at run time AQE may still turn a",
-        "sort-merge join into a broadcast from measured sizes and coalesce shuffle reads. Broadcasts shown",
-        "here are Catalyst's own size-checked choices for the small test tables; at 100 TB the same joins",
-        "plan as shuffled sort-merge joins. Scratch paths are shortened to `<scratch>`.",
+        f"Generated by `tools/plans_report.py` at `{os.path.basename(sf.rstrip('/'))}`: the final adaptive plans of the",
+        "executions with an exchange that a key runs, its loads' writes included, with broadcast joins off (the",
+        "shape at scale; within the threshold Spark broadcasts by measured size). A key without one shows its last plan.",
         "",
     ]
+    plans = executions(logs)
     for name in HEADLINE:
-        df = QUERIES[name](spark, sf)
-        df.write.format("noop").mode("overwrite").save()
-        text = plan_text(df, "simple")
-        text = re.sub(r"file:[^,\]\s]*/lakevault/[^,\]\s]*", "<scratch>", text)
-        text = re.sub(r"#\d+L?", "", text)
-        out += [f"## {name}", "", NOTES.get(name, ""), "", "```", text.strip(), "```", ""]
+        mine = [tree(p) for p in plans.get(name, [])]
+        chosen = [t for t in mine if any("Exchange" in x for x in t)] or mine[-1:]
+        shuffles = sum(x.strip().startswith("Exchange") for t in chosen for x in t)
+        out += [f"## {name}", "", f"{len(mine)} executions, {shuffles} exchanges in all.", ""]
+        seen = set()
+        for t in chosen:
+            text = "\n".join(t[:40])
+            if text not in seen:
+                out += ["```", text, "```", ""]
+            seen.add(text)
     with open(os.path.join(ROOT, "PLANS.md"), "w") as f:
         f.write("\n".join(out))
 
