@@ -181,16 +181,17 @@ def sat_append_changed(table: VersionedTable, rows: DataFrame, hk: str, order, c
     newer = judged.where(F.col("_high").isNull() | (at > F.col("_high"))).drop("_high")
     older = judged.where(at <= F.col("_high")).drop("_high")
     fresh = changed_rows(latest.unionByName(newer), [hk], order, compare, chunk).where(~F.col("_prior")).drop("_prior")
-    # late rows that differ from the version in force, the last stored one up to them
-    past = changed_rows(stored.withColumn("_prior", F.lit(True)).unionByName(older), [hk], order, compare, chunk)
-    late = past.where(~F.col("_prior")).select(*rows.columns).join(stored.select(hk, *order), [hk, *order], "left_anti")
-    late = late.select(*rows.columns)
-    path = scratch_path(rows.sparkSession, "late")
-    late.write.parquet(path)  # judged against the table as it is now, before the batch is added
+    late = rows.limit(0)
+    if not older.isEmpty():  # those that differ from the version in force, the last stored one up to them
+        past = changed_rows(stored.withColumn("_prior", F.lit(True)).unionByName(older), [hk], order, compare, chunk)
+        late = past.where(~F.col("_prior")).select(*rows.columns).join(stored.select(hk, *order), [hk, *order], "left_anti")
+        path = scratch_path(rows.sparkSession, "late")
+        late.select(*rows.columns).write.parquet(path)  # judged against the table before the batch is added
+        late = rows.sparkSession.read.schema(rows.schema).parquet(path)
     table.write(fresh, mode="append", load_id=load_id)
     if seen is not None:
         seen.write(reached, load_id=load_id)
-    return rows.sparkSession.read.schema(late.schema).parquet(path)
+    return late
 
 
 def sat_rebuild(table: VersionedTable, history: DataFrame, keys: DataFrame, hk: str, order, compare,
