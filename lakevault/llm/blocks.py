@@ -20,9 +20,9 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from lakevault.llm.common import require, stored
+from lakevault.llm.common import release_memory, require, stored, text_batches
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BLOCK_ROWS = 1 << 16
 
 #: kind of a written row: the block itself, or a message with an address
@@ -109,6 +109,7 @@ def write_blocks(
                     schema=ARROW_SCHEMA,
                 )
             count, held, size, n = count + 1, [], 0, 0
+            release_memory()
 
         for batch in batches:
             lengths = np.asarray(pa.compute.binary_length(batch.column(at)).fill_null(0)).astype(np.int64)
@@ -127,7 +128,7 @@ def write_blocks(
         if held:
             yield from flush()
 
-    return stored(docs.mapInArrow(cut, SCHEMA), name, "kind")
+    return stored(text_batches(docs).mapInArrow(cut, SCHEMA), name, "kind")
 
 
 def exchange(messages: DataFrame, answer: Callable[[int, list[tuple[int, bytes]]], list[tuple[int, bytes]]]) -> DataFrame:
@@ -157,7 +158,9 @@ def with_answers(blocks: DataFrame, answers: DataFrame, visit: Callable[[int, pa
 
     def meet(key: tuple, texts: pa.Table, found: pa.Table) -> pa.Table:
         replies = dict(zip(found.column("part").to_pylist(), found.column("data").to_pylist(), strict=True))
-        return visit(key[0].as_py(), unpack(texts.column("data")[0].as_py()), replies)
+        out = visit(key[0].as_py(), unpack(texts.column("data")[0].as_py()), replies)
+        release_memory()
+        return out
 
     left = blocks.select("block", "data").groupBy("block")
     return left.cogroup(answers.select("block", "part", "data").groupBy("block")).applyInArrow(meet, schema)

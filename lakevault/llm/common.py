@@ -8,6 +8,7 @@ not the batch or the partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from lakevault.session import scratch_path
 from lakevault.sources.versioned import delete_folder
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 U64 = np.uint64
 
 # bytes of a word: anything but \x20 and \x09-\x0D (multi-byte characters have no such byte)
@@ -59,6 +60,29 @@ def discard(*frames: DataFrame) -> None:
             delete_folder(frame.sparkSession, path)
 
 
+def text_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, its session's Arrow batches limited to ``rows`` rows.
+
+    Whole texts are long rows: at Spark's default of 10,000 a batch takes tens of MB,
+    several times over, in every task's JVM and Python buffers.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= rows:
+        conf.set(key, rows)
+    return df
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system; a reused Python worker else keeps its peak."""
+    _POWERS.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
     """``df`` plus a long column ``name`` that tells its rows apart (repeated rows too)."""
     return df.withColumn(name, F.monotonically_increasing_id())
@@ -126,7 +150,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
             np.concatenate([np.ones(1, U64), np.cumprod(np.full(size - 1, b, U64), dtype=U64)])
             for b in (base, inverse)
         )
-        if size <= 1 << 22:
+        if size <= 1 << 21:
             _POWERS[base] = have
     return have[0][:n], have[1][:n]
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakevault.llm.common import require, slices
+from lakevault.llm.common import release_memory, require, slices, text_batches
 
 # digits, a-z and all non-ASCII bytes stay; A-Z turn to lower case; the rest turns to spaces
 NORMAL = bytes(
@@ -189,8 +189,9 @@ def _scan(state: DataFrame, patterns: list[tuple[bytes, list[str]]], text_col: s
                     )
             columns = dict(zip(batch.schema.names, [*batch.columns[:-1], pa.array(results, ARROW_RESULT)], strict=True))
             yield pa.RecordBatch.from_arrays([columns[c] for c in emit], names=emit)
+        release_memory()
 
-    return state.mapInArrow(scan, T.StructType([state.schema[c] for c in emit]))
+    return text_batches(state).mapInArrow(scan, T.StructType([state.schema[c] for c in emit]))
 
 
 def op10_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import require, slices
+from lakevault.llm.common import require, slices, text_batches
 from lakevault.llm.quality_model import remainder
 
 UNDETERMINED = "und"
@@ -168,6 +168,7 @@ def predict_language(
 ) -> DataFrame:
     """(id, lang_pred, score) for every document; learns from rows that ``trainable`` allows."""
     require(docs, id_col, text_col, lang_col)
+    text_batches(docs)
     usable = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     if trainable is not None:
         usable = usable.where(trainable)

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakevault.llm.blocks import MESSAGE, TEXT, Messages, exchange, expand, squeeze, with_answers, write_blocks
-from lakevault.llm.common import LOWER, U64, WORD_BASE, discard, mix, require, slices, stored, window_hashes, word_hashes, word_spans
+from lakevault.llm.common import LOWER, U64, WORD_BASE, discard, mix, release_memory, require, slices, stored, window_hashes, word_hashes, word_spans
 from lakevault.llm.components import components
 
 SHINGLE = 5
@@ -53,7 +53,7 @@ CHUNK = 1 << 14  # rows of one signature message
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, row of each shingle, hash): each row's distinct shingles, sorted."""
-    for lo, hi, data, offsets in slices(texts):
+    for lo, hi, data, offsets in slices(texts, max_rows=2048):
         data = LOWER[data]
         starts, ends, rows = word_spans(data, offsets)
         words = word_hashes(data, starts, ends)
@@ -189,6 +189,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                     both = len(np.intersect1d(a, b, assume_unique=True))
                     linked.append(100 * both >= percent * (len(a) + len(b) - both) and both > 0)
                 yield part.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
+            release_memory()
 
     left = texts.select(F.col("row").alias("u"), F.col("text").alias("tu"))
     right = texts.select(F.col("row").alias("v"), F.col("text").alias("tv"))

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import require
+from lakevault.llm.common import release_memory, require, text_batches
 from lakevault.llm.tokens import END_ID, ByteBpe, tokenizer_path
 
 TIERS = (128, 256, 512, 1024)
@@ -208,8 +208,9 @@ def pack_documents(
                 if held >= flush_tokens:
                     yield from flush(False)
         yield from flush(True)
+        release_memory()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(pack, schema)
+    return text_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(pack, schema)
 
 
 def op3_packing(docs: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import LOWER, mix, require, slices, stored, window_hashes, word_hashes, word_spans
+from lakevault.llm.common import LOWER, mix, require, slices, stored, text_batches, window_hashes, word_hashes, word_spans
 
 SYMBOLS = "#*$%&|<>"
 FEATURES = (
@@ -111,7 +111,7 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 listed = pa.ListArray.from_arrays(np.arange(0, len(flat) + 1, len(FEATURES), dtype=np.int32), flat)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), listed], ["id", "features"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col))
+    rows = text_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col))
     return rows.mapInArrow(count, "id long, features array<double>")
 
 
