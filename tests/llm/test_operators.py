@@ -256,6 +256,24 @@ def test_main_text(spark, page, text):
     assert [(r.text, r.n_chars) for r in rows] == [(text, len(text))]
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<div class='content right-sidebar'><nav>m</nav><article><h1>T</h1><p>u</p></article><p>s</p></div>", "T\nu"),
+        ("<div id='social-page'><main><p>u</p></main></div>", "u"),
+        ("<form id='aspnetForm'><div class='menu'>m</div><article><p>u</p><div class='share'>s</div></article></form>", "u"),
+        ("<main><h1>T</h1><div class='content right-sidebar'><article><p>one two</p></article></div></main>", "T\none two"),
+        ("<a href='#m'>skip</a><form id='f'><div><p>one two three</p></div></form>", "skip\none two three"),
+        # teasers in a sidebar, comments, related articles and adverts stay out
+        ("<article><p>one two</p></article><div class='sidebar'><article><p>t</p></article></div>", "one two"),
+        ("<p>one two</p><aside><article>t</article></aside><div class='related'><article>t t t t</article></div>", "one two"),
+        ("<p>one two</p><div id='comments'><article>c c c c</article></div><div class='ad'><main>a a a a</main></div>", "one two"),
+    ],
+)
+def test_main_text_inside_wrappers(page, text):
+    assert html_text.host_texts([html_text.blocks(page)], 8, 3, 0.5) == [text]
+
+
 def test_host_boilerplate_is_found_by_repetition(spark):
     line = "subscribe now to read all of our stories every single day"
     pages = [(i, f"http://h.example/{i}", f"<body><div>{line}</div><div>unique story number {i} about {i * 17}</div></body>") for i in range(12)]
