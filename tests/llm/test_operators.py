@@ -290,6 +290,22 @@ def test_host_boilerplate_is_found_by_repetition(spark):
     assert html_text.extract_text(df.limit(0)).count() == 0
 
 
+def test_short_blocks_and_a_sections_boilerplate_go():
+    def page(k, *more):
+        story = " ".join(f"w{k}x{j}" for j in range(30))
+        return [(html_text.BODY, t) for t in ("Home", "Subscribe now", *more, story, "© h")], story
+
+    notice = "members of this section get a letter once a month for free"
+    made = [page(k, *([notice, "Section news"] if k < 40 else [])) for k in range(100)]
+    assert html_text.host_texts([b for b, _ in made], 8, 3, 0.5) == [story for _, story in made]
+    # copies of a page are no boilerplate, nor are many near copies on a part of the host
+    assert html_text.host_texts([made[0][0]] * 5, 8, 3, 0.5) == ["\n".join(t for _, t in made[0][0])] * 5
+    shared = " ".join(f"s{j}" for j in range(40))
+    near = [[(html_text.BODY, shared), (html_text.BODY, f"edition {k}")] for k in range(20)]
+    got = html_text.host_texts(near + [b for b, _ in made[40:]], 8, 3, 0.5)
+    assert got == [f"{shared}\nedition {k}" for k in range(20)] + [story for _, story in made[40:]]
+
+
 def test_repeated_runs_by_brute_force():
     dice = np.random.default_rng(6)
     for _ in range(30):
