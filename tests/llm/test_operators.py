@@ -306,6 +306,25 @@ def test_short_blocks_and_a_sections_boilerplate_go():
     assert got == [f"{shared}\nedition {k}" for k in range(20)] + [story for _, story in made[40:]]
 
 
+def test_what_repeats_inside_articles_goes():
+    share = "Share this story with your friends"
+    story = [[f"title {k}", " ".join(f"w{k}x{j}" for j in range(20 + k))] for k in range(8)]
+    marked = [[(html_text.ARTICLE, t) for t in (a, share, b, "Our offer of the week")] for a, b in story]
+    assert html_text.host_texts(marked, 8, 3, 0.5) == ["\n".join(x) for x in story]
+    # at other places, on few pages or in copies it is the article's own
+    moved = [[(html_text.ARTICLE, t) for t in (*b.split()[:k], share, *b.split()[:9 - k])] for k, (_, b) in enumerate(story)]
+    assert html_text.host_texts(moved, 8, 3, 0.5) == ["\n".join(t for _, t in page) for page in moved]
+    few = marked[:3] + [[(html_text.ARTICLE, t) for t in x] for x in story[3:]]
+    assert html_text.host_texts(few, 8, 3, 0.5) == ["\n".join(t for _, t in page) for page in few]
+    copies = [[(html_text.ARTICLE, t) for t in (*story[0], f"edition {k}")] for k in range(8)]
+    assert html_text.host_texts(copies, 8, 3, 0.5) == ["\n".join(t for _, t in page) for page in copies]
+
+
+def test_a_teaser_is_not_the_text():
+    pages = [html_text.blocks(f"<div>{'words of page %d ' % k * 9}</div><article class='card'>see {k}</article>") for k in range(2)]
+    assert html_text.host_texts(pages, 8, 3, 0.5) == [f"{' '.join(['words of page %d' % k] * 9)}\nsee {k}" for k in range(2)]
+
+
 def test_repeated_runs_by_brute_force():
     dice = np.random.default_rng(6)
     for _ in range(30):
