@@ -11,7 +11,10 @@ words, but at least one, is a single window). All windows form one automaton;
 each document is scanned once. The window strings are broadcast, so their size
 is measured first: up to ``max_pattern_bytes`` they make one automaton, a larger
 benchmark is split by window hash into several automata of that size and the
-documents pass through one after the other, with the same result.
+documents pass through one after the other, with the same result. A pattern comes
+with a number only. The items of each set of numbers that a document was found with
+are looked up in Spark, so however many items share a window, no task or driver gets
+their list but the row whose result it is.
 
 Defined cases: a null or empty text has no words and no hits; an item that is
 null, empty or without words gives no window; items that repeat are one item;
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakevault.llm.common import release_memory, require, slices, text_batches
+from lakevault.llm.common import release_memory, require, slices, stored, text_batches
 
 # digits, a-z and all non-ASCII bytes stay; A-Z turn to lower case; the rest turns to spaces
 NORMAL = bytes(
@@ -49,12 +52,14 @@ RESULT = T.StructType(
         T.StructField("char_spans", T.ArrayType(SPAN)),
     ]
 )
+#: what a scan finds: pattern numbers in place of item ids
+FOUND = T.StructType([T.StructField("numbers", T.ArrayType(T.LongType())) if f.name == "items" else f for f in RESULT])
 ARROW_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-ARROW_RESULT = pa.struct(
+ARROW_FOUND = pa.struct(
     [
         ("n_words", pa.int64()),
         ("n_hit", pa.int64()),
-        ("items", pa.list_(pa.string())),
+        ("numbers", pa.list_(pa.int64())),
         ("word_spans", ARROW_SPANS),
         ("char_spans", ARROW_SPANS),
     ]
@@ -62,7 +67,7 @@ ARROW_RESULT = pa.struct(
 
 
 def benchmark_windows(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> DataFrame:
-    """(pattern, items): each distinct normalised window with the ids of its items."""
+    """(pattern, item): each distinct normalised window with each id of its items."""
     require(benchmark, item_col, text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,8 +85,7 @@ def benchmark_windows(benchmark: DataFrame, window: int, item_col: str, text_col
                 )
 
     rows = benchmark.select(F.col(item_col).cast("string"), F.col(text_col))
-    found = rows.mapInArrow(cut, "pattern binary, item string")
-    return found.groupBy("pattern").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    return rows.mapInArrow(cut, "pattern binary, item string").distinct()
 
 
 def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -94,21 +98,21 @@ def _merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _matches(automaton, norm: bytes) -> tuple[list[tuple[int, int]], set[str]]:
-    """Hit word ranges and the ids of the items found in one normalised text."""
+def _matches(automaton, norm: bytes) -> tuple[list[tuple[int, int]], set[int]]:
+    """Hit word ranges and the numbers of the patterns found in one normalised text."""
     spans: list[tuple[int, int]] = []
-    items: set[str] = set()
-    for end, (length, ids) in automaton.iter(norm.decode("latin-1")):
+    numbers: set[int] = set()
+    for end, (length, number) in automaton.iter(norm.decode("latin-1")):
         a, b = end - length + 1, end
         if spans and a <= spans[-1][1] and a >= spans[-1][0]:
             spans[-1] = (spans[-1][0], max(b, spans[-1][1]))
         else:
             spans.append((a, b))
-        items.update(ids)
+        numbers.add(number)
     if not spans:
-        return [], items
+        return [], numbers
     blanks = np.flatnonzero(np.frombuffer(norm, np.uint8) == 0x20)
-    return [(int(np.searchsorted(blanks, a)), int(np.searchsorted(blanks, b))) for a, b in spans], items
+    return [(int(np.searchsorted(blanks, a)), int(np.searchsorted(blanks, b))) for a, b in spans], numbers
 
 
 def _char_spans(raw: bytes, normal: bytes, word_spans: list[tuple[int, int]]) -> list[dict]:
@@ -137,27 +141,57 @@ def find_contamination(
     ``word_spans`` and ``char_spans`` are half-open ranges of hit words, as word
     numbers and as character offsets in the original text. ``keep_text=False``
     leaves the text column out of the result.
+
+    The texts are scanned twice, for the sets of numbers and for the result, so that
+    no text is shuffled or written; without the text the result is written instead.
     """
     require(docs, text_col)
     if result_col in docs.columns and result_col != text_col:
         docs = docs.drop(result_col)
-    patterns = benchmark_windows(benchmark, window, item_col, item_text_col)
+    windows = stored(benchmark_windows(benchmark, window, item_col, item_text_col), "windows")
+    patterns = stored(windows.select("pattern").distinct().withColumn("number", F.monotonically_increasing_id()), "patterns")
     size = patterns.agg(F.sum(F.length("pattern"))).first()[0] or 0
     parts = max(1, math.ceil(size / max_pattern_bytes))
     others = [c for c in docs.columns if c != text_col]
-    state = docs.select(*others, F.col(text_col), F.lit(None).cast(RESULT).alias(result_col))
+    state = docs.select(*others, F.col(text_col), F.lit(None).cast(FOUND).alias(result_col))
     for part in range(parts):
         mine = patterns.where(F.pmod(F.xxhash64("pattern"), F.lit(parts)) == part)
-        emit = state.columns if keep_text or part < parts - 1 else [*others, result_col]
-        state = _scan(state, [(r[0], r[1]) for r in mine.collect()], text_col, emit)
-    return state.select(*[c for c in docs.columns if c in state.columns], result_col)
+        mine = [(r[0], r[1]) for r in mine.collect()]
+        if part < parts - 1:
+            state = _scan(state, mine, text_col, state.columns)
+    if keep_text:
+        sets = _scan(state, mine, text_col, [result_col])
+        state = _scan(state, mine, text_col, state.columns)
+    else:
+        sets = state = stored(_scan(state, mine, text_col, [*others, result_col]), "found")
+    return _with_items(state, sets, windows.join(patterns, "pattern"), result_col).select(
+        *[c for c in docs.columns if c in state.columns], result_col
+    )
+
+
+def _with_items(state: DataFrame, sets: DataFrame, windows: DataFrame, result_col: str) -> DataFrame:
+    """``state`` with item ids in place of pattern numbers; ``sets`` holds the results alone."""
+    mark = "_"
+    while any(c.startswith(mark + "hit_") for c in state.columns):
+        mark += "_"
+    key, names = mark + "hit_numbers", mark + "hit_items"
+    numbers = sets.select(F.col(result_col)["numbers"].alias(key)).where(F.size(key) > 0).distinct()
+    listed = windows.where(F.col("item").isNotNull()).select("number", "item")
+    items = numbers.select(key, F.explode(key).alias("number")).join(listed, "number")
+    # written first, so that the join knows its size
+    items = stored(items.groupBy(key).agg(F.sort_array(F.collect_set("item")).alias(names)), "items")
+    found = F.col(result_col)
+    listing = F.coalesce(F.col(names), F.array().cast("array<string>"))
+    fields = [(listing if f == "items" else found[f]).alias(f) for f in RESULT.names]
+    joined = state.join(items, found["numbers"] == F.col(key), "left")
+    return joined.withColumn(result_col, F.struct(*fields)).drop(key, names)
 
 
-def _scan(state: DataFrame, patterns: list[tuple[bytes, list[str]]], text_col: str, emit: list[str]) -> DataFrame:
+def _scan(state: DataFrame, patterns: list[tuple[bytes, int]], text_col: str, emit: list[str]) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = ahocorasick.Automaton()
-        for pattern, items in patterns:
-            automaton.add_word(bytes(pattern).decode("latin-1"), (len(pattern), tuple(items)))
+        for pattern, number in patterns:
+            automaton.add_word(bytes(pattern).decode("latin-1"), (len(pattern), number))
         if patterns:
             automaton.make_automaton()
         for batch in batches:
@@ -170,24 +204,24 @@ def _scan(state: DataFrame, patterns: list[tuple[bytes, list[str]]], text_col: s
                     text = raw[offsets[i - lo] : offsets[i - lo + 1]]
                     normal = text.translate(NORMAL)
                     words = normal.split()
-                    spans, items = [], set()
+                    spans, numbers = [], set()
                     if patterns and words:
-                        spans, items = _matches(automaton, b" " + b" ".join(words) + b" ")
+                        spans, numbers = _matches(automaton, b" " + b" ".join(words) + b" ")
                     if before[i].is_valid:
                         old = before[i].as_py()
                         spans += [(s["start"], s["end"]) for s in old["word_spans"]]
-                        items |= set(old["items"])
+                        numbers |= set(old["numbers"])
                     spans = _merge(spans)
                     results.append(
                         {
                             "n_words": len(words),
                             "n_hit": sum(b - a for a, b in spans),
-                            "items": sorted(items),
+                            "numbers": sorted(numbers),
                             "word_spans": [{"start": a, "end": b} for a, b in spans],
                             "char_spans": _char_spans(text, normal, spans) if spans else [],
                         }
                     )
-            columns = dict(zip(batch.schema.names, [*batch.columns[:-1], pa.array(results, ARROW_RESULT)], strict=True))
+            columns = dict(zip(batch.schema.names, [*batch.columns[:-1], pa.array(results, ARROW_FOUND)], strict=True))
             yield pa.RecordBatch.from_arrays([columns[c] for c in emit], names=emit)
         release_memory()
 

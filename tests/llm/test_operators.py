@@ -482,6 +482,20 @@ def test_hits_by_brute_force(spark, odd, parts):
         assert inside == c.n_hit
 
 
+@pytest.mark.parametrize("keep_text", [True, False])
+def test_items_that_share_windows_are_listed_by_spark(spark, monkeypatch, keep_text):
+    shared = " ".join(f"c{k}" for k in range(12))
+    bench = spark.createDataFrame([(f"item{k:05}", shared) for k in range(3000)] + [("own", "q r s")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"a {shared} b"), (2, "q r s"), (3, f"{shared} q r s"), (4, "none"), (5, None)], "_hit_numbers long, text string")
+    sent = []
+    scan = decontaminate._scan
+    monkeypatch.setattr(decontaminate, "_scan", lambda state, patterns, *more: sent.append(patterns) or scan(state, patterns, *more))
+    got = {r[0]: r.contamination["items"] for r in decontaminate.find_contamination(docs, bench, keep_text=keep_text).collect()}
+    every = [f"item{k:05}" for k in range(3000)]
+    assert got == {1: every, 2: ["own"], 3: [*every, "own"], 4: [], 5: []}
+    assert all(len(p) == 4 for p in sent) and len(str(sent)) < 2000  # three windows and one; no list of items
+
+
 def test_hits_of_nothing(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert {r.n_hit for r in decontaminate.op10_contamination(documents(spark), bench).collect()} == {0}
