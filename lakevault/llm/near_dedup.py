@@ -210,42 +210,51 @@ def _plain_sets(packed: pa.ChunkedArray) -> list[np.ndarray]:
 
 
 def _common(texts: DataFrame) -> DataFrame:
-    """(row, common): how many of a row's shingles also occur in a row of another component ``c``."""
+    """(row, common): how many of a row's shingles also occur in a row of another component ``c``.
+
+    A block sends each of its shingles once, with its smallest and largest component.
+    """
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, size // (1 << 20))
 
     def parts(sets: list[np.ndarray]):
+        """Owner and shingle number of every entry, the sorted shingles, and their slices by hash range."""
         every = np.concatenate(sets) if sets else np.empty(0, U64)
         owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-        address = (every >> U64(32)).astype(np.int64) * ranges >> 32
-        order = np.argsort(address, kind="stable")
-        number, first = np.unique(address[order], return_index=True)
-        return every, owner, [(int(k), own) for k, own in zip(number, np.split(order, first[1:]), strict=False)]
+        shingles, number = np.unique(every, return_inverse=True)
+        address = (shingles >> U64(32)).astype(np.int64) * ranges >> 32
+        places, first = np.unique(address, return_index=True)
+        ends = np.append(first[1:], len(shingles))
+        return owner, number, shingles, [(int(k), slice(a, b)) for k, a, b in zip(places, first, ends, strict=False)]
 
     def ask(_block: int, rows: pa.Table) -> Messages:
-        every, owner, by_range = parts(_plain_sets(rows.column("text")))
-        component = np.asarray(rows.column("c").combine_chunks())
-        return [(k, squeeze(every[own], component[owner[own]])) for k, own in by_range]
+        owner, number, shingles, by_range = parts(_plain_sets(rows.column("text")))
+        if len(shingles) == 0:
+            return []
+        component = np.asarray(rows.column("c").combine_chunks())[owner][np.argsort(number, kind="stable")]
+        first = np.append(0, np.cumsum(np.bincount(number))[:-1])
+        lo, hi = np.minimum.reduceat(component, first), np.maximum.reduceat(component, first)
+        return [(k, squeeze(shingles[own], lo[own], hi[own])) for k, own in by_range]
 
     def tell(_range: int, messages: list[tuple[int, bytes]]) -> list[tuple[int, bytes]]:
         found = [expand(data) for _, data in messages]
-        h, c = (np.concatenate([f[k] for f in found]) for k in (0, 1))
-        order = np.lexsort((c, h))
+        h, lo, hi = (np.concatenate([f[k] for f in found]) for k in range(3))
+        order = np.argsort(h, kind="stable")
         first = np.flatnonzero(np.concatenate([[True], h[order][1:] != h[order][:-1]]))
-        last = np.append(first[1:], len(h)) - 1
+        mixed = np.minimum.reduceat(lo[order], first) != np.maximum.reduceat(hi[order], first)
         wide = np.empty(len(h), dtype=bool)
-        wide[order] = np.repeat(c[order][first] != c[order][last], last - first + 1)
+        wide[order] = np.repeat(mixed, np.diff(np.append(first, len(h))))
         ends = np.cumsum([len(f[0]) for f in found])
         return [(b, np.packbits(x).tobytes()) for (b, _), x in zip(messages, np.split(wide, ends[:-1]), strict=True)]
 
     def count(_block: int, rows: pa.Table, answers: dict[int, bytes]) -> pa.Table:
         sets = _plain_sets(rows.column("text"))
-        _, owner, by_range = parts(sets)
-        common = np.zeros(len(sets), np.int64)
+        owner, number, shingles, by_range = parts(sets)
+        wide = np.zeros(len(shingles), dtype=bool)
         for k, own in by_range:
-            wide = np.unpackbits(np.frombuffer(answers[k], np.uint8), count=len(own)).astype(bool)
-            common += np.bincount(owner[own][wide], minlength=len(sets))
-        return pa.table({"row": rows.column("row"), "common": pa.array(common)})
+            wide[own] = np.unpackbits(np.frombuffer(answers[k], np.uint8), count=own.stop - own.start).astype(bool)
+        common = np.bincount(owner[wide[number]], minlength=len(sets))
+        return pa.table({"row": rows.column("row"), "common": pa.array(common.astype(np.int64))})
 
     written = write_blocks(texts, "text", "common", ask, block_bytes=2 << 20)
     answers = exchange(written.where(F.col("kind") == MESSAGE), tell)

@@ -223,6 +223,25 @@ def test_near_groups_of_chains_and_copies(spark):
         assert r.component_id == want[r.doc_id] and r.kept == (r.doc_id == r.component_id)
 
 
+def test_a_block_asks_once_about_each_shingle(spark, monkeypatch):
+    line = " ".join(f"b{k}" for k in range(12))
+    texts = [f"{line} {' '.join(f'u{i}x{k}' for k in range(6))}" + (" p q r s t" if i in (4, 7) else "") for i in range(60)]
+    component = [7 if i in (4, 7) else i // 2 for i in range(60)]
+    pack = near_dedup.zstandard.ZstdCompressor().compress
+    rows = [(i, component[i], bytearray(pack(t.encode()))) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "row long, c long, text binary").coalesce(1)
+    asked = []
+    exchange = near_dedup.exchange
+    monkeypatch.setattr(near_dedup, "exchange", lambda messages, answer: asked.append(messages) or exchange(messages, answer))
+    got = {r.row: r.common for r in near_dedup._common(df).collect()}
+    held = defaultdict(set)
+    for i, t in enumerate(texts):
+        for s in shingles(t):
+            held[s].add(component[i])
+    assert got == {i: sum(len(held[s]) > 1 for s in shingles(t)) for i, t in enumerate(texts)}
+    assert sum(len(near_dedup.expand(r.data)[0]) for r in asked[0].collect()) == len(held)  # one block
+
+
 def test_near_dedup_of_awkward_rows(spark, odd):
     kept = near_dedup.keep_one_of_each(odd)
     assert kept.columns == odd.columns
