@@ -8,7 +8,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from lakevault.llm import decontaminate, html_text, language, lm_score, near_dedup, pack, quality_model, quality_rules, shard, substrings
+from lakevault.llm import (
+    decontaminate,
+    html_text,
+    language,
+    lm_score,
+    near_dedup,
+    pack,
+    quality_model,
+    quality_rules,
+    repair,
+    shard,
+    substrings,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +67,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.op10_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.op13_repair(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -72,6 +88,7 @@ QUERIES = {
         op8_substring_dedup,
         op9_quality_rules,
         op10_decontamination,
+        op13_conversation_repair,
         pipeline,
     )
 }
@@ -83,4 +100,5 @@ ORACLE_SQL = {
     "op8_substring_dedup": substrings.ORACLE_OP8,
     "op9_quality_rules": quality_rules.ORACLE_OP9,
     "op10_decontamination": decontaminate.ORACLE_OP10,
+    "op13_conversation_repair": repair.ORACLE_OP13,
 }
