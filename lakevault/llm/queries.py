@@ -18,6 +18,7 @@ from lakevault.llm import (
     quality_model,
     quality_rules,
     repair,
+    search,
     shard,
     substrings,
 )
@@ -67,6 +68,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.op10_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.op12_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.op13_repair(table(spark, sf_dir, "conversations"))
 
@@ -88,6 +93,7 @@ QUERIES = {
         op8_substring_dedup,
         op9_quality_rules,
         op10_decontamination,
+        op12_ranked_search,
         op13_conversation_repair,
         pipeline,
     )
@@ -100,5 +106,6 @@ ORACLE_SQL = {
     "op8_substring_dedup": substrings.ORACLE_OP8,
     "op9_quality_rules": quality_rules.ORACLE_OP9,
     "op10_decontamination": decontaminate.ORACLE_OP10,
+    "op12_ranked_search": search.ORACLE_OP12,
     "op13_conversation_repair": repair.ORACLE_OP13,
 }
