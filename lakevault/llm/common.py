@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakevault.session import scratch_path
@@ -35,7 +36,7 @@ WORD_BASE = 0xC2B2AE3D27D4EB4F
 WORD_BASE_2 = 0xD6E8FEB86659FD93
 
 
-def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+def stored(df: DataFrame, name: str, *partition_by: str, **options) -> DataFrame:
     """Write ``df`` to a new folder of the shared scratch root and read it back.
 
     Cuts the lineage: a lost executor later costs a re-read, not a re-run.
@@ -43,7 +44,7 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    writer = df.write
+    writer = df.write.options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -73,6 +74,23 @@ def text_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
     return df
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int = 1000, size: int = 4 << 20) -> Iterator[None]:
+    """Within it, tables that are written or collected pass to Python at most ``rows`` rows and about ``size`` bytes at a time.
+
+    The caller's settings come back at the end.
+    """
+    limits = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {k: spark.conf.get(k) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def release_memory() -> None:
     """Give freed memory back to the system; a reused Python worker else keeps its peak."""
     _POWERS.clear()

@@ -38,12 +38,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import U64, discard, release_memory, require, slices, stored, text_batches, word_hashes, word_spans
+from lakevault.llm.common import U64, arrow_batches, discard, release_memory, require, slices, stored, word_hashes, word_spans
 from lakevault.llm.decontaminate import NORMAL  # A-Z lowered, other ASCII but digits and letters to spaces
 
-SEGMENT_POSTINGS = 1 << 19
+SEGMENT_POSTINGS = 1 << 17
 SEGMENT_DOCS = 1 << 15
-BUCKET_TERMS = 1 << 22  # terms of a bucket of documents of about equal length
+#: a segment is one row of about a MB: page and row group sizes are checked after every row, not every hundred
+FILE_OPTIONS = {
+    "parquet.block.size": 16 << 20,
+    "parquet.block.size.row.check.min": 1,
+    "parquet.block.size.row.check.max": 4,
+    "parquet.page.size.row.check.min": 1,
+    "parquet.page.size.row.check.max": 1,
+    "parquet.enable.dictionary": "false",
+}
+BUCKET_TERMS = 1 << 19  # terms of a bucket of documents of about equal length
 MAX_QUANTILES = 2000
 PART_TERMS = 100_000
 FIRST_VISIT = 64  # documents in the first strata that are expanded
@@ -85,7 +94,7 @@ def _lengths(docs: DataFrame, text_col: str) -> DataFrame:
                 n[lo:hi] = np.bincount(rows, minlength=hi - lo)
             yield pa.RecordBatch.from_arrays([pa.array(n)], ["n"])
 
-    return text_batches(docs.select(text_col)).mapInArrow(measure, "n long")
+    return docs.select(text_col).mapInArrow(measure, "n long")
 
 
 def normaliser(n, total_docs: int, total_terms: int):
@@ -107,6 +116,11 @@ def build_index(
 ) -> Index:
     """Index all documents with at least one term, each with all its terms."""
     require(docs, id_col, text_col)
+    with arrow_batches(docs.sparkSession):
+        return _build(docs, id_col, text_col, segment_postings, bucket_terms)
+
+
+def _build(docs: DataFrame, id_col: str, text_col: str, segment_postings: int, bucket_terms: int) -> Index:
     lengths = _lengths(docs, text_col).where("n > 0")
     n_docs, n_terms = lengths.agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(0))).first()
     buckets = max(1, math.ceil(n_terms / bucket_terms))
@@ -134,9 +148,9 @@ def build_index(
                     ["bucket", "m", "id", "terms", "tfs"],
                 )
 
-    dealt = text_batches(docs.select(id_col, text_col)).mapInArrow(vectors, "bucket long, m long, id long, terms array<bigint>, tfs array<int>")
+    dealt = docs.select(id_col, text_col).mapInArrow(vectors, "bucket long, m long, id long, terms array<bigint>, tfs array<int>")
     rows = dealt.repartition("bucket").sortWithinPartitions("bucket", "m", "id").drop("bucket")
-    return Index(stored(rows.mapInArrow(partial(_segments, limit=segment_postings), SEGMENT), "search_index"), n_docs, n_terms)
+    return Index(stored(rows.mapInArrow(partial(_segments, limit=segment_postings), SEGMENT), "search_index", **FILE_OPTIONS), n_docs, n_terms)
 
 
 def _mixed(ids: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -336,6 +350,11 @@ def search(
 ) -> DataFrame:
     """(id, rank, doc_id, score): the k best documents of every query, by falling score, then rising doc_id."""
     require(queries, id_col, text_col)
+    with arrow_batches(queries.sparkSession):
+        return _answers(index, queries, id_col, text_col, k, part_terms)
+
+
+def _answers(index: Index, queries: DataFrame, id_col: str, text_col: str, k: int, part_terms: int) -> DataFrame:
     spark = queries.sparkSession
     key = F.sha2(F.col(text_col), 256).alias("key")
     distinct = queries.where(F.col(text_col).isNotNull()).select(key, F.col(text_col).alias("text")).groupBy("key").agg(F.first("text").alias("text"))
@@ -351,7 +370,7 @@ def search(
                     ["key", "terms", "tfs", "n"],
                 )
 
-    terms = stored(text_batches(distinct).mapInArrow(vectors, "key string, terms array<bigint>, tfs array<int>, n long"), "search_queries")
+    terms = stored(distinct.mapInArrow(vectors, "key string, terms array<bigint>, tfs array<int>, n long"), "search_queries")
     parts = max(1, math.ceil((terms.agg(F.sum("n")).first()[0] or 0) / part_terms))
     found = None
     best = Window.partitionBy("key").orderBy(F.desc("score"), F.asc("doc_id"))
