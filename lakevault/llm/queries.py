@@ -18,6 +18,7 @@ from lakevault.llm import (
     quality_model,
     quality_rules,
     repair,
+    repeats,
     search,
     shard,
     substrings,
@@ -68,6 +69,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.op10_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.op11_repeats(table(spark, sf_dir, "documents"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.op12_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -93,6 +98,7 @@ QUERIES = {
         op8_substring_dedup,
         op9_quality_rules,
         op10_decontamination,
+        op11_repeated_bytes,
         op12_ranked_search,
         op13_conversation_repair,
         pipeline,
