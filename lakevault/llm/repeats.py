@@ -201,8 +201,8 @@ class _Least:
 
 def intervals(lcp: list[int], floor: int) -> Iterator[tuple[int, int, int]]:
     """(l, first, last) of every maximal range of an array whose neighbours share l, for l of at least ``floor``."""
-    stack = [(0, 0)]  # (l, first)
-    for k, l in enumerate([*lcp, 0]):  # noqa: E741
+    stack = [(-1, 0)]  # (l, first)
+    for k, l in enumerate([*lcp, -1]):  # noqa: E741
         first = k
         while stack[-1][0] > l:
             high, first = stack.pop()
