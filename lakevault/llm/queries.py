@@ -112,6 +112,7 @@ ORACLE_SQL = {
     "op8_substring_dedup": substrings.ORACLE_OP8,
     "op9_quality_rules": quality_rules.ORACLE_OP9,
     "op10_decontamination": decontaminate.ORACLE_OP10,
+    "op11_repeated_bytes": repeats.ORACLE_OP11,
     "op12_ranked_search": search.ORACLE_OP12,
     "op13_conversation_repair": repair.ORACLE_OP13,
 }

@@ -501,3 +501,21 @@ def maximal_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def op11_repeats(documents: DataFrame) -> DataFrame:
     """Per document its bytes, those removed, their runs, and the hash of what is kept."""
     return remove_repeated_bytes(documents, keep=["doc_id"], with_text=False)
+
+
+#: texts are hex, cut into pieces of 2000 bytes so that a window is found fast; runs of repeated starts at most 400 apart are spans
+ORACLE_OP11 = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+p AS (SELECT r, c, substr(x, 2 * c + 1, 4798) AS x FROM (SELECT r, x, unnest(range(0, length(x) // 2 - 399, 2000)) AS c FROM d)),
+w AS (SELECT r, c + i AS i, md5(substr(x, 2 * i + 1, 800)) AS h FROM (SELECT r, c, x, unnest(range(least(2000, length(x) // 2 - 399))) AS i FROM p)),
+again AS (SELECT r, i FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+runs AS (SELECT r, min(i) AS s, max(i) + 400 AS e FROM (
+  SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i ROWS UNBOUNDED PRECEDING) AS run FROM (
+    SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 400 THEN 0 ELSE 1 END AS fresh FROM again)) GROUP BY r, run),
+kept AS (SELECT r, s, coalesce(lag(e) OVER (PARTITION BY r ORDER BY s), 0) AS a, s AS b FROM (
+  SELECT r, s, e FROM runs UNION ALL SELECT r, length(x) // 2, length(x) // 2 FROM d)),
+texts AS (SELECT k.r, string_agg(substr(x, 2 * a + 1, 2 * (b - a)), '' ORDER BY a, b) AS x FROM kept k JOIN d ON d.r = k.r GROUP BY k.r)
+SELECT doc_id, CAST(length(d.x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, CAST(coalesce(c, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(t.x)) AS kept_sha256
+FROM d JOIN texts t ON t.r = d.r LEFT JOIN (SELECT r, sum(e - s) AS n, count(*) AS c FROM runs GROUP BY r) g ON g.r = d.r
+"""
