@@ -71,7 +71,7 @@ def insert_new_keys(table: VersionedTable, rows: DataFrame, keys, prefilter: boo
     ``rows`` must be distinct on ``keys`` (``hub_rows`` and ``link_rows`` are). The
     anti join runs on the same keys as their ``distinct``, whose partitioning it
     reuses: the batch is shuffled once. The first load creates the table; a batch
-    without new keys writes nothing and returns None.
+    without new keys leaves no load and returns None.
 
     ``prefilter`` is for small batches against a large table: the stored keys are
     first cut to those of the batch by a semi join, which Catalyst or AQE may run as
@@ -84,10 +84,7 @@ def insert_new_keys(table: VersionedTable, rows: DataFrame, keys, prefilter: boo
     known = table.read().select(*keys)
     if prefilter:
         known = known.join(rows.select(*keys), keys, "left_semi")
-    fresh = rows.join(known, keys, "left_anti")
-    if prefilter and fresh.isEmpty():
-        return None
-    return table.write(fresh, mode="append", load_id=load_id)
+    return table.write(rows.join(known, keys, "left_anti"), mode="append", load_id=load_id, keep_empty=False)
 
 
 def hub_load(table: VersionedTable, batch: DataFrame, business_key: str, load_ts, record_source: str,

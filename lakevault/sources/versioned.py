@@ -4,9 +4,15 @@ Layout: ``<path>/base=<b>/load=<l>/`` holds the rows of load ``l`` of snapshot
 ``b``. An append adds a load to the newest
 base, an overwrite begins a new base, so earlier snapshots stay readable until
 they are dropped. Everything else is Spark: ``load`` is a partition column, a
-state as of an earlier load is a filter on it, each base has its own schema, and
-a load is complete when its folder has the writer's ``_SUCCESS`` mark. Writing a
-load again, after a failure, replaces its own folder only.
+state as of an earlier load is a filter on it, and each base has its own schema.
+
+Every load has the next number, a caller's ``load_id`` stands behind it, and no
+write ever goes to a folder that is there. ``write`` marks its folder itself
+once the job is done (``_SUCCESS``; whether Spark's committer does so too is a
+setting on which nothing depends), and reads leave out folders without the mark.
+So a failed write is invisible and its retry is a load of its own. A table in
+which no load has a mark, but some have files, was not written this way: writing
+to it fails until ``adopt_loads`` has marked them.
 
 There is no log beside the data, and nothing about rows or loads is collected;
 a writer lists the folders of one table (a name per snapshot and load) as Spark
@@ -16,6 +22,7 @@ format call that format's own API instead.
 
 from __future__ import annotations
 
+import hashlib
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -33,6 +40,10 @@ class SchemaMismatchError(RuntimeError):
     pass
 
 
+class UnmarkedTableError(RuntimeError):
+    pass
+
+
 class _Folder:
     """Hadoop file system calls on one folder (names, existence, deletion)."""
 
@@ -53,6 +64,14 @@ class _Folder:
     def mark_complete(self) -> None:
         self._fs.create(_Folder(self._spark, f"{self.path}/_SUCCESS")._jpath, True).close()
 
+    def has_files(self) -> bool:
+        """Whether a reader would find a file here."""
+        return any(n[0] not in "_." for n in self.names(""))
+
+    def rename_to(self, path: str) -> None:
+        if not self._fs.rename(self._jpath, _Folder(self._spark, path)._jpath):
+            raise OSError(f"could not rename {self.path} to {path}")
+
     def delete(self) -> None:
         if self.exists() and not self._fs.delete(self._jpath, True):
             raise OSError(f"could not delete {self.path}")
@@ -67,9 +86,15 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     _Folder(spark, path).delete()
 
 
-def _load_name(load: int | str) -> str:
-    """``v0000000003`` for the table's own numbers, ``id-...`` for a caller's load id (never read as a number)."""
-    return f"v{load:010d}" if isinstance(load, int) else "id-" + quote(load, safe="").replace("%", "~")
+def _load_name(number: int, load_id: str | None = None) -> str:
+    """``v0000000003``, with a caller's id ``v0000000003.<id>``; names sort by number."""
+    return f"v{number:010d}" + (f".{_tag(load_id)}" if load_id is not None else "")
+
+
+def _tag(load_id: str) -> str:
+    """A caller's id as part of a folder name; a long one by its hash."""
+    text = quote(load_id, safe="").replace("%", "~")
+    return text if len(text) <= 100 else hashlib.sha256(load_id.encode()).hexdigest()
 
 
 class VersionedTable:
@@ -84,8 +109,11 @@ class VersionedTable:
 
     def _complete(self, base: str) -> list[str]:
         """Names of the complete loads of a snapshot."""
-        names = self._folder(f"base={base}").names("load=")
-        return [n for n in names if self._folder(f"base={base}", f"load={n}", "_SUCCESS").exists()]
+        return [n for n in self._names(base) if self._folder(f"base={base}", f"load={n}", "_SUCCESS").exists()]
+
+    def _names(self, base: str) -> list[str]:
+        """Names of all load folders of a snapshot."""
+        return self._folder(f"base={base}").names("load=")
 
     def _bases(self) -> list[str]:
         """Snapshots with a complete load, oldest first."""
@@ -102,37 +130,66 @@ class VersionedTable:
     # ------------------------------------------------------------------ writes
     def write(
         self, df: DataFrame, mode: str = "append", load_id: str | None = None, overwrite_schema: bool = False,
-        rebalance: bool = False,
-    ) -> str:
+        rebalance: bool = False, keep_empty: bool = True,
+    ) -> str | None:
         """Write ``df`` as a load; returns its name.
 
         ``mode``: ``append``, ``overwrite`` or ``errorifexists`` (create). A load whose
         ``load_id`` is complete in the newest snapshot is not written again. Appends,
         and overwrites without ``overwrite_schema``, must keep the table's names and
-        types. ``last_num_rows`` is counted during the write.
+        types. ``last_num_rows`` is counted during the write. Without ``keep_empty`` an
+        appended load of no rows is taken back, and None returned.
         """
         mode = mode.lower()
         if mode not in MODES:
             raise ValueError(f"unsupported mode {mode!r}")
-        bases, loads = self._bases(), self.loads()
-        number = max([int(n[1:]) for n in [*bases, *loads] if n[0] == "v"], default=-1) + 1
-        name = _load_name(number if load_id is None else load_id)
-        if load_id is not None and name in loads:
-            self.last_num_rows = 0
-            return name
+        if "load" in df.columns:
+            raise ValueError("the column name 'load' is the table's own: rename it")
+        every = {b: self._names(b) for b in self._folder().names("base=")}
+        bases = [b for b in every if self._complete(b)]
+        if not bases:
+            self._refuse_unmarked(every)
+        loads = self._complete(bases[-1]) if bases else []
+        for name in loads:
+            if load_id is not None and name.partition(".")[2] == _tag(load_id):
+                self.last_num_rows = 0
+                return name
         if bases and mode == "errorifexists":
             raise TableExistsError(self.path)
         if bases and not (mode == "overwrite" and overwrite_schema):
             df = self._conform(df)
+        number = max([int(n[1:11]) for n in [*every, *(n for names in every.values() for n in names)]], default=-1) + 1
+        name = _load_name(number, load_id)
         base = bases[-1] if bases and mode == "append" else _load_name(number)
+        folder = self._folder(f"base={base}", f"load={name}")
         seen = Observation()
         out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         if rebalance:
             out = out.hint("rebalance")
-        out.write.mode("overwrite").parquet(f"{self.path}/base={base}/load={name}")
+        out.write.mode("errorifexists").parquet(folder.path)
         self.last_num_rows = int(seen.get.get("rows", 0))
+        if not (keep_empty or self.last_num_rows or base == _load_name(number)):
+            folder.delete()
+            return None
+        folder.mark_complete()
         return name
 
+    def _refuse_unmarked(self, every: dict[str, list[str]]) -> None:
+        for base, names in every.items():
+            for name in names:
+                if self._folder(f"base={base}", f"load={name}").has_files():
+                    raise UnmarkedTableError(
+                        f"{self.path} holds load {name!r}, but no load is marked complete: adopt_loads() takes what is there, or delete it"
+                    )
+
+    def adopt_loads(self) -> None:
+        """Mark every load that has files as complete (a table copied without its marks)."""
+        for base in self._folder().names("base="):
+            for name in self._names(base):
+                folder = self._folder(f"base={base}", f"load={name}")
+                if folder.has_files():
+                    folder.mark_complete()
+
     def _conform(self, df: DataFrame) -> DataFrame:
         have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
         want = {f.name: f.dataType.simpleString() for f in self.read().schema.fields}
@@ -141,16 +198,22 @@ class VersionedTable:
         return df.select(*want)
 
     # ------------------------------------------------------------------ reads
+    def _rows(self, base: str, leave_out: list[str]) -> DataFrame:
+        """The rows of a snapshot with their load, without the given loads."""
+        df = self.spark.read.parquet(f"{self.path}/base={base}")
+        return df.where(~F.col("load").isin(leave_out)) if leave_out else df
+
     def read(self, as_of: int | None = None, with_load: bool = False) -> DataFrame:
-        """The newest snapshot, or the one as of the ``as_of``-th load of the table's own numbering."""
+        """The complete loads of the newest snapshot, or of the one as of load number ``as_of``."""
         bases = self._bases()
         if as_of is not None:
             bases = [b for b in bases if b <= _load_name(as_of)]
         if not bases:
             raise FileNotFoundError(self.path)
-        df = self.spark.read.parquet(f"{self.path}/base={bases[-1]}")
+        complete = self._complete(bases[-1])
+        df = self._rows(bases[-1], [n for n in self._names(bases[-1]) if n not in complete])
         if as_of is not None:
-            df = df.where(F.col("load") <= _load_name(as_of))
+            df = df.where(F.col("load") < _load_name(as_of + 1))
         return df if with_load else df.drop("load")
 
     def read_load(self, name: str) -> DataFrame:
@@ -159,52 +222,53 @@ class VersionedTable:
 
     # ------------------------------------------------------------------ erasure
     def erase(self, subjects: DataFrame, key: str) -> None:
-        """Remove every row whose ``key`` is in ``subjects`` from every load of every snapshot.
+        """Remove every row whose ``key`` is in ``subjects`` from every load of every snapshot, marked or not.
 
         Loads that hold such a row are found by a scan of the key column. Their other
-        rows are staged in one pass, then the loads are replaced by them (dynamic
-        partition overwrite). After a failure anywhere, calling again finishes: a
-        complete staging folder is applied first, an incomplete one is written anew.
-        Folders of writes that never completed are deleted. When the call returns,
-        no file of the table holds a row of a subject.
+        rows are written once, beside the table; then the new folders take the place
+        of the old ones, one by one, with the mark that the old one had. After a failure
+        anywhere, calling again finishes: a staging that is ready is put in place
+        first, another one is written anew. No load is dropped, an emptied one stays as
+        an empty load; what a failed write left in its temporary folder goes. When
+        the call returns, no file of the table holds a row of a subject.
         """
         gone = subjects.select(key).distinct()
         for base in self._folder().names("base="):
-            here, stage = f"{self.path}/base={base}", f"{self.path}/{ERASING}/{base}"
-            if self._folder(ERASING, base, "loads", "_SUCCESS").exists():
-                self._replace(here, stage)
-            complete = self._complete(base)
-            for name in self._folder(f"base={base}").names("load="):
-                if name not in complete:
-                    self._folder(f"base={base}", f"load={name}").delete()
-            if not complete:
-                self._folder(f"base={base}").delete()
+            stage = self._folder(ERASING, base)
+            if self._folder(ERASING, base, "_SUCCESS").exists():
+                self._swap(base)
+            stage.delete()
+            for name in self._names(base):
+                self._folder(f"base={base}", f"load={name}", "_temporary").delete()
+            unread = [n for n in self._names(base) if not self._folder(f"base={base}", f"load={n}").has_files()]
+            if len(unread) == len(self._names(base)):
+                continue
+            rows = self._rows(base, unread)
+            if key not in rows.columns:
                 continue
-            rows = self.spark.read.parquet(here)
-            hit = rows.join(gone, key, "left_semi").select("load").distinct()
-            hit.write.mode("overwrite").parquet(f"{stage}/hit")
-            hit = self.spark.read.schema("load string").parquet(f"{stage}/hit")
-            kept = rows.join(hit, "load", "left_semi").join(gone, key, "left_anti").select(*rows.columns)
-            kept.hint("rebalance", "load").write.mode("overwrite").partitionBy("load").parquet(f"{stage}/rows")
-            hit.write.mode("overwrite").parquet(f"{stage}/loads")  # last: the staging is complete
-            self._replace(here, stage)
-
-    def _replace(self, here: str, stage: str) -> None:
-        """Put the staged rows in place of the loads they come from."""
-        schema = self.spark.read.parquet(here).schema
-        rows = self.spark.read.schema(schema).parquet(f"{stage}/rows")
-        hit = self.spark.read.schema("load string").parquet(f"{stage}/loads")
-        rows.hint("rebalance", "load").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "load"
-        ).parquet(here)
-        emptied = {r.load for r in hit.join(rows.select("load").distinct(), "load", "left_anti").toLocalIterator()}
-        for r in hit.toLocalIterator():  # names of loads
-            folder = _Folder(self.spark, f"{here}/load={r.load}")
-            if r.load in emptied:  # it stays readable, as an empty load
-                rows.limit(0).drop("load").write.mode("overwrite").parquet(folder.path)
-            else:
-                folder.mark_complete()
-        _Folder(self.spark, stage).delete()
+            hit = [r.load for r in rows.join(gone, key, "left_semi").select("load").distinct().toLocalIterator()]  # names of loads
+            if not hit:
+                continue
+            kept = rows.where(F.col("load").isin(hit)).join(gone, key, "left_anti").select(*rows.columns)
+            kept.hint("rebalance", "load").write.partitionBy("load").parquet(f"{stage.path}/rows")
+            complete = self._complete(base)
+            for name in hit:
+                new = self._folder(ERASING, base, "rows", f"load={name}")
+                if not new.exists():
+                    rows.limit(0).drop("load").write.parquet(new.path)
+                _Folder(self.spark, f"{new.path}/_SUCCESS").delete()
+                if name in complete:
+                    new.mark_complete()
+            stage.mark_complete()
+            self._swap(base)
+
+    def _swap(self, base: str) -> None:
+        """Put the staged loads in place of the old ones."""
+        for name in self._folder(ERASING, base, "rows").names("load="):
+            place = self._folder(f"base={base}", f"load={name}")
+            place.delete()
+            self._folder(ERASING, base, "rows", f"load={name}").rename_to(place.path)
+        self._folder(ERASING, base).delete()
 
     def compact(self) -> str:
         """Rewrite the newest snapshot as one load of evenly sized files."""

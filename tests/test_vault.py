@@ -239,8 +239,8 @@ def test_silver_load_retry_with_same_load_id_is_idempotent(spark, tmp_root):
     for _ in range(2):  # the retry of load "L1" writes nothing new
         silver = md.load_silver(spark, ev, tmp_root, "2024-02-01 00:00:00", load_id="L1")
     assert silver.sat.read().count() == n
-    assert silver.hub.loads() == silver.sat.loads() == ["id-L1"]
+    assert silver.hub.loads() == silver.sat.loads() == ["v0000000000.L1"]
     silver = md.load_silver(spark, ev, tmp_root, "2024-02-02 00:00:00", load_id="L2")
     assert silver.sat.read().count() == 2 * n  # a new load appends (append-all satellite)
     assert silver.hub.read().count() == ev.select("user_id").distinct().count()
-    assert silver.sat.loads() == ["id-L1", "id-L2"]
+    assert silver.sat.loads() == ["v0000000000.L1", "v0000000001.L2"]

@@ -78,6 +78,70 @@ def test_compact_keeps_content(spark, tmp_root):
     assert _ids(t.read()) == [0, 1, 2, 3] and len(t.loads()) == 1
 
 
+@pytest.fixture()
+def no_marks(spark):
+    """Spark's committer leaves no marks, as is usual on object stores."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    yield
+    conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_loads_do_not_depend_on_the_committers_marks(spark, tmp_root, no_marks):
+    t = VersionedTable(spark, tmp_root)
+    t.write(_frame(spark, 1))
+    t.write(_frame(spark, 2))
+    assert t.exists() and _ids(t.read()) == [1, 2] and len(t.loads()) == 2
+    t.write(_frame(spark, 3, 4, 5))
+    forget_subjects(t, _frame(spark, 4), "id")
+    assert _ids(t.read()) == [1, 2, 3, 5] and len(t.loads()) == 3
+
+
+def test_read_and_loads_agree_on_an_incomplete_load(spark, tmp_root):
+    t = VersionedTable(spark, tmp_root)
+    t.write(_frame(spark, 1))
+    crashed = t.write(_frame(spark, 2))
+    t.write(_frame(spark, 3))
+    versioned._Folder(spark, f"{tmp_root}/base=v0000000000/load={crashed}/_SUCCESS").delete()
+    assert t.loads() == ["v0000000000", "v0000000002"]
+    assert _ids(t.read()) == [1, 3] and _ids(t.read(as_of=1)) == [1]
+    t.write(_frame(spark, 4))  # never into a folder that is there
+    assert _ids(t.read()) == [1, 3, 4] and t.loads()[-1] == "v0000000003"
+
+
+def test_time_travel_counts_named_loads(spark, tmp_root):
+    t = VersionedTable(spark, tmp_root)
+    t.write(_frame(spark, 1))
+    assert t.write(_frame(spark, 2), load_id="first/α " + "x" * 300).startswith("v0000000001.")
+    t.write(_frame(spark, 3), load_id="b")
+    assert [_ids(t.read(as_of=k)) for k in range(3)] == [[1], [1, 2], [1, 2, 3]]
+    assert t.write(_frame(spark, 9), load_id="b") == "v0000000002.b" and _ids(t.read()) == [1, 2, 3]
+
+
+def test_the_column_name_load_is_refused(spark, tmp_root):
+    t = VersionedTable(spark, tmp_root)
+    with pytest.raises(ValueError, match="load"):
+        t.write(spark.createDataFrame([(1, 2)], "a long, load long"))
+
+
+def test_a_table_without_any_mark_is_not_written_over(spark, tmp_root):
+    _frame(spark, 1, 2).write.parquet(f"{tmp_root}/base=v0000000000/load=v0000000000")
+    versioned._Folder(spark, f"{tmp_root}/base=v0000000000/load=v0000000000/_SUCCESS").delete()
+    t = VersionedTable(spark, tmp_root)
+    with pytest.raises(versioned.UnmarkedTableError):
+        t.write(_frame(spark, 3))
+    t.adopt_loads()
+    t.write(_frame(spark, 3))
+    assert _ids(t.read()) == [1, 2, 3]
+
+
+def test_an_empty_append_can_be_taken_back(spark, tmp_root):
+    t = VersionedTable(spark, tmp_root)
+    assert t.write(_frame(spark, 1).limit(0), keep_empty=False) == "v0000000000"  # it creates the table
+    assert t.write(_frame(spark, 1).limit(0), keep_empty=False) is None and len(t.loads()) == 1
+    assert t.write(_frame(spark, 1)) == "v0000000001" and _ids(t.read()) == [1]
+
+
 # ------------------------------------------------------------------ erasure
 def _two_loads(spark, root):
     t = VersionedTable(spark, root)
@@ -113,7 +177,19 @@ def test_erasure_reaches_every_snapshot(spark, tmp_root):
     assert _ids(t.read()) == [4, 6]
 
 
-@pytest.mark.parametrize("crash_at", [0, 1, 2, 3, 4, 5])
+def test_erasure_keeps_unmarked_loads_and_their_state(spark, tmp_root):
+    t = VersionedTable(spark, tmp_root)
+    t.write(_frame(spark, 1, 2))
+    name = t.write(_frame(spark, 2, 3))
+    mark = versioned._Folder(spark, f"{tmp_root}/base=v0000000000/load={name}/_SUCCESS")
+    mark.delete()
+    forget_subjects(t, _frame(spark, 2), "id")
+    assert _ids(t.read()) == [1] and not mark.exists()
+    t.adopt_loads()
+    assert _ids(t.read()) == [1, 3]
+
+
+@pytest.mark.parametrize("crash_at", [0, 1, 2, 3, 4, 5, 6, 7, 8])
 def test_erasure_finishes_after_a_failure(spark, tmp_root, monkeypatch, crash_at):
     t = _two_loads(spark, tmp_root)
     gone = spark.createDataFrame([(3,)], "user_id long")
