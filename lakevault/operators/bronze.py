@@ -79,13 +79,18 @@ def newer_than_stored(table: VersionedTable, batch: DataFrame, ts_col: str) -> t
 def ingest_newer(table: VersionedTable, batch: DataFrame, ts_col: str, load_id: str | None = None) -> DataFrame:
     """Append the rows newer than the stored maximum; returns the rows held back.
 
-    Running it again with the same batch appends nothing.
+    Running it again with the same batch appends nothing. A retry with the ``load_id`` of a
+    load that is complete holds the batch against the loads before that one, so it returns
+    what the first run did.
     """
-    new, _ = newer_than_stored(table, batch, ts_col)
-    before = table.read().agg(F.max(ts_col)).first()[0] if table.exists() else None
-    table.write(new, mode="append" if table.exists() else "errorifexists", load_id=load_id)
+    done = table.find_load(load_id) if table.exists() else None
+    stored = table.read_before(done) if done else table.read() if table.exists() else None
+    before = stored.agg(F.max(ts_col)).first()[0] if stored is not None else None
     ts = F.col(ts_col)
-    return batch.where(ts.isNull() if before is None else ts.isNull() | (ts <= F.lit(before)))
+    held = ts.isNull() if before is None else ts.isNull() | (ts <= F.lit(before))
+    if done is None:
+        table.write(batch.where(~held), mode="errorifexists" if stored is None else "append", load_id=load_id)
+    return batch.where(held)
 
 
 def with_ingest_metadata(df: DataFrame, record_source: str, source_format: str,

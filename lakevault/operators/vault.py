@@ -14,6 +14,8 @@ load date.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -159,7 +161,8 @@ def sat_append_changed(table: VersionedTable, rows: DataFrame, hk: str, order, c
     latest stored row stands for it, which is right if batches come in order. A late
     row cannot be judged without the rows that were not stored: if it equals the
     version in force it is dropped (a batch sent again), else it is returned, for
-    ``sat_rebuild`` from the full history. With a ``load_id`` a retry writes nothing twice.
+    ``sat_rebuild`` from the full history. A row of the order of a stored one that holds other
+    values, a correction, is late too. With a ``load_id`` a retry writes nothing twice.
     """
     order, compare = _cols(order), _cols(compare)
     at = F.struct(*[F.col(c) for c in order])
@@ -180,8 +183,12 @@ def sat_append_changed(table: VersionedTable, rows: DataFrame, hk: str, order, c
     fresh = changed_rows(latest.unionByName(newer), [hk], order, compare, chunk).where(~F.col("_prior")).drop("_prior")
     late = rows.limit(0)
     if not older.isEmpty():  # those that differ from the version in force, the last stored one up to them
-        past = changed_rows(stored.withColumn("_prior", F.lit(True)).unionByName(older), [hk], order, compare, chunk)
-        late = past.where(~F.col("_prior")).select(*rows.columns).join(stored.select(hk, *order), [hk, *order], "left_anti")
+        # a stored row comes before those of its order, so that a correction is held against it
+        past = stored.withColumn("_prior", F.lit(True)).unionByName(older).withColumn("_later", F.when(F.col("_prior"), 0).otherwise(1))
+        past = changed_rows(past, [hk], [*order, "_later"], compare, chunk)
+        known = stored.select(*[F.col(c).alias(f"_of_{c}") for c in [hk, *order, *compare]])
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in [hk, *order, *compare]])
+        late = past.where(~F.col("_prior")).select(*rows.columns).join(known, same, "left_anti")
         path = scratch_path(rows.sparkSession, "late")
         late.select(*rows.columns).write.parquet(path)  # judged against the table before the batch is added
         late = rows.sparkSession.read.schema(rows.schema).parquet(path)

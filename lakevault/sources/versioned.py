@@ -127,6 +127,12 @@ class VersionedTable:
         bases = self._bases()
         return self._complete(bases[-1]) if bases else []
 
+    def find_load(self, load_id: str | None) -> str | None:
+        """Name of the complete load of the newest snapshot that was written under ``load_id``."""
+        if load_id is None:
+            return None
+        return next((n for n in self.loads() if n.partition(".")[2] == _tag(load_id)), None)
+
     # ------------------------------------------------------------------ writes
     def write(
         self, df: DataFrame, mode: str = "append", load_id: str | None = None, overwrite_schema: bool = False,
@@ -149,11 +155,9 @@ class VersionedTable:
         bases = [b for b in every if self._complete(b)]
         if not bases:
             self._refuse_unmarked(every)
-        loads = self._complete(bases[-1]) if bases else []
-        for name in loads:
-            if load_id is not None and name.partition(".")[2] == _tag(load_id):
-                self.last_num_rows = 0
-                return name
+        if (name := self.find_load(load_id)) is not None:
+            self.last_num_rows = 0
+            return name
         if bases and mode == "errorifexists":
             raise TableExistsError(self.path)
         if bases and not (mode == "overwrite" and overwrite_schema):
@@ -216,6 +220,10 @@ class VersionedTable:
             df = df.where(F.col("load") < _load_name(as_of + 1))
         return df if with_load else df.drop("load")
 
+    def read_before(self, name: str) -> DataFrame:
+        """The rows of the newest snapshot's loads before load ``name``."""
+        return self.read(with_load=True).where(F.col("load") < name).drop("load")
+
     def read_load(self, name: str) -> DataFrame:
         """Only the rows of one load of the newest snapshot."""
         return self.read(with_load=True).where(F.col("load") == name).drop("load")

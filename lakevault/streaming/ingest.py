@@ -7,6 +7,8 @@ stops, so a rerun after a failure continues where the last commit left it.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +41,11 @@ def stream_ingest(spark: SparkSession, src: str, schema: T.StructType, sink: str
     return q.lastProgress or {}
 
 
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps in its checkpoint, from its first start on."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def stream_dedupe(spark: SparkSession, src: str, schema: T.StructType, sink: str, checkpoint: str,
                   key: str, event_time: str, fmt: str = "parquet", max_files: int | None = None) -> None:
     """Store each ``key`` once, whatever the micro-batches and the order of arrival.
@@ -51,15 +58,16 @@ def stream_dedupe(spark: SparkSession, src: str, schema: T.StructType, sink: str
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        mine = f"{checkpoint_id(spark, checkpoint)}-{batch_id}"
         rows = batch.withColumn("_day", F.coalesce(F.to_date(event_time), F.lit("0001-01-01").cast("date")))
         others = [c for c in rows.columns if c not in (key, "_day")]
         one = F.min(F.struct(*[F.col(c) for c in others])).alias("_one")
         rows = rows.groupBy("_day", key).agg(one).select("_day", key, *[F.col(f"_one.{c}").alias(c) for c in others])
         if folder_exists(spark, sink):
-            stored = read_deduped(spark, schema, sink, keep_parts=True).where(F.col("batch") != batch_id)
+            stored = read_deduped(spark, schema, sink, keep_parts=True).where(F.col("batch") != mine)
             rows = rows.join(stored.select("_day", key), ["_day", key], "left_anti")
         (
-            rows.withColumn("batch", F.lit(batch_id))
+            rows.withColumn("batch", F.lit(mine))
             .hint("rebalance", "_day")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -79,7 +87,7 @@ def stream_dedupe(spark: SparkSession, src: str, schema: T.StructType, sink: str
 
 def read_deduped(spark: SparkSession, schema: T.StructType, sink: str, keep_parts: bool = False) -> DataFrame:
     """The rows ``stream_dedupe`` has stored."""
-    parts = [T.StructField("_day", T.DateType()), T.StructField("batch", T.LongType())]
+    parts = [T.StructField("_day", T.DateType()), T.StructField("batch", T.StringType())]
     df = spark.read.schema(T.StructType([*schema.fields, *parts])).parquet(sink)
     return df if keep_parts else df.select(*schema.names)
 

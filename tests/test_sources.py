@@ -254,3 +254,16 @@ def test_high_watermark_against_empty_and_filled_table(spark, tmp_root):
         held = bronze.ingest_newer(t, undated, "ts")
     assert sorted(r.id for r in t.read().collect()) == [0, 2]
     assert sorted(r.id for r in held.collect()) == [1, 2, 9]
+
+
+def test_a_retried_watermark_load_holds_back_what_the_first_run_did(spark, tmp_root):
+    t = VersionedTable(spark, tmp_root)
+    cols = "id long, ts timestamp_ntz"
+
+    def at(*days):
+        return spark.createDataFrame([(d, dt.datetime(2024, 1, d)) for d in days], cols)
+
+    assert bronze.ingest_newer(t, at(1, 2), "ts", load_id="a").isEmpty()
+    for batch, load_id, held in ((at(1, 2), "a", []), (at(2, 3), "b", [2]), (at(2, 3), "b", [2]), (at(1, 2), "a", [])):
+        assert sorted(r.id for r in bronze.ingest_newer(t, batch, "ts", load_id=load_id).collect()) == held
+    assert sorted(r.id for r in t.read().collect()) == [1, 2, 3]

@@ -81,3 +81,13 @@ def test_json_files_stream_into_the_table(spark, tmp_root):
     streams.stream_ingest(spark, src, ev.schema, f"{tmp_root}/out", f"{tmp_root}/ck", fmt="json")
     back = spark.read.schema(ev.schema).parquet(f"{tmp_root}/out")
     assert back.exceptAll(ev).count() == 0 and ev.exceptAll(back).count() == 0
+
+
+def test_a_new_checkpoint_over_a_filled_sink_loses_nothing(spark, tmp_root):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    day = dt.datetime(2024, 1, 10)
+    for n, ids in enumerate((range(10), range(5, 15))):  # five of the second ten are stored already
+        _land(spark, f"{tmp_root}/in{n}", [(i, day, i) for i in ids])
+        streams.stream_dedupe(spark, f"{tmp_root}/in{n}", schema, f"{tmp_root}/out", f"{tmp_root}/ck{n}", "event_id", "ts")
+    got = streams.read_deduped(spark, schema, f"{tmp_root}/out").collect()
+    assert sorted(r.event_id for r in got) == list(range(15))

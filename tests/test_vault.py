@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -244,3 +245,24 @@ def test_silver_load_retry_with_same_load_id_is_idempotent(spark, tmp_root):
     assert silver.sat.read().count() == 2 * n  # a new load appends (append-all satellite)
     assert silver.hub.read().count() == ev.select("user_id").distinct().count()
     assert silver.sat.loads() == ["v0000000000.L1", "v0000000001.L2"]
+
+
+def test_a_correction_of_equal_order_is_returned_and_stored_by_the_rebuild(spark, tmp_root):
+    sat, seen = VersionedTable(spark, f"{tmp_root}/sat"), VersionedTable(spark, f"{tmp_root}/seen")
+    cols = "hk string, seq long, v long"
+    first = spark.createDataFrame([("a", 1, 99), ("a", 2, 10), ("b", 1, 5)], cols)
+    assert vault.sat_append_changed(sat, first, "hk", ["seq"], ["v"], seen=seen).isEmpty()
+    again = spark.createDataFrame([("a", 2, 99), ("a", 2, 10), ("b", 1, 5), ("b", 2, 5)], cols)
+    late = vault.sat_append_changed(sat, again, "hk", ["seq"], ["v"], seen=seen)
+    assert [tuple(r) for r in late.collect()] == [("a", 2, 99)]
+    corrected = spark.createDataFrame([("a", 1, 99), ("a", 2, 99)], cols)
+    vault.sat_rebuild(sat, corrected, late, "hk", ["seq"], ["v"])
+    assert sorted(tuple(r) for r in sat.read().collect()) == [("a", 1, 99), ("b", 1, 5)]
+
+
+@pytest.mark.parametrize("prefilter", [False, True])
+def test_a_batch_without_new_keys_leaves_no_load(spark, tmp_root, prefilter):
+    t = VersionedTable(spark, tmp_root)
+    rows = spark.createDataFrame([("h1", 1), ("h2", 2)], "hk string, k long")
+    assert vault.insert_new_keys(t, rows, "k", prefilter) is not None
+    assert vault.insert_new_keys(t, rows, "k", prefilter) is None and len(t.loads()) == 1
