@@ -120,19 +120,52 @@ def with_neighbors(
     return j.withColumns(filled).select(*columns, *filled.keys())
 
 
+def with_carried(df: DataFrame, keys, order, name: str, value: Column, chunk: Column | None = None) -> DataFrame:
+    """Add ``name``: the last non-null ``value`` up to each row, along ``order`` within ``keys``.
+
+    An as-of join is this over the union of both sides, with ``value`` null on the side that
+    asks; ``order`` then ends in a column that puts the answering side first (or last)
+    where both have the same time. With no keys the order is global. Rows are windowed per
+    (key, chunk), and a chunk's last value is handed on through a summary of one row per
+    (key, chunk), so no task holds a whole key.
+    """
+    keys, order = _cols(keys), _cols(order)
+    columns = df.columns
+    df = df.withColumn("_value", value)
+    if chunk is None:
+        df, chunk = in_ranges(df, keys, order), F.col("_chunk")
+    d = df.withColumn("_chunk", chunk)
+    w = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("_inside", F.last("_value", ignorenulls=True).over(w))
+    at = F.when(F.col("_value").isNotNull(), _order_struct(order))  # max_by passes over rows whose order is null
+    summary = d.groupBy(*keys, "_chunk").agg(F.max_by("_value", at).alias("_last"))
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.select(
+        *[F.col(c).alias(f"_of_{c}") for c in [*keys, "_chunk"]], F.last("_last", ignorenulls=True).over(before).alias("_before")
+    )
+    same = F.lit(True)
+    for c in [*keys, "_chunk"]:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    return d.join(summary, same, "inner").withColumn(name, F.coalesce("_inside", "_before")).select(*columns, name)
+
+
 def changed_rows(
     df: DataFrame,
     keys,
     order,
     compare: Sequence[str],
     chunk: Column | None = None,
+    keep_chunk: bool = False,
 ) -> DataFrame:
     """Rows whose ``compare`` attributes differ from the previous row of the same key.
 
     The first row of a key always counts as a change. Attributes are compared
     as one struct with null-safe equality (``("a", null)`` and ``(null, "a")``
-    differ, null equals null), so no per-row hash is computed.
+    differ, null equals null), so no per-row hash is computed. ``keep_chunk`` leaves the
+    ranges' numbers in ``_chunk``, for a next pass over the same order.
     """
+    if keep_chunk and chunk is None:
+        df, chunk = in_ranges(df, keys, order), F.col("_chunk")
     d = df.withColumns({"_cmp": F.struct(*[F.col(c) for c in compare]), "_one": F.lit(1)})
     d = with_neighbors(d, keys, order, prev={"_prev_cmp": "_cmp", "_has_prev": "_one"}, chunk=chunk)
     first = F.col("_has_prev").isNull()

@@ -17,12 +17,13 @@ import datetime as _dt
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakevault.functions.keys import hash_key, link_key
-from lakevault.operators.history import changed_rows, latest_per_key
+from lakevault.operators.history import changed_rows, latest_per_key, with_carried, with_neighbors
 from lakevault.session import scratch_path
+from lakevault.sources.bucketed import BucketedTable
 from lakevault.sources.versioned import VersionedTable
 
 
@@ -66,7 +67,7 @@ def hub_rows(
     return hub.withColumns(extra), rejects
 
 
-def insert_new_keys(table: VersionedTable, rows: DataFrame, keys, prefilter: bool = False,
+def insert_new_keys(table: VersionedTable | BucketedTable, rows: DataFrame, keys, prefilter: bool = False,
                     load_id: str | None = None) -> str | None:
     """Insert-only merge: append the rows whose business ``keys`` the table does not hold yet.
 
@@ -75,6 +76,9 @@ def insert_new_keys(table: VersionedTable, rows: DataFrame, keys, prefilter: boo
     reuses: the batch is shuffled once. The first load creates the table; a batch
     without new keys leaves no load and returns None.
 
+    A ``BucketedTable`` on the same keys meets the batch bucket by bucket: the batch is dealt
+    to its buckets and the stored keys are neither shuffled nor broadcast.
+
     ``prefilter`` is for small batches against a large table: the stored keys are
     first cut to those of the batch by a semi join, which Catalyst or AQE may run as
     a broadcast of the batch's keys (a size-checked decision); then the stored
@@ -86,10 +90,11 @@ def insert_new_keys(table: VersionedTable, rows: DataFrame, keys, prefilter: boo
     known = table.read().select(*keys)
     if prefilter:
         known = known.join(rows.select(*keys), keys, "left_semi")
-    return table.write(rows.join(known, keys, "left_anti"), mode="append", load_id=load_id, keep_empty=False)
+    fresh = table.aligned(rows).join(known, keys, "left_anti")
+    return table.write(fresh, mode="append", load_id=load_id, keep_empty=False)
 
 
-def hub_load(table: VersionedTable, batch: DataFrame, business_key: str, load_ts, record_source: str,
+def hub_load(table: VersionedTable | BucketedTable, batch: DataFrame, business_key: str, load_ts, record_source: str,
              hk: str = "hk", algo: str = "md5", load_id: str | None = None) -> DataFrame:
     """Build hub rows for a batch and merge them insert-only; returns the rejects."""
     hub, rejects = hub_rows(batch, business_key, hk, load_ts, record_source, algo)
@@ -212,6 +217,33 @@ def sat_as_of(sat: DataFrame, hk: str, ts_col: str, as_of, order) -> DataFrame:
     return latest_per_key(sat.where(F.col(ts_col) <= ts_literal(as_of)), [hk], _cols(order))
 
 
+def point_in_time(versions: DataFrame, dates: DataFrame, key: str, ts_col: str, order, date_col: str) -> DataFrame:
+    """For every date and every key that has a version by then: the version in force at the end of that instant.
+
+    ``order`` begins with ``ts_col`` and ends in a tie-break. Each version is first placed on the
+    calendar: versions and dates are sorted together in measured ranges, and the number of the
+    last date before is carried to the versions (an as-of join). The next version of the key
+    tells where its span of dates ends, and only dates within the span are made, so
+    the rows made are the rows returned. Dates are numbered over the distinct ones,
+    one row each.
+    """
+    order = _cols(order)
+    calendar = dates.select(F.col(date_col)).where(F.col(date_col).isNotNull()).distinct()
+    calendar = calendar.select(date_col, F.row_number().over(Window.orderBy(date_col)).alias("_n"))
+    rows = versions.where(F.col(ts_col).isNotNull())
+    row = F.struct(*[F.col(c) for c in versions.columns])
+    asks = rows.select(F.col(ts_col).alias("_t"), F.lit(0).alias("_kind"), row.alias("_row"), F.lit(None).cast("int").alias("_n"))
+    marks = calendar.select(F.col(date_col).cast(versions.schema[ts_col].dataType).alias("_t"), F.lit(1).alias("_kind"),
+                            F.lit(None).cast(asks.schema["_row"].dataType).alias("_row"), "_n")
+    placed = with_carried(asks.unionByName(marks), [], ["_t", "_kind"], "_past", F.col("_n")).where("_kind = 0")
+    placed = placed.select("_row.*", (F.coalesce("_past", F.lit(0)) + 1).alias("_from"))
+    spans = with_neighbors(placed, [key], order, nxt={"_to": "_from"})
+    last = calendar.select(F.max("_n")).scalar()
+    made = spans.where(F.col("_from") < F.coalesce("_to", last + 1))
+    made = made.withColumn("_n", F.explode(F.sequence("_from", F.coalesce("_to", last + 1) - 1)))
+    return made.join(calendar, "_n").select(*versions.columns, date_col)
+
+
 # --------------------------------------------------------------------------- CDC
 def cdc_apply(state: DataFrame | None, changes: DataFrame, keys, order, is_delete: Column) -> DataFrame:
     """The state after a batch of changes: the latest change per key, stored or new, by ``order``.

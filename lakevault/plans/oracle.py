@@ -103,6 +103,12 @@ SELECT c_custkey, id FROM d WHERE d1=CAST(id[10] AS INTEGER) AND d2=CAST(id[11]
         "SELECT hk, nome, load_date FROM (SELECT *, row_number() OVER (PARTITION BY hk ORDER BY load_date DESC, "
         "event_id DESC) r2 FROM sat WHERE load_date <= TIMESTAMP '2024-01-16') WHERE r2=1"
     ),
+    "sat_point_in_time": """
+WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS ordered, o_orderkey, o_totalprice FROM orders),
+d AS (SELECT DISTINCT last_day(ordered) AS month_end FROM o),
+k AS (SELECT o_custkey, month_end, max((ordered, o_orderkey)) AS newest FROM o JOIN d ON ordered <= month_end GROUP BY 1, 2)
+SELECT k.o_custkey, month_end, o.o_orderkey, o_totalprice FROM k JOIN o ON o.o_custkey = k.o_custkey
+  AND o.ordered = newest[1] AND o.o_orderkey = newest[2]""",
     "version_as_of": "SELECT event_id, user_id FROM events WHERE ts < TIMESTAMP '2024-01-16'",
     "table_history": (
         "SELECT CAST(ts >= TIMESTAMP '2024-01-16' AS BIGINT) AS version, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts "
@@ -135,6 +141,11 @@ SELECT c_custkey, id FROM d WHERE d1=CAST(id[10] AS INTEGER) AND d2=CAST(id[11]
         "AS valid_to, lead(load_date) OVER (PARTITION BY hk ORDER BY load_date, event_id) IS NULL AS is_current "
         "FROM changed"
     ),
+    "dim_scd2_merge": SAT + (
+        "SELECT hk, nome, load_date AS valid_from, lead(load_date) OVER (PARTITION BY hk ORDER BY load_date, event_id) "
+        "AS valid_to, lead(load_date) OVER (PARTITION BY hk ORDER BY load_date, event_id) IS NULL AS is_current "
+        "FROM changed"
+    ),
     "dim_calendar": (
         "SELECT CAST(d AS DATE) AS d, CAST(year(d) AS INTEGER) AS y, CAST(month(d) AS INTEGER) AS m, "
         "CAST(quarter(d) AS INTEGER) AS q FROM (SELECT unnest(generate_series(min(o_orderdate), max(o_orderdate), "

@@ -27,6 +27,7 @@ from lakevault.functions import (
 from lakevault.operators import bronze, catalog, gold, marts, privacy, quality, vault
 from lakevault.plans import medallion as md
 from lakevault.session import scratch_path
+from lakevault.sources.bucketed import BucketedTable
 from lakevault.sources.csv import read_csv_infer, read_csv_robust, write_csv
 from lakevault.sources.formats import read_source, write_source
 from lakevault.sources.landing import land_partitioned, read_day
@@ -40,6 +41,7 @@ SPLIT_T = "2024-01-16 00:00:00"  # batch 1 = ts < T, batch 2 = the rest (or all
 LOAD_TS = "2024-02-01 00:00:00"  # load stamp literal
 LOAD_TS_2 = "2024-02-02 00:00:00"  # second batch stamp
 ACTIVE_SINCE = "2001-01-01 00:00:00"
+EARLY_END = "2024-01-08 00:00:00"  # end of the first batch of the merged dimension
 FIRST_DAY_END = "2024-01-02 00:00:00"  # end of the initial hub load
 
 
@@ -259,9 +261,14 @@ def sat_full_load(spark, sf_dir):
     return t.read().select("hk", "load_date", "nome", "valor")
 
 
+def _buckets(spark) -> int:
+    """As many buckets as a shuffle has partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def hub_merge_insert_only(spark, sf_dir):
     ev = _events(spark, sf_dir)
-    t = VersionedTable(spark, scratch_path(spark, "hub_merge"))
+    t = BucketedTable(spark, scratch_path(spark, "hub_merge"), "user_id", buckets=_buckets(spark))
     # initial load = the first day's events, then every event: keys already
     # in the hub keep their first stamp, the others are inserted
     vault.hub_load(t, ev.where(F.col("ts") < vault.ts_literal(FIRST_DAY_END)), "user_id", LOAD_TS, "EVENTS")
@@ -303,7 +310,7 @@ def link_load(spark, sf_dir):
     # the second key holds the separator and is null for one flag: those rows are rejected
     flags = F.when(F.col("l_returnflag") != "N", F.concat_ws("|", "l_returnflag", "l_linestatus", "l_suppkey"))
     li = table(spark, sf_dir, "lineitem").withColumn("flags", flags)
-    t = VersionedTable(spark, scratch_path(spark, "link"))
+    t = BucketedTable(spark, scratch_path(spark, "link"), ["l_orderkey", "flags"], buckets=_buckets(spark))
     first = li.where(F.col("l_shipdate") < vault.ts_literal("1998-01-01 00:00:00"))
     for batch in (first, li):
         links, _rejects = vault.link_rows(batch, ["l_orderkey", "flags"], "hk_link")
@@ -345,6 +352,15 @@ def sat_as_of(spark, sf_dir):
     return vault.sat_as_of(sat, "hk", "load_date", SPLIT_T, md.SAT_ORDER).select("hk", "nome", "load_date")
 
 
+def sat_point_in_time(spark, sf_dir):
+    """Every customer's latest order as of every month end on which there is one."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", F.to_date("o_orderdate").alias("ordered"), "o_orderkey", "o_totalprice")
+    ends = orders.select(F.last_day("ordered").alias("month_end"))
+    return vault.point_in_time(orders, ends, "o_custkey", "ordered", ["ordered", "o_orderkey"], "month_end").select(
+        "o_custkey", "month_end", "o_orderkey", "o_totalprice"
+    )
+
+
 def _two_version_table(spark, sf_dir) -> VersionedTable:
     ev = _events(spark, sf_dir).select("event_id", "user_id", "ts")
     t = VersionedTable(spark, scratch_path(spark, "versions"))
@@ -439,11 +455,23 @@ def gold_top15(spark, sf_dir):
 
 
 def dim_scd2(spark, sf_dir):
-    changes = md.sat_changes(_stored_sat(spark, sf_dir).read())
-    d = gold.scd2(changes, "hk", md.SAT_ORDER, "load_date")
+    d = gold.scd2_of(_stored_sat(spark, sf_dir).read(), "hk", md.SAT_ORDER, ["nome"], "load_date")
     return d.select("hk", "nome", "valid_from", "valid_to", "is_current")
 
 
+def dim_scd2_merge(spark, sf_dir):
+    """The dimension kept by merges: the first days, the last days, and then, late, those between."""
+    ev = _events(spark, sf_dir)
+    root = scratch_path(spark, "scd2_merge")
+    early, late = F.col("ts") < vault.ts_literal(EARLY_END), F.col("ts") < vault.ts_literal(SPLIT_T)
+    sat = VersionedTable(spark, f"{root}/sat")
+    for batch in (ev.where(early), ev.where(~late), ev.where(~early & late)):
+        rows = md.event_sat_rows(batch)
+        vault.sat_append_all(sat, rows)
+        gold.scd2_merge(spark, f"{root}/dim", rows, sat.read(), "hk", md.SAT_ORDER, ["nome"], "load_date", buckets=16)
+    return gold.read_scd2(spark, f"{root}/dim").select("hk", "nome", "valid_from", "valid_to", "is_current")
+
+
 def dim_calendar(spark, sf_dir):
     return catalog.calendar(table(spark, sf_dir, "orders"), "o_orderdate")
 
@@ -673,6 +701,7 @@ QUERIES = {
         ("cdc_apply", cdc_apply),
         ("cdc_apply_out_of_order", cdc_apply_out_of_order),
         ("sat_as_of", sat_as_of),
+        ("sat_point_in_time", sat_point_in_time),
         ("version_as_of", version_as_of),
         ("table_history", table_history),
         ("sat_latest", sat_latest),
@@ -683,6 +712,7 @@ QUERIES = {
         ("gold_top10", gold_top10),
         ("gold_top15", gold_top15),
         ("dim_scd2", dim_scd2),
+        ("dim_scd2_merge", dim_scd2_merge),
         ("dim_calendar", dim_calendar),
         ("mart_calls", mart_calls),
         ("mart_artist_activity", mart_artist_activity),
