@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakevault.functions import bitmaps
 from lakevault.functions.keys import tuple_text
 from lakevault.operators.history import latest_per_key
 from lakevault.operators.vault import ts_literal
+from lakevault.session import scratch_path
 from lakevault.sources.versioned import VersionedTable
 
 
@@ -47,11 +49,18 @@ def with_checksum(df: DataFrame, columns, name: str = "checksum") -> DataFrame:
 
 
 def ingest_by_checksum(table: VersionedTable, batch: DataFrame, columns, name: str = "checksum",
-                       load_id: str | None = None) -> str:
+                       load_id: str | None = None, bitmap: VersionedTable | None = None) -> str | None:
     """Append only rows whose checksum is not stored yet (re-ingest is a no-op).
 
     Of rows with the same checksum the least one is kept (a partial aggregate, so
     repeated rows are combined before the shuffle).
+
+    ``bitmap`` keeps, per load, a set of positions that its checksums hash to. A row whose
+    position is in no set is new, without a look at any stored checksum; only the others are
+    joined with those. The sets are 4 bytes a row or less, and each lies in the
+    partition of its range, where the batch's rows meet it. A load without its set (a failure
+    came between) gets it first, and rows that were erased only make a set too large, so
+    the result is the same with and without.
     """
     rows = with_checksum(batch, columns, name)
     others = [c for c in rows.columns if c != name]
@@ -59,8 +68,52 @@ def ingest_by_checksum(table: VersionedTable, batch: DataFrame, columns, name: s
     rows = rows.groupBy(name).agg(least).select(*[F.col(f"_row.{c}").alias(c) for c in others], name)
     if not table.exists():
         return table.write(rows, mode="errorifexists", load_id=load_id)
-    fresh = rows.join(table.read().select(name), name, "left_anti")
-    return table.write(fresh, mode="append", load_id=load_id)
+    if bitmap is None:
+        return table.write(rows.join(table.read().select(name), name, "left_anti"), mode="append", load_id=load_id)
+    _add_bitmaps(table, bitmap, name)
+    path = scratch_path(rows.sparkSession, "checksums")
+    _maybe_stored(rows, bitmap, name).write.partitionBy("_maybe").parquet(path)
+    rows = rows.sparkSession.read.schema(f"{rows.schema.toDDL()}, _maybe boolean").parquet(path)
+    fresh, maybe = rows.where("NOT _maybe").drop("_maybe"), rows.where("_maybe").drop("_maybe")
+    if not maybe.isEmpty():
+        fresh = fresh.unionByName(maybe.join(table.read().select(name), name, "left_anti"))
+    written = table.write(fresh, mode="append", load_id=load_id, keep_empty=False)
+    _add_bitmaps(table, bitmap, name)
+    return written
+
+
+#: bits of a set per row of its load, at least: 1 row in 32 that is new looks stored
+BITS_PER_ROW = 32
+
+
+def _position(name: str, bits: Column) -> Column:
+    return F.pmod(F.xxhash64(name), bits) + 1
+
+
+def _add_bitmaps(table: VersionedTable, bitmap: VersionedTable, name: str) -> None:
+    """The sets of loads that have none yet; a set has a power of four times ``bitmaps.RANGE`` bits."""
+    for load in table.loads():
+        if bitmap.find_load(load) is None:
+            rows = table.read_load(load).select(name)
+            bits = bitmaps.RANGE
+            count = rows.count()
+            while bits < BITS_PER_ROW * count:
+                bits *= 4
+            sized = rows.withColumn("size", F.lit(bits).cast("long"))
+            bitmap.write(bitmaps.build(sized, _position(name, F.col("size")), "size"), load_id=load)
+
+
+def _maybe_stored(rows: DataFrame, bitmap: VersionedTable, name: str) -> DataFrame:
+    """``rows`` with ``_maybe``: whether the position of a row's checksum is in a set of any size."""
+    sets = bitmaps.merge(bitmap.read(), "size")
+    hit = F.lit(False)
+    for r in bitmap.read().select("size").distinct().collect():  # a few powers of four
+        place = _position(name, F.lit(r["size"]))
+        mine = sets.where(F.col("size") == r["size"]).select(F.col(bitmaps.BUCKET).alias(f"_b{r['size']}"), F.col(bitmaps.BITS).alias(f"_s{r['size']}"))
+        rows = rows.join(mine, F.bitmap_bucket_number(place) == F.col(f"_b{r['size']}"), "left")
+        hit = hit | bitmaps.holds(F.col(f"_s{r['size']}"), place)
+    kept = [c for c in rows.columns if not c.startswith(("_b", "_s")) or not c[2:].isdigit()]
+    return rows.select(*kept, hit.alias("_maybe"))
 
 
 def newer_than_stored(table: VersionedTable, batch: DataFrame, ts_col: str) -> tuple[DataFrame, DataFrame]:

@@ -192,6 +192,15 @@ SELECT o_orderpriority AS edital,
     /count(*),4) AS sla_pct
 FROM orders JOIN a ON l_orderkey=o_orderkey GROUP BY 1""",
     "mart_incremental_refresh": "SELECT CAST(ts AS DATE) AS dia, event_type, count(*) AS n FROM events GROUP BY 1,2",
+    "mart_delta_refresh": (
+        "SELECT CAST(ts AS DATE) AS dia, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total "
+        "FROM events WHERE user_id NOT IN (SELECT user_id FROM events GROUP BY user_id "
+        "HAVING arg_min(event_type, (ts, event_id)) = 'error') GROUP BY 1, 2"
+    ),
+    "mart_active_customers": (
+        "SELECT p AS period, count(DISTINCT o_custkey) AS n FROM (SELECT o_custkey, unnest([strftime(o_orderdate, '%Y-%m'), "
+        "year(o_orderdate) || ' Q' || quarter(o_orderdate), CAST(year(o_orderdate) AS VARCHAR)]) AS p FROM orders) GROUP BY 1"
+    ),
     "mask_pii": f"SELECT c_custkey, '***' || substr({TAX_ID},4,6) || '**' AS cpf FROM customer",
     "pseudonymize": "SELECT sha256('s1' || c_name) AS pid, c_mktsegment FROM customer",
     "row_level_filter": (

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from lakevault.functions import (
     tolerant_double,
 )
 from lakevault.operators import bronze, catalog, gold, marts, privacy, quality, vault
+from lakevault.operators.incremental import DistinctMart, SummedMart
 from lakevault.plans import medallion as md
 from lakevault.session import scratch_path
 from lakevault.sources.bucketed import BucketedTable
@@ -153,10 +155,11 @@ def ingest_checksum(spark, sf_dir):
             "detail": F.concat_ws("|", "event_type", "props"),
         }
     )
-    t = VersionedTable(spark, scratch_path(spark, "checksum"))
+    root = scratch_path(spark, "checksum")
+    t, sets = VersionedTable(spark, f"{root}/rows"), VersionedTable(spark, f"{root}/sets")
     cols = ["event_id", "kind", "detail"]
     for batch in (_before_t(ev), ev, ev):  # the last one re-ingests what is stored
-        bronze.ingest_by_checksum(t, batch, cols)
+        bronze.ingest_by_checksum(t, batch, cols, bitmap=sets)
     return t.read().select("event_id", "checksum")
 
 
@@ -550,6 +553,48 @@ def mart_incremental_refresh(spark, sf_dir):
     )
 
 
+def _requests(ev: DataFrame) -> DataFrame:
+    """Erasure requests: users whose first recorded event is an error."""
+    first = ev.groupBy("user_id").agg(F.min_by("event_type", F.struct("ts", "event_id")).alias("first_type"))
+    return first.where(F.col("first_type") == "error").select("user_id")
+
+
+def mart_delta_refresh(spark, sf_dir):
+    """Daily counts and values kept by signed changes: two loads, an erasure asked for twice, another load."""
+    ev = _events(spark, sf_dir).select("event_id", "user_id", "ts", "event_type", "value")
+    root = scratch_path(spark, "delta_mart")
+    t = VersionedTable(spark, f"{root}/events")
+    by = {"dia": F.to_date("ts"), "event_type": F.col("event_type")}
+    mart = SummedMart(spark, f"{root}/mart", by, {"total": F.col("value")})
+    early, requests = F.col("ts") < vault.ts_literal(EARLY_END), _requests(_events(spark, sf_dir))
+    for batch in (ev.where(early), _before_t(ev.where(~early))):
+        t.write(batch)
+        mart.refresh(t)
+    for _ in range(2):
+        mart.forget(t, requests, "user_id", "first")
+    t.write(_from_t(ev).join(requests, "user_id", "left_anti").select(*ev.columns))
+    mart.refresh(t)
+    mart.compact()
+    mart.refresh(t)
+    return mart.read().select("dia", "event_type", "n", F.col("total").cast("double").alias("total"))
+
+
+def mart_active_customers(spark, sf_dir):
+    """Customers with an order per month, quarter and year, from monthly sets that two loads brought."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderstatus")
+    by = {"y": F.year("o_orderdate"), "m": F.month("o_orderdate")}
+    mart = DistinctMart(spark, scratch_path(spark, "active"), by, F.col("o_custkey"))
+    for load_id, batch in (("done", orders.where("o_orderstatus = 'F'")), ("all", orders)):
+        mart.add(batch, load_id)
+    year = F.col("y").cast("string")
+    periods = [
+        F.concat(year, F.lit("-"), F.lpad(F.col("m").cast("string"), 2, "0")),
+        F.concat(year, F.lit(" Q"), F.ceil(F.col("m") / 3).cast("string")),
+        year,
+    ]
+    return reduce(DataFrame.unionByName, [mart.count(period=p) for p in periods])
+
+
 # ----------------------------------------------------------------- privacy
 def mask_pii(spark, sf_dir):
     return _tax_ids(spark, sf_dir).select("c_custkey", mask_tax_id("id").alias("cpf"))
@@ -578,11 +623,7 @@ def row_level_filter(spark, sf_dir):
 
 def forget_subjects(spark, sf_dir):
     t = _two_version_table(spark, sf_dir)
-    # erasure requests: users whose first recorded event is an error
-    ev = _events(spark, sf_dir)
-    first = ev.groupBy("user_id").agg(F.min_by("event_type", F.struct("ts", "event_id")).alias("first_type"))
-    requests = first.where(F.col("first_type") == "error").select("user_id")
-    privacy.forget_subjects(t, requests, "user_id")
+    privacy.forget_subjects(t, _requests(_events(spark, sf_dir)), "user_id")
     return t.read().select("event_id", "user_id")
 
 
@@ -723,6 +764,8 @@ QUERIES = {
         ("mart_change_audit", mart_change_audit),
         ("mart_sla", mart_sla),
         ("mart_incremental_refresh", mart_incremental_refresh),
+        ("mart_delta_refresh", mart_delta_refresh),
+        ("mart_active_customers", mart_active_customers),
         ("mask_pii", mask_pii),
         ("pseudonymize", pseudonymize),
         ("row_level_filter", row_level_filter),
