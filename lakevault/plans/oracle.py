@@ -99,6 +99,7 @@ SELECT c_custkey, id FROM d WHERE d1=CAST(id[10] AS INTEGER) AND d2=CAST(id[11]
     ),
     "cdc_apply": SAT + "SELECT user_id, nome, load_date FROM latest WHERE nome<>'error'",
     "cdc_apply_out_of_order": SAT + "SELECT user_id, nome, load_date FROM latest WHERE nome<>'error'",
+    "cdc_merge_on_read": SAT + "SELECT user_id, nome, load_date FROM latest WHERE nome<>'error'",
     "sat_as_of": SAT + (
         "SELECT hk, nome, load_date FROM (SELECT *, row_number() OVER (PARTITION BY hk ORDER BY load_date DESC, "
         "event_id DESC) r2 FROM sat WHERE load_date <= TIMESTAMP '2024-01-16') WHERE r2=1"
@@ -127,6 +128,11 @@ SELECT k.o_custkey, month_end, o.o_orderkey, o_totalprice FROM k JOIN o ON o.o_c
         "SELECT user_id AS codigo, nome AS nome_projeto, COALESCE(TRY_CAST(valor_raw AS DOUBLE),0.0) AS valor_projeto, "
         "load_date AS data_ultima_carga FROM latest"
     ),
+    "gold_model_steps": SAT + (
+        ", begun AS (SELECT hk, arg_max(nome, (load_date, event_id)) AS first_state FROM (SELECT *, min(load_date) OVER (PARTITION BY hk) "
+        "AS since FROM sat) WHERE load_date < since + INTERVAL 3 DAY GROUP BY hk) "
+        "SELECT first_state, nome AS last_state, count(*) AS n FROM begun JOIN latest USING (hk) GROUP BY 1, 2"
+    ),
     "gold_schema_replace": SAT + "SELECT user_id AS codigo, TRY_CAST(valor_raw AS DOUBLE) AS valor_projeto FROM latest",
     "gold_top10": SAT + (
         "SELECT user_id AS codigo, TRY_CAST(valor_raw AS DOUBLE) AS valor_projeto FROM latest "
@@ -211,6 +217,10 @@ FROM orders JOIN a ON l_orderkey=o_orderkey GROUP BY 1""",
         "SELECT event_id, user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events GROUP BY user_id "
         "HAVING arg_min(event_type, (ts, event_id)) = 'error')"
     ),
+    "forget_by_key": (
+        "SELECT event_id, user_id, event_type, CASE WHEN gone THEN NULL ELSE value END AS value, CASE WHEN gone THEN NULL ELSE props END AS props "
+        "FROM events JOIN (SELECT user_id, arg_min(event_type, (ts, event_id)) = 'error' AS gone FROM events GROUP BY 1) USING (user_id)"
+    ),
     "consent_filter": SAT + (
         "SELECT e.event_id FROM events e SEMI JOIN (SELECT user_id, arg_max(nome, (load_date, event_id)) AS s "
         "FROM sat WHERE nome IN ('signup','error') GROUP BY 1 HAVING s='signup') c ON e.user_id=c.user_id"
@@ -233,5 +243,19 @@ w AS (SELECT *, count(*) OVER p AS k, avg(n) OVER p AS m, stddev_samp(n) OVER p
 SELECT dia, n, COALESCE(k=7 AND abs(n-m)>3*s, false) AS anomalo FROM w""",
     "stream_ingest": "SELECT event_id, user_id, event_type FROM events",
     "stream_dedupe": "SELECT event_id, user_id FROM events",
+    "stream_dedupe_accounted": """
+WITH m AS (SELECT max(ts) - INTERVAL 20 DAY AS mark FROM events),
+late AS (SELECT event_id FROM events, m WHERE ts < mark),
+kept AS (SELECT event_id FROM events, m WHERE ts >= mark),
+half AS (SELECT event_id FROM events WHERE ts >= TIMESTAMP '2024-01-16')
+SELECT 'kept' AS side, event_id, CAST(1 AS BIGINT) AS n FROM kept UNION ALL SELECT 'late', event_id, 1 FROM late
+UNION ALL SELECT 'offered', NULL, (SELECT count(*) FROM events) + 2 * (SELECT count(*) FROM half)
+UNION ALL SELECT 'repeated', NULL, 2 * (SELECT count(*) FROM half)""",
+    "stream_ingest_drift": """
+SELECT event_id, user_id, CASE WHEN ts < TIMESTAMP '2024-01-16' OR event_type <> 'error' THEN value END AS value,
+  CASE WHEN ts >= TIMESTAMP '2024-01-16' THEN event_type END AS event_type,
+  CASE WHEN ts >= TIMESTAMP '2024-01-16' AND event_type = 'error' THEN '{"event_id":' || event_id || ',"user_id":' || user_id ||
+    ',"value":"n/a","detail":{"event_type":"error"}}' END AS rescued FROM events
+UNION ALL SELECT NULL, NULL, NULL, NULL, '{"event_id": 7, "user_id": '""",
     "stream_hub_merge": "SELECT DISTINCT md5(CAST(user_id AS VARCHAR)) AS hk, user_id FROM events",
 }

@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakevault.functions import (
     cpf_is_valid,
@@ -350,6 +351,17 @@ def cdc_apply_out_of_order(spark, sf_dir):
     return _cdc(spark, sf_dir, (_from_t(ev), _before_t(ev), ev))
 
 
+def cdc_merge_on_read(spark, sf_dir):
+    """Changes appended in any order, resolved when read; folded once on the way."""
+    ev = _events(spark, sf_dir)
+    t = VersionedTable(spark, scratch_path(spark, "cdc_read"))
+    for batch in (_from_t(ev), _before_t(ev)):
+        vault.cdc_append_changes(t, md.event_sat_rows(batch), ["hk"], md.SAT_ORDER, F.col("nome") == "error")
+    vault.cdc_compact(t, ["hk"], md.SAT_ORDER)
+    vault.cdc_append_changes(t, md.event_sat_rows(ev), ["hk"], md.SAT_ORDER, F.col("nome") == "error")
+    return vault.cdc_read_state(t, ["hk"], md.SAT_ORDER).select("user_id", "nome", "load_date")
+
+
 def sat_as_of(spark, sf_dir):
     sat = _stored_sat(spark, sf_dir).read().select("hk", *md.SAT_ORDER, "nome")
     return vault.sat_as_of(sat, "hk", "load_date", SPLIT_T, md.SAT_ORDER).select("hk", "nome", "load_date")
@@ -377,10 +389,11 @@ def version_as_of(spark, sf_dir):
 
 
 def table_history(spark, sf_dir):
-    """What every load brought: rows and span of the events in it."""
+    """What every load brought, the newest first: rows and span of the events in it."""
     rows = _two_version_table(spark, sf_dir).read(with_load=True)
     number = F.substring("load", 2, 10).cast("bigint").alias("version")
-    return rows.groupBy(number).agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    history = rows.groupBy(number).agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    return history.orderBy(F.desc("version"))
 
 
 # ----------------------------------------------------------------- gold
@@ -420,6 +433,33 @@ def gold_dim_coalesced(spark, sf_dir):
     return out.read()
 
 
+# how often each user's newest state is that of its first days, by a model of named steps
+STEPS_MODEL = """
+WITH dated AS (
+  SELECT hk, nome, load_date, event_id, min(load_date) OVER (PARTITION BY hk) AS since FROM {{ source('silver', 'sat') }}
+),
+begun AS (
+  SELECT hk, max_by(nome, struct(load_date, event_id)) AS first_state FROM dated WHERE load_date < since + INTERVAL 3 DAYS GROUP BY hk
+),
+ended AS (
+  SELECT hk, max_by(nome, struct(load_date, event_id)) AS last_state FROM dated GROUP BY hk
+)
+SELECT first_state, last_state, count(*) AS n
+FROM begun JOIN ended USING (hk) JOIN {{ source('silver', 'hub') }} USING (hk)
+GROUP BY first_state, last_state
+"""
+
+
+def gold_model_steps(spark, sf_dir):
+    silver = _silver(spark, sf_dir)
+    reg = SourceRegistry(spark)
+    reg.add("silver.hub", silver.hub.read)
+    reg.add("silver.sat", silver.sat.read)
+    out = VersionedTable(spark, scratch_path(spark, "gold_steps"))
+    reg.materialize(STEPS_MODEL, out)
+    return out.read()
+
+
 def gold_schema_replace(spark, sf_dir):
     silver = _silver(spark, sf_dir)
     t = VersionedTable(spark, scratch_path(spark, "gold"))
@@ -627,6 +667,17 @@ def forget_subjects(spark, sf_dir):
     return t.read().select("event_id", "user_id")
 
 
+def forget_by_key(spark, sf_dir):
+    """Sealed event details after the keys of the subjects who asked for erasure are gone."""
+    ev = _events(spark, sf_dir).select("event_id", "user_id", "event_type", "value", "props")
+    root = scratch_path(spark, "sealed")
+    keys, t = VersionedTable(spark, f"{root}/keys"), VersionedTable(spark, f"{root}/events")
+    privacy.issue_keys(keys, ev, "user_id", "a secret that only a test may hold")
+    t.write(privacy.seal(ev, keys, "user_id", ["value", "props"]))
+    privacy.forget_keys(keys, _requests(_events(spark, sf_dir)), "user_id")
+    return privacy.unseal(t.read(), keys, "user_id", "value double, props string")
+
+
 def consent_filter(spark, sf_dir):
     ev = _events(spark, sf_dir)
     sat = _stored_sat(spark, sf_dir).read()
@@ -696,6 +747,43 @@ def stream_dedupe(spark, sf_dir):
     return streams.read_deduped(spark, ev.schema, f"{root}/out").select("event_id", "user_id")
 
 
+def stream_dedupe_accounted(spark, sf_dir):
+    """The second half of the events; then, by a new checkpoint, those files again and all events."""
+    ev = _events(spark, sf_dir)
+    root = scratch_path(spark, "stream_accounted")
+    src, out = f"{root}/in", f"{root}/out"
+    _land_files(_from_t(ev), src, 2)
+    streams.stream_dedupe_accounted(spark, src, ev.schema, out, f"{root}/ckpt", "event_id", "ts", "20 days", max_files=1)
+    _land_files(ev, src, 2)
+    streams.stream_dedupe_accounted(spark, src, ev.schema, out, f"{root}/again", "event_id", "ts", "20 days", max_files=3)
+    rows = [
+        streams.read_accounted(spark, ev.schema, out, side).select(F.lit(side).alias("side"), "event_id", F.lit(1).cast("long").alias("n"))
+        for side in ("kept", "late")
+    ]
+    counts = streams.read_accounted(spark, ev.schema, out, "counts")
+    for side in ("offered", "repeated"):
+        rows.append(counts.agg(F.sum(side).alias("n")).select(F.lit(side).alias("side"), F.lit(None).cast("long").alias("event_id"), "n"))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def stream_ingest_drift(spark, sf_dir):
+    """JSON lines; the second files have a field more, a number that is text for one kind, and a broken line."""
+    ev = _events(spark, sf_dir).select("event_id", "user_id", "value", "event_type", "ts")
+    root = scratch_path(spark, "stream_drift")
+    known = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()), T.StructField("value", T.DoubleType())])
+    _before_t(ev).select(*known.names).repartition(2).write.json(f"{root}/in")
+    streams.stream_ingest_drift(spark, f"{root}/in", known, f"{root}/out", f"{root}/ckpt", max_files=1)
+    value = F.when(F.col("event_type") == "error", F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    drifted = _from_t(ev).select("event_id", "user_id", value.alias("value"), F.struct("event_type").alias("detail"))
+    broken = spark.createDataFrame([('{"event_id": 7, "user_id": ',)], "value string")
+    lines = drifted.select(F.to_json(F.struct(*drifted.columns)).alias("value")).unionByName(broken)
+    lines.repartition(2).write.mode("append").text(f"{root}/in")
+    streams.stream_ingest_drift(spark, f"{root}/in", known, f"{root}/out", f"{root}/ckpt", max_files=1)
+    got = spark.read.parquet(f"{root}/out")
+    kind = F.try_variant_get("extra", "$.detail.event_type", "string")
+    return got.select("event_id", "user_id", "value", kind.alias("event_type"), "rescued")
+
+
 def stream_hub_merge(spark, sf_dir):
     ev = _events(spark, sf_dir)
     root = scratch_path(spark, "stream_hub")
@@ -741,6 +829,7 @@ QUERIES = {
         ("hub_multi_source", hub_multi_source),
         ("cdc_apply", cdc_apply),
         ("cdc_apply_out_of_order", cdc_apply_out_of_order),
+        ("cdc_merge_on_read", cdc_merge_on_read),
         ("sat_as_of", sat_as_of),
         ("sat_point_in_time", sat_point_in_time),
         ("version_as_of", version_as_of),
@@ -749,6 +838,7 @@ QUERIES = {
         ("raw_to_gold", raw_to_gold),
         ("gold_dim_strict", gold_dim_strict),
         ("gold_dim_coalesced", gold_dim_coalesced),
+        ("gold_model_steps", gold_model_steps),
         ("gold_schema_replace", gold_schema_replace),
         ("gold_top10", gold_top10),
         ("gold_top15", gold_top15),
@@ -770,6 +860,7 @@ QUERIES = {
         ("pseudonymize", pseudonymize),
         ("row_level_filter", row_level_filter),
         ("forget_subjects", forget_subjects),
+        ("forget_by_key", forget_by_key),
         ("consent_filter", consent_filter),
         ("format_currency", format_currency),
         ("catalog_flatten", catalog_flatten),
@@ -779,6 +870,8 @@ QUERIES = {
         ("load_anomaly", load_anomaly),
         ("stream_ingest", stream_ingest),
         ("stream_dedupe", stream_dedupe),
+        ("stream_dedupe_accounted", stream_dedupe_accounted),
+        ("stream_ingest_drift", stream_ingest_drift),
         ("stream_hub_merge", stream_hub_merge),
     ]
 }

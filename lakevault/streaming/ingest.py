@@ -8,8 +8,10 @@ stops, so a rerun after a failure continues where the last commit left it.
 from __future__ import annotations
 
 import json
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,6 +94,121 @@ def read_deduped(spark: SparkSession, schema: T.StructType, sink: str, keep_part
     return df if keep_parts else df.select(*schema.names)
 
 
+SIDES = ("kept", "late", "counts")
+
+
+def stream_dedupe_accounted(spark: SparkSession, src: str, schema: T.StructType, sink: str, checkpoint: str, key: str,
+                            event_time: str, delay: str, fmt: str = "parquet", max_files: int | None = None) -> None:
+    """``stream_dedupe`` that also keeps late rows apart and accounts for every row offered.
+
+    A row is late if its time lies more than ``delay`` (an interval text) before the greatest time
+    in the files that landed before its own, in this run or any earlier one. So the watermark
+    moves from file to file, not from micro-batch to micro-batch, and which rows are late does not
+    depend on how many files a micro-batch takes. Late rows go to a side table. Of the others
+    each key is kept once, its first in order of landing; the rest are repeats. For every
+    micro-batch kept + late + repeated = offered.
+
+    The state between micro-batches is in the sinks: the kept keys of the days that a micro-batch
+    touches, and the greatest time so far, a row per micro-batch. All of a micro-batch's rows lie in
+    folders named by checkpoint and micro-batch, so a replay replaces them, and a
+    new checkpoint over the same sink loses and repeats nothing.
+    """
+    paths = {s: f"{sink}/{s}" for s in SIDES}
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        mine = f"{checkpoint_id(spark, checkpoint)}-{batch_id}"
+
+        def stored(side: str) -> DataFrame | None:
+            if not folder_exists(spark, paths[side]):
+                return None
+            return _read_side(spark, schema, sink, side).where(F.col("batch") != mine)
+
+        def write(df: DataFrame, side: str, *parts: str) -> None:
+            out = df.withColumn("batch", F.lit(mine)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            out.partitionBy(*parts, "batch").parquet(paths[side])
+
+        landed = F.struct(F.col("_landed"), F.col("_file"))
+        files = batch.groupBy("_landed", "_file").agg(F.max(event_time).alias("_top"))  # a row per file
+        before = stored("counts")
+        reached = before.agg(F.max("top")).first()[0] if before is not None else None
+        past = F.max("_top").over(Window.orderBy("_landed", "_file").rowsBetween(Window.unboundedPreceding, -1))
+        top = F.lit(reached).cast(schema[event_time].dataType)
+        marks = files.select(F.col("_file").alias("_of"), F.greatest(past, top).alias("_mark"))
+        rows = batch.join(marks, F.col("_file") == F.col("_of"), "left").drop("_of")
+        late = F.coalesce(F.col(event_time) < F.col("_mark") - F.expr(f"interval {delay}"), F.lit(False))
+        write(rows.where(late).select(*schema.names), "late")
+        day = F.coalesce(F.to_date(event_time), F.lit("0001-01-01").cast("date")).alias("_day")
+        others = [c for c in schema.names if c != key]
+        first = F.min_by(F.struct(*others), F.struct(landed, *others)).alias("_one")
+        fresh = rows.where(~late).withColumn("_day", day).groupBy("_day", key).agg(first)
+        fresh = fresh.select("_day", key, *[F.col(f"_one.{c}").alias(c) for c in others])
+        kept = stored("kept")
+        if kept is not None:
+            fresh = fresh.join(kept.select("_day", key), ["_day", key], "left_anti")
+        write(fresh.select(*schema.names, "_day").hint("rebalance", "_day"), "kept", "_day")
+        there = {s: _read_side(spark, schema, sink, s).where(F.col("batch") == mine).count() if folder_exists(spark, paths[s]) else 0
+                 for s in ("kept", "late")}
+        offered, seen = batch.agg(F.count(F.lit(1)), F.max(event_time)).first()
+        row = [(offered, there["kept"], there["late"], offered - there["kept"] - there["late"], seen)]
+        write(spark.createDataFrame(row, _counts_schema(schema, event_time)), "counts")
+
+    stream = _file_stream(spark, src, schema, fmt, max_files)
+    stream = stream.select("*", F.col("_metadata.file_modification_time").alias("_landed"), F.col("_metadata.file_path").alias("_file"))
+    q = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+
+
+def _counts_schema(schema: T.StructType, event_time: str) -> T.StructType:
+    numbers = [T.StructField(c, T.LongType()) for c in ("offered", "kept", "late", "repeated")]
+    return T.StructType([*numbers, T.StructField("top", schema[event_time].dataType)])
+
+
+def _read_side(spark: SparkSession, schema: T.StructType, sink: str, side: str) -> DataFrame:
+    batch, path = T.StructField("batch", T.StringType()), f"{sink}/{side}"
+    if side == "counts":
+        return spark.read.parquet(path).withColumn("batch", F.col("batch").cast("string"))
+    parts = [T.StructField("_day", T.DateType()), batch] if side == "kept" else [batch]
+    return spark.read.schema(T.StructType([*schema.fields, *parts])).parquet(path)
+
+
+def read_accounted(spark: SparkSession, schema: T.StructType, sink: str, side: str) -> DataFrame:
+    """The ``kept`` or ``late`` rows of ``stream_dedupe_accounted``, or its ``counts``, a row per micro-batch."""
+    if side not in SIDES:
+        raise ValueError(f"{side!r} is none of {SIDES}")
+    df = _read_side(spark, schema, sink, side)
+    return df.drop("batch", "_day")
+
+
+def stream_ingest_drift(spark: SparkSession, src: str, schema: T.StructType, sink: str, checkpoint: str,
+                        max_files: int | None = None) -> None:
+    """Copy newly arrived JSON lines into a Parquet table, whatever becomes of their fields.
+
+    The fields of ``schema`` are columns. Fields that it does not know are kept as one VARIANT
+    column, ``extra`` (null for none), with their own types, and can be asked for later
+    (``try_variant_get``) without a new load. A line that is not a JSON object, or in which a known
+    field does not fit its type, keeps its text in ``rescued`` beside what did fit. Nothing fails the
+    stream and nothing is lost; blank lines are no rows.
+    """
+    lines = _file_stream(spark, src, T.StructType([T.StructField("value", T.StringType())]), "text", max_files)
+    row = F.try_parse_json("_line")
+    known = {f.name: F.try_variant_get("_row", f"$['{f.name}']", f.dataType.simpleString()) for f in schema.fields}
+    told = [F.try_variant_get("_row", f"$['{f.name}']", "string").isNotNull() & F.col(f.name).isNull() for f in schema.fields]
+    object_ = F.schema_of_variant("_row").startswith("OBJECT")
+    fields = F.from_json(F.to_json("_row"), "map<string, variant>")
+    extra = F.map_filter(fields, lambda k, _: ~k.isin([f.name for f in schema.fields]))
+    out = (
+        lines.withColumnRenamed("value", "_line").where(F.trim("_line") != "")
+        .withColumn("_row", row)
+        .withColumns(known)
+        .withColumn("extra", F.when(F.col("_row").isNotNull() & object_, extra))
+        .withColumn("extra", F.when(F.size("extra") > 0, F.parse_json(F.to_json("extra"))))
+        .withColumn("rescued", F.when(F.col("_row").isNull() | ~object_ | reduce(or_, told), F.col("_line")))
+        .drop("_line", "_row")
+    )
+    q = out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+
+
 def stream_dedupe_within(spark: SparkSession, src: str, schema: T.StructType, sink: str, checkpoint: str,
                          key: str, event_time: str, delay: str = "1 day", fmt: str = "parquet",
                          max_files: int | None = None) -> dict:
