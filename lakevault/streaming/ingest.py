@@ -67,7 +67,7 @@ def stream_dedupe(spark: SparkSession, src: str, schema: T.StructType, sink: str
         rows = rows.groupBy("_day", key).agg(one).select("_day", key, *[F.col(f"_one.{c}").alias(c) for c in others])
         if folder_exists(spark, sink):
             stored = read_deduped(spark, schema, sink, keep_parts=True).where(F.col("batch") != mine)
-            rows = rows.join(stored.select("_day", key), ["_day", key], "left_anti")
+            rows = _not_stored(rows, stored, key)
         (
             rows.withColumn("batch", F.lit(mine))
             .hint("rebalance", "_day")
@@ -87,6 +87,12 @@ def stream_dedupe(spark: SparkSession, src: str, schema: T.StructType, sink: str
     q.awaitTermination()
 
 
+def _not_stored(rows: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    """The rows whose day and key are not stored; a null key is a key like any other."""
+    known = stored.select(F.col("_day").alias("_of_day"), F.col(key).alias("_of_key"))
+    return rows.join(known, (F.col("_day") == F.col("_of_day")) & F.col(key).eqNullSafe(F.col("_of_key")), "left_anti")
+
+
 def read_deduped(spark: SparkSession, schema: T.StructType, sink: str, keep_parts: bool = False) -> DataFrame:
     """The rows ``stream_dedupe`` has stored."""
     parts = [T.StructField("_day", T.DateType()), T.StructField("batch", T.StringType())]
@@ -144,7 +150,7 @@ def stream_dedupe_accounted(spark: SparkSession, src: str, schema: T.StructType,
         fresh = fresh.select("_day", key, *[F.col(f"_one.{c}").alias(c) for c in others])
         kept = stored("kept")
         if kept is not None:
-            fresh = fresh.join(kept.select("_day", key), ["_day", key], "left_anti")
+            fresh = _not_stored(fresh, kept, key)
         write(fresh.select(*schema.names, "_day").hint("rebalance", "_day"), "kept", "_day")
         there = {s: _read_side(spark, schema, sink, s).where(F.col("batch") == mine).count() if folder_exists(spark, paths[s]) else 0
                  for s in ("kept", "late")}
