@@ -21,6 +21,7 @@ ORACLE_SQL = {
     "csv_roundtrip_sink": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     "multi_format_scan": "SELECT fmt, n_nationkey, n_name FROM nation, (VALUES ('json'),('csv'),('parquet')) f(fmt)",
     "paged_json_unwrap": "SELECT c_custkey, c_name FROM customer",
+    "paged_extract": "SELECT c_custkey, c_name FROM customer",
     "bronze_ingest_stamp": "SELECT o_orderkey, o_totalprice, TIMESTAMP '2024-02-01 00:00:00' AS data_carga FROM orders",
     "landing_partitioned": (
         "SELECT event_id, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, "

@@ -34,6 +34,7 @@ from lakevault.sources.bucketed import BucketedTable
 from lakevault.sources.csv import read_csv_infer, read_csv_robust, write_csv
 from lakevault.sources.formats import read_source, write_source
 from lakevault.sources.landing import land_partitioned, read_day
+from lakevault.sources import paged
 from lakevault.sources.paged import read_page_files, write_page_files
 from lakevault.sources.registry import SourceRegistry
 from lakevault.sources.versioned import VersionedTable
@@ -113,6 +114,23 @@ def paged_json_unwrap(spark, sf_dir):
     return read_page_files(spark, path, cust.schema).select("c_custkey", "c_name")
 
 
+def paged_extract(spark, sf_dir):
+    """An extract of unknown length from page addresses, stopped after two pages and taken up again."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    root = scratch_path(spark, "extract")
+    size = 100
+    offset = F.floor((F.col("c_custkey") - cust.select(F.min("c_custkey")).scalar()) / size) * size
+    rows = F.array_sort(F.collect_list(F.struct("c_custkey", "c_name"))).alias("projetos")
+    pages = cust.groupBy(offset.alias("offset")).agg(rows)
+    pages.select("offset", F.to_json(F.struct(F.struct("projetos").alias("_embedded"))).alias("value")).write.partitionBy("offset").text(f"{root}/site")
+    address = (root if ":" in root else f"file://{root}") + "/site/offset={offset}"
+    args = (spark, address, f"{root}/landed", cust.schema, size)
+    paged.resume_extract(*args, pages=2)
+    while not paged.resume_extract(*args, pages=100):
+        pass
+    return paged.read_extract(spark, f"{root}/landed", cust.schema)
+
+
 def bronze_ingest_stamp(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
     path = scratch_path(spark, "bronze")
@@ -802,6 +820,7 @@ QUERIES = {
         ("csv_roundtrip_sink", csv_roundtrip_sink),
         ("multi_format_scan", multi_format_scan),
         ("paged_json_unwrap", paged_json_unwrap),
+        ("paged_extract", paged_extract),
         ("bronze_ingest_stamp", bronze_ingest_stamp),
         ("landing_partitioned", landing_partitioned),
         ("source_registry_sql", source_registry_sql),

@@ -6,7 +6,8 @@ list. Page bodies are parsed and unwrapped by Spark (``from_json`` +
 ``inline``). The extract's stop rule is kept: pages at or after the first
 empty page are dropped; that offset is a scalar subquery over page sizes.
 A page that cannot be fetched fails the task (and is retried) instead of
-silently counting as empty.
+silently counting as empty; an extract that looks for its end (``resume_extract``)
+also ends at a page that the service does not know.
 """
 
 from __future__ import annotations
@@ -18,11 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakevault.session import scratch_path
+from lakevault.sources.versioned import folder_exists
 
 try:  # the Python data source API (PySpark 4)
-    from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+    from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 except ImportError:  # pragma: no cover
-    DataSource = DataSourceReader = InputPartition = object
+    DataSource = DataSourceReader = DataSourceStreamReader = InputPartition = object
 
 PAGE_SCHEMA = "offset bigint, body string"
 
@@ -103,7 +105,9 @@ class PagedHttpDataSource(DataSource):
     ``{offset}`` and ``{limit}``), ``limit`` (page size), ``start`` and
     ``max_rows`` (the range of offsets of this read), an optional ``fallback_url`` tried when the first route answers "not found",
     and ``pages_per_partition`` (default 1) to group pages into fewer tasks.
-    Yields (offset, body); parse it with ``unwrap_pages``."""
+    Yields (offset, body); parse it with ``unwrap_pages``. With ``not_found`` = ``end`` a page
+    after the first that neither route knows has a null body, which counts as empty; else it
+    fails. As a stream it reads from the checkpoint's offset up to ``max_rows``."""
 
     @classmethod
     def name(cls) -> str:
@@ -115,6 +119,9 @@ class PagedHttpDataSource(DataSource):
     def reader(self, schema):
         return _PagedReader(self.options)
 
+    def streamReader(self, schema):  # noqa: N802 - Spark's name
+        return _PagedStreamReader(self.options)
+
 
 class _PagedReader(DataSourceReader):
     def __init__(self, options):
@@ -124,15 +131,25 @@ class _PagedReader(DataSourceReader):
         self.timeout = float(options.get("timeout", 45))
         self.fallback = options.get("fallback_url")
         self.group = max(1, int(options.get("pages_per_partition", 1)))
+        self.ends = options.get("not_found", "fail") == "end"
 
     def partitions(self):
-        offsets = list(range(self.start, self.max_rows, self.limit))
+        return self._cut(self.start, self.max_rows)
+
+    def _cut(self, start: int, stop: int) -> list:
+        offsets = list(range(start, stop, self.limit))
         return [_Pages(offsets[i:i + self.group]) for i in range(0, len(offsets), self.group)]
 
     def _fetch(self, template: str, offset: int) -> str:
-        import urllib.request  # noqa: PLC0415 - runs on the executor
+        import os  # noqa: PLC0415 - runs on the executor
+        import urllib.parse  # noqa: PLC0415
+        import urllib.request  # noqa: PLC0415
 
         url = template.format(offset=offset, limit=self.limit)
+        parts = urllib.parse.urlsplit(url)
+        if parts.scheme == "file" and os.path.isdir(parts.path):  # a page as Spark writes it
+            files = sorted(n for n in os.listdir(parts.path) if n[0] not in "_.")
+            return "".join(open(os.path.join(parts.path, n), encoding="utf-8-sig").read() for n in files)
         with urllib.request.urlopen(url, timeout=self.timeout) as resp:  # noqa: S310
             return resp.read().decode("utf-8-sig")
 
@@ -150,30 +167,91 @@ class _PagedReader(DataSourceReader):
             try:
                 body = self._fetch(self.url, offset)
             except Exception as err:  # only "not found" switches route; anything else fails the task
-                if not (self.fallback and self._not_found(err)):
+                if not self._not_found(err) or not (self.fallback or self._behind(offset)):
                     raise
-                body = self._fetch(self.fallback, offset)
-            json.loads(body)  # a malformed page fails the task, it is not "empty"
+                body = self._second(offset)
+            if body is not None:
+                json.loads(body)  # a malformed page fails the task, it is not "empty"
             yield (offset, body)
 
+    def _behind(self, offset: int) -> bool:
+        """Whether a page that is not found may be the end: the first one never is."""
+        return self.ends and offset > 0
+
+    def _second(self, offset: int) -> str | None:
+        try:
+            return self._fetch(self.fallback, offset) if self.fallback else None
+        except Exception as err:
+            if self._behind(offset) and self._not_found(err):
+                return None
+            raise
+
+
+class _PagedStreamReader(DataSourceStreamReader, _PagedReader):
+    """Pages as a stream: a batch runs from the offset in the checkpoint to ``max_rows``."""
+
+    def __init__(self, options):
+        _PagedReader.__init__(self, options)
+
+    def initialOffset(self) -> dict:  # noqa: N802 - Spark's names
+        return {"offset": self.start}
+
+    def latestOffset(self) -> dict:  # noqa: N802
+        return {"offset": self.max_rows}
+
+    def partitions(self, start: dict, end: dict):
+        return self._cut(int(start["offset"]), int(end["offset"]))
+
+    def read(self, partition):
+        return _PagedReader.read(self, partition)
+
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(PagedHttpDataSource)
 
 
+def _empty(item_schema: T.StructType, embedded: str, items: str):
+    found = F.from_json("body", envelope_schema(item_schema, embedded, items))[embedded][items]
+    return F.coalesce(F.size(found), F.lit(0)) <= 0
+
+
+def resume_extract(spark: SparkSession, url: str, path: str, item_schema: T.StructType, limit: int = 100, pages: int = 64,
+                   embedded: str = ENVELOPE, items: str = ITEMS, **options) -> bool:
+    """Land the next ``pages`` pages of an extract under ``path``; whether its end is reached.
+
+    The pages are fetched in parallel as one micro-batch of a stream, whose checkpoint (``path/_offsets``)
+    holds how far the extract has come, and land exactly once. A run that is stopped or fails
+    anywhere is taken up by the next call, in any session. The end is the first empty page or,
+    after the first page, one that is not found; once it is landed nothing more is fetched.
+    """
+    register(spark)
+    landed = f"{path}/pages"
+    start = 0
+    if folder_exists(spark, landed):
+        done = spark.read.schema(PAGE_SCHEMA).parquet(landed)
+        top, ended = done.agg(F.max("offset"), F.max(_empty(item_schema, embedded, items))).first()
+        if ended:
+            return True
+        start = 0 if top is None else top + limit
+    reader = spark.readStream.format("paged_http").option("url", url).option("limit", limit).option("not_found", "end")
+    source = reader.option("max_rows", start + pages * limit).options(**options).load()
+    sink = source.writeStream.format("parquet").option("path", landed).option("checkpointLocation", f"{path}/_offsets")
+    sink.trigger(availableNow=True).start().awaitTermination()
+    new = spark.read.schema(PAGE_SCHEMA).parquet(landed).where(F.col("offset") >= start)
+    return not new.where(_empty(item_schema, embedded, items)).isEmpty()
+
+
+def read_extract(spark: SparkSession, path: str, item_schema: T.StructType, embedded: str = ENVELOPE, items: str = ITEMS) -> DataFrame:
+    """The items of the pages that ``resume_extract`` has landed, up to the first empty one."""
+    return unwrap_pages(spark.read.schema(PAGE_SCHEMA).parquet(f"{path}/pages"), item_schema, embedded, items)
+
+
 def extract_all(spark: SparkSession, url: str, item_schema: T.StructType, limit: int = 100, window: int = 1000,
                 embedded: str = ENVELOPE, items: str = ITEMS, **options) -> DataFrame:
-    """The whole extract, without knowing its length: windows of ``window`` pages, each
-    read in parallel, until one holds the first empty page."""
-    register(spark)
-    path, start = scratch_path(spark, "extract"), 0
-    while True:
-        reader = spark.read.format("paged_http").option("url", url).option("limit", limit)
-        reader = reader.option("start", start).option("max_rows", start + window * limit).options(**options)
-        reader.load().write.mode("append").parquet(path)
-        pages = spark.read.schema(PAGE_SCHEMA).parquet(path)
-        size = F.size(F.from_json("body", envelope_schema(item_schema, embedded, items))[embedded][items])
-        last = pages.where((F.col("offset") >= start) & (F.coalesce(size, F.lit(0)) <= 0))
-        if not last.isEmpty():
-            return unwrap_pages(pages, item_schema, embedded, items)
-        start += window * limit
+    """The whole extract, without knowing its length: windows of pages, each read in parallel,
+    until one holds the end. The first windows are small and double up to ``window`` pages, so
+    that what is fetched behind the end is less than was found before it."""
+    path, pages = scratch_path(spark, "extract"), min(8, window)
+    while not resume_extract(spark, url, path, item_schema, limit, pages, embedded, items, **options):
+        pages = min(2 * pages, window)
+    return read_extract(spark, path, item_schema, embedded, items)

@@ -267,3 +267,48 @@ def test_a_retried_watermark_load_holds_back_what_the_first_run_did(spark, tmp_r
     for batch, load_id, held in ((at(1, 2), "a", []), (at(2, 3), "b", [2]), (at(2, 3), "b", [2]), (at(1, 2), "a", [])):
         assert sorted(r.id for r in bronze.ingest_newer(t, batch, "ts", load_id=load_id).collect()) == held
     assert sorted(r.id for r in t.read().collect()) == [1, 2, 3]
+
+
+def _site(pages: dict):
+    """A folder of page files; returns the address template."""
+    d = _local_dir("pages-site-")
+    for off, body in pages.items():
+        with open(os.path.join(d, f"page-{off}.json"), "w") as f:
+            f.write(body if isinstance(body, str) else json.dumps({"_embedded": {"projetos": [{"id": i, "nome": "x"} for i in body]}}))
+    return d, "file://" + d + "/page-{offset}.json"
+
+
+def test_an_extract_is_taken_up_where_it_stopped(spark, tmp_root):
+    d, url = _site({off: range(off, off + 100) for off in range(0, 700, 100)})
+    with open(os.path.join(d, "page-300.json"), "w") as f:
+        f.write("{broken")
+    assert paged.resume_extract(spark, url, tmp_root, ITEM, pages=2) is False
+    with pytest.raises(Exception):
+        paged.resume_extract(spark, url, tmp_root, ITEM, pages=3)  # it fails on the broken page and lands nothing
+    assert paged.read_extract(spark, tmp_root, ITEM).count() == 200
+    with open(os.path.join(d, "page-300.json"), "w") as f:
+        json.dump({"_embedded": {"projetos": [{"id": i, "nome": "x"} for i in range(300, 400)]}}, f)
+    while not paged.resume_extract(spark, url, tmp_root, ITEM, pages=3):  # the end: page 700 is not there
+        pass
+    assert paged.resume_extract(spark, url, tmp_root, ITEM, pages=3) is True
+    assert sorted(r.id for r in paged.read_extract(spark, tmp_root, ITEM).collect()) == list(range(700))
+
+
+@pytest.mark.parametrize("window", [1, 3, 1000])
+def test_extract_ends_at_the_first_page_that_is_empty_or_not_found(spark, window):
+    _, url = _site({0: range(100), 100: range(100, 130), 300: range(300, 400)})
+    assert sorted(r.id for r in paged.extract_all(spark, url, ITEM, window=window).collect()) == list(range(130))
+    _, url = _site({0: range(100), 100: [], 200: range(200, 300)})
+    assert sorted(r.id for r in paged.extract_all(spark, url, ITEM, window=window).collect()) == list(range(100))
+
+
+def test_an_extract_whose_first_page_is_not_found_fails(spark):
+    _, url = _site({100: range(100)})
+    with pytest.raises(Exception):
+        paged.extract_all(spark, url, ITEM)
+
+
+def test_an_extract_falls_back_page_by_page(spark):
+    _, url = _site({0: range(100)})
+    _, other = _site({100: range(100, 150)})
+    assert paged.extract_all(spark, url, ITEM, fallback_url=other).count() == 150
