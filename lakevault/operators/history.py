@@ -62,9 +62,13 @@ def with_neighbors(
     prev: dict | None = None,
     nxt: dict | None = None,
     chunk: Column | None = None,
+    first: DataFrame | None = None,
 ) -> DataFrame:
     """Add the previous (``prev``) / next (``nxt``) row's columns within each key.
 
+    ``first`` holds, by key, the ``prev`` columns of the row before the first one here (a stored
+    predecessor); it meets the summary of the chunks only, never the rows.
+
     ``prev`` / ``nxt`` map an output name to a column name. Windows run per (key,
     chunk), and rows at chunk borders are filled from the neighbouring chunk, so no
     task holds a whole key. ``chunk`` must be non-null and non-decreasing along
@@ -105,6 +109,13 @@ def with_neighbors(
     if nxt:
         border["_after"] = F.lead("_first").over(ws)
     summary = summary.select(*keys, "_chunk", *[e.alias(n) for n, e in border.items()])
+    if first is not None:
+        known = first.select(*[F.col(c).alias(f"_key_{c}") for c in keys], F.struct(*[F.col(n) for n in prev]).alias("_stored"))
+        same = F.lit(True)
+        for c in keys:
+            same = same & F.col(c).eqNullSafe(F.col(f"_key_{c}"))
+        summary = summary.join(known, same, "left").withColumn("_before", F.coalesce("_before", "_stored"))
+        summary = summary.select(*keys, "_chunk", *border)
     # equi-join on the window's own keys: the big side keeps its partitioning, only
     # the small summary is shuffled
     summary = summary.withColumnsRenamed({c: f"_of_{c}" for c in [*keys, "_chunk"]})
@@ -156,10 +167,12 @@ def changed_rows(
     compare: Sequence[str],
     chunk: Column | None = None,
     keep_chunk: bool = False,
+    first: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose ``compare`` attributes differ from the previous row of the same key.
 
-    The first row of a key always counts as a change. Attributes are compared
+    The first row of a key always counts as a change, unless ``first`` (the keys and the
+    ``compare`` attributes of stored predecessors) holds one it equals. Attributes are compared
     as one struct with null-safe equality (``("a", null)`` and ``(null, "a")``
     differ, null equals null), so no per-row hash is computed. ``keep_chunk`` leaves the
     ranges' numbers in ``_chunk``, for a next pass over the same order.
@@ -167,7 +180,9 @@ def changed_rows(
     if keep_chunk and chunk is None:
         df, chunk = in_ranges(df, keys, order), F.col("_chunk")
     d = df.withColumns({"_cmp": F.struct(*[F.col(c) for c in compare]), "_one": F.lit(1)})
-    d = with_neighbors(d, keys, order, prev={"_prev_cmp": "_cmp", "_has_prev": "_one"}, chunk=chunk)
+    if first is not None:
+        first = first.select(*_cols(keys), F.struct(*[F.col(c) for c in compare]).alias("_prev_cmp"), F.lit(1).alias("_has_prev"))
+    d = with_neighbors(d, keys, order, prev={"_prev_cmp": "_cmp", "_has_prev": "_one"}, chunk=chunk, first=first)
     first = F.col("_has_prev").isNull()
     changed = first | ~F.col("_prev_cmp").eqNullSafe(F.col("_cmp"))
     return d.where(changed).drop("_cmp", "_one", "_prev_cmp", "_has_prev")

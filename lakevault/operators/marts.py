@@ -117,16 +117,17 @@ def sla_mart(orders: DataFrame, lines: DataFrame, *, call: str, order_key: str,
 def refresh_daily_mart(mart_path: str, landing: DataFrame, touched: DataFrame, by: list[str]) -> None:
     """Incremental refresh: recompute only the ``touched`` days (rows with year, month, day).
 
-    ``landing`` is the source as ``land_partitioned`` stores it, so the join on its
-    partition columns prunes the scan to those days. The mart is partitioned by
+    ``landing`` is the source as ``land_partitioned`` stores it. The touched days, a date each, become
+    a filter on its partition columns, so that both scans, the one for the counts and the one that
+    asks which days still have rows, see these days' files only. The mart is partitioned by
     ``dia``; only the touched partitions are replaced (dynamic partition overwrite),
     and a touched day without any row left loses its partition.
     """
     spark = landing.sparkSession
-    days = touched.select(*DAY).distinct()
-    redo = landing.join(days, DAY, "left_semi")
-    dia = F.make_date(*DAY).alias("dia")
-    daily = redo.groupBy(dia, *by).agg(F.count(F.lit(1)).alias("n"))
+    dia = F.make_date(*DAY)
+    days = [r.dia for r in touched.select(dia.alias("dia")).where("dia IS NOT NULL").distinct().collect()]
+    redo = landing.where(dia.isin(days))
+    daily = redo.groupBy(dia.alias("dia"), *by).agg(F.count(F.lit(1)).alias("n"))
     (
         daily.hint("rebalance", "dia")
         .write.mode("overwrite")
@@ -134,6 +135,6 @@ def refresh_daily_mart(mart_path: str, landing: DataFrame, touched: DataFrame, b
         .partitionBy("dia")
         .parquet(mart_path)
     )
-    emptied = days.join(landing.select(*DAY), DAY, "left_anti").select(dia)
-    for r in emptied.toLocalIterator():  # days, not rows
-        delete_folder(spark, f"{mart_path}/dia={r.dia.isoformat()}")
+    left = {r.dia for r in redo.select(dia.alias("dia")).distinct().collect()}
+    for day in sorted(set(days) - left):
+        delete_folder(spark, f"{mart_path}/dia={day.isoformat()}")

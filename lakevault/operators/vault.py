@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakevault.functions.keys import hash_key, link_key
-from lakevault.operators.history import changed_rows, latest_per_key, with_carried, with_neighbors
+from lakevault.operators.history import changed_rows, in_ranges, latest_per_key, with_carried, with_neighbors
 from lakevault.session import scratch_path
 from lakevault.sources.bucketed import BucketedTable
 from lakevault.sources.versioned import VersionedTable
@@ -158,8 +158,8 @@ def sat_append_changed(table: VersionedTable, rows: DataFrame, hk: str, order, c
     """Append the versions that differ from their predecessor; returns the late rows.
 
     A batch row's predecessor is the previous row of its key in the batch or, for
-    the first, the key's latest stored row; both come from one relation (stored
-    latest rows of the batch's keys and the batch), and "latest" is an aggregate.
+    the first, the key's latest stored row, an aggregate that meets one row per key and
+    range of the batch. The batch is range-dealt and written once for all of this.
 
     A row is late if its key has been seen up to that order or beyond. ``seen`` keeps
     how far (a row per key and load), as unchanged rows are not stored; without it the
@@ -170,39 +170,64 @@ def sat_append_changed(table: VersionedTable, rows: DataFrame, hk: str, order, c
     values, a correction, is late too. With a ``load_id`` a retry writes nothing twice.
     """
     order, compare = _cols(order), _cols(compare)
-    at = F.struct(*[F.col(c) for c in order])
-    reached = rows.groupBy(hk).agg(F.max(at).alias("_at")).select(hk, *[F.col(f"_at.{c}").alias(c) for c in order])
+    at, columns = F.struct(*[F.col(c) for c in order]), rows.columns
+    if chunk is None:  # dealt by ranges and written once, for all that follows
+        rows, chunk = in_ranges(rows, [hk], order), F.col("_chunk")
+    touched = rows.groupBy(hk).agg(F.min(at).alias("_lo"), F.max(at).alias("_hi"))
+    late = rows.select(*columns).limit(0)
     if not table.exists():
-        table.write(changed_rows(rows, [hk], order, compare, chunk), mode="errorifexists", load_id=load_id)
+        table.write(changed_rows(rows, [hk], order, compare, chunk).select(*columns), mode="errorifexists", load_id=load_id)
         if seen is not None:
-            seen.write(reached, load_id=load_id)
-        return rows.limit(0)
-    keys = rows.select(hk).distinct()
-    stored = table.read().join(keys, hk, "left_semi")
-    latest = latest_per_key(stored, [hk], order).withColumn("_prior", F.lit(True))
-    high = seen.read().join(keys, hk, "left_semi") if seen is not None and seen.exists() else latest
-    high = high.groupBy(F.col(hk).alias("_hk")).agg(F.max(at).alias("_high"))
-    judged = rows.withColumn("_prior", F.lit(False)).join(high, F.col(hk) == F.col("_hk"), "left").drop("_hk")
-    newer = judged.where(F.col("_high").isNull() | (at > F.col("_high"))).drop("_high")
-    older = judged.where(at <= F.col("_high")).drop("_high")
-    fresh = changed_rows(latest.unionByName(newer), [hk], order, compare, chunk).where(~F.col("_prior")).drop("_prior")
-    late = rows.limit(0)
-    if not older.isEmpty():  # those that differ from the version in force, the last stored one up to them
-        # a stored row comes before those of its order, so that a correction is held against it
-        past = stored.withColumn("_prior", F.lit(True)).unionByName(older).withColumn("_later", F.when(F.col("_prior"), 0).otherwise(1))
-        past = changed_rows(past, [hk], [*order, "_later"], compare, chunk)
-        known = stored.select(*[F.col(c).alias(f"_of_{c}") for c in [hk, *order, *compare]])
+            seen.write(_reached(touched, hk, order), load_id=load_id)
+        return late
+    stored = table.read().join(touched.select(hk), hk, "left_semi")
+    latest = latest_per_key(stored, [hk], order).select(hk, at.alias("_at"), F.struct(*compare).alias("_cmp"))
+    state = touched.join(latest, hk, "left")
+    if seen is not None and seen.exists():
+        high = seen.read().join(touched.select(hk), hk, "left_semi").groupBy(hk).agg(F.max(at).alias("_high"))
+        state = state.join(high, hk, "left")
+    else:
+        state = state.withColumn("_high", F.col("_at"))
+    state = _kept(state, "sat_state")
+    newer, known = rows, state.where(F.col("_at").isNotNull()).select(hk, "_cmp.*")
+    behind = state.where(F.col("_lo") <= F.col("_high")).select(hk, "_high")
+    if not behind.isEmpty():
+        judged = rows.join(behind, hk, "left")
+        newer = judged.where(F.col("_high").isNull() | (at > F.col("_high"))).drop("_high")
+        older = judged.where(at <= F.col("_high")).select(*columns)
+        # those that differ from the version in force, the last stored one up to them; a stored row
+        # comes before those of its order, so that a correction is held against it
+        both = stored.join(behind.select(hk), hk, "left_semi").select(*columns, F.lit(0).alias("_later"))
+        past = changed_rows(both.unionByName(older.withColumn("_later", F.lit(1))), [hk], [*order, "_later"], compare)
+        of = stored.select(*[F.col(c).alias(f"_of_{c}") for c in [hk, *order, *compare]])
         same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in [hk, *order, *compare]])
-        late = past.where(~F.col("_prior")).select(*rows.columns).join(known, same, "left_anti")
-        path = scratch_path(rows.sparkSession, "late")
-        late.select(*rows.columns).write.parquet(path)  # judged against the table before the batch is added
-        late = rows.sparkSession.read.schema(rows.schema).parquet(path)
-    table.write(fresh, mode="append", load_id=load_id)
+        # judged, and written, before the batch is added
+        late = _kept(past.where("_later = 1").select(*columns).join(of, same, "left_anti"), "late")
+    fresh = changed_rows(newer, [hk], order, compare, chunk, first=known)
+    table.write(fresh.select(*columns), mode="append", load_id=load_id)
     if seen is not None:
-        seen.write(reached, load_id=load_id)
+        seen.write(_reached(state, hk, order), load_id=load_id)
+        if len(seen.loads()) > SEEN_LOADS:
+            seen.write(seen.read().groupBy(hk).agg(F.max(at).alias("_hi")).select(hk, "_hi.*"), mode="overwrite")
     return late
 
 
+#: loads of a ``seen`` table before they are folded into one row per key
+SEEN_LOADS = 64
+
+
+def _reached(keys: DataFrame, hk: str, order: list[str]) -> DataFrame:
+    """How far each key of a batch has been seen."""
+    return keys.select(hk, *[F.col(f"_hi.{c}").alias(c) for c in order])
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written to a scratch table and read from it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def sat_rebuild(table: VersionedTable, history: DataFrame, keys: DataFrame, hk: str, order, compare,
                 chunk: Column | None = None) -> str:
     """Store the changed versions of ``keys`` anew from their full ``history``; other keys keep theirs."""

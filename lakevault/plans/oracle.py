@@ -174,6 +174,11 @@ FROM orders LEFT JOIN a ON l_orderkey=o_orderkey GROUP BY 1""",
         "SELECT r_name, count(*) AS n, round(100.0*count(*)/sum(count(*)) OVER (),4) AS pct FROM customer "
         "JOIN nation ON c_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey GROUP BY 1"
     ),
+    "mart_star_regions": (
+        "SELECT r_name, c_mktsegment, count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM lineitem "
+        "JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey "
+        "JOIN region ON n_regionkey = r_regionkey WHERE r_name IN ('ASIA', 'EUROPE') AND o_orderstatus = 'P' GROUP BY 1, 2"
+    ),
     "mart_approved_history": (
         "SELECT CAST(year(o_orderdate) AS INTEGER) AS ano, count(*) AS aprovados, CAST(sum(count(*)) OVER "
         "(ORDER BY year(o_orderdate)) AS BIGINT) AS acumulado FROM orders WHERE o_orderstatus='F' "

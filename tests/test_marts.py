@@ -100,3 +100,41 @@ def test_refresh_replaces_touched_days_and_drops_emptied_ones(spark, tmp_root):
     assert got == {(1, "a"): 3, (1, "b"): 2, (3, "a"): 2, (3, "b"): 2}
     pruned = landing.join(every.where("day = 1"), ["year", "month", "day"], "left_semi")
     assert "day" in plan_text(pruned).split("PartitionFilters:")[1].split("]")[0]
+
+
+def test_statistics_order_the_joins_of_a_star(spark):
+    from lakevault.plans import standins as S
+    from lakevault.sources.registry import cost_based
+
+    reg = S.star_registry(spark, "/root/testdata/sf0.001")
+
+    def first_joined():
+        plan = reg.sql(S.STAR_MODEL)._jdf.queryExecution().optimizedPlan().toString()
+        depth = {t: next(line.index(" Relation") for line in plan.splitlines() if f"__{t}[" in line) for t in S.STAR}
+        return {t for t in S.STAR if depth[t] == max(depth.values())}
+
+    assert "lineitem" in first_joined()  # in the order of the statement
+    with cost_based(spark):
+        assert "lineitem" not in first_joined() and first_joined() & {"region", "nation", "customer"}
+    assert spark.conf.get("spark.sql.cbo.enabled") == "false"
+    reg.unpublish()
+    assert not [t for t in spark.catalog.listTables() if "__star__" in t.name]
+
+
+def test_a_refresh_reads_the_touched_days_only(spark, tmp_root, monkeypatch):
+    from lakevault.operators import marts
+    from lakevault.plans.inspect import plan_text
+    from lakevault.sources.landing import land_partitioned
+
+    rows = spark.createDataFrame([(i, dt.datetime(2024, 1, 1 + i % 9)) for i in range(90)], "id long, ts timestamp_ntz")
+    land_partitioned(rows, f"{tmp_root}/landing", "ts")
+    landing = spark.read.parquet(f"{tmp_root}/landing")
+    marts.refresh_daily_mart(f"{tmp_root}/mart", landing, landing, [])
+    days = spark.createDataFrame([(2024, 1, 3), (2024, 2, 1)], "year int, month int, day int")
+    plans = []
+    real = type(landing).collect
+    monkeypatch.setattr(type(landing), "collect", lambda self: (plans.append(plan_text(self)), real(self))[1])
+    marts.refresh_daily_mart(f"{tmp_root}/mart", landing, days, [])
+    scans = [p for p in plans if "landing" in p]
+    assert scans and all("PartitionFilters: [make_date" in p for p in scans)
+    assert spark.read.parquet(f"{tmp_root}/mart").agg({"n": "sum"}).first()[0] == 90
