@@ -53,7 +53,7 @@ def ingest_by_checksum(table: VersionedTable, batch: DataFrame, columns, name: s
     """Append only rows whose checksum is not stored yet (re-ingest is a no-op).
 
     Of rows with the same checksum the least one is kept (a partial aggregate, so
-    repeated rows are combined before the shuffle).
+    repeated rows are combined before the shuffle). A batch of repeats leaves no load.
 
     ``bitmap`` keeps, per load, a set of positions that its checksums hash to. A row whose
     position is in no set is new, without a look at any stored checksum; only the others are
@@ -63,25 +63,38 @@ def ingest_by_checksum(table: VersionedTable, batch: DataFrame, columns, name: s
     the result is the same with and without.
     """
     rows = with_checksum(batch, columns, name)
-    others = [c for c in rows.columns if c != name]
-    least = F.min(F.struct(*[F.col(c) for c in others])).alias("_row")
-    rows = rows.groupBy(name).agg(least).select(*[F.col(f"_row.{c}").alias(c) for c in others], name)
     if not table.exists():
-        return table.write(rows, mode="errorifexists", load_id=load_id)
+        return table.write(_least_per(rows, name), mode="errorifexists", load_id=load_id)
     if bitmap is None:
-        return table.write(rows.join(table.read().select(name), name, "left_anti"), mode="append", load_id=load_id)
+        fresh = _least_per(rows, name).join(table.read().select(name), name, "left_anti")
+        return table.write(fresh, mode="append", load_id=load_id, keep_empty=False)
     _add_bitmaps(table, bitmap, name)
-    path = scratch_path(rows.sparkSession, "checksums")
-    _maybe_stored(rows, bitmap, name).write.partitionBy("_maybe").parquet(path)
-    rows = rows.sparkSession.read.schema(f"{rows.schema.toDDL()}, _maybe boolean").parquet(path)
-    fresh, maybe = rows.where("NOT _maybe").drop("_maybe"), rows.where("_maybe").drop("_maybe")
+    sums = _kept(_maybe_stored(rows.select(name).distinct(), bitmap, name), "checksums_asked")
+    new, maybe = sums.where("NOT _maybe").select(name), sums.where("_maybe").select(name)
     if not maybe.isEmpty():
-        fresh = fresh.unionByName(maybe.join(table.read().select(name), name, "left_anti"))
+        new = new.unionByName(maybe.join(table.read().select(name), name, "left_anti"))
+    # the rows themselves are looked at, and combined, for new checksums only
+    fresh = _least_per(rows.join(new, name, "left_semi"), name).select(*rows.columns)
     written = table.write(fresh, mode="append", load_id=load_id, keep_empty=False)
-    _add_bitmaps(table, bitmap, name)
+    if written:
+        _add_bitmap(table, bitmap, name, written, table.last_num_rows)
     return written
 
 
+def _least_per(rows: DataFrame, name: str) -> DataFrame:
+    """The least row of each checksum."""
+    others = [c for c in rows.columns if c != name]
+    least = F.min(F.struct(*[F.col(c) for c in others])).alias("_row")
+    return rows.groupBy(name).agg(least).select(*[F.col(f"_row.{c}").alias(c) for c in others], name)
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written to a scratch table and read from it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: bits of a set per row of its load, at least: 1 row in 32 that is new looks stored
 BITS_PER_ROW = 32
 
@@ -91,16 +104,19 @@ def _position(name: str, bits: Column) -> Column:
 
 
 def _add_bitmaps(table: VersionedTable, bitmap: VersionedTable, name: str) -> None:
-    """The sets of loads that have none yet; a set has a power of four times ``bitmaps.RANGE`` bits."""
+    """The sets of loads that have none yet."""
     for load in table.loads():
         if bitmap.find_load(load) is None:
-            rows = table.read_load(load).select(name)
-            bits = bitmaps.RANGE
-            count = rows.count()
-            while bits < BITS_PER_ROW * count:
-                bits *= 4
-            sized = rows.withColumn("size", F.lit(bits).cast("long"))
-            bitmap.write(bitmaps.build(sized, _position(name, F.col("size")), "size"), load_id=load)
+            _add_bitmap(table, bitmap, name, load, table.read_load(load).count())
+
+
+def _add_bitmap(table: VersionedTable, bitmap: VersionedTable, name: str, load: str, count: int) -> None:
+    """The set of a load of ``count`` rows; it has a power of four times ``bitmaps.RANGE`` bits."""
+    bits = bitmaps.RANGE
+    while bits < BITS_PER_ROW * count:
+        bits *= 4
+    sized = table.read_load(load).select(name, F.lit(bits).cast("long").alias("size"))
+    bitmap.write(bitmaps.build(sized, _position(name, F.col("size")), "size"), load_id=load)
 
 
 def _maybe_stored(rows: DataFrame, bitmap: VersionedTable, name: str) -> DataFrame:
