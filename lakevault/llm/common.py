@@ -101,6 +101,30 @@ def release_memory() -> None:
         pass
 
 
+def one_blas_thread() -> None:
+    """Keep numpy's matrix products in this task's thread.
+
+    A pool of threads gains nothing on small products, and its waiting costs each task as much
+    processor time again, times the threads.
+    """
+    if _BLAS:
+        return
+    _BLAS.append(True)
+    try:
+        with open("/proc/self/maps") as maps:
+            libraries = {line.split()[-1] for line in maps if "openblas" in line}
+        for library in libraries:
+            loaded = ctypes.CDLL(library)
+            for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+                if hasattr(loaded, name):
+                    getattr(loaded, name)(1)
+    except OSError:  # another system or library: the caller's settings hold
+        pass
+
+
+_BLAS: list[bool] = []
+
+
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
     """``df`` plus a long column ``name`` that tells its rows apart (repeated rows too)."""
     return df.withColumn(name, F.monotonically_increasing_id())
