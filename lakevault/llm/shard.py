@@ -10,8 +10,9 @@ fractional ranks are spread evenly, so a row's bucket (a slice of their range)
 holds about ``bucket_rows`` rows, whatever the sources' sizes; a rank is the sum
 of the buckets before (counts, one row per bucket) and the place in the bucket.
 A source holding a third of all rows is spread over a third of the buckets, and
-a row that repeats any number of times is spread too, since each copy has its
-own row id in the seeded hash. The jitter, from the source's name, keeps a great
+a row that repeats any number of times is spread too, since each copy has a
+number of its own in the seeded hash. The hash is of id, checksum, size and that number,
+so the same rows get the same shards from whatever files they are read. The jitter, from the source's name, keeps a great
 many one-row sources from sharing one rank.
 
 Defined cases: a null text has the size of an empty one; a null source is a
@@ -25,9 +26,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import require, stored, with_row_id
+from lakevault.llm.common import require, stored
 
 ROW_BYTES = 16
+COPIES = 8192  # equal rows that are numbered at a time
 
 
 def _running_start(counts: DataFrame, by: list[str], order: str) -> DataFrame:
@@ -104,12 +106,16 @@ def shard_documents(
     """
     require(docs, id_col, text_col, source_col)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    narrow = with_row_id(docs, "_row").select(
-        F.col(id_col), F.col(source_col), "_row",
+    narrow = docs.select(
+        F.col(id_col), F.col(source_col),
         (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
     )
-    rows = stored(narrow, "shard")
+    # equal rows are counted and then told apart by a number, so nothing hangs on where a row was stored
+    equal = narrow.groupBy(*narrow.columns).agg(F.count(F.lit(1)).alias("_n"))
+    some = equal.withColumn("_part", F.explode(F.sequence(F.lit(0), F.expr(f"(_n - 1) div {COPIES}"))))
+    each = some.withColumn("_copy", F.explode(F.sequence(F.col("_part") * COPIES, F.least(F.col("_n"), (F.col("_part") + 1) * COPIES) - 1)))
+    rows = stored(each.select(*narrow.columns, F.xxhash64("text_crc32", "size", "_copy").alias("_row")), "shard")
     return interleave(rows, shards=shards, source_col=source_col, id_col=id_col, seed=seed, bucket_rows=bucket_rows)
 
 

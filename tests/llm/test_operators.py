@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakevault.llm import decontaminate, html_text, language, lm_score, near_dedup, pack, quality_model, quality_rules, shard, substrings
+from lakevault.session import scratch_path
 from lakevault.llm.tokens import END_ID, tokenizer_path
 from tests.llm.helpers import SF, awkward, crc, empty, hits, measured, near_groups, shingles, without_repeats, words
 
@@ -391,6 +392,16 @@ def test_shards_hold_the_mixture(spark, odd, which, tmp_path):
     assert all((r.size - 16, r.text_crc32) in {(len(t), zlib.crc32(t)) for t in texts[r.doc_id]} for r in placed)
 
 
+def test_shards_do_not_depend_on_the_files(spark):
+    docs = documents(spark).select("doc_id", "text", "source")
+    docs = docs.unionByName(docs.limit(20)).unionByName(docs.where("doc_id = 3").join(spark.range(100).select(), how="cross"))
+    found = []
+    for files in (1, 4):
+        docs.repartition(files).write.parquet(path := scratch_path(spark, f"shard_{files}"))
+        found.append(sorted(tuple(r) for r in shard.op6_shards(spark.read.parquet(path)).drop("grown_shard").collect()))
+    assert found[0] == found[1] and len(found[0]) == docs.count()
+
+
 def test_shards_of_nothing(spark):
     assert shard.op6_shards(empty(spark)).count() == 0
 

@@ -15,7 +15,7 @@ from tests.llm.helpers import SF, awkward, empty, hits, measured, near_groups, w
 @pytest.mark.parametrize("name", sorted(k for k, v in ORACLE_SQL.items() if v))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = QUERIES[name](spark, SF)
     want = con.sql(ORACLE_SQL[name])
