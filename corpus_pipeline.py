@@ -5,6 +5,13 @@ as Parquet and read again as the next one's ``docs``. All but the last return
 the columns of ``docs``, with fewer rows or, in the substring stage, shorter
 texts; the last returns the packed pieces. A stage works on all that the one
 before has kept.
+
+Near duplicates are linked from a similarity of 0.8 on, and the packed pieces carry their
+token ids. Defined cases: a null, empty or short text fails the quality rules, which take it out; a
+later stage that meets one keeps it as it is, and packing gives it the end token alone. Repeated rows and
+equal texts are near duplicates: the smallest id stays, of equal ids one row; rows without an id
+are only dropped by the rules and by decontamination. Extra columns pass through, whatever their names. Empty
+tables give empty results in every stage.
 """
 
 from __future__ import annotations
@@ -20,6 +27,10 @@ from lakevault.llm.quality_rules import apply_quality_rules
 from lakevault.llm.substrings import remove_repeats
 
 
+#: hundredths of the union of two documents' shingles that they share, at least, to be linked
+NEAR = 80
+
+
 def _unused(docs: DataFrame, name: str) -> str:
     while name in docs.columns:
         name = "_" + name
@@ -34,7 +45,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of the smallest id, of each group of near duplicates."""
-    return keep_one_of_each(docs)
+    return keep_one_of_each(docs, percent=NEAR)
 
 
 def repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,8 +71,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The kept texts, tokenised and packed."""
-    return pack_documents(docs)
+    """The kept texts, tokenised and packed: pieces with their ids and places."""
+    return pack_documents(docs, with_ids=True)
 
 
 STAGES = [

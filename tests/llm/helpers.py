@@ -47,7 +47,7 @@ def shingles(text) -> frozenset:
     return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
 
 
-def near_groups(texts: dict) -> dict:
+def near_groups(texts: dict, percent: int = 85) -> dict:
     """Smallest reachable id by brute force over all pairs."""
     sets = {k: shingles(v) for k, v in texts.items()}
     parent = {k: k for k in texts}
@@ -60,7 +60,7 @@ def near_groups(texts: dict) -> dict:
     ids = sorted(texts)
     for i, a in enumerate(ids):
         for b in ids[i + 1 :]:
-            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = sorted((root(a), root(b)))
                 parent[y] = x
     return {k: root(k) for k in ids}

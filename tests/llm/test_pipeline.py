@@ -36,7 +36,7 @@ def plain_stages(rows: list[dict], benchmark: dict) -> list[list[dict]]:
 
     rows = [r for r in rows if not failed(r["text"])]  # no source of the table is bad as a whole
     out.append(rows)
-    groups = near_groups({r["doc_id"]: r["text"] for r in rows})
+    groups = near_groups({r["doc_id"]: r["text"] for r in rows}, percent=80)
     rows = [r for r in rows if groups[r["doc_id"]] == r["doc_id"]]
     out.append(rows)
     rows = sorted(rows, key=lambda r: r["doc_id"])
@@ -67,13 +67,12 @@ def test_stages_equal_brute_force(spark, tmp_path):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(f"{tokenizer_path()}.json")
-    sizes = {r.doc_id: len(tokenizer.encode(r.text, add_special_tokens=False).ids) + 1 for r in docs.collect()}
-    found = Counter()
+    ids = {r.doc_id: [*tokenizer.encode(r.text, add_special_tokens=False).ids, END_ID] for r in docs.collect()}
+    found = {k: [None] * len(v) for k, v in ids.items()}
     for p in last.collect():
-        found[p.doc_id] += p.length
-        assert p.doc_tokens == sizes[p.doc_id]
-    assert found == sizes
-    assert END_ID == 0
+        assert p.doc_tokens == len(ids[p.doc_id]) and p.length == len(p.ids)
+        found[p.doc_id][p.start : p.start + p.length] = p.ids
+    assert found == ids  # every id of every kept text is in a piece, once, at its place
 
 
 def test_run_is_the_stages_in_a_row(spark):
