@@ -17,7 +17,9 @@ A bucket whose members are in one component is done. In the others no link may b
 lost: every pair across components is a candidate again, unless a bound rules it
 out. A shingle that occurs in no other component's active text cannot be shared
 across components, so with at most m other shingles on the poorer side, n1 and
-n2 in all, the similarity is at most m / (n1 + n2 - m). A text whose private
+n2 in all, the similarity is at most m / (n1 + n2 - m). The same holds with the
+sum, over hash groups of shingles, of the lesser number of other shingles for m,
+which tells apart texts that lack different parts of what they come from. A text whose private
 shingles alone rule out a link with anything drops out first. (Near copies that
 are not alike enough differ by their own edits, which are private, so few of
 their many pairs are left.) A pair is made in the first of its common buckets.
@@ -49,6 +51,7 @@ from lakevault.llm.components import components
 SHINGLE = 5
 BINS, BANDS, ROWS = 252, 42, 6
 CHUNK = 1 << 14  # rows of one signature message
+GROUPS = 64  # hash groups in which two rows' shingles are held against each other
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -210,7 +213,8 @@ def _plain_sets(packed: pa.ChunkedArray) -> list[np.ndarray]:
 
 
 def _common(texts: DataFrame) -> DataFrame:
-    """(row, common): how many of a row's shingles also occur in a row of another component ``c``.
+    """(row, common, groups): how many of a row's shingles also occur in a row of another component
+    ``c``, in all and by hash group.
 
     A block sends each of its shingles once, with its smallest and largest component.
     """
@@ -253,12 +257,16 @@ def _common(texts: DataFrame) -> DataFrame:
         wide = np.zeros(len(shingles), dtype=bool)
         for k, own in by_range:
             wide[own] = np.unpackbits(np.frombuffer(answers[k], np.uint8), count=own.stop - own.start).astype(bool)
-        common = np.bincount(owner[wide[number]], minlength=len(sets))
-        return pa.table({"row": rows.column("row"), "common": pa.array(common.astype(np.int64))})
+        met = wide[number]
+        group = (mix(shingles ^ U64(0x94D049BB133111EB)) >> U64(32)).astype(np.int64) % GROUPS
+        groups = np.bincount(owner[met] * GROUPS + group[number][met], minlength=len(sets) * GROUPS).astype(np.int32)
+        common = groups.reshape(-1, GROUPS).sum(axis=1, dtype=np.int64)
+        lists = pa.ListArray.from_arrays(np.arange(0, len(groups) + 1, GROUPS, dtype=np.int32), groups)
+        return pa.table({"row": rows.column("row"), "common": pa.array(common), "groups": lists})
 
     written = write_blocks(texts, "text", "common", ask, block_bytes=2 << 20)
     answers = exchange(written.where(F.col("kind") == MESSAGE), tell)
-    return with_answers(written.where(F.col("kind") == TEXT), answers, count, "row long, common long")
+    return with_answers(written.where(F.col("kind") == TEXT), answers, count, "row long, common long, groups array<int>")
 
 
 def link_near_duplicates(
@@ -300,9 +308,12 @@ def link_near_duplicates(
     common = _common(texts.join(active.select("row", "c").distinct(), "row").select("row", "c", "text"))
     alive_rows = stored(common.join(active.select("row", "n").distinct(), "row").where(f"100 * common >= {percent} * n"), "alive")
     alive = active.select("row", "c", "bucket").join(alive_rows, "row").join(rows.select("row", "keys"), "row")
-    side = lambda k: alive.select("bucket", *[F.col(c).alias(c + k) for c in ("row", "c", "n", "common", "keys")])
+    side = lambda k: alive.select("bucket", *[F.col(c).alias(c + k) for c in ("row", "c", "n", "common", "groups", "keys")])
+    # of the shingles of one group both can share the lesser number, at most
+    shared_most = "aggregate(zip_with(groups1, groups2, (x, y) -> least(x, y)), 0L, (s, x) -> s + x)"
     possible = F.expr(
         f"100 * least(common1, common2) >= {percent} * (n1 + n2 - least(common1, common2))"
+        f" and (100 + {percent}) * {shared_most} >= {percent} * (n1 + n2)"
         " and bucket = array_min(array_intersect(keys1, keys2))"  # once for each pair
     )
     pairs = side("1").join(side("2"), "bucket").where((F.col("row1") < F.col("row2")) & (F.col("c1") != F.col("c2")) & possible)

@@ -9,6 +9,7 @@ import pytest
 import corpus_pipeline
 from lakevault.llm.queries import ORACLE_SQL, QUERIES
 from lakevault.llm.tokens import END_ID, tokenizer_path
+from lakevault.session import scratch_path
 from tests.llm.helpers import SF, awkward, empty, hits, measured, near_groups, without_repeats
 
 
@@ -97,3 +98,32 @@ def test_stages_take_awkward_rows(spark, tmp_path, which):
         assert docs.count() > 0 and np.all([p.length > 0 for p in docs.collect()])
     else:
         assert docs.count() == 0
+
+
+def test_texts_just_below_the_threshold_make_few_pairs(spark, monkeypatch):
+    """Near copies that share their edits, but too few of them, are told apart before any texts meet."""
+    import random
+
+    from lakevault.llm import near_dedup
+
+    dice = random.Random(8)
+    base = [f"w{k}" for k in range(200)]
+    texts = {}
+    for k in range(300):
+        words = list(base)
+        for at in dice.sample(range(200), 7):
+            words[at] = f"x{dice.randint(0, 2)}"  # an edit that many others make too
+        texts[k] = " ".join(words)
+    pairs = []
+    real = near_dedup._confirm
+
+    def counted(some, *args):
+        pairs.append(some.count())
+        return real(some, *args)
+
+    monkeypatch.setattr(near_dedup, "_confirm", counted)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    df.write.parquet(path := scratch_path(spark, "below"))
+    _, rows = near_dedup.link_near_duplicates(spark.read.parquet(path))
+    got = {r.id: r.component_id for r in rows.collect()}
+    assert got == near_groups(texts) and sum(pairs) <= 30 * len(texts)
