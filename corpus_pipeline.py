@@ -9,8 +9,8 @@ before has kept.
 Near duplicates are linked from a similarity of 0.8 on, and the packed pieces carry their
 token ids. Defined cases: a null, empty or short text fails the quality rules, which take it out; a
 later stage that meets one keeps it as it is, and packing gives it the end token alone. Repeated rows and
-equal texts are near duplicates: the smallest id stays, of equal ids one row; rows without an id
-are only dropped by the rules and by decontamination. Extra columns pass through, whatever their names. Empty
+equal texts are near duplicates: the smallest id stays, of equal ids one row, and a row without an id
+only where no near duplicate has one. Extra columns pass through, whatever their names. Empty
 tables give empty results in every stage.
 """
 
