@@ -45,9 +45,10 @@ def scd2_of(rows: DataFrame, hk: str, order, compare, from_col: str) -> DataFram
     """Validity intervals of the versions of ``rows`` that differ from the one before.
 
     Both passes, the one for changes and the one for ``valid_to``, run over the same measured
-    ranges, so the rows are range-sorted and written once.
+    ranges, so the rows are range-sorted once; the changes are written, as the second pass reads
+    them twice.
     """
-    changes = changed_rows(rows, [hk], _cols(order), _cols(compare), keep_chunk=True)
+    changes = _kept(changed_rows(rows, [hk], _cols(order), _cols(compare), keep_chunk=True), "scd2_changes")
     return scd2(changes, hk, order, from_col, chunk=F.col("_chunk")).drop("_chunk")
 
 

@@ -22,6 +22,11 @@ from bench import HEADLINE  # noqa: E402
 from lakevault.plans.standins import QUERIES  # noqa: E402
 from lakevault.session import build_session  # noqa: E402
 
+#: keys beside the bench's whose plans tell how a merge or an incremental mart works
+MERGES = [
+    "dim_scd2_merge", "sat_point_in_time", "cdc_merge_on_read", "mart_delta_refresh", "mart_active_customers", "mart_star_regions",
+    "stream_dedupe_accounted", "forget_by_key",
+]
 SKIPPED = re.compile(r"WholeStageCodegen|InputAdapter|ColumnarToRow|AdaptiveSparkPlan|ShuffleQueryStage|AQEShuffleRead|TableCacheQueryStage")
 MARK = "plans-report:"
 
@@ -66,7 +71,7 @@ def main() -> None:
         **{"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{logs}", "spark.eventLog.rolling.enabled": "false",
            "spark.eventLog.compress": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.maxMetadataStringLength": "300"},
     )
-    for name in HEADLINE:
+    for name in [*HEADLINE, *MERGES]:
         spark.sparkContext.setJobDescription(MARK + name)
         QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
     spark.stop()
@@ -79,7 +84,7 @@ def main() -> None:
         "",
     ]
     plans = executions(logs)
-    for name in HEADLINE:
+    for name in [*HEADLINE, *MERGES]:
         mine = [tree(p) for p in plans.get(name, [])]
         chosen = [t for t in mine if any("Exchange" in x for x in t)] or mine[-1:]
         shuffles = sum(x.strip().startswith("Exchange") for t in chosen for x in t)
