@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakevault.llm.common import discard, require, stored, text_batches
+from lakevault.llm.common import arrow_batches, discard, require, stored
 
 GRAMMAR = (
     ("Talk", ()),
@@ -505,8 +505,8 @@ def _digests(edited: DataFrame) -> DataFrame:
     return edited.repartition("conv_id").sortWithinPartitions("conv_id", "part", "chunk").mapInArrow(digest, schema)
 
 
-def _prepared(rows: DataFrame, copies_col: str | None) -> DataFrame:
-    """Distinct rows with their number (``n``) and whether role and text were ``seen`` at an earlier turn; dealt by ranges."""
+def _prepared(rows: DataFrame, copies_col: str | None) -> tuple[DataFrame, DataFrame]:
+    """Distinct rows with their number (``n``) and whether role and text were ``seen`` at an earlier turn, dealt by ranges; and the written table of repeats."""
     require(rows, "conv_id", "turn", "role", "text", *([copies_col] if copies_col else []))
     n = F.col(copies_col).cast("long") if copies_col else F.lit(1).cast("long")
     there = n > 0  # a row that is not there only tells that its conversation exists
@@ -518,18 +518,19 @@ def _prepared(rows: DataFrame, copies_col: str | None) -> DataFrame:
         n.alias("n"),
     )
     distinct = plain.groupBy("conv_id", "turn", "role", "text").agg(F.sum("n").alias("n"))
-    # two hashes stand for role and text; a turn is in a struct so that a null one is the least
+    # two hashes stand for role and text; a null turn comes before all others
     said = {"_h1": F.xxhash64("role", "text"), "_h2": F.xxhash64(F.lit(1), "text", "role")}
     first = plain.where("n > 0").groupBy(F.col("conv_id").alias("_c"), *[e.alias(k) for k, e in said.items()]).agg(
-        F.min(F.struct("turn")).alias("_first"), F.max(F.struct("turn")).alias("_last")
+        F.min("turn").alias("_first"), F.max("turn").alias("_last"), F.max(F.col("turn").isNull()).alias("_null")
     )
-    again = first.where("_first != _last")
+    # written, so that its size is known and few repeats do not make the rows move for the join
+    again = stored(first.where("_first != _last OR (_null AND _first IS NOT NULL)").drop("_last"), "repair_again")
     marked = distinct.withColumns({f"{k}x": e for k, e in said.items()}).join(
         again, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("_h1x") == F.col("_h1")) & (F.col("_h2x") == F.col("_h2")), "left"
     )
-    seen = F.coalesce(F.struct("turn") > F.col("_first"), F.lit(False)).alias("seen")
+    seen = F.coalesce(F.when(F.col("_null"), F.col("turn").isNotNull()).otherwise(F.col("turn") > F.col("_first")), F.lit(False)).alias("seen")
     order = ["conv_id", "turn", "role", "text"]
-    return text_batches(marked.select(*order, "n", seen).repartitionByRange(*order).sortWithinPartitions(*order))
+    return marked.select(*order, "n", seen).repartitionByRange(*order).sortWithinPartitions(*order), again
 
 
 def repair_conversations(
@@ -541,16 +542,18 @@ def repair_conversations(
     there (once, without it). ``turns`` is an array of (role, text); a conversation that was cut
     into chunks has it null here, and its rows in ``repaired_chunks``.
     """
-    pieces = stored(_pieces(_prepared(rows, copies_col), keep_turns, chunk_rows), "repair_pieces", "open")
-    folded = stored(_fold(pieces), "repair_fold")
-    edited = stored(_apply(pieces, folded), "repair_chunks")
-    digests = _digests(edited).withColumnRenamed("conv_id", "_c")
-    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
-    cut = folded.where("part IS NULL").drop("audit").join(digests, F.col("conv_id").eqNullSafe(F.col("_c")))
-    out = ["conv_id", *counts, "audit", "repaired_sha256", "turns"]
-    cut = cut.withColumn("turns", F.lit(None).cast(pieces.schema["turns"].dataType)).select(*out)
-    whole = stored(pieces.where("NOT open").select(*out).unionByName(cut), "repaired")
-    discard(pieces, folded)
+    prepared, again = _prepared(rows, copies_col)
+    with arrow_batches(rows.sparkSession):
+        pieces = stored(_pieces(prepared, keep_turns, chunk_rows), "repair_pieces", "open")
+        folded = stored(_fold(pieces), "repair_fold")
+        edited = stored(_apply(pieces, folded), "repair_chunks")
+        digests = _digests(edited).withColumnRenamed("conv_id", "_c")
+        counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+        cut = folded.where("part IS NULL").drop("audit").join(digests, F.col("conv_id").eqNullSafe(F.col("_c")))
+        out = ["conv_id", *counts, "audit", "repaired_sha256", "turns"]
+        cut = cut.withColumn("turns", F.lit(None).cast(pieces.schema["turns"].dataType)).select(*out)
+        whole = stored(pieces.where("NOT open").select(*out).unionByName(cut), "repaired")
+    discard(again, pieces, folded)
     whole.chunks = edited  # (conv_id, part, chunk, audit, turns) of the conversations that were cut
     return whole
 
@@ -572,7 +575,9 @@ def damaged(rows: DataFrame) -> DataFrame:
 def op13_repair(conversations: DataFrame) -> DataFrame:
     """Per conversation: gaps, faults, cost, audit and the repaired rows' hash."""
     require(conversations, "conv_id", "turn", "role", "text")
-    return repair_conversations(damaged(conversations), "copies", keep_turns=False).drop("turns")
+    repaired_ = repair_conversations(damaged(conversations), "copies", keep_turns=False)
+    discard(repaired_.chunks)
+    return repaired_.drop("turns")
 
 
 def _plus(weight: str, cost: str, letter: str) -> str:
