@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _as_col(c) -> Column:
@@ -38,3 +39,14 @@ def parse_nested_text(c, ddl: str) -> Column:
 def nested_text_failed(c, ddl: str) -> Column:
     """True where a text is there but does not parse."""
     return _as_col(c).isNotNull() & parse_nested_text(c, ddl).isNull()
+
+
+def literal(value, data_type: T.DataType) -> Column:
+    """A collected value as a literal of its column's type.
+
+    A TIMESTAMP_NTZ comes to Python as a naive datetime, of which ``lit`` makes an instant of the
+    session's time zone; it goes by its text instead.
+    """
+    if isinstance(data_type, T.TimestampNTZType) and value is not None:
+        return F.lit(value.isoformat(" ")).cast(data_type)
+    return F.lit(value).cast(data_type)

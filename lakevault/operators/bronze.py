@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakevault.functions import bitmaps
+from lakevault.functions.casts import literal
 from lakevault.functions.keys import tuple_text
 from lakevault.operators.history import latest_per_key
 from lakevault.operators.vault import ts_literal
@@ -156,7 +157,7 @@ def ingest_newer(table: VersionedTable, batch: DataFrame, ts_col: str, load_id:
     stored = table.read_before(done) if done else table.read() if table.exists() else None
     before = stored.agg(F.max(ts_col)).first()[0] if stored is not None else None
     ts = F.col(ts_col)
-    held = ts.isNull() if before is None else ts.isNull() | (ts <= F.lit(before))
+    held = ts.isNull() if before is None else ts.isNull() | (ts <= literal(before, batch.schema[ts_col].dataType))
     if done is None:
         table.write(batch.where(~held), mode="errorifexists" if stored is None else "append", load_id=load_id)
     return batch.where(held)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakevault.functions.casts import literal
 from lakevault.operators.vault import hub_rows, insert_new_keys
 from lakevault.sources.versioned import VersionedTable, folder_exists
 
@@ -138,7 +139,7 @@ def stream_dedupe_accounted(spark: SparkSession, src: str, schema: T.StructType,
         before = stored("counts")
         reached = before.agg(F.max("top")).first()[0] if before is not None else None
         past = F.max("_top").over(Window.orderBy("_landed", "_file").rowsBetween(Window.unboundedPreceding, -1))
-        top = F.lit(reached).cast(schema[event_time].dataType)
+        top = literal(reached, schema[event_time].dataType)
         marks = files.select(F.col("_file").alias("_of"), F.greatest(past, top).alias("_mark"))
         rows = batch.join(marks, F.col("_file") == F.col("_of"), "left").drop("_of")
         late = F.coalesce(F.col(event_time) < F.col("_mark") - F.expr(f"interval {delay}"), F.lit(False))

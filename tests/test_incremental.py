@@ -218,3 +218,22 @@ def test_a_row_without_a_key_is_not_sealed_silently(spark, tmp_root):
     df = spark.createDataFrame([(2, "x")], "who long, note string")
     with pytest.raises(Exception, match="no data key"):
         privacy.seal(df, keys, "who", ["note"]).collect()
+
+
+@pytest.mark.parametrize("zone", ["Asia/Kolkata", "America/Sao_Paulo"])
+def test_times_without_a_zone_do_not_depend_on_the_sessions(spark, tmp_root, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        t = VersionedTable(spark, f"{tmp_root}/t")
+        rows = spark.createDataFrame([(d, dt.datetime(2024, 1, 1, d)) for d in range(20)], "id long, ts timestamp_ntz")
+        bronze.ingest_newer(t, rows.where("id < 10"), "ts")
+        assert sorted(r.id for r in bronze.ingest_newer(t, rows, "ts").collect()) == list(range(10))
+        assert t.read().count() == 20
+        day = [dt.datetime(2024, 1, 10, h) for h in range(24)]
+        for n, files in enumerate(([(1, day[12], "a")], [(2, day[10], "a"), (3, day[9], "a")])):
+            _land(spark, f"{tmp_root}/in", files)
+            streams.stream_dedupe_accounted(spark, f"{tmp_root}/in", EVENT, f"{tmp_root}/out", f"{tmp_root}/ck", "event_id", "ts", "2 hours")
+        assert [r.event_id for r in streams.read_accounted(spark, EVENT, f"{tmp_root}/out", "late").collect()] == [3]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
