@@ -9,28 +9,28 @@ name) is the article if it has more words than the articles outside such wrapper
 than half the body's. Without any article the text of such wrappers is body where it
 outweighs the body's.
 
-The pages of one host are then read together. Their blocks' tokens are
+What repeats is counted over all pages of a host. Its different pages are dealt by their
+content into groups of about ``group_pages``. In a group the blocks' tokens are
 concatenated (with a separator between blocks that equals nothing), and a suffix
-array over them, built by prefix doubling to the depth of ``min_tokens``, finds
-every run of at least that many tokens that occurs on many distinct pages; shorter
-blocks (menu entries, a copyright line) are counted whole. In a page without an
+array over them, built by prefix doubling to the depth of ``min_tokens``, tells on how
+many pages every run of that many tokens occurs; shorter blocks (menu entries, a
+copyright line) are counted whole. The groups' counts add up by the run's hash, so the size
+and number of groups change no result. In a page without an
 article element, what is repeated is removed and the rest kept, along with any block
-of markup boilerplate dropped. Many pages are ``min_share`` of the group's, or
-``part_pages`` of them (boilerplate of a section of the host); the latter removes
+of markup boilerplate dropped. Many pages are ``min_share`` of the host's, or
+``part_pages`` in every ``group_pages`` (boilerplate of a section of the host); the latter removes
 nothing from a page that would keep less than half of its words, as that may as well
-be one of many near copies. Copies of a page count as one.
+be one of many near copies. Copies of a page count as one. Hosts whose pages all
+are articles are not counted.
 
 In a page that marks its article, the article is the text, with a stricter test: only
 a whole block goes that stands at the same place, from the start or the end, in more
-than half of the group's different articles, and only while such blocks are at most
+than half of the host's different articles, and only while such blocks are at most
 half of the article's words (otherwise it is one of many copies). An article with less
 than half the words that the body keeps is a teaser: the body is the text too.
 
-A host's pages are dealt by hash into groups of about ``group_pages``, so a host
-with a third of all pages is many tasks; boilerplate of most pages of a host
-shows in each group, that of a section where ``part_pages`` of its pages fall into
-the group. On hosts of less than ``min_pages`` pages nothing shows. A page takes part
-with all of its blocks.
+On hosts of less than ``min_pages`` pages nothing shows. A page takes part with all of its
+blocks.
 
 Defined cases: a null or empty html, or one without text, gives an empty text;
 truncated markup counts as far as it goes (an unfinished tag is dropped); a null
@@ -40,6 +40,7 @@ columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import Counter
@@ -50,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakevault.llm.common import require, stored, text_batches
+from lakevault.llm.common import require, stored, text_batches, window_hashes, word_hashes, word_spans
 
 ARTICLE, BODY, FURNITURE, NOTHING = 0, 1, 2, 3
 # while scanning: inside what may only be a layout's wrapper, and an article in there
@@ -268,30 +269,71 @@ def repeated_runs(tokens: np.ndarray, pages: np.ndarray, min_tokens: int, min_pa
     return covered_by(run_pages(tokens, pages, min_tokens) >= min_pages, min_tokens)
 
 
-def host_texts(
-    pages: list[list[tuple[int, str]]], min_tokens: int, min_pages: int, min_share: float, part_pages: int = 16
-) -> list[str]:
-    """The main text of each page of one host's group."""
+def _key(*texts: str) -> int:
+    """A 64-bit hash of texts without line breaks."""
+    return int.from_bytes(hashlib.blake2b("\n".join(texts).encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def _page_key(page: list[tuple[int, str]]) -> int:
+    return _key(*(f"{zone} {text}" for zone, text in page))
+
+
+def _line(pages: list[list[tuple[int, str]]], min_tokens: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words (by number) and block of each, first words and hashes of all runs, of the pages' blocks one after the other."""
     ids: dict[str, int] = {}
-    stream: list[int] = []
-    owner: list[int] = []
-    spans: list[list[tuple[int, int]]] = []
-    contents: dict[tuple, int] = {}
-    for page in pages:
-        k = contents.setdefault(tuple(page), len(contents))  # copies of a page count as one
-        mine = []
-        for _, text in page:
-            words = text.split()
-            mine.append((len(stream), len(stream) + len(words)))
-            stream += [ids.setdefault(w, len(ids)) for w in words]
-            stream.append(-1 - len(stream))
-            owner += [k] * (len(words) + 1)
-        spans.append(mine)
-    found = run_pages(np.asarray(stream, np.int64), np.asarray(owner, np.int64), min_tokens)
-    holders = Counter(text for page in contents for text in {text for _, text in page})  # pages of each whole block
-    most = max(min_pages, int(np.ceil(min_share * len(contents))))
-    needs = [most, *([max(min_pages, part_pages)] if part_pages < most else [])]
-    covers = [covered_by(found >= need, min_tokens) for need in needs]
+    texts = [text.split() for page in pages for _, text in page]
+    number = np.array([ids.setdefault(w, len(ids)) for words in texts for w in words], np.int64)
+    block = np.repeat(np.arange(len(texts)), [len(words) for words in texts])
+    data = np.frombuffer(" ".join(ids).encode(), np.uint8)
+    starts, ends, _ = word_spans(data, np.array([0, len(data)]))
+    at, h = window_hashes(word_hashes(data, starts, ends)[number], block, min_tokens)
+    return number, block, at, h.view(np.int64)
+
+
+def repeated_parts(contents: list[list[tuple[int, str]]], min_tokens: int) -> tuple[np.ndarray, np.ndarray, Counter]:
+    """Hashes of the runs of different pages, on how many each occurs (by their suffix array), and the same of whole blocks."""
+    number, block, at, h = _line(contents, min_tokens)
+    sizes = np.array([len(page) for page in contents], np.int64)
+    place = np.arange(len(number)) + block  # a separator stands behind each block
+    stream = -1 - np.arange(len(number) + int(sizes.sum()), dtype=np.int64)
+    stream[place] = number
+    lengths = np.bincount(block, minlength=int(sizes.sum())) + 1
+    found = run_pages(stream, np.repeat(np.repeat(np.arange(len(contents)), sizes), lengths), min_tokens)
+    runs, first = np.unique(h, return_index=True)
+    return runs, found[place[at[first]]], Counter(_key(text) for page in contents for text in {text for _, text in page})
+
+
+def needed(n: int, min_pages: int, min_share: float, part_pages: int, group_pages: int) -> list[int]:
+    """On how many of a host's ``n`` different pages boilerplate stands: of the host, and of a section."""
+    most = max(min_pages, int(np.ceil(min_share * n)))
+    part = max(min_pages, part_pages, -(-n * part_pages // group_pages))
+    return [most, *([part] if part < most else [])]
+
+
+def page_texts(
+    pages: list[list[tuple[int, str]]], needs: list[int], runs: tuple[np.ndarray, np.ndarray], holders: dict[int, int], fixed: set[int], min_tokens: int
+) -> list[str]:
+    """The main text of pages of one host, by what is known of the host.
+
+    ``runs`` are the hashes of repeated runs, in order, and their pages; ``holders`` the pages of
+    whole blocks; ``fixed`` the keys of article blocks that stand at one place in most articles.
+    """
+    opened = [k for k, page in enumerate(pages) if _open(page)]
+    spans: dict[int, list[tuple[int, int]]] = {}
+    covers: list[np.ndarray] = []
+    if needs and opened:
+        number, _, at, h = _line([pages[k] for k in opened], min_tokens)
+        end = 0
+        for k in opened:
+            spans[k] = []
+            for _, text in pages[k]:
+                start, end = end, end + len(text.split())
+                spans[k].append((start, end))
+        times = np.zeros(len(number), np.int64)
+        if len(runs[0]):
+            near = np.minimum(np.searchsorted(runs[0], h), len(runs[0]) - 1)
+            times[at] = np.where(runs[0][near] == h, runs[1][near], 0)
+        covers = [covered_by(times >= need, min_tokens) for need in needs]
 
     def body(page: list[tuple[int, str]], mine: list[tuple[int, int]]) -> list[str]:
         """The page's body blocks, empty where repeated; other blocks are empty."""
@@ -299,7 +341,7 @@ def host_texts(
         for need, covered in zip(needs, covers, strict=True):
             kept = []
             for (zone, text), (a, b) in zip(page, mine, strict=True):
-                if zone != BODY or holders[text] >= need:
+                if zone != BODY or holders.get(_key(text), 0) >= need:
                     kept.append("")
                 else:
                     hit = covered[a:b]
@@ -308,18 +350,16 @@ def host_texts(
                 out = kept
         return out
 
-    articles = {tuple(text for zone, text in page if zone == ARTICLE) for page in contents} - {()}
-    places = Counter(place for article in articles for at in _places(article) for place in at)
-    often = max(min_pages, len(articles) // 2 + 1)
-
     def inside(article: list[str]) -> list[str]:
         """The article's blocks, empty where a block stands there on most pages."""
-        kept = ["" if max(places[p] for p in at) >= often else text for text, at in zip(article, _places(article), strict=True)]
+        if not fixed:
+            return article
+        kept = ["" if any(_key(str(k), t) in fixed for k, t in at) else text for text, at in zip(article, _places(article), strict=True)]
         return kept if 2 * _words(kept) >= _words(article) else article
 
     texts = []
-    for page, mine in zip(pages, spans, strict=True):
-        kept = body(page, mine)
+    for k, page in enumerate(pages):
+        kept = body(page, spans[k]) if k in spans else [text if zone == BODY else "" for zone, text in page]
         if article := [text for zone, text in page if zone == ARTICLE]:
             of_article = iter(inside(article))
             teaser = 2 * _words(article) < _words(kept)
@@ -328,6 +368,24 @@ def host_texts(
     return texts
 
 
+def _open(page: list[tuple[int, str]]) -> bool:
+    """Whether the page's body may be (part of) its text."""
+    return 2 * _words([t for z, t in page if z == ARTICLE]) < _words([t for z, t in page if z == BODY])
+
+
+def host_texts(
+    pages: list[list[tuple[int, str]]], min_tokens: int, min_pages: int, min_share: float, part_pages: int = 16, group_pages: int = 256
+) -> list[str]:
+    """The main text of each page of one host, all of them given."""
+    contents = [list(page) for page in dict.fromkeys(tuple(page) for page in pages)]  # copies of a page count as one
+    runs, times, holders = repeated_parts(contents, min_tokens)
+    articles = {tuple(text for zone, text in page if zone == ARTICLE) for page in contents} - {()}
+    places = Counter(_key(str(k), text) for article in articles for at in _places(article) for k, text in at)
+    often = max(min_pages, len(articles) // 2 + 1)
+    needs = needed(len(contents), min_pages, min_share, part_pages, group_pages)
+    return page_texts(pages, needs, (runs, times), holders, {k for k, n in places.items() if n >= often}, min_tokens)
+
+
 def _places(article: tuple[str, ...] | list[str]) -> list[tuple[tuple[int, str], tuple[int, str]]]:
     """Each block's text with its place counted from the start, and from the end."""
     return [((k, text), (k - len(article), text)) for k, text in enumerate(article)]
@@ -352,42 +410,101 @@ def extract_text(
     """(id, url, text, n_chars) of every page.
 
     A run or a whole block is boilerplate if it occurs on ``min_pages`` different pages
-    of a host's group, and on ``min_share`` or on ``part_pages`` of them.
+    of a host, and on ``min_share`` of them or, for a section's, on ``part_pages`` of every
+    ``group_pages`` (and on ``part_pages`` at least).
     """
     require(pages, id_col, url_col, html_col)
     text_batches(pages)
     kind = pages.schema[id_col].dataType.simpleString()
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), host.alias("host"), F.col(html_col).alias("html"))
-    sizes = rows.groupBy("host").count().where(F.col("count") > group_pages)
-    # written first, so that the join knows its size: a host in group_pages pages at most is a row
-    sizes = stored(sizes.select(F.col("host").alias("_host"), F.ceil(F.col("count") / group_pages).alias("_groups")), "hosts")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = pa.list_(pa.struct([("zone", pa.int32()), ("text", pa.string())]))
         for batch in batches:
             column = batch.column(3)
             for lo in range(0, batch.num_rows, 256):
-                part = column.slice(lo, 256)
-                found = [[{"zone": z, "text": t} for z, t in blocks(v.as_py() or "")] for v in part]
+                found = [blocks(v.as_py() or "") for v in column.slice(lo, 256)]
+                articles = [[t for z, t in page if z == ARTICLE] for page in found]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(i).slice(lo, 256) for i in range(3)), pa.array(found, kinds)], ["id", "url", "host", "blocks"]
-                )
-
-    scanned = rows.mapInArrow(scan, f"id {kind}, url string, host string, blocks array<struct<zone:int,text:string>>")
-    dealt = scanned.withColumn("_row", F.monotonically_increasing_id()).join(sizes, F.col("host") == F.col("_host"), "left").withColumn(
-        "part", F.pmod(F.xxhash64("id", "_row"), F.coalesce("_groups", F.lit(1)))
-    )
-
-    def of_host(table: pa.Table) -> pa.Table:
-        found = [[(b["zone"], b["text"]) for b in page] for page in table.column("blocks").to_pylist()]
-        texts = host_texts(found, min_tokens, min_pages, min_share, part_pages)
+                    [
+                        *(batch.column(i).slice(lo, 256) for i in range(3)), pa.array([[{"zone": z, "text": t} for z, t in page] for page in found], kinds),
+                        pa.array([_page_key(page) for page in found], pa.int64()), pa.array([_open(page) for page in found], pa.bool_()),
+                        pa.array([_key(*a) if a else None for a in articles], pa.int64()),
+                        pa.array([[_key(str(k), t) for at in _places(a) for k, t in at] for a in articles], pa.list_(pa.int64())),
+                    ],
+                    ["id", "url", "host", "blocks", "page", "open", "article", "places"],
+                )
+
+    schema = f"id {kind}, url string, host string, blocks array<struct<zone:int,text:string>>, page long, open boolean, article long, places array<long>"
+    scanned = stored(rows.mapInArrow(scan, schema), "pages", compression="zstd")
+
+    # article blocks at one place in most of a host's different articles
+    articles = scanned.where("article IS NOT NULL").groupBy("host", "article").agg(F.first("places").alias("places"))
+    often = articles.select("host", F.explode("places").alias("place")).groupBy("host", "place").count().where(F.col("count") >= min_pages)
+    of_host = articles.groupBy("host").agg(F.count("article").alias("articles"))
+    fixed = often.join(of_host, "host").where(2 * F.col("count") > F.col("articles")).groupBy("host").agg(F.collect_list("place").alias("fixed"))
+    fixed = stored(fixed, "fixed")
+
+    # runs and blocks repeated on a host, if the body of any page counts there; different pages are dealt by content
+    contents = scanned.groupBy("host", "page").agg(F.max("open").alias("open"))
+    hosts = contents.groupBy("host").agg(F.count("page").alias("n"), F.max("open").alias("open")).where("open")
+    hosts = stored(hosts.select("host", "n", F.ceil(F.col("n") / group_pages).alias("parts")), "hosts")
+    part = F.pmod(F.col("page"), F.coalesce("parts", F.lit(1))).alias("part")
+    dealt = scanned.join(hosts, "host").select("host", part, "page", "blocks")
+
+    def of_page(rows: pa.Table) -> list[list[tuple[int, str]]]:
+        return [[(b["zone"], b["text"]) for b in page] for page in rows.column("blocks").to_pylist()]
+
+    def count(key: tuple, table: pa.Table) -> pa.Table:
+        different = [list(page) for page in {k: tuple(p) for k, p in zip(table.column("page").to_pylist(), of_page(table), strict=True)}.values()]
+        runs, times, holders = repeated_parts(different, min_tokens)
+        n = len(runs) + len(holders)
+        return pa.table(
+            {
+                "host": pa.array([key[0].as_py()] * n, pa.string()), "whole": pa.array([False] * len(runs) + [True] * len(holders), pa.bool_()),
+                "hash": pa.array([*runs.tolist(), *holders], pa.int64()), "times": pa.array([*times.tolist(), *holders.values()], pa.int64()),
+            }
+        )
+
+    parts = dealt.groupBy("host", "part").applyInArrow(count, "host string, whole boolean, hash long, times long")
+    most = F.greatest(F.lit(min_pages), F.ceil(F.col("n") * min_share))
+    section = F.greatest(F.lit(min_pages), F.lit(part_pages), F.ceil(F.col("n") * part_pages / group_pages))
+    repeats = parts.groupBy("host", "whole", "hash").agg(F.sum("times").alias("times")).where(F.col("times") >= min_pages)
+    repeats = repeats.join(hosts, "host").where(F.col("times") >= F.least(most, section))
+    known = hosts.join(repeats.groupBy("host").agg(F.collect_list(F.struct("whole", "hash", "times")).alias("repeats")), "host", "left")
+    known = stored(known.join(fixed, "host", "left"), "known")
+
+    def result(rows: pa.Table, texts: list[str]) -> pa.Table:
         counts = pa.array([len(t) for t in texts], pa.int64())
-        return pa.table({"id": table.column("id"), "url": table.column("url"), "text": pa.array(texts, pa.string()), "n_chars": counts})
+        return pa.table({"id": rows.column("id"), "url": rows.column("url"), "text": pa.array(texts, pa.string()), "n_chars": counts})
 
-    out = dealt.select("id", "url", "host", "part", "blocks").groupBy("host", "part").applyInArrow(
-        of_host, f"id {kind}, url string, text string, n_chars long"
-    )
+    def of_articles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = (np.empty(0, np.int64), np.empty(0, np.int64))
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            texts = []
+            for page, places in zip(of_page(table), table.column("fixed").to_pylist(), strict=True):
+                texts += page_texts([page], [], none, {}, set(places or ()), min_tokens)
+            yield from result(table, texts).to_batches()
+
+    def of_bodies(_key: tuple, table: pa.Table, host: pa.Table) -> pa.Table:
+        about = host.to_pylist()[0]
+        found = about["repeats"] or []
+        runs = np.array(sorted((r["hash"], r["times"]) for r in found if not r["whole"]), np.int64).reshape(-1, 2)
+        holders = {r["hash"]: r["times"] for r in found if r["whole"]}
+        needs = needed(about["n"], min_pages, min_share, part_pages, group_pages)
+        return result(table, page_texts(of_page(table), needs, (runs[:, 0], runs[:, 1]), holders, set(about["fixed"] or ()), min_tokens))
+
+    schema = f"id {kind}, url string, text string, n_chars long"
+    plain = scanned.where(~F.col("open")).join(fixed, "host", "left").select("id", "url", "blocks", "fixed").mapInArrow(of_articles, schema)
+    bodies = scanned.where("open").join(hosts, "host").select("id", "url", "host", part, "blocks").groupBy("host", "part")
+    of_part = known.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).groupBy("host", "part")
+
+    def meet(key: tuple, table: pa.Table, host: pa.Table) -> pa.Table:
+        return of_bodies(key, table, host) if table.num_rows else result(table, [])
+
+    out = plain.unionByName(bodies.cogroup(of_part).applyInArrow(meet, schema))
     return out.withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)
 
 

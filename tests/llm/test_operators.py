@@ -340,6 +340,19 @@ def test_what_repeats_inside_articles_goes():
     assert html_text.host_texts(copies, 8, 3, 0.5) == ["\n".join(t for _, t in page) for page in copies]
 
 
+def test_what_repeats_is_counted_over_the_whole_host(spark):
+    share, news = "share this story with all of your good friends now", "our section has news for you every day of it"
+    story = [" ".join(f"w{k}x{j}" for j in range(20)) for k in range(72)]
+    offer = lambda k: f"<p>{share}</p>" if k % 5 < 2 else ""  # noqa: E731 - in 40 % of the articles, so it is theirs
+    pages = [(k, "http://a.example/", f"<article>{offer(k)}<p>{t}</p></article>") for k, t in enumerate(story)]
+    pages += [(100 + k, "http://b.example/", f"<div>{t}</div>" + (f"<div>{news}</div>" if k % 5 < 2 else "")) for k, t in enumerate(story)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    want = {k: f"{share}\n{t}" if k % 5 < 2 else t for k, t in enumerate(story)}
+    want |= {100 + k: f"{t}\n{news}" if k % 5 < 2 else t for k, t in enumerate(story)}
+    # dealt into groups of about 8, in some of which most pages hold them
+    assert {r.page_id: r.text for r in html_text.extract_text(df, group_pages=8, part_pages=8).collect()} == want
+
+
 def test_a_teaser_is_not_the_text():
     pages = [html_text.blocks(f"<div>{'words of page %d ' % k * 9}</div><article class='card'>see {k}</article>") for k in range(2)]
     assert html_text.host_texts(pages, 8, 3, 0.5) == [f"{' '.join(['words of page %d' % k] * 9)}\nsee {k}" for k in range(2)]
