@@ -102,6 +102,8 @@ def read_deduped(spark: SparkSession, schema: T.StructType, sink: str, keep_part
 
 
 SIDES = ("kept", "late", "counts")
+#: rows that a task of ``stream_dedupe_accounted`` sorts; a row and its struct take about 1 KB there
+ROWS_PER_TASK = 200_000
 
 
 def stream_dedupe_accounted(spark: SparkSession, src: str, schema: T.StructType, sink: str, checkpoint: str, key: str,
@@ -119,8 +121,13 @@ def stream_dedupe_accounted(spark: SparkSession, src: str, schema: T.StructType,
     touches, and the greatest time so far, a row per micro-batch. All of a micro-batch's rows lie in
     folders named by checkpoint and micro-batch, so a replay replaces them, and a
     new checkpoint over the same sink loses and repeats nothing.
+
+    Micro-batch and kept rows are dealt by day and key to as many tasks as they have
+    ``ROWS_PER_TASK`` rows, and a day is written by as many tasks as its own rows ask for, so
+    a task's memory grows neither with the files nor with what is kept.
     """
     paths = {s: f"{sink}/{s}" for s in SIDES}
+    shuffles = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         mine = f"{checkpoint_id(spark, checkpoint)}-{batch_id}"
@@ -134,17 +141,22 @@ def stream_dedupe_accounted(spark: SparkSession, src: str, schema: T.StructType,
             out = df.withColumn("batch", F.lit(mine)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             out.partitionBy(*parts, "batch").parquet(paths[side])
 
+        day = F.coalesce(F.to_date(event_time), F.lit("0001-01-01").cast("date")).alias("_day")
+        of_days = batch.groupBy(day).agg(F.count(F.lit(1)).alias("n"), F.max(event_time).alias("top"))
+        offered, fullest, seen = of_days.agg(F.sum("n"), F.max("n"), F.max("top")).first()
         landed = F.struct(F.col("_landed"), F.col("_file"))
         files = batch.groupBy("_landed", "_file").agg(F.max(event_time).alias("_top"))  # a row per file
         before = stored("counts")
-        reached = before.agg(F.max("top")).first()[0] if before is not None else None
+        reached, held = before.agg(F.max("top"), F.sum("kept")).first() if before is not None else (None, 0)
+        tasks = -(-((offered or 0) + (held or 0)) // ROWS_PER_TASK)
+        conf = batch.sparkSession.conf  # of the stream's own session
+        conf.set("spark.sql.shuffle.partitions", max(tasks, shuffles))
         past = F.max("_top").over(Window.orderBy("_landed", "_file").rowsBetween(Window.unboundedPreceding, -1))
         top = literal(reached, schema[event_time].dataType)
         marks = files.select(F.col("_file").alias("_of"), F.greatest(past, top).alias("_mark"))
         rows = batch.join(marks, F.col("_file") == F.col("_of"), "left").drop("_of")
         late = F.coalesce(F.col(event_time) < F.col("_mark") - F.expr(f"interval {delay}"), F.lit(False))
         write(rows.where(late).select(*schema.names), "late")
-        day = F.coalesce(F.to_date(event_time), F.lit("0001-01-01").cast("date")).alias("_day")
         others = [c for c in schema.names if c != key]
         first = F.min_by(F.struct(*others), F.struct(landed, *others)).alias("_one")
         fresh = rows.where(~late).withColumn("_day", day).groupBy("_day", key).agg(first)
@@ -152,11 +164,11 @@ def stream_dedupe_accounted(spark: SparkSession, src: str, schema: T.StructType,
         kept = stored("kept")
         if kept is not None:
             fresh = _not_stored(fresh, kept, key)
-        write(fresh.select(*schema.names, "_day").hint("rebalance", "_day"), "kept", "_day")
+        share = F.pmod(F.xxhash64(key), F.lit(-(-(fullest or 0) // ROWS_PER_TASK) or 1))
+        write(fresh.select(*schema.names, "_day").repartition(F.col("_day"), share), "kept", "_day")
         there = {s: _read_side(spark, schema, sink, s).where(F.col("batch") == mine).count() if folder_exists(spark, paths[s]) else 0
                  for s in ("kept", "late")}
-        offered, seen = batch.agg(F.count(F.lit(1)), F.max(event_time)).first()
-        row = [(offered, there["kept"], there["late"], offered - there["kept"] - there["late"], seen)]
+        row = [(offered or 0, there["kept"], there["late"], (offered or 0) - there["kept"] - there["late"], seen)]
         write(spark.createDataFrame(row, _counts_schema(schema, event_time)), "counts")
 
     stream = _file_stream(spark, src, schema, fmt, max_files)

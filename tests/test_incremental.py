@@ -176,6 +176,19 @@ def test_every_offered_row_is_accounted_for(spark, tmp_root, max_files):
     assert len(again) == 8 and {r.event_id for r in again} == {1, 2, 3, 5, 6, 8, 9, None}
 
 
+def test_accounted_rows_are_dealt_to_tasks_of_a_bounded_size(spark, tmp_root, monkeypatch):
+    day = dt.datetime(2024, 1, 5)
+    _land(spark, f"{tmp_root}/in", [(k % 60, day, str(k)) for k in range(80)])  # one day
+    monkeypatch.setattr(streams, "ROWS_PER_TASK", 8)
+    args = (spark, f"{tmp_root}/in", EVENT, f"{tmp_root}/out", f"{tmp_root}/ck", "event_id", "ts", "2 days")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    streams.stream_dedupe_accounted(*args)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    kept = spark.read.parquet(f"{tmp_root}/out/kept").groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in kept) == 60
+    assert len(kept) > 3 and max(r["count"] for r in kept) < 60  # before, one task wrote the day
+
+
 def test_drifting_fields_are_kept_and_broken_lines_rescued(spark, tmp_root):
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
     lines = [
