@@ -122,12 +122,14 @@ def paged_extract(spark, sf_dir):
     offset = F.floor((F.col("c_custkey") - cust.select(F.min("c_custkey")).scalar()) / size) * size
     rows = F.array_sort(F.collect_list(F.struct("c_custkey", "c_name"))).alias("projetos")
     pages = cust.groupBy(offset.alias("offset")).agg(rows)
-    pages.select("offset", F.to_json(F.struct(F.struct("projetos").alias("_embedded"))).alias("value")).write.partitionBy("offset").text(f"{root}/site")
+    # a file per page, at some 30 ms each: many tasks write them and move their own
+    site = pages.select("offset", F.to_json(F.struct(F.struct("projetos").alias("_embedded"))).alias("value"))
+    site = site.repartition(48, "offset").write.partitionBy("offset")
+    site.option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(f"{root}/site")
     address = (root if ":" in root else f"file://{root}") + "/site/offset={offset}"
     args = (spark, address, f"{root}/landed", cust.schema, size)
     paged.resume_extract(*args, pages=2)
-    while not paged.resume_extract(*args, pages=100):
-        pass
+    paged.finish_extract(*args, pages=100)
     return paged.read_extract(spark, f"{root}/landed", cust.schema)
 
 

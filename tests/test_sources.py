@@ -294,6 +294,22 @@ def test_an_extract_is_taken_up_where_it_stopped(spark, tmp_root):
     assert sorted(r.id for r in paged.read_extract(spark, tmp_root, ITEM).collect()) == list(range(700))
 
 
+def test_an_extract_is_finished_in_few_calls_that_look_at_each_page_once(spark, tmp_root, monkeypatch):
+    _, url = _site({off: range(off, off + 10) for off in range(0, 400, 10)})
+    looked, look = [], paged._look_for_end
+    monkeypatch.setattr(paged, "_look_for_end", lambda s, p, start, stop, *a: looked.append((start, stop)) or look(s, p, start, stop, *a))
+    assert paged.resume_extract(spark, url, tmp_root, ITEM, 10, pages=2) is False
+    paged.finish_extract(spark, url, tmp_root, ITEM, 10, pages=4)
+    assert looked == [(0, 20), (20, 60), (60, 140), (140, 300), (300, 620)]
+    paged.finish_extract(spark, url, tmp_root, ITEM, 10, pages=4)
+    assert len(looked) == 5
+    assert sorted(r.id for r in paged.read_extract(spark, tmp_root, ITEM).collect()) == list(range(400))
+    # a run that landed pages and stopped before it looked at them
+    spark.read.parquet(f"{tmp_root}/checked").where("stop <= 60").coalesce(1).write.parquet(f"{tmp_root}/two/checked")
+    spark.read.parquet(f"{tmp_root}/pages").write.parquet(f"{tmp_root}/two/pages")
+    assert paged.resume_extract(spark, url, f"{tmp_root}/two", ITEM, 10, pages=4) is True
+
+
 @pytest.mark.parametrize("window", [1, 3, 1000])
 def test_extract_ends_at_the_first_page_that_is_empty_or_not_found(spark, window):
     _, url = _site({0: range(100), 100: range(100, 130), 300: range(300, 400)})
