@@ -142,13 +142,16 @@ def exchange(messages: DataFrame, answer: Callable[[int, list[tuple[int, bytes]]
         address = key[0].as_py()
         pairs = sorted(zip(rows.column("block").to_pylist(), rows.column("data").to_pylist(), strict=True))
         found = answer(address, pairs)
-        return pa.table(
+        out = pa.table(
             {
                 "block": pa.array([b for b, _ in found], pa.int64()),
                 "part": pa.array([address] * len(found), pa.int64()),
                 "data": pa.array([d for _, d in found], pa.binary()),
             }
         )
+        del rows, pairs, found
+        release_memory()
+        return out
 
     return messages.select("block", "part", "data").groupBy("part").applyInArrow(of_address, "block long, part long, data binary")
 
