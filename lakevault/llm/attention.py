@@ -8,6 +8,7 @@ vocabulary sum to one, and no softmax is wider than the classes.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,10 +17,14 @@ WIDTH = 16  # of embeddings and head
 CONTEXT = 32  # tokens in a window
 STRIDE = 24  # tokens by which windows advance; the last STRIDE of a window are scored in it
 CLASSES = 128
+LEAST_STEPS = 150  # of training on few windows
+CHUNK = 512  # places whose softmax is held at a time
+SLAB = 32  # batches of windows whose places meet the softmax together
 SHAPES = {
     "embed": (CLASSES, WIDTH), "place": (CONTEXT, WIDTH), "query": (WIDTH, WIDTH), "key": (WIDTH, WIDTH),
     "value": (WIDTH, WIDTH), "mix": (WIDTH, WIDTH), "out": (WIDTH, CLASSES), "pair": (CLASSES, CLASSES), "bias": (CLASSES,),
 }
+LOG2E, LN2 = float(np.log2(np.e)), float(np.log(2))  # powers of 2 take half the time of powers of e
 CAUSAL = np.tril(np.ones((CONTEXT, CONTEXT), np.float32))
 
 
@@ -70,42 +75,104 @@ def unflatten(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
+def _by_class(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the classes ``c``, and where each class begins in it (and the last one ends)."""
+    return np.argsort(c, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(c, minlength=CLASSES))])
+
+
+def _chunks(bounds: np.ndarray) -> Iterator[tuple[int, int, list[tuple[int, int, int]]]]:
+    """(begin, end, [(class, begin, end)]) of rows in the order of their classes, some CHUNK rows at a time."""
+    held: list[tuple[int, int, int]] = []
+    for k, (lo, hi) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+        for at in range(lo, hi, CHUNK):
+            if held and min(hi, at + CHUNK) - held[0][1] > CHUNK:
+                yield held[0][1], held[-1][2], held
+                held = []
+            held.append((k, at, min(hi, at + CHUNK)))
+    if held:
+        yield held[0][1], held[-1][2], held
+
+
+def _logits(head: np.ndarray, direct: np.ndarray, h: np.ndarray, lo: int, parts: list[tuple[int, int, int]], z: np.ndarray) -> None:
+    """Fill ``z`` (from row ``lo`` on) for rows of ``h``, whose last column is 1; ``head`` gets each class' own last row."""
+    for k, a, b in parts:
+        head[-1] = direct[k]
+        np.dot(h[a:b], head, out=z[a - lo : b - lo])
+
+
+def _steep(h: np.ndarray, out: np.ndarray, direct: np.ndarray) -> bool:
+    """Whether a logit may be too large for a power as it is."""
+    longest = np.sqrt(np.einsum("ij,ij->i", h, h).max()) if len(h) else 0
+    return not longest * np.sqrt((out * out).sum(0).max()) + np.abs(direct).max() < 60
+
+
 def _gradient(w: dict[str, np.ndarray], c: np.ndarray, y: np.ndarray, valid: np.ndarray) -> np.ndarray:
-    """Flat gradient of the mean loss of a batch of windows."""
+    """Flat gradient of the mean loss of a batch of windows.
+
+    The softmax of all places is worked off class by class: places of one class share a row of ``pair``.
+    """
     n, length = c.shape
-    scale = np.float32(1 / np.sqrt(WIDTH))
-    x = w["embed"][c] + w["place"][:length]
-    q, k, v = x @ w["query"], x @ w["key"], x @ w["value"]
-    s = np.exp(np.clip(q @ k.transpose(0, 2, 1) * scale, -30, 30)) * CAUSAL[:length, :length]
-    a = s / s.sum(-1, keepdims=True)
-    o = a @ v
-    h = x + o @ w["mix"]
-    z = h @ w["out"] + w["pair"][c] + w["bias"]
-    z -= z.max(-1, keepdims=True)
-    p = np.exp(z)
-    p /= p.sum(-1, keepdims=True)
-    flat_c = np.eye(CLASSES, dtype=np.float32)[c.ravel()]
-    dz = p
-    dz.reshape(-1, CLASSES)[np.arange(c.size), y.ravel()] -= 1
-    dz *= (valid / max(1, valid.sum()))[:, :, None].astype(np.float32)
+    kind = w["embed"].dtype
+    scale = kind.type(1 / np.sqrt(WIDTH))
+    project = np.concatenate([w["query"] * (scale * kind.type(LOG2E)), w["key"], w["value"]], axis=1)
     two = lambda t: t.reshape(-1, t.shape[-1])
-    dh = dz @ w["out"].T
-    do = dh @ w["mix"].T
-    da = do @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(-1, keepdims=True)) * scale
-    dv, dq, dk = a.transpose(0, 2, 1) @ do, ds @ k, ds.transpose(0, 2, 1) @ q
-    dx = dh + dq @ w["query"].T + dk @ w["key"].T + dv @ w["value"].T
-    place = np.zeros(SHAPES["place"], np.float32)
-    place[:length] = dx.sum(0)
+    x = w["embed"][c] + w["place"][:length]
+    q, k, v = np.split((two(x) @ project).reshape(n, length, -1), 3, axis=2)
+    s = q @ k.transpose(0, 2, 1)
+    np.clip(s, -30 * LOG2E, 30 * LOG2E, out=s)
+    np.exp2(s, out=s)
+    s *= CAUSAL[:length, :length]
+    part = 1 / (s @ np.ones(length, kind))[:, :, None]
+    o = s @ v
+    o *= part
+    order, bounds = _by_class(c.ravel())
+    h = np.ones((c.size, WIDTH + 1), kind)
+    h[:, :-1] = (two(x) + two(o) @ w["mix"])[order]
+    target, share = y.ravel()[order], (valid.ravel()[order] / max(1, valid.sum())).astype(kind)
+    out, direct, ones = w["out"] * kind.type(LOG2E), (w["pair"] + w["bias"]) * kind.type(LOG2E), np.ones(CLASSES, kind)
+    steep = _steep(h[:, :-1], out, direct)
+    head, back = np.concatenate([out, direct[:1]]), np.ascontiguousarray(w["out"].T)
+    space, d_sorted = np.empty((CHUNK, CLASSES), kind), np.empty((c.size, WIDTH), kind)
+    d_out, d_pair = np.zeros((WIDTH, CLASSES), kind), np.zeros((CLASSES, CLASSES), kind)
+    for lo, hi, parts in _chunks(bounds):
+        z = space[: hi - lo]
+        _logits(head, direct, h, lo, parts, z)
+        if steep:
+            z -= z.max(-1, keepdims=True)
+        np.exp2(z, out=z)
+        total = z @ ones
+        z[np.arange(hi - lo), target[lo:hi]] -= total  # now the gradient of the logits, but for a factor of each row
+        factor = share[lo:hi] / total
+        np.multiply(z @ back, factor[:, None], out=d_sorted[lo:hi])
+        d_out += (h[lo:hi, :-1] * factor[:, None]).T @ z
+        for j, a, b in parts:
+            d_pair[j] += factor[a - lo : b - lo] @ z[a - lo : b - lo]
+    dh = np.empty_like(d_sorted)
+    dh[order] = d_sorted
+    d_mix = two(o).T @ dh
+    do = (dh @ w["mix"].T).reshape(o.shape)
+    do *= part * kind.type(LN2)
+    ds = do @ v.transpose(0, 2, 1)
+    ds -= np.einsum("ijk,ijk->ij", do, o)[:, :, None]
+    ds *= s
+    d = two(np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, s.transpose(0, 2, 1) @ do], axis=2))
+    project[:, 2 * WIDTH :] *= kind.type(LOG2E)  # as the last part of d is by a factor of LN2 too small
+    dx = d @ project.T
+    dx += dh
+    d_project = sum(two(x)[lo : lo + 1024].T @ d[lo : lo + 1024] for lo in range(0, len(d), 1024))
+    d_query, d_key, d_value = np.split(d_project * kind.type(LOG2E), 3, axis=1)
+    d_embed, d_place = np.zeros_like(w["embed"]), np.zeros_like(w["place"])
+    found = np.flatnonzero(np.diff(bounds))
+    d_embed[found] = np.add.reduceat(dx[order], bounds[found], axis=0)
+    d_place[:length] = dx.reshape(n, length, -1).sum(0)
     parts = {
-        "embed": flat_c.T @ two(dx), "place": place, "query": two(x).T @ two(dq), "key": two(x).T @ two(dk),
-        "value": two(x).T @ two(dv), "mix": two(o).T @ two(dh), "out": two(h).T @ two(dz),
-        "pair": flat_c.T @ two(dz), "bias": two(dz).sum(0),
+        "embed": d_embed, "place": d_place, "query": d_query * scale, "key": d_key * kind.type(LN2), "value": d_value,
+        "mix": d_mix, "out": d_out, "pair": d_pair, "bias": d_pair.sum(0),
     }
     return np.concatenate([parts[k].ravel() for k in SHAPES])
 
 
-def train(flat: np.ndarray, c: np.ndarray, y: np.ndarray, valid: np.ndarray, rate: float, least_steps: int = 150, batch: int = 256) -> np.ndarray:
+def train(flat: np.ndarray, c: np.ndarray, y: np.ndarray, valid: np.ndarray, rate: float, least_steps: int = LEAST_STEPS, batch: int = 256) -> np.ndarray:
     """Adam over the windows, from ``flat``; few windows are gone over again."""
     flat = flat.astype(np.float32).copy()
     if len(c) == 0:
@@ -133,22 +200,17 @@ class Scorer:
         w = unflatten(flat.astype(np.float32))
         scale = np.float32(1 / np.sqrt(WIDTH))
         self.classes, self.batch = classes, batch
-        self.ones = np.ones(CLASSES, np.float32)
-        # a token's parts of query, key and value depend on its class and place only
-        self.q = w["embed"] @ w["query"] * scale, w["place"] @ w["query"] * scale
-        self.k = w["embed"] @ w["key"], w["place"] @ w["key"]
-        self.v = w["embed"] @ w["value"], w["place"] @ w["value"]
-        self.mix_out = w["mix"] @ w["out"]
-        self.direct = w["embed"] @ w["out"] + w["pair"] + w["bias"], w["place"] @ w["out"]
-        values = np.abs(self.v[0]).max(0) + np.abs(self.v[1]).max(0)  # a weighted mean stays within them
-        self.steep = (np.abs(self.direct[0]).max() + np.abs(self.direct[1]).max() + (values @ np.abs(self.mix_out)).max()) > 60
+        # what a token brings to its window depends on its class and place only: x, query, key and value side by side
+        project = np.concatenate([np.eye(WIDTH, dtype=np.float32), w["query"] * (scale * np.float32(LOG2E)), w["key"], w["value"]], axis=1)
+        self.of_class, self.of_place = w["embed"] @ project, w["place"] @ project
+        self.mix, self.out, self.direct = w["mix"], w["out"] * np.float32(LOG2E), (w["pair"] + w["bias"]) * np.float32(LOG2E)
 
     def log10(self, ids: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
         """Per id, its log10 probability in its sequence; ``start`` stands before each sequence."""
-        target = self.classes.of[ids]
+        target = self.classes.of[ids].astype(np.uint8)
         ends = np.cumsum(lengths)
         begins = ends - lengths
-        source = np.empty(len(ids), np.int64)
+        source = np.empty(len(ids), np.uint8)
         source[1:] = target[:-1]
         source[begins[lengths > 0]] = self.classes.of[start]
         out = np.zeros(len(ids))
@@ -158,32 +220,46 @@ class Scorer:
         first = begins[owner] + number * STRIDE
         # the first window of a sequence is scored whole, the others in their last STRIDE places
         for from_place, chosen in ((0, np.flatnonzero(number == 0)), (CONTEXT - STRIDE, np.flatnonzero(number))):
-            for lo in range(0, len(chosen), self.batch):
-                here = chosen[lo : lo + self.batch]
-                at = first[here, None] + np.arange(CONTEXT)
-                use = (at < ends[owner[here], None])[:, from_place:]
-                at = np.minimum(at, len(ids) - 1)
-                mine = at[:, from_place:]
-                out[mine[use]] = self._windows(source[at], target[mine], from_place)[use]
-        return out / np.log(10) + self.classes.log_share[ids]
-
-    def _windows(self, c: np.ndarray, y: np.ndarray, from_place: int) -> np.ndarray:
-        """Log probabilities of the classes y at the places from ``from_place`` on."""
-        q = self.q[0][c[:, from_place:]] + self.q[1][from_place:]
-        k, v = (table[c] + place for table, place in (self.k, self.v))
-        s = q @ k.transpose(0, 2, 1)
-        np.clip(s, -30, 30, out=s)
-        np.exp(s, out=s)
+            for top in range(0, len(chosen), self.batch * SLAB):
+                places, states = [], []
+                for lo in range(top, min(len(chosen), top + self.batch * SLAB), self.batch):
+                    here = chosen[lo : min(lo + self.batch, top + self.batch * SLAB)]
+                    at = first[here, None] + np.arange(CONTEXT)
+                    use = (at < ends[owner[here], None])[:, from_place:]
+                    at = np.minimum(at, len(ids) - 1)
+                    places.append(at[:, from_place:][use])
+                    states.append(self._states(source[at], from_place)[use])
+                mine = np.concatenate(places)
+                out[mine] = self._classes(source[mine], np.concatenate(states), target[mine])
+        return out * np.log10(2) + self.classes.log_share[ids]
+
+    def _states(self, c: np.ndarray, from_place: int) -> np.ndarray:
+        """What the head sees at the places from ``from_place`` on of the windows ``c``."""
+        x, q, k, v = np.split(self.of_class[c] + self.of_place, 4, axis=2)
+        s = q[:, from_place:] @ k.transpose(0, 2, 1)
+        np.clip(s, -30 * LOG2E, 30 * LOG2E, out=s)
+        np.exp2(s, out=s)
         s *= CAUSAL[from_place:]
         o = s @ v
-        o /= s.sum(-1, keepdims=True)
-        z = (o.reshape(-1, WIDTH) @ self.mix_out).reshape(*y.shape, -1)
-        z += self.direct[0][c[:, from_place:]]
-        z += self.direct[1][from_place:]
-        mine = np.take_along_axis(z, y[:, :, None], 2)[:, :, 0]
-        if self.steep:
-            top = z.max(-1)
-            mine -= top
-            z -= top[:, :, None]
-        np.exp(z, out=z)
-        return mine - np.log(z @ self.ones)
+        o /= (s @ np.ones(CONTEXT, np.float32))[:, :, None]
+        return x[:, from_place:] + (o.reshape(-1, WIDTH) @ self.mix).reshape(o.shape)
+
+    def _classes(self, c: np.ndarray, states: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """log2 probabilities of the classes ``y`` after ``c``, worked off class by class of ``c``."""
+        order, bounds = _by_class(c)
+        h = np.ones((len(c), WIDTH + 1), np.float32)
+        h[:, :-1] = states[order]
+        steep = _steep(states, self.out, self.direct)
+        head, ones, y = np.concatenate([self.out, self.direct[:1]]), np.ones(CLASSES, np.float32), y[order]
+        space, found = np.empty((CHUNK, CLASSES), np.float32), np.empty(len(c), np.float32)
+        for lo, hi, parts in _chunks(bounds):
+            z = space[: hi - lo]
+            _logits(head, self.direct, h, lo, parts, z)
+            if steep:
+                z -= z.max(-1, keepdims=True)
+            found[lo:hi] = z[np.arange(hi - lo), y[lo:hi]]
+            np.exp2(z, out=z)
+            found[lo:hi] -= np.log2(z @ ones)
+        out = np.empty_like(found)
+        out[order] = found
+        return out

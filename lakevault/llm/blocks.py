@@ -75,11 +75,12 @@ def write_blocks(
     docs: DataFrame,
     text_col: str,
     name: str,
-    ask: Callable[[int, pa.Table], Messages],
+    ask: Callable[[int, pa.Table], Messages | tuple[Messages, pa.Table]],
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Cut ``docs`` into blocks, with the messages that ``ask(block, rows)`` returns; written by kind.
 
+    Where ``ask`` returns a table beside the messages, that is written in place of the rows.
     Block keys are unique; ``key | row`` names a row, rows counting from 0 in a block.
     """
     require(docs, text_col)
@@ -94,6 +95,8 @@ def write_blocks(
             rows = pa.Table.from_batches(held).combine_chunks()
             block = base + (count << 16)
             messages = ask(block, rows)
+            if isinstance(messages, tuple):
+                messages, rows = messages
             yield pa.RecordBatch.from_arrays(
                 [pa.array([TEXT], pa.int32()), pa.array([block]), pa.array([0]), pa.array([_pack(rows)], pa.binary())], schema=ARROW_SCHEMA
             )

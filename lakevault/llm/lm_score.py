@@ -1,15 +1,15 @@
 """Language-model scores: a causal self-attention model on subword ids, and a word unigram.
 
-One pass cuts the texts into blocks; each sends its distinct words with their
-counts in training rows to the word's hash range, and a small share of training
-windows (one word in ``SNIPPET_EVERY`` starts one, so they grow with the input).
-The ranges add the counts up, over all documents, and answer every block for its
-own words; they also count subword ids, for the model's classes. The model is
-trained on the windows by rounds of local training and averaging of the weights:
-tasks train on their share from the same start, and the average of the flat
-weights (one row per task and weight, a partial aggregate) starts the next round.
-The last pass meets each block with its words' counts and scores all whole texts
-in overlapping windows, every token once.
+One pass cuts the texts into blocks, split into words and subword ids once and written
+in that form; each sends its distinct words with their counts in training rows to the
+word's hash range, and its counts of subword ids, for the model's classes. The ranges
+add the words' counts up, over all documents, and answer every block for its own words.
+The model is trained on all training rows, cut into windows that hold every token once
+as what is to be predicted. Each round of local training takes its part of the rows:
+tasks train on their blocks from the same start, and the average of the flat weights
+(one row per task and weight, a partial aggregate) starts the next round. The last pass
+meets each block with its words' counts and scores all whole texts in overlapping
+windows, every token once.
 
 Only figures of a fixed size reach the driver: two sums, the counts of the
 tokenizer's ids and the model's weights.
@@ -29,18 +29,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakevault.llm.attention import CONTEXT, Classes, Scorer, fresh, make_classes, train
-from lakevault.llm.blocks import MESSAGE, TEXT, Messages, exchange, expand, squeeze, with_answers, write_blocks
-from lakevault.llm.common import LOWER, U64, discard, mix, one_blas_thread, require, slices, stored, word_hashes, word_spans
+from lakevault.llm.attention import CONTEXT, LEAST_STEPS, Classes, Scorer, fresh, make_classes, train
+from lakevault.llm.blocks import BLOCK_BYTES, MESSAGE, TEXT, Messages, exchange, expand, squeeze, unpack, with_answers, write_blocks
+from lakevault.llm.common import LOWER, U64, arrow_batches, one_blas_thread, require, slices, stored, word_hashes, word_spans
 from lakevault.llm.quality_model import remainder
 from lakevault.llm.tokens import ByteBpe, tokenizer_path
 
 END = 50256  # the tokenizer's end of text, also what stands before a text
 VOCABULARY = 50257
-SNIPPET_EVERY = 400
 BYTES_PER_RANGE = 16 << 20
-BLOCKS_PER_TRAINER = 16
-SNIPPETS, TOTALS, IDS = 1 << 60, -1, -2
+BLOCKS_PER_TRAINER = 4
+POOL = 1 << 17  # windows that are held, and gone through in a random order, at a time
+KNOWN_WORDS = 1 << 19  # whose subword ids a task keeps
+TOTALS, IDS = -1, 1 << 60
+NONE = 255  # no class: beyond a text's end
+BLOCK = b"words"  # the metadata of a block that holds its words
 
 
 class Words:
@@ -109,6 +112,37 @@ def _opening(bpe: ByteBpe) -> np.ndarray:
     return bpe.opening
 
 
+class Subwords:
+    """Subword ids of blocks' distinct words; a task encodes a word again only after KNOWN_WORDS others."""
+
+    def __init__(self, path: str):
+        self.bpe = ByteBpe(path)
+        self._keep(np.empty(0, U64), np.empty(0, np.uint16), np.empty(0, np.int64))
+
+    def _keep(self, hashes: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.ids, order = ids, np.argsort(hashes, kind="stable")
+        self.hash, self.lengths, self.starts = hashes[order], lengths[order], (np.cumsum(lengths) - lengths)[order]
+
+    def _found(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(self.hash, hashes), max(0, len(self.hash) - 1))
+        return at, self.hash[at] == hashes if len(self.hash) else np.zeros(len(hashes), dtype=bool)
+
+    def __call__(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, joined, and their number per distinct word)."""
+        if len(self.hash) > KNOWN_WORDS:
+            self._keep(self.hash[:0], self.ids[:0], self.lengths[:0])
+        new = np.flatnonzero(~self._found(words.hash)[1])
+        ids, lengths = _ids(self.bpe, [words.distinct[k] for k in new])
+        if len(new):
+            order = np.argsort(self.starts)  # the order of the ids
+            self._keep(
+                np.append(self.hash[order], words.hash[new]), np.append(self.ids, ids.astype(np.uint16)), np.append(self.lengths[order], lengths)
+            )
+        at, _ = self._found(words.hash)
+        lengths = self.lengths[at]
+        return self.ids[_spread(self.starts[at], lengths)], lengths
+
+
 def _interpolated(model: np.ndarray, unigram: np.ndarray, share: float) -> np.ndarray:
     """log10 of the mean of two probabilities, the unigram's weighing ``share``."""
     ln10 = np.log(10)
@@ -121,84 +155,104 @@ def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
 
 
-def _snippets(words: Words, trained: np.ndarray, n_rows: int, bpe: ByteBpe, seed: int) -> np.ndarray:
-    """Training windows (CONTEXT + 1 ids, -1 beyond a text's end) from hashed places of training texts."""
-    n = len(words.rows)
-    opens = np.ones(n, dtype=bool)
-    opens[1:] = words.rows[1:] != words.rows[:-1]
-    dice = mix(np.arange(n, dtype=U64) + U64(seed & 0xFFFFFFFFFFFF)) % U64(SNIPPET_EVERY)
-    chosen = np.flatnonzero((dice == 0) & trained[words.rows]) if n else np.empty(0, np.int64)
-    last = np.searchsorted(words.rows, np.arange(n_rows), side="right")
-    out = np.full((len(chosen), CONTEXT + 1), -1, np.int32)
-    for k, at in enumerate(chosen):
-        end = min(int(last[words.rows[at]]), at + CONTEXT + 1)
-        ids = [END] if opens[at] else []
-        for j in range(at, end):
-            ids += bpe.fast.encode_ordinary(" " + words.distinct[words.number[j]].decode("utf-8", "replace"))
-            if len(ids) > CONTEXT:
-                break
-        else:
-            if end == last[words.rows[at]]:
-                ids.append(END)
-        out[k, : min(len(ids), CONTEXT + 1)] = ids[: CONTEXT + 1]
-    return out
-
-
-def _add_up(bpe: ByteBpe | None, path: str):
-    """Merges the word counts of a range; answers the blocks, TOTALS and IDS."""
-    held = [bpe]
-
-    def merge(_range: int, messages: list[tuple[int, bytes]]) -> list[tuple[int, bytes]]:
-        held[0] = held[0] or ByteBpe(path)
-        total: dict[bytes, int] = {}
-        parts = []
-        for block, data in messages:
-            joined, counts = expand(data)
-            words = joined.tobytes().split(b"\n")
-            parts.append((block, words))
-            for w, c in zip(words, counts.tolist(), strict=True):
-                total[w] = total.get(w, 0) + c
-        known = {w: c for w, c in total.items() if c}
-        ids, lengths = _ids(held[0], [w for w in known if w])
-        counts = np.repeat(np.fromiter((c for w, c in known.items() if w), np.int64), lengths)
-        weight = np.bincount(ids, counts, minlength=VOCABULARY).astype(np.int64)
-        weight[END] += known.get(b"", 0)
-        used = np.flatnonzero(weight)
-        out = [(block, squeeze(np.array([total[w] for w in words], np.int64))) for block, words in parts]
-        out.append((TOTALS, squeeze(np.array([sum(known.values()), len(known)], np.int64))))
-        out.append((IDS, squeeze(used, weight[used])))
-        return out
-
-    return merge
-
+def _windows(of: np.ndarray, rows: pa.Table, turn: int, turns: int) -> Iterator[np.ndarray]:
+    """Windows of CONTEXT + 1 classes (NONE beyond a text's end) of a block's training rows of a turn.
 
-def _fit(snippets: DataFrame, classes: Classes, rounds: int, rate: float) -> np.ndarray:
-    """Rounds of local training and averaging; the flat weights."""
+    The last CONTEXT are to be predicted; together the windows hold every token of the rows so once.
+    ``of`` are the classes of the ids.
+    """
+    number, ids, lengths, *_ = expand(rows.schema.metadata[BLOCK])
+    n_words = np.asarray(rows.column("n_words"))
+    chosen = np.asarray(rows.column("train").combine_chunks()).astype(bool) & (np.arange(len(n_words)) % turns == turn)
+    of, classes, starts = of.astype(np.uint8), of[ids].astype(np.uint8), np.cumsum(lengths) - lengths
+    last = np.cumsum(n_words)
+    for lo, hi in _parts(last):
+        mine = np.flatnonzero(chosen[lo:hi])
+        if not len(mine):
+            continue
+        before = last[lo] - n_words[lo]
+        owner = np.repeat(np.arange(hi - lo), n_words[lo:hi])
+        kept = chosen[lo:hi][owner]
+        words, owner = number[before : last[hi - 1]][kept], np.searchsorted(mine, owner[kept])
+        size = lengths[words]
+        tokens = np.bincount(owner, size, minlength=len(mine)).astype(np.int64) + 1
+        ends = np.cumsum(tokens + 1)  # the end stands before and behind each text
+        text = np.full(int(ends[-1]) + CONTEXT, of[END], np.uint8)
+        inside = np.ones(int(ends[-1]), dtype=bool)
+        inside[ends - 1] = inside[ends - tokens - 1] = False
+        text[: len(inside)][inside] = classes[_spread(starts[words], size)]
+        count = -(-tokens // CONTEXT)
+        first = _spread(np.zeros(len(mine), np.int64), count) * CONTEXT + np.repeat(ends - tokens - 1, count)
+        at = first[:, None] + np.arange(CONTEXT + 1)
+        out = text[at]
+        out[at >= np.repeat(ends, count)[:, None]] = NONE
+        yield out
+
+
+def _parts(last: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Rows from, to: some 100,000 words at a time; ``last`` are the words up to each row's end."""
+    lo = 0
+    while lo < len(last):
+        hi = max(lo + 1, int(np.searchsorted(last, (last[lo - 1] if lo else 0) + 100_000, side="right")))
+        yield lo, hi
+        lo = hi
+
+
+def _add_up(_range: int, messages: list[tuple[int, bytes]]) -> list[tuple[int, bytes]]:
+    """Merges the word counts of a range; answers the blocks and TOTALS."""
+    total: dict[bytes, int] = {}
+    parts = []
+    for block, data in messages:
+        joined, counts = expand(data)
+        words = joined.tobytes().split(b"\n")
+        parts.append((block, words))
+        for w, c in zip(words, counts.tolist(), strict=True):
+            total[w] = total.get(w, 0) + c
+    known = [c for c in total.values() if c]
+    out = [(block, squeeze(np.array([total[w] for w in words], np.int64))) for block, words in parts]
+    return [*out, (TOTALS, squeeze(np.array([sum(known), len(known)], np.int64)))]
+
+
+def _fit(blocks: DataFrame, trainers: int, classes: Classes, rounds: int, rate: float) -> np.ndarray:
+    """Rounds of local training and averaging, each on its part of every block's training rows; the flat weights."""
     flat = fresh(classes.prior)
-    n = snippets.count()
-    trainers = max(1, -(-n // BLOCKS_PER_TRAINER))
-    snippets = stored(snippets.repartition(trainers), "snippets")
-    for turn in range(rounds if n else 0):
+    blocks = blocks.select("data").coalesce(trainers)
+    for turn in range(rounds):
         start, step = flat, rate / (turn + 1)
 
-        def local(batches: Iterator[pa.RecordBatch], start=start, step=step) -> Iterator[pa.RecordBatch]:
+        def local(batches: Iterator[pa.RecordBatch], start=start, step=step, turn=turn) -> Iterator[pa.RecordBatch]:
             one_blas_thread()
+            got, pool, seen, held = start, [], 0, 0
+
+            def learn() -> None:
+                nonlocal got, pool, seen, held
+                found = np.concatenate(pool)
+                valid = found[:, 1:] != NONE
+                found[found == NONE] = 0
+                got = train(got, found[:, :-1], found[:, 1:], valid, step, least_steps=0 if seen else LEAST_STEPS)
+                seen, pool, held = seen + held, [], 0
+
             for batch in batches:
-                ids = np.concatenate([expand(d.as_py())[0] for d in batch.column(0)]).reshape(-1, CONTEXT + 1).astype(np.int64)
-                valid = ids[:, 1:] >= 0
-                of = classes.of[np.maximum(ids, 0)]
-                got = train(start, of[:, :-1], of[:, 1:], valid, step)
+                for data in batch.column(0):
+                    for found in _windows(classes.of, unpack(data.as_py()), turn, rounds):
+                        pool.append(found)
+                        held += len(found)
+                        if held >= POOL:
+                            learn()
+            if held:
+                learn()
+            if seen:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(got)), pa.int32()), pa.array(got.astype(float) * len(ids)), pa.array(np.full(len(got), float(len(ids))))],
+                    [pa.array(np.arange(len(got)), pa.int32()), pa.array(got.astype(float) * seen), pa.array(np.full(len(got), float(seen)))],
                     ["place", "weighted", "weight"],
                 )
 
-        trained = snippets.select("data").mapInArrow(local, "place int, weighted double, weight double")
-        mean = trained.groupBy("place").agg((F.sum("weighted") / F.sum("weight")).alias("w"), F.sum("weight").alias("n"))
-        found = mean.where("n > 0").toArrow()  # one row per weight of the model
+        trained = blocks.mapInArrow(local, "place int, weighted double, weight double")
+        mean = trained.groupBy("place").agg((F.sum("weighted") / F.sum("weight")).alias("w"))
+        with arrow_batches(blocks.sparkSession, rows=1):  # blocks reach a task one by one
+            found = mean.toArrow()  # one row per weight of the model
         flat = flat.copy()
         flat[found.column("place").to_numpy()] = found.column("w").to_numpy()
-    discard(snippets)
     return flat
 
 
@@ -226,24 +280,34 @@ def score_texts(
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, size // BYTES_PER_RANGE)
-    tokenizer: list[ByteBpe] = []
+    tokenizer: list[Subwords] = []
 
-    def count(block: int, table: pa.Table) -> Messages:
+    def count(_block: int, table: pa.Table) -> tuple[Messages, pa.Table]:
         if not tokenizer:
-            tokenizer.append(ByteBpe(path))
+            tokenizer.append(Subwords(path))
         words = Words(table.column("text"))
         trained = np.asarray(table.column("train").combine_chunks()).astype(bool)
         counts = np.bincount(words.number, trained[words.rows], minlength=len(words.distinct)).astype(np.int64)
-        parts = {part: (words.distinct[s], counts[s]) for part, s in words.ranges(ranges)}
+        ids, lengths = tokenizer[0](words)
+        own = list(words.ranges(ranges))
+        parts = {part: (words.distinct[s], counts[s]) for part, s in own}
         ends = parts.setdefault(0, ([], np.empty(0, np.int64)))  # the end token is the empty word, of range 0
         parts[0] = ([*ends[0], b""], np.append(ends[1], trained.sum()))
         out = [(part, squeeze(np.frombuffer(b"\n".join(w), np.uint8), c)) for part, (w, c) in parts.items()]
-        out.append((SNIPPETS, squeeze(_snippets(words, trained, table.num_rows, tokenizer[0], block).ravel())))
-        return out
+        weight = np.bincount(ids, np.repeat(counts, lengths), minlength=VOCABULARY).astype(np.int64)
+        weight[END] += trained.sum()
+        used = np.flatnonzero(weight)
+        out.append((IDS, squeeze(used.astype(np.uint16), weight[used])))
+        n_words = np.bincount(words.rows, minlength=table.num_rows)
+        rows = pa.table({"id": table.column("id"), "train": table.column("train"), "n_words": pa.array(n_words, pa.int64())})
+        held = squeeze(
+            words.number.astype(np.int32), ids, lengths.astype(np.int32), np.array([p for p, _ in own], np.int64), np.array([s.stop for _, s in own], np.int64)
+        )
+        return out, rows.replace_schema_metadata({BLOCK: held})
 
     written = write_blocks(rows, "text", "lm", count)
-    messages = written.where(F.col("kind") == MESSAGE)
-    answers = stored(exchange(messages.where(F.col("part") != SNIPPETS), _add_up(None, path)), "words")
+    messages, blocks = written.where(F.col("kind") == MESSAGE), written.where(F.col("kind") == TEXT)
+    answers = stored(exchange(messages.where(F.col("part") != IDS), _add_up), "words")
 
     totals = [expand(r[0])[0] for r in answers.where(F.col("block") == TOTALS).select("data").toLocalIterator()]
     n_train, n_distinct = (int(x) for x in np.sum(totals, axis=0)) if totals else (0, 0)
@@ -254,40 +318,35 @@ def score_texts(
                 ids, weight = expand(data.as_py())
                 yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int32)), pa.array(weight)], ["id", "n"])
 
-    found = answers.where(F.col("block") == IDS).select("data").mapInArrow(listed, "id int, n long")
+    found = messages.where(F.col("part") == IDS).select("data").mapInArrow(listed, "id int, n long")
     found = found.groupBy("id").agg(F.sum("n").alias("n")).toArrow()  # at most the tokenizer's vocabulary
     id_counts = np.zeros(VOCABULARY)
     id_counts[found.column("id").to_numpy()] = found.column("n").to_numpy()
     classes = make_classes(id_counts, END, ByteBpe(path).text_order())
-    flat = _fit(messages.where(F.col("part") == SNIPPETS).select("data"), classes, rounds, rate)
+    flat = _fit(blocks, max(1, -(-size // (BLOCKS_PER_TRAINER * BLOCK_BYTES))), classes, rounds, rate)
     kind = docs.schema[id_col].dataType.simpleString()
 
     def score(_block: int, table: pa.Table, replies: dict[int, bytes]) -> pa.Table:
         one_blas_thread()
-        if not tokenizer:
-            tokenizer.append(ByteBpe(path))
         scorer = Scorer(flat, classes)
         n = table.num_rows
-        words = Words(table.column("text"))
-        counts = np.zeros(len(words.distinct), np.int64)
+        numbers, ids, lengths, parts, stops = expand(table.schema.metadata[BLOCK])
+        n_words = np.asarray(table.column("n_words"))
+        rows = np.repeat(np.arange(n), n_words)
+        counts = np.zeros(len(lengths), np.int64)
         end_count = expand(replies[0])[0][-1]
-        for part, s in words.ranges(ranges):
-            reply = expand(replies[part])[0]
-            counts[s] = reply[: s.stop - s.start]
+        for part, a, b in zip(parts.tolist(), [0, *stops.tolist()], stops.tolist(), strict=False):
+            counts[a:b] = expand(replies[part])[0][: b - a]
         smooth = np.log10(n_train + 0.5 * (n_distinct + 1))
-        base = np.bincount(words.rows, (np.log10(counts + 0.5) - smooth)[words.number], minlength=n).astype(float)
+        base = np.bincount(rows, (np.log10(counts + 0.5) - smooth)[numbers], minlength=n).astype(float)
         base += np.log10(end_count + 0.5) - smooth
-        n_words = np.bincount(words.rows, minlength=n)
-        n_known = np.bincount(words.rows, counts[words.number] > 0, minlength=n).astype(np.int64) + int(end_count > 0)
-        ids, lengths = _ids(tokenizer[0], words.distinct)
+        n_known = np.bincount(rows, counts[numbers] > 0, minlength=n).astype(np.int64) + int(end_count > 0)
         starts = np.cumsum(lengths) - lengths
         result = np.zeros(n)
         last = np.cumsum(n_words)
-        lo = 0
-        while lo < n:  # some 100,000 words at a time
-            hi = max(lo + 1, int(np.searchsorted(last, (last[lo - 1] if lo else 0) + 100_000, side="right")))
-            number = words.number[(last[lo - 1] if lo else 0) : last[hi - 1]]
-            owner = words.rows[(last[lo - 1] if lo else 0) : last[hi - 1]] - lo
+        for lo, hi in _parts(last):
+            number = numbers[(last[lo - 1] if lo else 0) : last[hi - 1]]
+            owner = rows[(last[lo - 1] if lo else 0) : last[hi - 1]] - lo
             size = lengths[number]
             tokens = np.bincount(owner, size, minlength=hi - lo).astype(np.int64) + 1
             ends = np.cumsum(tokens)
@@ -303,7 +362,6 @@ def score_texts(
                 for s in unigram_shares
             ]
             result[lo:hi] = np.logaddexp.reduce(np.array(by_share) * np.log(10)) / np.log(10) - np.log10(len(by_share))
-            lo = hi
         return pa.table(
             {
                 "id": table.column("id"),
@@ -317,7 +375,7 @@ def score_texts(
 
     schema = f"id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     replies = answers.where(F.col("block") >= 0)
-    return with_answers(written.where(F.col("kind") == TEXT), replies, score, schema).withColumnRenamed("id", id_col)
+    return with_answers(blocks, replies, score, schema).withColumnRenamed("id", id_col)
 
 
 def op2_scores(docs: DataFrame) -> DataFrame:
