@@ -75,6 +75,20 @@ def unflatten(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
+class Space:
+    """Arrays that are filled again and again, by name: getting fresh ones of the system costs as much as a product."""
+
+    def __init__(self) -> None:
+        self.held: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, kind: np.dtype, *shape: int) -> np.ndarray:
+        """An array of any content, the same memory at every call."""
+        n = int(np.prod(shape))
+        if name not in self.held or len(self.held[name]) < n or self.held[name].dtype != kind:
+            self.held[name] = np.empty(n, kind)
+        return self.held[name][:n].reshape(shape)
+
+
 def _by_class(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The order of the classes ``c``, and where each class begins in it (and the last one ends)."""
     return np.argsort(c, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(c, minlength=CLASSES))])
@@ -93,81 +107,123 @@ def _chunks(bounds: np.ndarray) -> Iterator[tuple[int, int, list[tuple[int, int,
         yield held[0][1], held[-1][2], held
 
 
-def _logits(head: np.ndarray, direct: np.ndarray, h: np.ndarray, lo: int, parts: list[tuple[int, int, int]], z: np.ndarray) -> None:
-    """Fill ``z`` (from row ``lo`` on) for rows of ``h``, whose last column is 1; ``head`` gets each class' own last row."""
-    for k, a, b in parts:
-        head[-1] = direct[k]
-        np.dot(h[a:b], head, out=z[a - lo : b - lo])
+def _steep(h: np.ndarray, out: np.ndarray) -> bool:
+    """Whether what a state adds to a logit may be too large for a power as it is; the last column of ``h`` is 1."""
+    longest = np.sqrt(max(0, np.einsum("ij,ij->i", h, h).max() - 1)) if len(h) else 0
+    return not longest * np.sqrt((out * out).sum(0).max()) < 100
 
 
-def _steep(h: np.ndarray, out: np.ndarray, direct: np.ndarray) -> bool:
-    """Whether a logit may be too large for a power as it is."""
-    longest = np.sqrt(np.einsum("ij,ij->i", h, h).max()) if len(h) else 0
-    return not longest * np.sqrt((out * out).sum(0).max()) + np.abs(direct).max() < 60
+def _direct(w: dict[str, np.ndarray]) -> np.ndarray:
+    """The part of the logits that depends on the class alone, for powers of 2; the largest of each class is 0, which changes no softmax."""
+    direct = (w["pair"] + w["bias"]) * w["bias"].dtype.type(LOG2E)
+    return direct - direct.max(1, keepdims=True)
 
 
-def _gradient(w: dict[str, np.ndarray], c: np.ndarray, y: np.ndarray, valid: np.ndarray) -> np.ndarray:
+def _mild(*lengths: float) -> bool:
+    """Whether no product of vectors of these lengths comes near the limit of attention."""
+    return np.prod(lengths) < 30 * LOG2E
+
+
+def _attend(q: np.ndarray, k: np.ndarray, s: np.ndarray, mild: bool) -> None:
+    """Fill ``s`` with the powers of how well the places ``q`` meet those of ``k`` up to their own."""
+    np.matmul(q, k.transpose(0, 2, 1), out=s)
+    if not mild:
+        np.clip(s, -30 * LOG2E, 30 * LOG2E, out=s)
+    np.exp2(s, out=s)
+    s *= CAUSAL[k.shape[1] - q.shape[1] : k.shape[1], : k.shape[1]]
+
+
+def _wider(a: np.ndarray, corner: float = 0) -> np.ndarray:
+    """``a`` with one more row and column, of zeros but for the corner."""
+    out = np.pad(a, ((0, 1), (0, 1)))
+    out[-1, -1] = corner
+    return out
+
+
+def _longest(a: np.ndarray) -> float:
+    return float(np.sqrt(np.einsum("ij,ij->i", a, a).max()))
+
+
+def _gradient(w: dict[str, np.ndarray], c: np.ndarray, y: np.ndarray, valid: np.ndarray, space: Space | None = None) -> np.ndarray:
     """Flat gradient of the mean loss of a batch of windows.
 
     The softmax of all places is worked off class by class: places of one class share a row of ``pair``.
     """
     n, length = c.shape
-    kind = w["embed"].dtype
+    size, kind = c.size, w["embed"].dtype
+    space = space or Space()
+    get = lambda name, *shape: space(name, kind, *shape)
     scale = kind.type(1 / np.sqrt(WIDTH))
     project = np.concatenate([w["query"] * (scale * kind.type(LOG2E)), w["key"], w["value"]], axis=1)
-    two = lambda t: t.reshape(-1, t.shape[-1])
-    x = w["embed"][c] + w["place"][:length]
-    q, k, v = np.split((two(x) @ project).reshape(n, length, -1), 3, axis=2)
-    s = q @ k.transpose(0, 2, 1)
-    np.clip(s, -30 * LOG2E, 30 * LOG2E, out=s)
-    np.exp2(s, out=s)
-    s *= CAUSAL[:length, :length]
-    part = 1 / (s @ np.ones(length, kind))[:, :, None]
-    o = s @ v
-    o *= part
+    # values end in 1, so what they add up to ends in the sum of the weights and, divided by that, in 1
+    x, qkv = get("x", size, WIDTH + 1), get("qkv", n, length, 3 * WIDTH + 1)
+    s, o = get("s", n, length, length), get("o", n, length, WIDTH + 1)
+    np.take(_wider(w["embed"])[:-1], c.ravel(), axis=0, out=x, mode="clip")
+    x.reshape(n, length, -1)[:] += _wider(w["place"])[:length]
+    np.dot(x, _wider(project), out=qkv.reshape(size, -1))
+    qkv[:, :, -1] = 1
+    q, k, v = qkv[:, :, :WIDTH], qkv[:, :, WIDTH : 2 * WIDTH], qkv[:, :, 2 * WIDTH :]
+    longest = _longest(w["embed"]) + _longest(w["place"])
+    _attend(q, k, s, _mild(longest * np.linalg.norm(project[:, :WIDTH]), longest * np.linalg.norm(w["key"])))
+    np.matmul(s, v, out=o)
+    part = o[:, :, -1:].copy()
+    o /= part
+    flat_o = o.reshape(size, -1)
+    states, h = get("states", size, WIDTH + 1), get("h", size, WIDTH + 1)
+    np.dot(flat_o, _wider(w["mix"], 1), out=states)
+    states += x
     order, bounds = _by_class(c.ravel())
-    h = np.ones((c.size, WIDTH + 1), kind)
-    h[:, :-1] = (two(x) + two(o) @ w["mix"])[order]
+    np.take(states, order, axis=0, out=h, mode="clip")
     target, share = y.ravel()[order], (valid.ravel()[order] / max(1, valid.sum())).astype(kind)
-    out, direct, ones = w["out"] * kind.type(LOG2E), (w["pair"] + w["bias"]) * kind.type(LOG2E), np.ones(CLASSES, kind)
-    steep = _steep(h[:, :-1], out, direct)
+    out, direct, ones = w["out"] * kind.type(LOG2E), _direct(w), np.ones(CLASSES, kind)
+    steep = _steep(h, out)
     head, back = np.concatenate([out, direct[:1]]), np.ascontiguousarray(w["out"].T)
-    space, d_sorted = np.empty((CHUNK, CLASSES), kind), np.empty((c.size, WIDTH), kind)
-    d_out, d_pair = np.zeros((WIDTH, CLASSES), kind), np.zeros((CLASSES, CLASSES), kind)
+    held, total, d_sorted = get("z", CHUNK, CLASSES), get("total", size), get("d_sorted", size, WIDTH)
+    d_head, aim = np.zeros((CLASSES, WIDTH + 1, CLASSES), kind), np.arange(CHUNK) * CLASSES
     for lo, hi, parts in _chunks(bounds):
-        z = space[: hi - lo]
-        _logits(head, direct, h, lo, parts, z)
+        z = held[: hi - lo]
+        for j, a, b in parts:
+            head[-1] = direct[j]
+            np.dot(h[a:b], head, out=z[a - lo : b - lo])
         if steep:
             z -= z.max(-1, keepdims=True)
         np.exp2(z, out=z)
-        total = z @ ones
-        z[np.arange(hi - lo), target[lo:hi]] -= total  # now the gradient of the logits, but for a factor of each row
-        factor = share[lo:hi] / total
-        np.multiply(z @ back, factor[:, None], out=d_sorted[lo:hi])
-        d_out += (h[lo:hi, :-1] * factor[:, None]).T @ z
+        mine = np.dot(z, ones, out=total[lo:hi])
+        held.reshape(-1)[aim[: hi - lo] + target[lo:hi]] -= mine  # now the gradient of the logits, but for a factor of each row
+        np.dot(z, back, out=d_sorted[lo:hi])
+        np.divide(share[lo:hi], mine, out=mine)
+        h[lo:hi] *= mine[:, None]
         for j, a, b in parts:
-            d_pair[j] += factor[a - lo : b - lo] @ z[a - lo : b - lo]
-    dh = np.empty_like(d_sorted)
-    dh[order] = d_sorted
-    d_mix = two(o).T @ dh
-    do = (dh @ w["mix"].T).reshape(o.shape)
-    do *= part * kind.type(LN2)
-    ds = do @ v.transpose(0, 2, 1)
-    ds -= np.einsum("ijk,ijk->ij", do, o)[:, :, None]
+            d_head[j] += h[a:b].T @ z[a - lo : b - lo]
+    d_sorted *= total[:, None]
+    d_pair = d_head[:, -1]
+    dh, do, ds, d, dx = get("dh", size, WIDTH), get("do", n, length, WIDTH + 1), get("ds", n, length, length), get("d", n, length, 3 * WIDTH), get("dx", size, WIDTH)
+    back_order = np.empty_like(order)
+    back_order[order] = np.arange(size)
+    np.take(d_sorted, back_order, axis=0, out=dh, mode="clip")
+    d_mix = (flat_o.T @ dh)[:-1]
+    flat_d = d.reshape(size, -1)
+    np.dot(dh, _wider(w["mix"].T)[:-1], out=do.reshape(size, -1))
+    do *= np.divide(kind.type(LN2), part, out=part)
+    do[:, :, -1] = -np.einsum("ijk,ijk->ij", do[:, :, :-1], o[:, :, :-1])
+    np.matmul(do, v.transpose(0, 2, 1), out=ds)
     ds *= s
-    d = two(np.concatenate([ds @ k, ds.transpose(0, 2, 1) @ q, s.transpose(0, 2, 1) @ do], axis=2))
+    np.matmul(ds, k, out=d[:, :, :WIDTH])
+    np.matmul(ds.transpose(0, 2, 1), q, out=d[:, :, WIDTH : 2 * WIDTH])
+    np.matmul(s.transpose(0, 2, 1), do[:, :, :-1], out=d[:, :, 2 * WIDTH :])
+    d_project = sum(x[lo : lo + 1024, :-1].T @ flat_d[lo : lo + 1024] for lo in range(0, size, 1024))
     project[:, 2 * WIDTH :] *= kind.type(LOG2E)  # as the last part of d is by a factor of LN2 too small
-    dx = d @ project.T
+    np.dot(flat_d, np.ascontiguousarray(project.T), out=dx)
     dx += dh
-    d_project = sum(two(x)[lo : lo + 1024].T @ d[lo : lo + 1024] for lo in range(0, len(d), 1024))
     d_query, d_key, d_value = np.split(d_project * kind.type(LOG2E), 3, axis=1)
     d_embed, d_place = np.zeros_like(w["embed"]), np.zeros_like(w["place"])
     found = np.flatnonzero(np.diff(bounds))
-    d_embed[found] = np.add.reduceat(dx[order], bounds[found], axis=0)
+    np.take(dx, order, axis=0, out=dh, mode="clip")
+    d_embed[found] = np.add.reduceat(dh, bounds[found], axis=0)
     d_place[:length] = dx.reshape(n, length, -1).sum(0)
     parts = {
         "embed": d_embed, "place": d_place, "query": d_query * scale, "key": d_key * kind.type(LN2), "value": d_value,
-        "mix": d_mix, "out": d_out, "pair": d_pair, "bias": d_pair.sum(0),
+        "mix": d_mix, "out": d_head[:, :-1].sum(0), "pair": d_pair, "bias": d_pair.sum(0),
     }
     return np.concatenate([parts[k].ravel() for k in SHAPES])
 
@@ -181,12 +237,12 @@ def train(flat: np.ndarray, c: np.ndarray, y: np.ndarray, valid: np.ndarray, rat
     per = -(-len(c) // batch)
     steps = max(per, min(least_steps, 50 * per))
     dice = np.random.default_rng(11)
-    order = np.empty(0, np.int64)
+    order, space = np.empty(0, np.int64), Space()
     for t in range(1, steps + 1):
         if len(order) < min(batch, len(c)):
             order = np.concatenate([order, dice.permutation(len(c))])
         k, order = order[:batch], order[batch:]
-        g = _gradient(unflatten(flat), c[k], y[k], valid[k])
+        g = _gradient(unflatten(flat), c[k], y[k], valid[k], space)
         m = 0.9 * m + 0.1 * g
         v = 0.99 * v + 0.01 * g * g
         flat -= rate * (1 - 0.9 * t / steps) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
@@ -200,10 +256,16 @@ class Scorer:
         w = unflatten(flat.astype(np.float32))
         scale = np.float32(1 / np.sqrt(WIDTH))
         self.classes, self.batch = classes, batch
-        # what a token brings to its window depends on its class and place only: x, query, key and value side by side
-        project = np.concatenate([np.eye(WIDTH, dtype=np.float32), w["query"] * (scale * np.float32(LOG2E)), w["key"], w["value"]], axis=1)
+        # what a token brings to its window depends on its class and place only: query, key, value and 1 side by side
+        project = np.concatenate([w["query"] * (scale * np.float32(LOG2E)), w["key"], w["value"], np.zeros((WIDTH, 1), np.float32)], axis=1)
         self.of_class, self.of_place = w["embed"] @ project, w["place"] @ project
-        self.mix, self.out, self.direct = w["mix"], w["out"] * np.float32(LOG2E), (w["pair"] + w["bias"]) * np.float32(LOG2E)
+        self.of_class[:, -1] = 1
+        cut = [slice(0, WIDTH), slice(WIDTH, 2 * WIDTH)]
+        self.mild = _mild(*(_longest(self.of_class[:, j]) + _longest(self.of_place[:, j]) for j in cut))
+        self.mix, self.place, self.out = _wider(w["mix"], 1), _wider(w["place"])[:-1], w["out"] * np.float32(LOG2E)
+        self.direct = _direct(w) + w["embed"] @ self.out  # states come without their class' embedding
+        self.direct -= self.direct.max(1, keepdims=True)
+        self.space = Space()
 
     def log10(self, ids: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
         """Per id, its log10 probability in its sequence; ``start`` stands before each sequence."""
@@ -217,49 +279,57 @@ class Scorer:
         count = np.where(lengths > 0, 1 + np.maximum(0, -(-(lengths - CONTEXT) // STRIDE)), 0)
         owner = np.repeat(np.arange(len(lengths)), count)
         number = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-        first = begins[owner] + number * STRIDE
+        first, last = begins[owner] + number * STRIDE, ends[owner]
         # the first window of a sequence is scored whole, the others in their last STRIDE places
         for from_place, chosen in ((0, np.flatnonzero(number == 0)), (CONTEXT - STRIDE, np.flatnonzero(number))):
             for top in range(0, len(chosen), self.batch * SLAB):
-                places, states = [], []
-                for lo in range(top, min(len(chosen), top + self.batch * SLAB), self.batch):
-                    here = chosen[lo : min(lo + self.batch, top + self.batch * SLAB)]
-                    at = first[here, None] + np.arange(CONTEXT)
-                    use = (at < ends[owner[here], None])[:, from_place:]
-                    at = np.minimum(at, len(ids) - 1)
-                    places.append(at[:, from_place:][use])
-                    states.append(self._states(source[at], from_place)[use])
-                mine = np.concatenate(places)
-                out[mine] = self._classes(source[mine], np.concatenate(states), target[mine])
+                slab = chosen[top : top + self.batch * SLAB]
+                at = first[slab, None] + np.arange(CONTEXT)
+                scored = np.flatnonzero((at < last[slab, None])[:, from_place:])
+                np.minimum(at, len(ids) - 1, out=at)
+                states = self._states(source[at], from_place)
+                mine = at[:, from_place:].ravel()[scored]
+                out[mine] = self._classes(source[mine], states, scored, target[mine])
         return out * np.log10(2) + self.classes.log_share[ids]
 
     def _states(self, c: np.ndarray, from_place: int) -> np.ndarray:
-        """What the head sees at the places from ``from_place`` on of the windows ``c``."""
-        x, q, k, v = np.split(self.of_class[c] + self.of_place, 4, axis=2)
-        s = q[:, from_place:] @ k.transpose(0, 2, 1)
-        np.clip(s, -30 * LOG2E, 30 * LOG2E, out=s)
-        np.exp2(s, out=s)
-        s *= CAUSAL[from_place:]
-        o = s @ v
-        o /= (s @ np.ones(CONTEXT, np.float32))[:, :, None]
-        return x[:, from_place:] + (o.reshape(-1, WIDTH) @ self.mix).reshape(o.shape)
-
-    def _classes(self, c: np.ndarray, states: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """log2 probabilities of the classes ``y`` after ``c``, worked off class by class of ``c``."""
+        """What the head sees at the places from ``from_place`` on of the windows ``c``, but for the embeddings, and 1."""
+        get = lambda name, *shape: self.space(name, np.dtype(np.float32), *shape)
+        length = CONTEXT - from_place
+        states = get("states", len(c), length, WIDTH + 1)
+        for lo in range(0, len(c), self.batch):
+            n = min(self.batch, len(c) - lo)
+            whole, s, o = get("whole", n, CONTEXT, 3 * WIDTH + 1), get("s", n, length, CONTEXT), get("o", n, length, WIDTH + 1)
+            np.take(self.of_class, c[lo : lo + n].ravel(), axis=0, out=whole.reshape(n * CONTEXT, -1), mode="clip")
+            whole += self.of_place
+            _attend(whole[:, from_place:, :WIDTH], whole[:, :, WIDTH : 2 * WIDTH], s, self.mild)
+            np.matmul(s, whole[:, :, 2 * WIDTH :], out=o)
+            o /= o[:, :, -1:].copy()
+            mine = states[lo : lo + n]
+            np.dot(o.reshape(n * length, -1), self.mix, out=mine.reshape(n * length, -1))
+            mine += self.place[from_place:]
+        return states.reshape(-1, WIDTH + 1)
+
+    def _classes(self, c: np.ndarray, states: np.ndarray, rows: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """log2 probabilities of the classes ``y`` after ``c``, whose ``rows`` of states are given; worked off class by class of ``c``."""
         order, bounds = _by_class(c)
-        h = np.ones((len(c), WIDTH + 1), np.float32)
-        h[:, :-1] = states[order]
-        steep = _steep(states, self.out, self.direct)
+        h = self.space("h", states.dtype, len(rows), WIDTH + 1)
+        np.take(states, rows[order], axis=0, out=h, mode="clip")
+        steep = _steep(h, self.out)
         head, ones, y = np.concatenate([self.out, self.direct[:1]]), np.ones(CLASSES, np.float32), y[order]
-        space, found = np.empty((CHUNK, CLASSES), np.float32), np.empty(len(c), np.float32)
+        held, found, total = self.space("z", states.dtype, CHUNK, CLASSES), np.empty(len(c), np.float32), np.empty(len(c), np.float32)
+        aim = np.arange(CHUNK) * CLASSES
         for lo, hi, parts in _chunks(bounds):
-            z = space[: hi - lo]
-            _logits(head, self.direct, h, lo, parts, z)
+            z = held[: hi - lo]
+            for j, a, b in parts:
+                head[-1] = self.direct[j]
+                np.dot(h[a:b], head, out=z[a - lo : b - lo])
             if steep:
                 z -= z.max(-1, keepdims=True)
-            found[lo:hi] = z[np.arange(hi - lo), y[lo:hi]]
+            np.take(held.reshape(-1), aim[: hi - lo] + y[lo:hi], out=found[lo:hi], mode="clip")
             np.exp2(z, out=z)
-            found[lo:hi] -= np.log2(z @ ones)
+            np.dot(z, ones, out=total[lo:hi])
+        found -= np.log2(total)
         out = np.empty_like(found)
         out[order] = found
         return out

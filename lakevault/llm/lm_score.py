@@ -59,15 +59,22 @@ class Words:
             spans.append((data, starts, ends))
         self.rows = np.concatenate(rows) if rows else np.empty(0, np.int64)
         every = np.concatenate(hashes) if hashes else np.empty(0, U64)
-        self.hash, first, self.number = np.unique(every, return_index=True, return_inverse=True)
+        order = np.argsort(every)
+        sorted_hash = every[order]
+        new = np.ones(len(every), dtype=bool)
+        new[1:] = sorted_hash[1:] != sorted_hash[:-1]
+        self.hash, shown = sorted_hash[new], order[new]  # any place where the word stands shows it
+        self.number = np.empty(len(every), np.int32)
+        self.number[order] = np.cumsum(new, dtype=np.int32) - 1
         bounds = np.cumsum([0, *(len(s[1]) for s in spans)])
-        self.distinct: list[bytes] = [b""] * len(first)
-        part = np.searchsorted(bounds, first, side="right") - 1
+        self.distinct: list[bytes] = [b""] * len(shown)
+        part = np.searchsorted(bounds, shown, side="right") - 1
         for k, (data, starts, ends) in enumerate(spans):
             raw = data.tobytes()
-            for j in np.flatnonzero(part == k):
-                i = first[j] - bounds[k]
-                self.distinct[j] = raw[starts[i] : ends[i]]
+            mine = np.flatnonzero(part == k)
+            at = shown[mine] - bounds[k]
+            for j, a, b in zip(mine.tolist(), starts[at].tolist(), ends[at].tolist(), strict=True):
+                self.distinct[j] = raw[a:b]
 
     def ranges(self, count: int) -> Iterator[tuple[int, slice]]:
         """(range of hashes, the distinct words in it)."""
@@ -143,10 +150,13 @@ class Subwords:
         return self.ids[_spread(self.starts[at], lengths)], lengths
 
 
-def _interpolated(model: np.ndarray, unigram: np.ndarray, share: float) -> np.ndarray:
-    """log10 of the mean of two probabilities, the unigram's weighing ``share``."""
+def _interpolated(model: np.ndarray, unigram: np.ndarray, shares: tuple[float, ...]) -> Iterator[np.ndarray]:
+    """For each of ``shares``, log10 of the mean of two probabilities, the unigram's weighing that share."""
     ln10 = np.log(10)
-    return np.logaddexp(np.log(share) + unigram * ln10, np.log1p(-share) + model * ln10) / ln10
+    top = np.maximum(model, unigram)
+    a, b = np.exp((unigram - top) * ln10), np.exp((model - top) * ln10)
+    for share in shares:
+        yield np.log(share * a + (1 - share) * b) / ln10 + top
 
 
 def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -301,7 +311,7 @@ def score_texts(
         n_words = np.bincount(words.rows, minlength=table.num_rows)
         rows = pa.table({"id": table.column("id"), "train": table.column("train"), "n_words": pa.array(n_words, pa.int64())})
         held = squeeze(
-            words.number.astype(np.int32), ids, lengths.astype(np.int32), np.array([p for p, _ in own], np.int64), np.array([s.stop for _, s in own], np.int64)
+            words.number, ids, lengths.astype(np.int32), np.array([p for p, _ in own], np.int64), np.array([s.stop for _, s in own], np.int64)
         )
         return out, rows.replace_schema_metadata({BLOCK: held})
 
@@ -338,7 +348,8 @@ def score_texts(
         for part, a, b in zip(parts.tolist(), [0, *stops.tolist()], stops.tolist(), strict=False):
             counts[a:b] = expand(replies[part])[0][: b - a]
         smooth = np.log10(n_train + 0.5 * (n_distinct + 1))
-        base = np.bincount(rows, (np.log10(counts + 0.5) - smooth)[numbers], minlength=n).astype(float)
+        of_word = np.log10(counts + 0.5) - smooth
+        base = np.bincount(rows, of_word[numbers], minlength=n).astype(float)
         base += np.log10(end_count + 0.5) - smooth
         n_known = np.bincount(rows, counts[numbers] > 0, minlength=n).astype(np.int64) + int(end_count > 0)
         starts = np.cumsum(lengths) - lengths
@@ -356,11 +367,9 @@ def score_texts(
             flat_ids[place] = ids[_spread(starts[number], size)]
             by_id = scorer.log10(flat_ids, tokens, END)
             by_word = np.add.reduceat(by_id[place], np.cumsum(size) - size) if len(size) else np.zeros(0)
-            word_base, end_base = (np.log10(counts + 0.5) - smooth)[number], np.full(hi - lo, np.log10(end_count + 0.5) - smooth)
-            by_share = [
-                np.bincount(owner, _interpolated(by_word, word_base, s), minlength=hi - lo) + _interpolated(by_id[~place], end_base, s)
-                for s in unigram_shares
-            ]
+            inner = _interpolated(by_word, of_word[number], unigram_shares)
+            last_token = _interpolated(by_id[~place], np.full(hi - lo, np.log10(end_count + 0.5) - smooth), unigram_shares)
+            by_share = [np.bincount(owner, i, minlength=hi - lo) + e for i, e in zip(inner, last_token, strict=True)]
             result[lo:hi] = np.logaddexp.reduce(np.array(by_share) * np.log(10)) / np.log(10) - np.log10(len(by_share))
         return pa.table(
             {
