@@ -19,7 +19,7 @@ STRIDE = 24  # tokens by which windows advance; the last STRIDE of a window are
 CLASSES = 128
 LEAST_STEPS = 150  # of training on few windows
 CHUNK = 512  # places whose softmax is held at a time
-SLAB = 32  # batches of windows whose places meet the softmax together
+SLAB = 8  # batches of windows whose places meet the softmax together
 SHAPES = {
     "embed": (CLASSES, WIDTH), "place": (CONTEXT, WIDTH), "query": (WIDTH, WIDTH), "key": (WIDTH, WIDTH),
     "value": (WIDTH, WIDTH), "mix": (WIDTH, WIDTH), "out": (WIDTH, CLASSES), "pair": (CLASSES, CLASSES), "bias": (CLASSES,),
@@ -107,15 +107,14 @@ def _chunks(bounds: np.ndarray) -> Iterator[tuple[int, int, list[tuple[int, int,
         yield held[0][1], held[-1][2], held
 
 
-def _steep(h: np.ndarray, out: np.ndarray) -> bool:
-    """Whether what a state adds to a logit may be too large for a power as it is; the last column of ``h`` is 1."""
-    longest = np.sqrt(max(0, np.einsum("ij,ij->i", h, h).max() - 1)) if len(h) else 0
+def _steep(longest: float, out: np.ndarray) -> bool:
+    """Whether what a state of this length adds to a logit may be too large for a power as it is."""
     return not longest * np.sqrt((out * out).sum(0).max()) < 100
 
 
-def _direct(w: dict[str, np.ndarray]) -> np.ndarray:
+def _direct(w: dict[str, np.ndarray], out: np.ndarray) -> np.ndarray:
     """The part of the logits that depends on the class alone, for powers of 2; the largest of each class is 0, which changes no softmax."""
-    direct = (w["pair"] + w["bias"]) * w["bias"].dtype.type(LOG2E)
+    direct = (w["pair"] + w["bias"]) * w["bias"].dtype.type(LOG2E) + w["embed"] @ out
     return direct - direct.max(1, keepdims=True)
 
 
@@ -135,8 +134,8 @@ def _attend(q: np.ndarray, k: np.ndarray, s: np.ndarray, mild: bool) -> None:
 
 def _wider(a: np.ndarray, corner: float = 0) -> np.ndarray:
     """``a`` with one more row and column, of zeros but for the corner."""
-    out = np.pad(a, ((0, 1), (0, 1)))
-    out[-1, -1] = corner
+    out = np.zeros((a.shape[0] + 1, a.shape[1] + 1), a.dtype)
+    out[:-1, :-1], out[-1, -1] = a, corner
     return out
 
 
@@ -144,6 +143,28 @@ def _longest(a: np.ndarray) -> float:
     return float(np.sqrt(np.einsum("ij,ij->i", a, a).max()))
 
 
+class Tables:
+    """What a token brings to its window depends on its class and place only: query, key, value and 1 side by side."""
+
+    def __init__(self, w: dict[str, np.ndarray], length: int = CONTEXT):
+        kind = w["embed"].dtype
+        self.project = np.concatenate([w["query"] * kind.type(LOG2E / np.sqrt(WIDTH)), w["key"], w["value"]], axis=1)
+        self.of_class, self.of_place = (_wider(w[k] @ self.project)[:-1] for k in ("embed", "place"))
+        self.of_class[:, -1], self.of_place = 1, self.of_place[:length]
+        self.mix, self.place, self.out = _wider(w["mix"], 1), _wider(w["place"])[:length], w["out"] * kind.type(LOG2E)
+        self.direct = _direct(w, self.out)
+        q, k, v = (slice(j, j + WIDTH) for j in range(0, 3 * WIDTH, WIDTH))
+        both = (self.of_class, self.of_place)
+        self.mild = _mild(*(sum(_longest(t[:, j]) for t in both) for j in (q, k)))
+        # attention takes a mean of values
+        reach = sum(_longest(t[:, v] @ w["mix"]) for t in both) + _longest(w["place"])
+        self.steep = _steep(reach, self.out)  # some state may be too long, if all meet the worst
+
+    def fill(self, c: np.ndarray, whole: np.ndarray) -> None:
+        np.take(self.of_class, c.ravel(), axis=0, out=whole.reshape(c.size, -1), mode="clip")
+        whole += self.of_place
+
+
 def _gradient(w: dict[str, np.ndarray], c: np.ndarray, y: np.ndarray, valid: np.ndarray, space: Space | None = None) -> np.ndarray:
     """Flat gradient of the mean loss of a batch of windows.
 
@@ -151,32 +172,25 @@ def _gradient(w: dict[str, np.ndarray], c: np.ndarray, y: np.ndarray, valid: np.
     """
     n, length = c.shape
     size, kind = c.size, w["embed"].dtype
-    space = space or Space()
+    space, tables = space or Space(), Tables(w, length)
     get = lambda name, *shape: space(name, kind, *shape)
-    scale = kind.type(1 / np.sqrt(WIDTH))
-    project = np.concatenate([w["query"] * (scale * kind.type(LOG2E)), w["key"], w["value"]], axis=1)
     # values end in 1, so what they add up to ends in the sum of the weights and, divided by that, in 1
-    x, qkv = get("x", size, WIDTH + 1), get("qkv", n, length, 3 * WIDTH + 1)
-    s, o = get("s", n, length, length), get("o", n, length, WIDTH + 1)
-    np.take(_wider(w["embed"])[:-1], c.ravel(), axis=0, out=x, mode="clip")
-    x.reshape(n, length, -1)[:] += _wider(w["place"])[:length]
-    np.dot(x, _wider(project), out=qkv.reshape(size, -1))
-    qkv[:, :, -1] = 1
-    q, k, v = qkv[:, :, :WIDTH], qkv[:, :, WIDTH : 2 * WIDTH], qkv[:, :, 2 * WIDTH :]
-    longest = _longest(w["embed"]) + _longest(w["place"])
-    _attend(q, k, s, _mild(longest * np.linalg.norm(project[:, :WIDTH]), longest * np.linalg.norm(w["key"])))
+    whole, s, o = get("whole", n, length, 3 * WIDTH + 1), get("s", n, length, length), get("o", n, length, WIDTH + 1)
+    tables.fill(c, whole)
+    q, k, v = whole[:, :, :WIDTH], whole[:, :, WIDTH : 2 * WIDTH], whole[:, :, 2 * WIDTH :]
+    _attend(q, k, s, tables.mild)
     np.matmul(s, v, out=o)
     part = o[:, :, -1:].copy()
     o /= part
     flat_o = o.reshape(size, -1)
-    states, h = get("states", size, WIDTH + 1), get("h", size, WIDTH + 1)
-    np.dot(flat_o, _wider(w["mix"], 1), out=states)
-    states += x
+    states, h = get("states", n, length, WIDTH + 1), get("h", size, WIDTH + 1)
+    np.dot(flat_o, tables.mix, out=states.reshape(size, -1))
+    states += tables.place
     order, bounds = _by_class(c.ravel())
-    np.take(states, order, axis=0, out=h, mode="clip")
+    np.take(states.reshape(size, -1), order, axis=0, out=h, mode="clip")
     target, share = y.ravel()[order], (valid.ravel()[order] / max(1, valid.sum())).astype(kind)
-    out, direct, ones = w["out"] * kind.type(LOG2E), _direct(w), np.ones(CLASSES, kind)
-    steep = _steep(h, out)
+    out, direct, ones = tables.out, tables.direct, np.ones(CLASSES, kind)
+    steep = tables.steep and _steep(_longest(h[:, :-1]), out)
     head, back = np.concatenate([out, direct[:1]]), np.ascontiguousarray(w["out"].T)
     held, total, d_sorted = get("z", CHUNK, CLASSES), get("total", size), get("d_sorted", size, WIDTH)
     d_head, aim = np.zeros((CLASSES, WIDTH + 1, CLASSES), kind), np.arange(CHUNK) * CLASSES
@@ -197,12 +211,11 @@ def _gradient(w: dict[str, np.ndarray], c: np.ndarray, y: np.ndarray, valid: np.
             d_head[j] += h[a:b].T @ z[a - lo : b - lo]
     d_sorted *= total[:, None]
     d_pair = d_head[:, -1]
-    dh, do, ds, d, dx = get("dh", size, WIDTH), get("do", n, length, WIDTH + 1), get("ds", n, length, length), get("d", n, length, 3 * WIDTH), get("dx", size, WIDTH)
+    dh, do, ds, d = get("dh", size, WIDTH), get("do", n, length, WIDTH + 1), get("ds", n, length, length), get("d", n, length, 3 * WIDTH)
     back_order = np.empty_like(order)
     back_order[order] = np.arange(size)
     np.take(d_sorted, back_order, axis=0, out=dh, mode="clip")
     d_mix = (flat_o.T @ dh)[:-1]
-    flat_d = d.reshape(size, -1)
     np.dot(dh, _wider(w["mix"].T)[:-1], out=do.reshape(size, -1))
     do *= np.divide(kind.type(LN2), part, out=part)
     do[:, :, -1] = -np.einsum("ijk,ijk->ij", do[:, :, :-1], o[:, :, :-1])
@@ -211,19 +224,23 @@ def _gradient(w: dict[str, np.ndarray], c: np.ndarray, y: np.ndarray, valid: np.
     np.matmul(ds, k, out=d[:, :, :WIDTH])
     np.matmul(ds.transpose(0, 2, 1), q, out=d[:, :, WIDTH : 2 * WIDTH])
     np.matmul(s.transpose(0, 2, 1), do[:, :, :-1], out=d[:, :, 2 * WIDTH :])
-    d_project = sum(x[lo : lo + 1024, :-1].T @ flat_d[lo : lo + 1024] for lo in range(0, size, 1024))
+    # by class and by place; the gradients of what stands before the tables follow from these sums
+    d_sum, one = np.empty((CLASSES, 3 * WIDTH), kind), np.ones(size, kind)
+    d_order = np.take(d.reshape(size, -1), order, axis=0, out=get("d_order", size, 3 * WIDTH), mode="clip")
+    for j, (lo, hi) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+        np.dot(one[lo:hi], d_order[lo:hi], out=d_sum[j])
+    d_by_place, h_by_place = d.sum(0), dh.reshape(n, length, -1).sum(0)
+    d_project = w["embed"].T @ d_sum + w["place"][:length].T @ d_by_place
+    project = tables.project
     project[:, 2 * WIDTH :] *= kind.type(LOG2E)  # as the last part of d is by a factor of LN2 too small
-    np.dot(flat_d, np.ascontiguousarray(project.T), out=dx)
-    dx += dh
     d_query, d_key, d_value = np.split(d_project * kind.type(LOG2E), 3, axis=1)
-    d_embed, d_place = np.zeros_like(w["embed"]), np.zeros_like(w["place"])
-    found = np.flatnonzero(np.diff(bounds))
-    np.take(dx, order, axis=0, out=dh, mode="clip")
-    d_embed[found] = np.add.reduceat(dh, bounds[found], axis=0)
-    d_place[:length] = dx.reshape(n, length, -1).sum(0)
+    d_place = np.zeros_like(w["place"])
+    d_place[:length] = d_by_place @ project.T + h_by_place
+    d_embed = d_sum @ project.T + d_pair @ back
+    d_out = d_head[:, :-1].sum(0) + w["embed"].T @ d_pair
     parts = {
-        "embed": d_embed, "place": d_place, "query": d_query * scale, "key": d_key * kind.type(LN2), "value": d_value,
-        "mix": d_mix, "out": d_head[:, :-1].sum(0), "pair": d_pair, "bias": d_pair.sum(0),
+        "embed": d_embed, "place": d_place, "query": d_query / kind.type(np.sqrt(WIDTH)), "key": d_key * kind.type(LN2), "value": d_value,
+        "mix": d_mix, "out": d_out, "pair": d_pair, "bias": d_pair.sum(0),
     }
     return np.concatenate([parts[k].ravel() for k in SHAPES])
 
@@ -233,7 +250,7 @@ def train(flat: np.ndarray, c: np.ndarray, y: np.ndarray, valid: np.ndarray, rat
     flat = flat.astype(np.float32).copy()
     if len(c) == 0:
         return flat
-    m, v = np.zeros_like(flat), np.zeros_like(flat)
+    m, v, by = np.zeros_like(flat), np.zeros_like(flat), np.empty_like(flat)
     per = -(-len(c) // batch)
     steps = max(per, min(least_steps, 50 * per))
     dice = np.random.default_rng(11)
@@ -243,9 +260,16 @@ def train(flat: np.ndarray, c: np.ndarray, y: np.ndarray, valid: np.ndarray, rat
             order = np.concatenate([order, dice.permutation(len(c))])
         k, order = order[:batch], order[batch:]
         g = _gradient(unflatten(flat), c[k], y[k], valid[k], space)
-        m = 0.9 * m + 0.1 * g
-        v = 0.99 * v + 0.01 * g * g
-        flat -= rate * (1 - 0.9 * t / steps) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+        m *= 0.9
+        m += np.multiply(g, 0.1, out=by)
+        v *= 0.99
+        v += np.multiply(np.multiply(g, 0.01, out=by), g, out=by)
+        np.sqrt(np.divide(v, 1 - 0.99**t, out=by), out=by)
+        by += 1e-8
+        step = np.divide(m, 1 - 0.9**t, out=g)
+        step *= rate * (1 - 0.9 * t / steps)
+        step /= by
+        flat -= step
     return flat
 
 
@@ -253,28 +277,20 @@ class Scorer:
     """log10 probabilities of whole token sequences, by overlapping windows."""
 
     def __init__(self, flat: np.ndarray, classes: Classes, batch: int = 128):
-        w = unflatten(flat.astype(np.float32))
-        scale = np.float32(1 / np.sqrt(WIDTH))
         self.classes, self.batch = classes, batch
-        # what a token brings to its window depends on its class and place only: query, key, value and 1 side by side
-        project = np.concatenate([w["query"] * (scale * np.float32(LOG2E)), w["key"], w["value"], np.zeros((WIDTH, 1), np.float32)], axis=1)
-        self.of_class, self.of_place = w["embed"] @ project, w["place"] @ project
-        self.of_class[:, -1] = 1
-        cut = [slice(0, WIDTH), slice(WIDTH, 2 * WIDTH)]
-        self.mild = _mild(*(_longest(self.of_class[:, j]) + _longest(self.of_place[:, j]) for j in cut))
-        self.mix, self.place, self.out = _wider(w["mix"], 1), _wider(w["place"])[:-1], w["out"] * np.float32(LOG2E)
-        self.direct = _direct(w) + w["embed"] @ self.out  # states come without their class' embedding
-        self.direct -= self.direct.max(1, keepdims=True)
-        self.space = Space()
+        self.of = classes.of.astype(np.uint8)
+        self.tables = Tables(unflatten(flat.astype(np.float32)))
+        self.weight = np.exp2(self.tables.direct)
+        self.ones, self.space = np.ones(CLASSES, np.float32), Space()
 
     def log10(self, ids: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
         """Per id, its log10 probability in its sequence; ``start`` stands before each sequence."""
-        target = self.classes.of[ids].astype(np.uint8)
+        target = self.of[ids]
         ends = np.cumsum(lengths)
         begins = ends - lengths
         source = np.empty(len(ids), np.uint8)
         source[1:] = target[:-1]
-        source[begins[lengths > 0]] = self.classes.of[start]
+        source[begins[lengths > 0]] = self.of[start]
         out = np.zeros(len(ids))
         count = np.where(lengths > 0, 1 + np.maximum(0, -(-(lengths - CONTEXT) // STRIDE)), 0)
         owner = np.repeat(np.arange(len(lengths)), count)
@@ -293,43 +309,45 @@ class Scorer:
         return out * np.log10(2) + self.classes.log_share[ids]
 
     def _states(self, c: np.ndarray, from_place: int) -> np.ndarray:
-        """What the head sees at the places from ``from_place`` on of the windows ``c``, but for the embeddings, and 1."""
+        """What the head sees at the places from ``from_place`` on of the windows ``c``, but for the embeddings."""
         get = lambda name, *shape: self.space(name, np.dtype(np.float32), *shape)
         length = CONTEXT - from_place
-        states = get("states", len(c), length, WIDTH + 1)
+        states, mix, place = get("states", len(c), length, WIDTH), np.ascontiguousarray(self.tables.mix[:, :-1]), self.tables.place[from_place:, :-1]
         for lo in range(0, len(c), self.batch):
             n = min(self.batch, len(c) - lo)
             whole, s, o = get("whole", n, CONTEXT, 3 * WIDTH + 1), get("s", n, length, CONTEXT), get("o", n, length, WIDTH + 1)
-            np.take(self.of_class, c[lo : lo + n].ravel(), axis=0, out=whole.reshape(n * CONTEXT, -1), mode="clip")
-            whole += self.of_place
-            _attend(whole[:, from_place:, :WIDTH], whole[:, :, WIDTH : 2 * WIDTH], s, self.mild)
+            self.tables.fill(c[lo : lo + n], whole)
+            _attend(whole[:, from_place:, :WIDTH], whole[:, :, WIDTH : 2 * WIDTH], s, self.tables.mild)
             np.matmul(s, whole[:, :, 2 * WIDTH :], out=o)
             o /= o[:, :, -1:].copy()
             mine = states[lo : lo + n]
-            np.dot(o.reshape(n * length, -1), self.mix, out=mine.reshape(n * length, -1))
-            mine += self.place[from_place:]
-        return states.reshape(-1, WIDTH + 1)
+            np.dot(o.reshape(n * length, -1), mix, out=mine.reshape(n * length, -1))
+            mine += place
+        return states.reshape(-1, WIDTH)
 
     def _classes(self, c: np.ndarray, states: np.ndarray, rows: np.ndarray, y: np.ndarray) -> np.ndarray:
         """log2 probabilities of the classes ``y`` after ``c``, whose ``rows`` of states are given; worked off class by class of ``c``."""
         order, bounds = _by_class(c)
-        h = self.space("h", states.dtype, len(rows), WIDTH + 1)
+        h = self.space("h", states.dtype, len(rows), WIDTH)
         np.take(states, rows[order], axis=0, out=h, mode="clip")
-        steep = _steep(h, self.out)
-        head, ones, y = np.concatenate([self.out, self.direct[:1]]), np.ones(CLASSES, np.float32), y[order]
+        out, y = self.tables.out, y[order]
+        steep = self.tables.steep and _steep(_longest(h), out)
         held, found, total = self.space("z", states.dtype, CHUNK, CLASSES), np.empty(len(c), np.float32), np.empty(len(c), np.float32)
         aim = np.arange(CHUNK) * CLASSES
         for lo, hi, parts in _chunks(bounds):
             z = held[: hi - lo]
-            for j, a, b in parts:
-                head[-1] = self.direct[j]
-                np.dot(h[a:b], head, out=z[a - lo : b - lo])
-            if steep:
+            np.dot(h[lo:hi], out, out=z)
+            if steep:  # the part of the class alone has to be in it before the largest is taken
+                for j, a, b in parts:
+                    z[a - lo : b - lo] += self.tables.direct[j]
                 z -= z.max(-1, keepdims=True)
             np.take(held.reshape(-1), aim[: hi - lo] + y[lo:hi], out=found[lo:hi], mode="clip")
             np.exp2(z, out=z)
-            np.dot(z, ones, out=total[lo:hi])
+            for j, a, b in parts:
+                np.dot(z[a - lo : b - lo], self.ones if steep else self.weight[j], out=total[a:b])
         found -= np.log2(total)
-        out = np.empty_like(found)
-        out[order] = found
-        return out
+        if not steep:
+            found += self.tables.direct.ravel()[c[order].astype(np.int64) * CLASSES + y]
+        result = np.empty_like(found)
+        result[order] = found
+        return result
