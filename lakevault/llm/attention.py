@@ -193,7 +193,9 @@ def _gradient(w: dict[str, np.ndarray], c: np.ndarray, y: np.ndarray, valid: np.
     steep = tables.steep and _steep(_longest(h[:, :-1]), out)
     head, back = np.concatenate([out, direct[:1]]), np.ascontiguousarray(w["out"].T)
     held, total, d_sorted = get("z", CHUNK, CLASSES), get("total", size), get("d_sorted", size, WIDTH)
-    d_head, aim = np.zeros((CLASSES, WIDTH + 1, CLASSES), kind), np.arange(CHUNK) * CLASSES
+    d_head, aim = get("d_head", CLASSES, WIDTH + 1, CLASSES), np.arange(CHUNK) * CLASSES
+    d_head[np.diff(bounds) == 0] = 0
+    begins = bounds.tolist()
     for lo, hi, parts in _chunks(bounds):
         z = held[: hi - lo]
         for j, a, b in parts:
@@ -208,7 +210,10 @@ def _gradient(w: dict[str, np.ndarray], c: np.ndarray, y: np.ndarray, valid: np.
         np.divide(share[lo:hi], mine, out=mine)
         h[lo:hi] *= mine[:, None]
         for j, a, b in parts:
-            d_head[j] += h[a:b].T @ z[a - lo : b - lo]
+            if a == begins[j]:
+                np.dot(h[a:b].T, z[a - lo : b - lo], out=d_head[j])
+            else:
+                d_head[j] += h[a:b].T @ z[a - lo : b - lo]
     d_sorted *= total[:, None]
     d_pair = d_head[:, -1]
     dh, do, ds, d = get("dh", size, WIDTH), get("do", n, length, WIDTH + 1), get("ds", n, length, length), get("d", n, length, 3 * WIDTH)
@@ -227,7 +232,7 @@ def _gradient(w: dict[str, np.ndarray], c: np.ndarray, y: np.ndarray, valid: np.
     # by class and by place; the gradients of what stands before the tables follow from these sums
     d_sum, one = np.empty((CLASSES, 3 * WIDTH), kind), np.ones(size, kind)
     d_order = np.take(d.reshape(size, -1), order, axis=0, out=get("d_order", size, 3 * WIDTH), mode="clip")
-    for j, (lo, hi) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+    for j, (lo, hi) in enumerate(zip(begins, begins[1:], strict=False)):
         np.dot(one[lo:hi], d_order[lo:hi], out=d_sum[j])
     d_by_place, h_by_place = d.sum(0), dh.reshape(n, length, -1).sum(0)
     d_project = w["embed"].T @ d_sum + w["place"][:length].T @ d_by_place
@@ -280,6 +285,8 @@ class Scorer:
         self.classes, self.batch = classes, batch
         self.of = classes.of.astype(np.uint8)
         self.tables = Tables(unflatten(flat.astype(np.float32)))
+        both, k = (self.tables.of_class, self.tables.of_place), slice(WIDTH, 2 * WIDTH)
+        self.mild = _mild(sum(float(np.abs(a[:, :WIDTH] @ b[:, k].T).max()) for a in both for b in both))
         self.weight = np.exp2(self.tables.direct)
         self.ones, self.space = np.ones(CLASSES, np.float32), Space()
 
@@ -317,7 +324,7 @@ class Scorer:
             n = min(self.batch, len(c) - lo)
             whole, s, o = get("whole", n, CONTEXT, 3 * WIDTH + 1), get("s", n, length, CONTEXT), get("o", n, length, WIDTH + 1)
             self.tables.fill(c[lo : lo + n], whole)
-            _attend(whole[:, from_place:, :WIDTH], whole[:, :, WIDTH : 2 * WIDTH], s, self.tables.mild)
+            _attend(whole[:, from_place:, :WIDTH], whole[:, :, WIDTH : 2 * WIDTH], s, self.mild)
             np.matmul(s, whole[:, :, 2 * WIDTH :], out=o)
             o /= o[:, :, -1:].copy()
             mine = states[lo : lo + n]

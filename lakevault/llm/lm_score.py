@@ -210,17 +210,20 @@ def _parts(last: np.ndarray) -> Iterator[tuple[int, int]]:
 
 def _add_up(_range: int, messages: list[tuple[int, bytes]]) -> list[tuple[int, bytes]]:
     """Merges the word counts of a range; answers the blocks and TOTALS."""
-    total: dict[bytes, int] = {}
-    parts = []
-    for block, data in messages:
-        joined, counts = expand(data)
-        words = joined.tobytes().split(b"\n")
-        parts.append((block, words))
-        for w, c in zip(words, counts.tolist(), strict=True):
-            total[w] = total.get(w, 0) + c
-    known = [c for c in total.values() if c]
-    out = [(block, squeeze(np.array([total[w] for w in words], np.int64))) for block, words in parts]
-    return [*out, (TOTALS, squeeze(np.array([sum(known), len(known)], np.int64)))]
+    texts, counts = [], []
+    for _, data in messages:
+        joined, n = expand(data)
+        texts += [joined, np.array([10], np.uint8)]  # every word ends in a line's end
+        counts.append(n)
+    joined = np.concatenate(texts)
+    starts = np.append(0, np.flatnonzero(joined == 10) + 1)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(joined)])
+    number = words.dictionary_encode().indices.to_numpy()
+    total = np.bincount(number, np.concatenate(counts)).astype(np.int64)
+    stops = np.cumsum([len(n) for n in counts])
+    out = [(block, squeeze(total[number[stop - len(n) : stop]])) for (block, _), n, stop in zip(messages, counts, stops, strict=True)]
+    known = total[total > 0]
+    return [*out, (TOTALS, squeeze(np.array([known.sum(), len(known)], np.int64)))]
 
 
 def _fit(blocks: DataFrame, trainers: int, classes: Classes, rounds: int, rate: float) -> np.ndarray:

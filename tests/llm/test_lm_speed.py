@@ -73,3 +73,10 @@ def test_interpolation_is_the_mean_of_the_probabilities(share):
     (got,) = lm_score._interpolated(model, unigram, (share,))
     want = np.logaddexp(np.log(share) + unigram * np.log(10), np.log1p(-share) + model * np.log(10)) / np.log(10)
     assert np.allclose(got, want, rtol=1e-12)
+
+
+def test_counts_of_a_range_are_added_up_per_word():
+    asked = {7: ([b"a", b"bc", b""], [1, 0, 3]), 9: ([b"bc", b"\xff\xfe"], [0, 4]), 2: ([b""], [2]), 5: ([b"a"], [6])}
+    messages = [(block, lm_score.squeeze(np.frombuffer(b"\n".join(w), np.uint8), np.array(n, np.int64))) for block, (w, n) in asked.items()]
+    got = {block: lm_score.expand(data)[0].tolist() for block, data in lm_score._add_up(0, messages)}
+    assert got == {7: [7, 0, 5], 9: [0, 4], 2: [5], 5: [7], lm_score.TOTALS: [16, 3]}
